@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import _shared, bpe, decontam, html_extract, langid, linededup, quality, tokenbin, toxicity
+from tracelake.llm import _shared, bpe, decontam, html_extract, langid, linededup, neardup, quality, tokenbin, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,8 +73,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_html_text, op4_line_dedup, op6_decontamination, op7_token_files, op8_quality, op9_word_bpe, op10_toxicity)}
+    return {f.__name__: f for f in (op1_language_id, op2_html_text, op4_line_dedup, op5_minhash_dedup, op6_decontamination, op7_token_files, op8_quality, op9_word_bpe, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": linededup.ORACLE_SQL}
+    return {"op4_line_dedup": linededup.ORACLE_SQL, "op5_minhash_dedup": neardup.ORACLE_SQL}
