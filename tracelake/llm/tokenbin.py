@@ -31,7 +31,7 @@ from tracelake.llm import _shared
 
 MAGIC = b"TLVB"
 #: Ids in one file, about: a file ends with the document that reaches it.
-FILE_IDS = 8 << 20
+FILE_IDS = 4 << 20
 #: Distinct pieces that a worker keeps encoded; beyond it the memory is emptied and filled anew.
 KEPT_PIECES = 400_000
 
@@ -45,13 +45,21 @@ _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[
 LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 
 
+#: The public byte-level alphabet: printing Latin-1 characters stand for their bytes, the other bytes follow from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_ALPHABET = {b: chr(0x100 + i) for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
+
+
 class Encoder:
-    """Ids of whole texts. Each distinct piece is encoded once by the tokenizers library; a text's ids are its pieces' ids."""
+    """Ids of whole texts. Each distinct piece is encoded once by the tokenizers library; a text's ids are its pieces' ids.
+
+    Pieces are split here, so the library's model gets them as they are: a list of words without a pre-tokeniser in front."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -70,8 +78,12 @@ class Encoder:
             known.clear()
         new = list({p for s in split if s for p in s if p not in known})
         for i in range(0, len(new), 20_000):
-            for p, e in zip(new[i : i + 20_000], self.tokenizer.encode_batch_fast(new[i : i + 20_000], add_special_tokens=False)):
-                known[p] = array("I", e.ids).tobytes()
+            part = new[i : i + 20_000]
+            spelled = "\0".join(part).encode().decode("latin-1").translate(_ALPHABET).split(_ALPHABET[0])
+            coded = self.model.encode(spelled, is_pretokenized=True, add_special_tokens=False)
+            flat = array("I", coded.ids).tobytes()
+            ends = (np.cumsum(np.bincount(coded.word_ids, minlength=len(part))) * 4).tolist()
+            known.update(zip(part, map(flat.__getitem__, map(slice, [0, *ends], ends))))
         odd = [t for t, s in zip(texts, split) if s is None]
         hard = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)) if odd else iter(())
         get = known.__getitem__
@@ -94,7 +106,7 @@ def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     padded[: len(ranks)] = size
     control = padded.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    end = np.cumsum(size.astype(np.int64) + 1)
+    end = np.cumsum(size + np.uint8(1), dtype=np.int64)
     data = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
     start = end - size - 1
     for k in range(4):
