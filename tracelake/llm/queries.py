@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import _shared, bpe, decontam, html_extract, langid, linededup, neardup, quality, tokenbin, toxicity
+from tracelake.llm import _shared, ann, bpe, decontam, html_extract, langid, linededup, neardup, quality, tokenbin, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(pages, html_extract.fit(pages))
 
 
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -73,7 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_html_text, op4_line_dedup, op5_minhash_dedup, op6_decontamination, op7_token_files, op8_quality, op9_word_bpe, op10_toxicity)}
+    return {f.__name__: f for f in (op1_language_id, op2_html_text, op3_nearest_vectors, op4_line_dedup, op5_minhash_dedup, op6_decontamination, op7_token_files, op8_quality, op9_word_bpe, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
