@@ -1,10 +1,11 @@
 """BPE encoding and decoding through a distinct-word table.
 
 Texts are split into words in Spark tasks; a task numbers the distinct words of each *chunk* of documents (a bounded number of
-distinct words) and keeps a text as its sequence of those numbers. The distinct words of all chunks form one table, in which the
-tokenizers library encodes each word once; a join with the id-to-piece table spells out its ids. The table then joins back to the
-chunks' word lists, and each chunk puts the ids and pieces in the place of its words' numbers. So a word crosses the network once per
-chunk, not once per occurrence, and a word as common as 'the' makes as many rows as there are chunks.
+distinct words) and keeps a text as its sequence of those numbers, in one file a chunk in the shared folder. The chunks' word lists form
+one table (word, chunk, number), dealt and sorted by word: there the tokenizers library encodes each distinct word once, and the ids go
+back to the chunks' numbers. A chunk then joins ids back by position, and decodes each of its words through the id-to-piece table, which is
+the vocabulary and so of fixed size. A word crosses the network once for each chunk, not once for each occurrence: a word as common as
+'the' makes as many rows as there are chunks, and no text is moved at all.
 
 Null texts are empty texts: no ids, and the decoded text is empty. Rows with equal or null ``doc_id`` are kept as they are.
 Strings of special tokens in a text become the special ids, as in the library. Other columns of the input are not read.
@@ -15,10 +16,12 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+import uuid
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +29,10 @@ from pyspark.sql import functions as F
 from tracelake.llm import _shared
 
 #: Distinct words (and bytes of text) after which a chunk ends.
-CHUNK_WORDS = 250_000
-CHUNK_BYTES = 48 << 20
+CHUNK_WORDS = 400_000
+CHUNK_BYTES = 64 << 20
+#: Words that are packed at once.
+PACKED_ROWS = 100_000
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
@@ -36,6 +41,11 @@ _PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]|İ")
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
 
 
+#: The public byte-level alphabet: printing Latin-1 characters stand for their bytes, the other bytes follow from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_ALPHABET = {b: chr(0x100 + i) for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
+
+
 class Splitter:
     """The words of a text as the vocabulary's normaliser and pre-tokeniser make them; special tokens are words of their own."""
 
@@ -46,9 +56,9 @@ class Splitter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = set(special)
-        self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.model = Tokenizer(self.tokenizer.model)
+        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.exact = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
     def words(self, text: str) -> list[str]:
@@ -60,8 +70,29 @@ class Splitter:
             return _SPLIT.findall(unicodedata.normalize("NFC", text).lower())
         return self.exact.findall(self.tokenizer.normalizer.normalize_str(text))
 
-    def ids(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each word has."""
+        plain = [w for w in words if w not in self.special]
+        spelled = "\n".join(plain).encode().decode("latin-1").translate(_ALPHABET).split(_ALPHABET[10]) if plain else []
+        coded = self.model.encode(spelled, is_pretokenized=True, add_special_tokens=False)
+        ids, count = np.array(coded.ids, np.uint32), np.bincount(np.array(coded.word_ids, np.int64), minlength=len(plain))
+        if len(plain) < len(words):
+            at = np.array([w in self.special for w in words])
+            every = np.ones(len(words), np.int64)
+            every[~at] = count
+            out = np.empty(every.sum(), np.uint32)
+            here = np.repeat(at, every)
+            out[here], out[~here] = [self.special[w] for w in words if w in self.special], ids
+            return out, every
+        return ids, count
+
+    def pieces(self) -> list[bytes]:
+        """The id-to-piece table."""
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        out = [b""] * (max(vocabulary.values()) + 1)
+        for piece, i in vocabulary.items():
+            out[i] = piece.encode()
+        return out
 
 
 _splitters: dict[str, Splitter] = {}
@@ -81,95 +112,156 @@ class _Numbers(dict):
         return n
 
 
-def split_words(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of two kinds: (chunk, doc_id, seq) for each document, seq being word numbers as uint32, and (chunk, words) for each chunk."""
-    schema = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.binary()), ("words", pa.list_(pa.string()))])
+def _planes(numbers: array) -> bytes:
+    """The numbers' lowest bytes, then their next bytes, ...: frequent words have small numbers, so this compresses well."""
+    return np.frombuffer(numbers, np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> list[int]:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1).tolist()
+
+
+_SEQUENCES = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary())])
+
+
+def split_words(docs: DataFrame, vocabulary: str, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (word, chunk, number) of every chunk's distinct words, and (null, chunk, -1) for each chunk; the texts' sequences go to one file
+    a chunk in ``folder``. A chunk's id comes from its partition, and its file is renamed when finished: a task that runs again leaves
+    the same files."""
 
     def task(batches):
         split = splitter(vocabulary).words
-        chunk = TaskContext.get().partitionId() << 24
-        numbers, size = _Numbers(), 0
+        fs, root = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(root, recursive=True)
+        chunk, out = (TaskContext.get().partitionId() << 20) - 1, None
+
+        def finish():
+            writer.close()
+            out.close()
+            fs.move(own, f"{root}/{chunk}.arrow")
+            words = list(numbers)
+            for i in range(0, len(words), 20_000):
+                part = words[i : i + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([chunk] * len(part), pa.int64()), pa.array(range(i, i + len(part)), pa.int32())], names=["word", "chunk", "number"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([chunk], pa.int64()), pa.array([-1], pa.int32())], names=["word", "chunk", "number"])
+
         for batch in batches:
-            keys, seqs = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys.append(key)
-                seqs.append(array("I", map(numbers.__getitem__, split(text))).tobytes() if text else b"")
+            if out is None:
+                chunk, numbers, size = chunk + 1, _Numbers(), 0
+                own = f"{root}/_{chunk}-{uuid.uuid4().hex}"
+                out = fs.open_output_stream(own)
+                writer = pa.ipc.new_stream(out, _SEQUENCES, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            seqs = []
+            for text in batch.column(1).to_pylist():
+                seqs.append(_planes(array("I", map(numbers.__getitem__, split(text)))) if text else b"")
                 size += len(text or "")
-            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.int64()), pa.array(seqs, pa.binary()), pa.nulls(len(keys), schema.field("words").type)], schema=schema)
+            writer.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(seqs, pa.binary())], schema=_SEQUENCES))
             if len(numbers) >= CHUNK_WORDS or size >= CHUNK_BYTES:
-                yield listed(chunk, numbers)
-                chunk, numbers, size = chunk + 1, _Numbers(), 0
-        if numbers:
-            yield listed(chunk, numbers)
-
-    def listed(chunk, numbers):
-        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([list(numbers)], schema.field("words").type)], schema=schema)
+                yield from finish()
+                out = None
+        if out is not None:
+            yield from finish()
 
     _shared.tune(docs.sparkSession)
     chosen = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t"))
-    return chosen.mapInArrow(task, "chunk long, doc_id long, seq binary, words array<string>")
+    return chosen.mapInArrow(task, "word string, chunk long, number int")
 
 
-def piece_table(spark, vocabulary: str) -> DataFrame:
-    """id and piece of the vocabulary: a table whose size the vocabulary fixes."""
-    pieces = splitter(vocabulary).tokenizer.get_vocab(with_added_tokens=True)
-    return spark.createDataFrame(pa.table({"id": pa.array(list(pieces.values()), pa.int32()), "piece": pa.array(list(pieces), pa.string())}))
+def _gathered(batches, rows: int):
+    """Tables of at least so many rows (but for the last) from small batches."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
 
 
-def word_table(words: DataFrame, vocabulary: str) -> DataFrame:
-    """word, ids (array) of each row of a table of distinct words."""
+def encode_words(words: DataFrame, vocabulary: str) -> DataFrame:
+    """The ids of the words, packed by chunk: rows (chunk, packed), packed being the words' numbers, their numbers of ids and the ids.
 
-    def task(batches):
-        for batch in batches:
-            word = batch.column(0)
-            yield pa.RecordBatch.from_arrays([word, pa.array(splitter(vocabulary).ids(word.to_pylist()), pa.list_(pa.int32()))], names=["word", "ids"])
+    Rows come dealt and sorted by word, so each distinct word is encoded once, whatever the number of its chunks."""
+    import zlib
 
-    return words.mapInArrow(task, "word string, ids array<int>")
+    def task(batches):
+        encode = splitter(vocabulary).ids
+        last, last_ids = None, np.zeros(0, np.uint32)
+        for rows in _gathered(batches, PACKED_ROWS):
+            word = rows.column("word").to_pylist()
+            chunk, number = rows.column("chunk").to_numpy(), rows.column("number").to_numpy()
+            new = [w for w, before in zip(word, [last, *word]) if w is not None and w != before]
+            ids, count = encode(new)
+            # which of the distinct words each row has: 0 is the one that the batch before ended with
+            at = np.cumsum([w is not None and w != before for w, before in zip(word, [last, *word])])
+            known = np.concatenate([last_ids, ids])
+            count = np.concatenate([[len(last_ids)], count])
+            start = np.cumsum(count) - count
+            if new:
+                last, last_ids = new[-1], known[start[-1] :]
+            size = np.where(number < 0, 0, count[at])
+            order = np.lexsort((number, chunk))
+            edge = np.flatnonzero(np.diff(chunk[order], prepend=chunk[order][:1] - 1))
+            out = []
+            for i, j in zip(edge, [*edge[1:], len(order)]):
+                own = order[i:j]
+                own = own[number[own] >= 0]
+                n = size[own]
+                pick = np.repeat(start[at[own]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                raw = np.array([len(own)], np.uint32).tobytes() + number[own].astype(np.uint32).tobytes() + n.astype(np.uint32).tobytes() + known[pick].tobytes()
+                out.append((int(chunk[order[i]]), zlib.compress(_planes(raw), 1)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([p for _, p in out], pa.binary())], names=["chunk", "packed"])
+
+    return words.mapInArrow(task, "chunk long, packed binary")
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", finish=None, result: str = "ids binary, decoded string") -> DataFrame:
     """Per document: doc_id, n_tokens, and what ``finish(ids, decoded)`` makes of its ids (bytes, little-endian uint32) and its
     decoded text (bytes, UTF-8) as columns ``result``; without ``finish``, these two themselves."""
     spark = docs.sparkSession
-    split = _shared.settle(split_words(docs, vocabulary, id_col, text_col), "bpe-words")
-    occurring = split.where("words is not null").select("chunk", F.posexplode("words").alias("number", "word"))
-    known = word_table(occurring.select("word").distinct(), vocabulary)
-    known = _shared.settle(known, "bpe-table")
-    pieces = F.broadcast(piece_table(spark, vocabulary))
-    spelled = (
-        known.select("word", F.posexplode("ids").alias("place", "id"))
-        .join(pieces, "id")
-        .groupBy("word")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "id", "piece"))).alias("p"))
-        .select("word", F.col("p.id").alias("ids"), F.array_join("p.piece", " ").alias("spelled"))
-    )
-    table = occurring.join(spelled, "word").select(F.col("chunk").alias("of"), "number", "ids", "spelled")
-    texts = split.where("words is null").select("chunk", "doc_id", "seq")
+    _shared.tune(spark)
+    folder = _shared.scratch(spark, "bpe-sequences")
+    words = split_words(docs, vocabulary, folder, id_col, text_col).repartition("word").sortWithinPartitions("word")
+    packed = encode_words(words, vocabulary)
     names = [c.split()[0] for c in result.split(",")]
     kinds = [{"binary": pa.binary(), "string": pa.string()}[c.split()[1]] for c in result.split(",")]
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *zip(names, kinds)])
 
-    def join_back(texts: pa.Table, table: pa.Table) -> pa.Table:
-        ids, spelled = [b""] * len(table), [b""] * len(table)
-        for t in table.to_batches():
-            column = t.column("ids")
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)) * 4
+    def join_back(packed: pa.Table) -> pa.Table:
+        import zlib
+
+        pieces = splitter(vocabulary).pieces()
+        parts = []
+        for raw in packed.column("packed").to_pylist():
+            flat = np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1)
+            n = int(flat[0])
+            parts.append((flat[1 : 1 + n], flat[1 + n : 1 + 2 * n], flat[1 + 2 * n :]))
+        total = sum(len(p[0]) for p in parts)
+        ids, spelled = [b""] * total, [b""] * total
+        for number, count, flat in parts:
+            ends = np.cumsum(count, dtype=np.int64).tolist()
+            coded, decoded = flat.tobytes(), list(map(pieces.__getitem__, flat.tolist()))
             begin = 0
-            for k, end, piece in zip(t.column("number").to_pylist(), ends.tolist(), t.column("spelled").cast(pa.binary()).to_pylist()):
-                ids[k], spelled[k] = flat[begin:end], piece
+            for k, end in zip(number.tolist(), ends):
+                ids[k], spelled[k] = coded[4 * begin : 4 * end], b" ".join(decoded[begin:end])
                 begin = end
+        fs, root = pafs.FileSystem.from_uri(folder)
         out = []
-        for t in texts.to_batches(max_chunksize=_shared.BATCH_ROWS):
-            rows = []
-            for key, seq in zip(t.column("doc_id").to_pylist(), t.column("seq").to_pylist()):
-                seq = memoryview(seq).cast("I").tolist() if seq else []
-                coded, decoded = b"".join(map(ids.__getitem__, seq)), b" ".join(map(spelled.__getitem__, seq))
-                rows.append((key, len(coded) // 4, *((coded, decoded.decode()) if finish is None else finish(coded, decoded))))
-            out.append(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema))
+        with fs.open_input_file(f"{root}/{packed.column('chunk')[0].as_py()}.arrow") as file:
+            for t in pa.ipc.open_stream(file):
+                rows = []
+                for key, seq in zip(t.column("doc_id").to_pylist(), t.column("seq").to_pylist()):
+                    seq = _from_planes(seq) if seq else []
+                    coded, decoded = b"".join(map(ids.__getitem__, seq)), b" ".join(map(spelled.__getitem__, seq))
+                    rows.append((key, len(coded) // 4, *((coded, decoded.decode()) if finish is None else finish(coded, decoded))))
+                if rows:
+                    out.append(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema))
         return pa.Table.from_batches(out, schema=schema)
 
-    return texts.groupBy("chunk").cogroup(table.groupBy("of")).applyInArrow(join_back, f"doc_id long, n_tokens long, {result}")
+    return packed.groupBy("chunk").applyInArrow(join_back, f"doc_id long, n_tokens long, {result}")
 
 
 def digests(ids: bytes, decoded: bytes) -> tuple[str, str]:
