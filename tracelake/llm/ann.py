@@ -3,11 +3,11 @@
 Fitting takes a bounded sample (at most about ``FIT_ROWS`` distinct vectors): k-means gives the coarse centroids, and k-means on the
 residuals' parts gives the codebooks. Every distinct vector is indexed: in the list of its nearest centroid, with one code byte for
 each part. A query visits the ``PROBES`` lists whose centroids have the largest inner products with it; in a list, tables of the inner
-products of the query's parts with the codewords give every vector an estimate (asymmetric distances), and the ``RERANK`` best of each list
+products of the query's parts with the codewords give every vector an estimate (asymmetric distances), and the ``RERANK`` best of each bin
 are scored exactly, in double precision.
 
-Lists are dealt in chunks of ``CHUNK`` vectors and queries in blocks, so neither a long list nor a list that many queries visit lands in
-one task. Equal vectors are one entry with its k + 1 smallest ids: more can't be among the k nearest, as ties go to the smaller id.
+Lists are dealt in bins of about ``CHUNK`` vectors - short lists share one, a long list has several - and queries in blocks, so neither a
+long list nor one that many queries visit lands in one task; a query leaves a bin with its k + 1 best. Equal vectors are one entry with its k + 1 smallest ids: more can't be among the k nearest, as ties go to the smaller id.
 Equal queries search once.
 
 Vectors that are null, zero, of another length than most, or that hold a null or non-finite component take no part, neither as queries
@@ -28,8 +28,8 @@ FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
 MAX_LISTS = 4096
 #: Share of the lists that a query visits, and at least so many.
-PROBE_SHARE, MIN_PROBES = 0.2, 24
-RERANK = 64
+PROBE_SHARE, MIN_PROBES = 0.6, 40
+RERANK = 512
 CHUNK = 8_192
 
 
@@ -119,51 +119,74 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
                 yield pa.RecordBatch.from_arrays([pa.array(near), batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), batch.column(1)], names=["list", "uid", "code", "v"])
 
     indexed = _shared.settle(entries.select("uid", "v").mapInArrow(index, "list long, uid long, code binary, v array<double>"), "ivf")
-    sizes = F.broadcast(indexed.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))  # one row a list
-    stored = indexed.join(sizes, "list").withColumn("chunk", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int"))
+    # one row a list: at most MAX_LISTS
+    sizes = {r["list"]: r["n"] for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    bins, pieces, filled = {}, {}, 0
+    used = 0
+    for number in range(lists):
+        size = sizes.get(number, 0)
+        pieces[number] = max(1, -(-size // CHUNK))
+        if filled + size > CHUNK and filled:
+            used, filled = used + 1, 0
+        bins[number] = used
+        filled += size
+        if pieces[number] > 1:
+            used, filled = used + pieces[number], 0
+    piece_of = F.element_at(F.array(*[F.lit(pieces[i]) for i in range(lists)]), F.col("list").cast("int") + 1)
+    bin_of = F.element_at(F.array(*[F.lit(bins[i]) for i in range(lists)]), F.col("list").cast("int") + 1)
+    stored = indexed.withColumn("bin", bin_of + F.pmod(F.xxhash64("uid"), piece_of).cast("int"))
     asked = rows.where(is_query).select("id", "v").distinct()
     asked = _shared.settle(asked.join(entries.select("v", "uid"), "v").select("id", "uid"), "asked")
     queries = asked.select("uid").distinct().join(entries.select("uid", "v"), "uid")
 
     def probe(batches):
         coarse = book.value.coarse
+        own = np.array([bins[i] for i in range(lists)])
         for batch in batches:
+            rows = []
             if len(batch):
                 q = _matrix(batch.column(1), width)
                 best = np.argsort(-(q @ coarse.T), axis=1, kind="stable")[:, :probes]
-                at = pa.array(np.repeat(np.arange(len(q)), best.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(best.reshape(-1)), batch.column(0).take(at), batch.column(1).take(at)], names=["list", "query", "q"])
-
-    visits = queries.mapInArrow(probe, "list long, query long, q array<double>").join(sizes, "list")
-    blocks = max(1, -(-int(asked.count() * probes) // (lists * CHUNK)))
-    visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
+                for i, visited in enumerate(best):
+                    for first in np.unique(own[visited]).tolist():
+                        here = np.sort(visited[own[visited] == first])
+                        for more in range(max(pieces[x] for x in here.tolist())):
+                            rows.append((first + more, i, here[[pieces[x] > more for x in here.tolist()]].tolist()))
+            if rows:
+                at, which, visited = zip(*rows)
+                which = pa.array(which)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0).take(which), batch.column(1).take(which), pa.array(visited, pa.list_(pa.int64()))], names=["of_bin", "query", "q", "visited"])
+
+    visits = queries.mapInArrow(probe, "of_bin int, query long, q array<double>, visited array<long>")
+    blocks = max(1, -(-int(asked.count()) // CHUNK))
+    visits = visits.withColumn("of_block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
     stored = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     schema = pa.schema([("query", pa.int64()), ("uid", pa.int64()), ("score", pa.float64())])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return schema.empty_table()
-        uid = left.column("uid").to_numpy()
-        order = np.argsort(uid)
-        uid = uid[order]
+        uid, near = left.column("uid").to_numpy(), left.column("list").to_numpy()
+        order = np.lexsort((uid, near))
+        uid, near = uid[order], near[order]
         codes = np.frombuffer(b"".join(left.column("code").to_pylist()), np.uint8).reshape(len(uid), -1)[order].astype(np.int64)
+        flat = codes + np.arange(codes.shape[1]) * CODES
         v = _matrix(left.column("v").combine_chunks(), width)[order]
         q = _matrix(right.column("q").combine_chunks(), width)
-        flat = codes + np.arange(codes.shape[1]) * CODES
         out = []
-        for query, x in zip(right.column("query").to_pylist(), q):
-            if len(uid) > RERANK:
-                estimate = book.value.tables(x).reshape(-1)[flat].sum(axis=1)
-                best = np.sort(np.argpartition(-estimate, RERANK)[:RERANK])
-            else:
-                best = np.arange(len(uid))
+        for query, x, visited in zip(right.column("query").to_pylist(), q, right.column("visited").to_pylist()):
+            ends = zip(np.searchsorted(near, visited), np.searchsorted(near, visited, side="right"))
+            best = np.concatenate([np.arange(i, j) for i, j in ends])
+            if len(best) > RERANK:
+                # residuals' products from the tables, and that of the list's centroid
+                estimate = book.value.tables(x).reshape(-1)[flat[best]].sum(axis=1) + (book.value.coarse @ x)[near[best]]
+                best = best[np.argpartition(-estimate, RERANK)[:RERANK]]
             score = v[best] @ x
-            best = best[np.argsort(-score, kind="stable")[: k + 1]]
-            out.append((np.full(len(best), query), uid[best], np.array([float(np.dot(v[i], x)) for i in best])))
+            top = np.lexsort((uid[best], -score))[: k + 1]
+            out.append((np.full(len(top), query), uid[best[top]], score[top]))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
-    keys = ["list", "chunk", "block"]
-    found = stored.groupBy(*keys).cogroup(visits.select(*[F.col(c).alias(f"of_{c}") for c in keys], "query", "q").groupBy(*[f"of_{c}" for c in keys])).applyInArrow(search, "query long, uid long, score double")
+    found = stored.groupBy("bin", "block").cogroup(visits.groupBy("of_bin", "of_block")).applyInArrow(search, "query long, uid long, score double")
     top = found.withColumn("i", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "uid"))).where(F.col("i") <= k + 1)
     # the ids of the k + 1 nearest entries, the best k + 1 of them: at most (k + 1)**2 a query before the cut
     listed = top.join(entries.select("uid", "ids"), "uid").groupBy("query").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("s"), i.alias("i"))))).alias("near"))
