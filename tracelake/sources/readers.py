@@ -49,7 +49,7 @@ def _quantity(c: Column) -> Column:
     digits = F.lpad(F.regexp_replace(c, "^(0x)?0*", ""), 32, "0")
     fits = F.regexp_like(F.regexp_replace(c, "^(0x)?0*", ""), F.lit("^[0-9a-fA-F]{0,31}$"))
     high, low = (parse_hex_u64(F.when(fits, F.substring(digits, i, 16))).cast("decimal(38,0)") for i in (1, 17))
-    return F.when(c.isNull(), None).otherwise(F.coalesce(high * F.lit(2**64).cast("decimal(20,0)") + low, F.lit(0))).cast("decimal(38,0)")
+    return F.when(c.isNull(), None).otherwise(F.coalesce(high * F.lit(str(2**64)).cast("decimal(20,0)") + low, F.lit(0))).cast("decimal(38,0)")
 
 
 def _long(c: Column) -> Column:

@@ -80,7 +80,9 @@ def completion_with_timeout(tasks: DataFrame, stale_seconds: int = 300, ttl_seco
             if expected >= 0:
                 yield pd.DataFrame([(*k, "stale", len(ids))], columns=[*key, "status", "completed"])
             return
+        seen = 0
         for pdf in frames:
+            seen = max(seen, int(pdf["event_time"].max().timestamp() * 1000)) if len(pdf) else seen
             ids |= set(pdf["task_id"].dropna())
             counts = pdf["task_count"].dropna()
             expected = max(expected, int(counts.max())) if len(counts) else expected
@@ -89,7 +91,7 @@ def completion_with_timeout(tasks: DataFrame, stale_seconds: int = 300, ttl_seco
             yield pd.DataFrame([(*k, "complete", len(ids))], columns=[*key, "status", "completed"])
             return
         state.update((sorted(ids), expected))
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + wait)
+        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), seen) + wait)
 
     watermarked = tasks.withWatermark("event_time", "10 seconds")
     return watermarked.groupBy(*key).applyInPandasWithState(step, "processor string, meta_network_name string, block_number long, status string, completed long", "ids array<string>, expected long", "append", GroupStateTimeout.EventTimeTimeout)
