@@ -31,7 +31,7 @@ FIT_PAGES = 2_000
 #: A context counts if at least this share of the labelled pages has it.
 MIN_SHARE = 0.005
 WORD_SCORE = 1.0
-#: A word of boilerplate: it is never part of the result, so it need not split a region that goes on behind it.
+#: A word or tag of boilerplate: it is never part of the result, so it need not split a region that goes on behind it.
 SKIPPED_WORD_SCORE = -0.05
 #: A tag that content has, any other tag, and one that the labelled pages don't have but text often does.
 CONTENT_TAG_SCORE, TAG_SCORE, TEXT_TAG_SCORE = -0.02, -1.0, -0.3
@@ -217,7 +217,8 @@ def extract(page: str | None, weights: Weights) -> str:
             score = weights.word(stack)
             items.append((score * n, value, False, score < 0))
         else:
-            items.append((weights.tag(value), " " if value == "br" else None, value not in INLINE, False))
+            aside = value in SKIPPED or weights.word(stack) < 0
+            items.append((SKIPPED_WORD_SCORE if aside else weights.tag(value), " " if value == "br" else None, value not in INLINE, False))
     best, begin, end, total, start = 0.0, 0, 0, 0.0, 0
     for i, (score, _, _, _) in enumerate(items):
         if total <= 0:
