@@ -6,10 +6,10 @@ selects two of the signature's minwise tokens and each of its classes goes on to
 of similarity s meet in a child with probability 1 - (1 - s)**2, and ``TREES`` trees meet the target recall (see ``trees_for``).
 
 * A node of at most ``SMALL`` classes compares all its pairs.
-* A larger node compares all its classes with a leader, the one that shares most tokens with others; classes that link with it share its
-  label from there on. Pairs of one label are connected, so nothing is lost by not comparing them: a node with one label ends, one with
-  at most ``REST`` classes outside the largest label compares these with all, and any other branches again. At ``DEPTH`` every class outside
-  the largest label is compared with all.
+* A larger node compares all its classes with a leader, the one that shares most tokens with others.
+* After each level the links so far are joined to components, and a class has its component as label. Pairs of one label are connected, so
+  nothing is lost by not comparing them: a node with one label ends, a large one with at most ``REST`` classes outside its largest label
+  compares these with all, and any other branches again. At ``DEPTH`` every class outside the largest label is compared with all.
 
 Candidates of unlike size or with unlike signatures (fewer than ``AGREE`` of ``TOKENS`` equal minwise tokens; a pair at the threshold has
 fewer once in a million) go; the others are confirmed on full sets: 100 * intersection >= ``PERCENT`` * union. Links are joined to
@@ -35,6 +35,8 @@ RECALL = 0.99999
 TOKENS = 48
 AGREE = 22
 SMALL, REST, DEPTH = 32, 8, 16
+#: Ids of classes that are sent to all tasks, at most (8 bytes each).
+BROADCAST_IDS = 200_000
 
 _A = np.random.default_rng(5).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -184,57 +186,67 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
     return wanted.select("class", "doc_id").join(texts, "doc_id").select("class", "t").mapInArrow(task, "class long, shingles binary")
 
 
+def _needed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets of the pairs' classes; while these are few (a checked number), their ids go to the sets, and other sets aren't moved."""
+    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    if wanted.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS:
+        return sets
+    return sets.join(F.broadcast(wanted), "class", "left_semi")
+
+
 def similar_pairs(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, words: int = WORDS, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Confirmed links (a, b) between the classes (class, doc_id, n, sig) that connect all classes of one component; two classes that
     other links connect may lack a link of their own."""
-    trees = min(trees_for(recall, percent), TOKENS // 2)
-    members = _roots(classes, trees)
-    links, sets, depth = [], None, 0
+    spark = classes.sparkSession
+    members = _roots(classes, min(trees_for(recall, percent), TOKENS // 2))
+    tested = spark.createDataFrame([], "a long, b long")
+    links, labels, sets, waiting, depth = tested, None, None, None, 0
     while True:
         sizes = members.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        members = _shared.settle(members.join(sizes, "node"), "nodes")
-        if members.isEmpty():
-            break
+        members = members.join(sizes, "node")
+        if labels is not None:
+            members = members.join(labels, "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
+        members = _shared.settle(members, "nodes")
+        if members.isEmpty() and waiting is None:
+            return links
         if sets is None:
             wanted = classes.join(members.select("class").distinct(), "class", "left_semi")
             sets = _shared.settle(_sets(docs, wanted, words, id_col, text_col), "shingles")
         small = members.where(F.col("size") <= SMALL).select("node", "class", "label")
         other = small.select("node", F.col("class").alias("b"), F.col("label").alias("lb"))
         pairs = small.join(other, "node").where("class < b and label <> lb").select(F.col("class").alias("a"), "b")
-        links.append(_shared.settle(_confirm(_alike(pairs, classes, percent), sets, percent), "links"))
-        members = members.where(F.col("size") > SMALL).select("node", "used", "class", "label")
-        if members.isEmpty():
-            break
+        large = members.where(F.col("size") > SMALL)
         # the class that meets most others in the large nodes leads each of its nodes
-        weight = members.groupBy("node").agg(F.count("*").alias("size"))
-        weight = members.join(weight, "node").groupBy("class").agg(F.sum("size").alias("weight"))
-        lead = members.join(weight, "class").groupBy("node").agg(F.max(F.struct("weight", "class", "label")).alias("m")).select("node", F.col("m.class").alias("leader"), F.col("m.label").alias("lead_label"))
-        led = _shared.settle(members.join(lead, "node"), "led")
-        pairs = led.where("label <> lead_label").select(F.col("leader").alias("a"), F.col("class").alias("b"))
-        found = _shared.settle(_confirm(_alike(pairs, classes, percent), sets, percent), "links")
-        links.append(found)
-        ties = found.select(F.col("a").alias("leader"), F.col("b").alias("class")).unionByName(found.select(F.col("b").alias("leader"), F.col("a").alias("class")))
-        # a label of which one class links with the leader becomes the leader's label in that node
-        joined = led.join(ties, ["leader", "class"], "left_semi").select("node", "label").distinct().withColumn("tied", F.lit(True))
-        led = led.join(joined, ["node", "label"], "left").select("node", "used", "class", F.when(F.col("tied"), F.col("lead_label")).otherwise(F.col("label")).alias("label"))
-        led = _shared.settle(led, "led")
-        groups = led.groupBy("node", "label").agg(F.count("*").alias("size"))
-        groups = groups.groupBy("node").agg(F.sum("size").alias("size"), F.max(F.struct("size", "label")).alias("main")).select("node", F.col("main.label").alias("main"), (F.col("size") - F.col("main.size")).alias("rest")).where("rest > 0")
-        led = led.join(groups, "node")
-        last = depth + 1 >= DEPTH
-        few = led if last else led.where(F.col("rest") <= REST)
+        weight = large.groupBy("class").agg(F.sum("size").alias("weight"))
+        lead = large.join(weight, "class").groupBy("node").agg(F.max(F.struct("weight", "class", "label")).alias("m")).select("node", F.col("m.class").alias("a"), F.col("m.label").alias("la"))
+        pairs = pairs.unionByName(large.join(lead, "node").where("label <> la").select("a", F.col("class").alias("b")))
+        pairs = pairs if waiting is None else pairs.unionByName(waiting)
+        pairs = _shared.settle(_alike(pairs, classes, percent).join(tested, ["a", "b"], "left_anti"), "candidates")
+        if not pairs.isEmpty():
+            found = _shared.settle(_confirm(pairs, _needed(sets, pairs), percent), "links")
+            tested = tested.unionByName(pairs)
+            links = links.unionByName(found)
+            labels = _graph.components(links).select(F.col("node").alias("class"), "root")
+        waiting = None
+        large = large.select("node", "used", "class").withColumn("label", F.col("class"))
+        if large.isEmpty():
+            return links
+        if labels is not None:
+            large = large.join(labels, "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
+        groups = large.groupBy("node", "label").agg(F.count("*").alias("size"))
+        groups = groups.groupBy("node").agg(F.sum("size").alias("size"), F.max(F.struct("size", "label")).alias("main"))
+        groups = groups.select("node", F.col("main.label").alias("main"), (F.col("size") - F.col("main.size")).alias("rest")).where("rest > 0")
+        large = _shared.settle(large.join(groups, "node"), "large")
+        few = large if depth + 1 >= DEPTH else large.where(F.col("rest") <= REST)
         outside = few.where("label <> main").select("node", F.col("class").alias("a"), F.col("label").alias("la"))
-        pairs = outside.join(few.select("node", F.col("class").alias("b"), F.col("label").alias("lb")), "node").where("la <> lb").select("a", "b")
-        links.append(_shared.settle(_confirm(_alike(pairs, classes, percent), sets, percent), "links"))
-        if last:
-            break
-        many = led.where(F.col("rest") > REST).join(classes.select("class", "sig"), "class")
-        members = _shared.settle(_branch(many), "nodes")
+        waiting = outside.join(few.select("node", F.col("class").alias("b"), F.col("label").alias("lb")), "node").where("la <> lb").select("a", "b")
+        many = large.where(F.col("rest") > REST) if depth + 1 < DEPTH else large.where("false")
+        members = _branch(many.join(classes.select("class", "sig"), "class"))
+        if many.isEmpty():
+            if few.isEmpty():
+                return links
+            members = members.where("false")
         depth += 1
-    out = links[0] if links else classes.sparkSession.createDataFrame([], "a long, b long")
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
