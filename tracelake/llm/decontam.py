@@ -306,3 +306,19 @@ def contamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated, for windows of ten words."""
     found = find_contamination(docs, items)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+#: ``contamination_report`` in DuckDB: windows of the test items joined with all windows of the documents of the same length.
+ORACLE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+i AS (SELECT item_id, t, least(len(t), 10) AS n, unnest(range(1, len(t) - least(len(t), 10) + 2)) AS k FROM b WHERE len(t) > 0),
+q AS (SELECT DISTINCT item_id, n, array_to_string(t[k:k + n - 1], ' ') AS g FROM i),
+z AS (SELECT DISTINCT n FROM q),
+d AS (SELECT doc_id, t, n, unnest(range(1, len(t) - n + 2)) AS k FROM w CROSS JOIN z WHERE len(t) >= n),
+h AS (SELECT d.doc_id, d.k, d.n, q.item_id FROM d JOIN q ON d.n = q.n AND array_to_string(d.t[d.k:d.k + d.n - 1], ' ') = q.g),
+p AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS k FROM h) GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY 1)
+SELECT w.doc_id, CAST(len(w.t) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)
+"""

@@ -81,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": linededup.ORACLE_SQL, "op5_minhash_dedup": neardup.ORACLE_SQL}
+    return {"op4_line_dedup": linededup.ORACLE_SQL, "op5_minhash_dedup": neardup.ORACLE_SQL, "op6_decontamination": decontam.ORACLE_SQL}
