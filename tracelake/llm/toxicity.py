@@ -1,13 +1,16 @@
 """Toxic spans by a linear-chain conditional random field over words, and document scores from its marginals.
 
 Words are runs of letters and digits of the lower-cased text (A-Z; non-ASCII characters count as letters). A word's score for the
-state 'toxic' sums the weights of its own hash and of its neighbours' hashes; a 2 x 2 table scores transitions. Forward and backward
+state 'toxic' sums the weights of its own hash, of its beginnings of four and six bytes, and of its neighbours' hashes; a 2 x 2 table scores
+transitions. Forward and backward
 recursions run over all texts of a batch as one chain, in which a text's first word forgets what came before; blocks of words are
 multiplied side by side, so the recursion is numpy over blocks and no text is cut.
 
-Labelled tokens: in labelled toxic documents, a word is toxic if documents labelled toxic hold it at least ``MIN_ODDS`` times as often
-as clean ones and it is in at least ``MIN_SHARE`` of them; all other words of labelled documents are clean. Training takes a bounded
-sample (about ``FIT_ROWS`` labelled rows), dealt over at most ``SHARDS`` tasks; Spark averages the weights.
+Labelled tokens: there are labels of documents only. In labelled toxic documents, a word is toxic if it, or one of its beginnings, stands
+behind at least ``MIN_CONTEXTS`` different words in toxic documents (fewer in a sample with few of these) and ``MIN_ODDS`` times as often,
+for their number, as in clean ones; all other words of labelled documents are clean. Different words before it are counted, not
+documents, so that many copies of one document make none of its words toxic. Training takes a bounded sample (about ``FIT_ROWS`` labelled
+rows), dealt over at most ``SHARDS`` tasks; Spark averages the weights.
 
 A document's evidence is the sum of the marginals of its words that are likelier toxic than not; a logistic function fitted on the same
 sample turns it into a score. Null and empty texts have no evidence. Without toxic labels nothing is tagged and scores are below 0.5.
@@ -23,7 +26,7 @@ from pyspark.sql import types as T
 
 from tracelake.llm import _shared, _text
 
-SIZE = 1 << 18
+SIZE = 1 << 20
 FIT_ROWS = 6_000
 #: Tasks that train side by side, and the rows that make one worthwhile.
 SHARDS, SHARD_ROWS = 4, 1_000
@@ -31,31 +34,44 @@ PASSES = 10
 #: Documents in one gradient step.
 STEP_DOCS = 32
 MIN_ODDS = 20.0
-MIN_SHARE = 0.05
+MIN_CONTEXTS, MIN_SHARE = 8, 0.05
+#: Bytes of the beginnings of words that are features.
+BEGINNINGS = (4, 6)
 RATE = 1.0
 BLOCK = 128
 
 
 def words(texts: pa.Array):
-    """Start and end bytes, hashes and first word of each text."""
+    """Where texts begin, start and end bytes of their words, the words' units, and the first word of each text. A word's units are the
+    hashes of the word and of its beginnings (0 if it isn't longer): an array of shape (words, 1 + len(BEGINNINGS))."""
     data, offsets = _text.pack(texts)
-    start, end, h, at = _text.words(_text.LOWER[data], offsets, _text.ALNUM)
-    return offsets, start, end, h, at
-
-
-def _features(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers of the word itself, of the one before and of the one after (0: none), and where texts begin."""
-    first = np.zeros(len(h) + 1, bool)
+    data = _text.LOWER[data]
+    start, end, h, at = _text.words(data, offsets, _text.ALNUM)
+    units = np.zeros((len(h), 1 + len(BEGINNINGS)), np.uint64)
+    units[:, 0] = h
+    for k, size in enumerate(BEGINNINGS, 1):
+        longer = np.flatnonzero(end - start > size)
+        part = np.zeros(len(longer), np.uint64)
+        for j in range(size):
+            part = _text.mix(part * _text.PLACES[k] + data[start[longer] + j] + np.uint64(1))
+        units[longer, k] = part
+    return offsets, start, end, units, at
+
+
+def _features(units: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of the words - of each unit, the word before and the word after (0: none) - and where texts begin."""
+    n, width = units.shape
+    first = np.zeros(n + 1, bool)
     first[at[:-1]] = True  # an empty text marks the next one's start, or the end
-    first[len(h)] = True
-    own = (h % np.uint64(SIZE // 2 - 1)).astype(np.int64) + 1
-    side = (h % np.uint64(SIZE // 4 - 1)).astype(np.int64) + 1
-    before, after = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-    before[1:] = SIZE // 2 + side[:-1]
-    before[first[:-1]] = 0
-    after[:-1] = SIZE // 2 + SIZE // 4 + side[1:]
-    after[first[1:]] = 0
-    return own, before, after, first[:-1]
+    first[n] = True
+    out = np.zeros((n, width + 2), np.int64)
+    number = lambda h, k: (_text.mix(h * _text.PLACES[40 + k]) % np.uint64(SIZE - 1)).astype(np.int64) + 1
+    for k in range(width):
+        out[:, k] = np.where(units[:, k] > 0, number(units[:, k], k), 0)
+    if n:
+        out[1:, width] = np.where(first[1:n], 0, number(units[:-1, 0], width))
+        out[:-1, width + 1] = np.where(first[1:n], 0, number(units[1:, 0], width + 1))
+    return out, first[:-1]
 
 
 class Model:
@@ -66,9 +82,8 @@ class Model:
         self.bias, self.moves = bias, np.zeros((2, 2)) if moves is None else moves
         self.slope, self.intercept = slope, intercept
 
-    def scores(self, own, before, after) -> np.ndarray:
-        w = self.weights
-        return np.clip(self.bias + w[own] + w[before] + w[after], -30, 30)
+    def scores(self, numbers: np.ndarray) -> np.ndarray:
+        return np.clip(self.bias + self.weights[numbers].sum(axis=1), -30, 30)
 
 
 def forward_backward(score: np.ndarray, first: np.ndarray, moves: np.ndarray):
@@ -121,53 +136,53 @@ def forward_backward(score: np.ndarray, first: np.ndarray, moves: np.ndarray):
     return flat(alpha), flat(beta)
 
 
-def marginals(model: Model, own, before, after, first) -> np.ndarray:
+def marginals(model: Model, numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Probability of the state 'toxic' for every word."""
-    if not len(own):
+    if not len(numbers):
         return np.zeros(0)
-    alpha, beta = forward_backward(model.scores(own, before, after), first, model.moves)
+    alpha, beta = forward_backward(model.scores(numbers), first, model.moves)
     both = alpha * beta
     return both[1] / both.sum(axis=0)
 
 
-def _train(parts: list, toxic_words: np.ndarray) -> Model:
+def _train(parts: list, toxic_units: np.ndarray) -> Model:
     """Adaptive gradient steps on the log-likelihood, one step for each STEP_DOCS documents."""
     model = Model()
-    seen = {"w": np.full(SIZE, 1e-8), "m": np.full((2, 2), 1e-8), "b": 1e-8}
+    seen, seen_moves, seen_bias = np.full(SIZE, 1e-8), np.full((2, 2), 1e-8), 1e-8
     order = np.random.default_rng(11)
     ready = []
-    for label, h, at in parts:
+    for label, units, at in parts:
         for i in range(0, len(label), STEP_DOCS):
             j = min(i + STEP_DOCS, len(label))
-            own = h[at[i] : at[j]]
-            state = np.isin(own, toxic_words) & np.repeat(label[i:j] == 1, np.diff(at[i : j + 1]))
-            ready.append((*_features(own, at[i : j + 1] - at[i]), state))
+            own = units[at[i] : at[j]]
+            state = np.isin(own, toxic_units).any(axis=1) & np.repeat(label[i:j] == 1, np.diff(at[i : j + 1]))
+            if len(own):
+                ready.append((*_features(own, at[i : j + 1] - at[i]), state))
     for _ in range(PASSES):
         for i in order.permutation(len(ready)):
-            own, before, after, first, state = ready[i]
-            if not len(own):
-                continue
-            score = model.scores(own, before, after)
+            numbers, first, state = ready[i]
+            score = model.scores(numbers)
             alpha, beta = forward_backward(score, first, model.moves)
             both = alpha * beta
-            p = both[1] / both.sum(axis=0)
-            miss = state - p
-            g = np.bincount(own, miss, SIZE) + np.bincount(before, miss, SIZE) + np.bincount(after, miss, SIZE)
-            g[0] = 0
+            miss = state - both[1] / both.sum(axis=0)
+            # words that are as sure as they should be move nothing
+            off = np.flatnonzero(np.abs(miss) > 1e-4)
+            touched, at = np.unique(numbers[off], return_inverse=True)
+            g = np.bincount(at.reshape(-1), np.repeat(miss[off], numbers.shape[1]), len(touched)).astype(float)
+            g[touched == 0] = 0
+            seen[touched] += g * g
+            model.weights[touched] += RATE * g / np.sqrt(seen[touched])
             go = np.flatnonzero(~first)
             t = np.exp(model.moves)
             pair = np.stack([alpha[a, go - 1] * t[a, b] * (np.exp(score[go]) if b else 1.0) * beta[b, go] for a in (0, 1) for b in (0, 1)])
             expected = (pair / pair.sum(axis=0)).sum(axis=1).reshape(2, 2)
-            was, now = state[go - 1].astype(int), state[go].astype(int)
-            observed = np.bincount(was * 2 + now, minlength=4).reshape(2, 2)
+            observed = np.bincount(state[go - 1].astype(int) * 2 + state[go], minlength=4).reshape(2, 2)
             gm = observed - expected
             gm[0, 0] = 0
-            seen["w"] += g * g
-            seen["m"] += gm * gm
-            seen["b"] += miss.sum() ** 2
-            model.weights = model.weights * (1 - 1e-4) + RATE * g / np.sqrt(seen["w"])
-            model.moves = model.moves + 0.2 * gm / np.sqrt(seen["m"])
-            model.bias += 0.2 * miss.sum() / np.sqrt(seen["b"])
+            seen_moves += gm * gm
+            model.moves = model.moves + 0.2 * gm / np.sqrt(seen_moves)
+            seen_bias += miss.sum() ** 2
+            model.bias += 0.2 * miss.sum() / np.sqrt(seen_bias)
     return model
 
 
@@ -180,32 +195,40 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     sample = rows.where(F.col("h") < int(min(1, FIT_ROWS / max(n, 1)) * (1 << 30)))
     sample = _shared.settle(sample.repartition(max(1, min(SHARDS, min(n, FIT_ROWS) // SHARD_ROWS)), "h").sortWithinPartitions("h", "label").select("label", "text"), "toxic-sample")
 
-    def distinct_words(batches):
+    def contexts(batches):
+        """Distinct (unit, word before) of a batch, for each label."""
         for batch in batches:
             label = batch.column(0).to_numpy()
-            _, _, _, h, at = words(batch.column(1))
-            doc = np.repeat(np.arange(len(label)), np.diff(at))
-            pairs = np.unique(np.stack([doc.astype(np.uint64), h], axis=1), axis=0) if len(h) else np.zeros((0, 2), np.uint64)
-            word, at = np.unique(pairs[:, 1], return_inverse=True)
-            toxic = label[pairs[:, 0].astype(np.int64)] == 1
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(np.bincount(at, toxic, len(word)).astype(np.int64)), pa.array(np.bincount(at, ~toxic, len(word)).astype(np.int64))], names=["word", "toxic", "clean"])
+            _, _, _, units, at = words(batch.column(1))
+            if not len(units):
+                continue
+            before = np.concatenate([[np.uint64(0)], units[:-1, 0]])
+            before[at[:-1][np.diff(at) > 0]] = 0
+            toxic = np.repeat(label == 1, np.diff(at))
+            for k in range(units.shape[1]):
+                for wanted in (True, False):
+                    here = (toxic == wanted) & (units[:, k] > 0)
+                    pairs = np.unique(np.stack([units[here, k], before[here]], axis=1), axis=0)
+                    if len(pairs):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0]).view(np.int64)), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64)), pa.array(np.full(len(pairs), wanted))], names=["unit", "before", "toxic"])
 
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1:
         return Model()
-    counts = sample.mapInArrow(distinct_words, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # words in MIN_SHARE of a bounded number of documents: a bounded list
-    picked = counts.where((F.col("toxic") >= max(2, MIN_SHARE * n1)) & ((F.col("toxic") + 0.5) / (n1 + 1) >= MIN_ODDS * (F.col("clean") + 0.5) / (n0 + 1))).select("word").toArrow()
-    toxic_words = picked["word"].to_numpy().view(np.uint64)
+    counts = sample.mapInArrow(contexts, "unit long, before long, toxic boolean").distinct().groupBy("unit").agg(F.sum(F.col("toxic").cast("long")).alias("toxic"), F.sum((~F.col("toxic")).cast("long")).alias("clean"))
+    enough = max(3, min(MIN_CONTEXTS, round(MIN_SHARE * n1)))
+    # units with several contexts in a bounded number of documents: a bounded list
+    picked = counts.where((F.col("toxic") >= enough) & ((F.col("toxic") + 0.5) / (n1 + 1) >= MIN_ODDS * (F.col("clean") + 0.5) / (n0 + 1))).select("unit").toArrow()
+    toxic_units = picked["unit"].to_numpy().view(np.uint64)
 
     def train(batches):
         parts = []
         for batch in batches:
-            _, _, _, h, at = words(batch.column(1))
-            parts.append((batch.column(0).to_numpy(), h, at))
+            _, _, _, units, at = words(batch.column(1))
+            parts.append((batch.column(0).to_numpy(), units, at))
         if parts:
-            model = _train(parts, toxic_words)
+            model = _train(parts, toxic_units)
             at = np.flatnonzero(model.weights)
             extra = [1.0, model.bias, *model.moves.reshape(-1)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, -1 - np.arange(len(extra))])), pa.array(np.concatenate([model.weights[at], extra]))], names=["number", "value"])
@@ -250,8 +273,8 @@ def tag(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         model = shared.value
         for batch in batches:
             texts = batch.column(place)
-            offsets, start, end, h, at = words(texts)
-            p = marginals(model, *_features(h, at))
+            offsets, start, end, units, at = words(texts)
+            p = marginals(model, *_features(units, at))
             hot = np.flatnonzero(p > 0.5)
             doc = np.searchsorted(at, hot, side="right") - 1
             evidence = np.bincount(doc, p[hot], len(batch)).astype(float)
