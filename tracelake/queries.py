@@ -245,7 +245,8 @@ def memory_expansion_gas(spark, d):
     return rs.with_memory(fr.with_frames(fr.normal(_traces(spark, d)), KEY), KEY).select("tx", "idx", "mem_exp")
 
 
-@query("create_address", _chain(False) + ", x AS (SELECT g.tx, g.idx, arg_min(h.stack_top, h.idx) AS top FROM g JOIN g h ON g.tx = h.tx AND h.idx > g.idx AND h.depth <= g.depth WHERE g.op IN ('CREATE','CREATE2') GROUP BY 1, 2) SELECT g.tx, CAST(g.idx AS BIGINT) AS idx, concat('0x', lpad(right(regexp_replace(top, '^0x', ''), 40), 40, '0')) AS address FROM g LEFT JOIN x ON g.tx = x.tx AND g.idx = x.idx WHERE g.op IN ('CREATE','CREATE2')".replace("concat('0x', lpad", "CASE WHEN top IS NOT NULL THEN concat('0x', lpad").replace("40, '0')) AS address", "40, '0')) END AS address"))
+@query("create_address", _chain(False) + """, x AS (SELECT g.tx, g.idx, arg_min(h.stack_top, h.idx) AS top FROM g JOIN g h ON g.tx = h.tx AND h.idx > g.idx AND h.depth <= g.depth WHERE g.op IN ('CREATE','CREATE2') GROUP BY 1, 2)
+SELECT g.tx, CAST(g.idx AS BIGINT) AS idx, CASE WHEN top IS NOT NULL THEN concat('0x', lpad(right(regexp_replace(top, '^0x', ''), 40), 40, '0')) END AS address FROM g LEFT JOIN x ON g.tx = x.tx AND g.idx = x.idx WHERE g.op IN ('CREATE','CREATE2')""")
 def create_address(spark, d):
     return fr.with_created(fr.with_frames(fr.normal(_traces(spark, d)), KEY), KEY).where("op in ('CREATE', 'CREATE2')").select("tx", "idx", F.col("target").alias("address"))
 
@@ -277,7 +278,6 @@ def call_type(spark, d):
 
 
 @query("opcode_table", _chain(False).replace("WITH s", "WITH RECURSIVE s", 1) + _PATHS + f""",
-u AS (SELECT g.*, arg FROM (SELECT g.*, CASE WHEN op IN ('CREATE','CREATE2') THEN (NULL) ELSE call_to_address END AS arg FROM g) g),
 w AS (SELECT tx, CAST(idx AS BIGINT) AS index, op AS operation, gas, gas_cost, used AS gas_used, gself AS gas_self, CAST(depth AS BIGINT) AS depth, refund, error, fid AS call_frame_id FROM g
   UNION ALL SELECT tx, CAST(idx AS BIGINT), '', 0, 0, 0, 0, CAST(depth + 1 AS BIGINT), NULL, error, sid FROM g WHERE syn)
 SELECT w.*, fp.path AS call_frame_path FROM w JOIN fp ON w.tx = fp.tx AND w.call_frame_id = fp.fid JOIN orders ON o_orderkey = w.tx""")
