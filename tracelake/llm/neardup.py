@@ -225,8 +225,9 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, w
         if not pairs.isEmpty():
             found = _shared.settle(_confirm(pairs, _needed(sets, pairs), percent), "links")
             tested = tested.unionByName(pairs)
-            links = links.unionByName(found)
-            labels = _graph.components(links).select(F.col("node").alias("class"), "root")
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                labels = _graph.components(links).select(F.col("node").alias("class"), "root")
         waiting = None
         large = large.select("node", "used", "class").withColumn("label", F.col("class"))
         if large.isEmpty():
