@@ -33,7 +33,7 @@ MAGIC = b"TLVB"
 #: Ids in one file, about: a file ends with the document that reaches it.
 FILE_IDS = 4 << 20
 #: Distinct pieces that a worker keeps encoded; beyond it the memory is emptied and filled anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 800_000
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
@@ -76,7 +76,7 @@ class Encoder:
         known = self.kept
         if len(known) > KEPT_PIECES:
             known.clear()
-        new = list({p for s in split if s for p in s if p not in known})
+        new = list(set().union(*filter(None, split)).difference(known))
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             spelled = "\0".join(part).encode().decode("latin-1").translate(_ALPHABET).split(_ALPHABET[0])
