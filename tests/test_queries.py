@@ -23,3 +23,15 @@ def test_entry_has_rows(spark):
 
     assert __spark_entry__.entry(spark).limit(1).count() == 1
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_gaps_all_reaches_every_block(spark):
+    """At ten times the tests' size: more gaps than the short scan's limit, and some further back than it looks."""
+    sf = "/root/testdata/sf0.01"
+    short, whole = ({tuple(r) for r in queries.queries()[q](spark, sf).select("processor", "meta_network_name", "block_number", "gap_type").collect()} for q in ("gaps", "gaps_all"))
+    assert short < whole and len(whole) > 6 * 40
+    p = queries._progress(spark, sf)
+    scopes = {(r["processor"], r["meta_network_name"]): (r["min_block"], r["max_block"]) for r in queries.pg.stored_range(p).collect()}
+    last = {tuple(r)[:3]: r["complete"] for r in queries._latest(spark, sf).select("processor", "meta_network_name", "block_number", "complete").collect()}
+    kind = {None: "missing", 0: "incomplete"}
+    assert whole == {(*s, b, kind[c]) for s, (lo, hi) in scopes.items() for b in range(lo, hi - 5) if (c := last.get((*s, b))) != 1}

@@ -143,11 +143,14 @@ def gap_window(progress: DataFrame, lookback: int = 0, pending: int = 0) -> Data
     return df.select(*SCOPE, low.alias("min_block"), high.alias("max_block")).where("min_block <= max_block")
 
 
-def gaps(latest: DataFrame, limit: int, lookback: int = 0, pending: int = 0) -> DataFrame:
-    """Up to ``limit`` blocks of each scope to process again: incomplete ones first, then missing ones, each in order (gap_type)."""
+def gaps(latest: DataFrame, limit: int | None = None, lookback: int = 0, pending: int = 0) -> DataFrame:
+    """Blocks of each scope to process again, with gap_type; with a ``limit`` so many at most: incomplete ones first, then missing ones,
+    each in order."""
     window = gap_window(latest, lookback, pending)
     begun = incomplete(latest).join(window, SCOPE).where("block_number between min_block and max_block").select(*KEY, F.lit("incomplete").alias("gap_type"))
     never = missing_blocks(latest, window).withColumn("gap_type", F.lit("missing"))
+    if limit is None:
+        return begun.unionByName(never)
     order = Window.partitionBy(*SCOPE).orderBy("gap_type", "block_number")
     return begun.unionByName(never).withColumn("k", F.row_number().over(order)).where(F.col("k") <= limit).drop("k")
 

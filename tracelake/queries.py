@@ -493,6 +493,13 @@ def gaps(spark, d):
     return pg.gaps(_latest(spark, d), 40, lookback=80, pending=5)
 
 
+@query("gaps_all", _P + _R + """, w AS (SELECT processor, meta_network_name, lo AS a, hi - 6 AS b FROM m WHERE hi > 5)
+SELECT l.processor, l.meta_network_name, l.block_number, 'incomplete' AS gap_type FROM l JOIN w USING (processor, meta_network_name) WHERE complete = 0 AND block_number BETWEEN a AND b
+UNION ALL SELECT q.*, 'missing' FROM (SELECT processor, meta_network_name, unnest(generate_series(a, b)) AS block_number FROM w) q ANTI JOIN p USING (processor, meta_network_name, block_number)""")
+def gaps_all(spark, d):
+    return pg.gaps(_latest(spark, d), pending=5)
+
+
 @query("capacity", _P + _R + f""", o AS (SELECT m.processor, m.meta_network_name, m.hi + 1 AS next_block, min(CASE WHEN l.block_number >= greatest(m.hi + 1 - 60, 0) THEN l.block_number END) AS nearest FROM m LEFT JOIN (SELECT * FROM l WHERE complete = 0) l USING (processor, meta_network_name) GROUP BY 1, 2, 3)
 SELECT {_S}, next_block, nearest, CAST(CASE WHEN nearest IS NULL THEN 60 WHEN nearest > next_block THEN 0 ELSE greatest(60 - (next_block - nearest), 0) END AS INTEGER) AS capacity, nearest IS NOT NULL AND (nearest > next_block OR next_block - nearest >= 60) AS blocked FROM o""")
 def capacity(spark, d):
