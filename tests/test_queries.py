@@ -35,3 +35,20 @@ def test_gaps_all_reaches_every_block(spark):
     last = {tuple(r)[:3]: r["complete"] for r in queries._latest(spark, sf).select("processor", "meta_network_name", "block_number", "complete").collect()}
     kind = {None: "missing", 0: "incomplete"}
     assert whole == {(*s, b, kind[c]) for s, (lo, hi) in scopes.items() for b in range(lo, hi - 5) if (c := last.get((*s, b))) != 1}
+
+
+def test_bounds_follow_the_stored_range(spark, tmp_path):
+    """Blocks far above those of the tests' size: what the fixed bounds never see decides the results."""
+    import datetime
+
+    at = datetime.datetime(2024, 1, 1)
+    # eight events a block from block 1000 on; blocks 1500 and 1900 have no completed row
+    rows = [(i, at, (i % 8) % 6, "purchase" if i // 8 not in (500, 900) else "view") for i in range(8_000)]
+    rows = [r for r in rows if r[3] == "purchase" or r[0] % 5 >= 3]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    read = lambda name: queries.queries()[name](spark, str(tmp_path)).collect()
+    assert max(r["block_number"] for r in read("newest_incomplete_all")) == 1900 and not read("newest_incomplete")
+    assert {r["block_number"] for r in read("incomplete_in_range_all")} == {1500, 1900} and not read("incomplete_in_range")
+    prefix = read("contiguous_prefix_all")
+    assert len(prefix) == 6 * 500 and max(r["block_number"] for r in prefix) == 1499
+    assert max(r["block_number"] for r in read("contiguous_prefix")) == 1200

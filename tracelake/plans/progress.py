@@ -37,8 +37,10 @@ def oldest_incomplete(latest: DataFrame, at_least: int) -> DataFrame:
     return incomplete(latest).where(F.col("block_number") >= at_least).groupBy(*SCOPE).agg(F.min("block_number").alias("block_number"))
 
 
-def newest_incomplete(latest: DataFrame, at_most: int) -> DataFrame:
-    return incomplete(latest).where(F.col("block_number") <= at_most).groupBy(*SCOPE).agg(F.max("block_number").alias("block_number"))
+def newest_incomplete(latest: DataFrame, at_most: int | None = None) -> DataFrame:
+    df = incomplete(latest)
+    df = df if at_most is None else df.where(F.col("block_number") <= at_most)
+    return df.groupBy(*SCOPE).agg(F.max("block_number").alias("block_number"))
 
 
 def _first(df: DataFrame, n: int) -> DataFrame:
@@ -54,13 +56,20 @@ def incomplete_blocks(latest: DataFrame, n: int, low: int | None = None, high: i
     return _first(df, n)
 
 
-def missing_blocks(progress: DataFrame, ranges: DataFrame | None = None, slice_of: int = 65_536) -> DataFrame:
-    """Blocks of each scope's range (min_block, max_block; the stored range by default) that have no row.
+def incomplete_within(latest: DataFrame, ranges: DataFrame) -> DataFrame:
+    """All incomplete blocks of each scope's range (min_block, max_block)."""
+    return incomplete(latest).join(ranges, SCOPE).where("block_number between min_block and max_block").select(*KEY)
+
 
-    A long range is generated in slices, so it spreads over tasks."""
-    ranges = stored_range(progress) if ranges is None else ranges
+def every_block(ranges: DataFrame, slice_of: int = 65_536) -> DataFrame:
+    """The blocks of each scope's range (min_block, max_block). A long range is generated in slices, so it spreads over tasks."""
     slices = ranges.where("min_block <= max_block").withColumn("start", F.explode(F.sequence("min_block", "max_block", F.lit(slice_of).cast("long"))))
-    every = slices.repartition(*SCOPE, "start").withColumn("block_number", F.explode(F.sequence("start", F.least(F.col("start") + slice_of - 1, F.col("max_block"))))).select(*KEY)
+    return slices.repartition(*SCOPE, "start").withColumn("block_number", F.explode(F.sequence("start", F.least(F.col("start") + slice_of - 1, F.col("max_block"))))).select(*KEY)
+
+
+def missing_blocks(progress: DataFrame, ranges: DataFrame | None = None, slice_of: int = 65_536) -> DataFrame:
+    """Blocks of each scope's range (min_block, max_block; the stored range by default) that have no row."""
+    every = every_block(stored_range(progress) if ranges is None else ranges, slice_of)
     return every.join(progress.select(*KEY), KEY, "left_anti")
 
 
@@ -147,7 +156,7 @@ def gaps(latest: DataFrame, limit: int | None = None, lookback: int = 0, pending
     """Blocks of each scope to process again, with gap_type; with a ``limit`` so many at most: incomplete ones first, then missing ones,
     each in order."""
     window = gap_window(latest, lookback, pending)
-    begun = incomplete(latest).join(window, SCOPE).where("block_number between min_block and max_block").select(*KEY, F.lit("incomplete").alias("gap_type"))
+    begun = incomplete_within(latest, window).withColumn("gap_type", F.lit("incomplete"))
     never = missing_blocks(latest, window).withColumn("gap_type", F.lit("missing"))
     if limit is None:
         return begun.unionByName(never)
@@ -202,8 +211,11 @@ def task_id(processor, network, block, tx_hash=None):
     return F.concat_ws(":", processor, network, block.cast("string"), F.lit("block") if tx_hash is None else tx_hash)
 
 
-def contiguous_prefix(requested: DataFrame, found: DataFrame) -> DataFrame:
-    """Of requested blocks those before the first that wasn't found."""
+def contiguous_prefix(requested: DataFrame, found: DataFrame, by_scope: bool = False) -> DataFrame:
+    """Of requested blocks those before the first that wasn't found; ``by_scope`` each scope has its own."""
+    if by_scope:
+        first = requested.join(found.select(*KEY), KEY, "left_anti").groupBy(*SCOPE).agg(F.min("block_number").alias("gap"))
+        return requested.join(first, SCOPE, "left").where("gap is null or block_number < gap").select(*KEY)
     first = requested.join(found.select("block_number"), "block_number", "left_anti").agg(F.min("block_number").alias("gap"))
     return requested.join(F.broadcast(first)).where("gap is null or block_number < gap").drop("gap")  # one row
 

@@ -405,6 +405,11 @@ def newest_incomplete(spark, d):
     return pg.newest_incomplete(_latest(spark, d), 1090)
 
 
+@query("newest_incomplete_all", _P + f" SELECT {_S}, max(block_number) AS block_number FROM l WHERE complete = 0 GROUP BY 1, 2")
+def newest_incomplete_all(spark, d):
+    return pg.newest_incomplete(_latest(spark, d))
+
+
 _TOP = "SELECT processor, meta_network_name, block_number FROM (SELECT *, row_number() OVER (PARTITION BY processor, meta_network_name ORDER BY block_number) AS k FROM l WHERE complete = 0{}) WHERE k <= 10"
 
 
@@ -418,6 +423,13 @@ def incomplete_in_range(spark, d):
     return pg.incomplete_blocks(_latest(spark, d), 10, 1020, 1100)
 
 
+@query("incomplete_in_range_all", _P + _R + " SELECT l.processor, l.meta_network_name, l.block_number FROM l JOIN m USING (processor, meta_network_name) WHERE complete = 0 AND block_number BETWEEN lo + (hi - lo) // 10 AND hi - (hi - lo) // 10")
+def incomplete_in_range_all(spark, d):
+    latest = _latest(spark, d)
+    tenth = F.floor((F.col("max_block") - F.col("min_block")) / 10)
+    return pg.incomplete_within(latest, pg.stored_range(latest).withColumns({"min_block": F.col("min_block") + tenth, "max_block": F.col("max_block") - tenth}))
+
+
 @query("missing_blocks", _P + _R + f", q AS (SELECT {_S}, unnest(generate_series(lo, hi)) AS block_number FROM m) SELECT q.* FROM q ANTI JOIN p USING (processor, meta_network_name, block_number)")
 def missing_blocks(spark, d):
     return pg.missing_blocks(_progress(spark, d))
@@ -525,6 +537,15 @@ def contiguous_prefix(spark, d):
     return pg.contiguous_prefix(spark.range(1000, 1201).withColumnRenamed("id", "block_number"), _progress(spark, d).where("complete = 1 or block_number < 1030"))
 
 
+#: A scope's block counts as found if any scope has completed it, since few blocks have a row in every scope.
+@query("contiguous_prefix_all", _P + _R + f", q AS (SELECT {_S}, unnest(generate_series(lo, hi)) AS block_number FROM m), f AS (SELECT DISTINCT block_number FROM p WHERE complete = 1), u AS (SELECT {_S}, min(block_number) AS gap FROM q ANTI JOIN f USING (block_number) GROUP BY 1, 2) SELECT q.* FROM q LEFT JOIN u USING (processor, meta_network_name) WHERE gap IS NULL OR block_number < gap")
+def contiguous_prefix_all(spark, d):
+    progress = _progress(spark, d)
+    ranges = pg.stored_range(progress)
+    found = progress.where("complete = 1").select("block_number").distinct().join(F.broadcast(ranges.select(*pg.SCOPE)))  # a row a scope
+    return pg.contiguous_prefix(pg.every_block(ranges), found, by_scope=True)
+
+
 @query("pipeline_health", _P + f" SELECT {_S}, min(block_number) AS min_block, max(block_number) AS max_block, count(*) AS n_blocks, CAST(sum(CASE WHEN complete = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_complete, CAST(sum(CASE WHEN complete = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_incomplete, max(block_number) - min(block_number) + 1 - count(*) AS n_missing, {HEAD} - max(block_number) - 1 AS head_distance FROM l GROUP BY 1, 2")
 def pipeline_health(spark, d):
     return pg.pipeline_health(_latest(spark, d), HEAD)
