@@ -52,6 +52,31 @@ def test_stream_of_traces_is_idempotent(spark, tmp_path):
     assert latest.where("complete = 1").count() == 4
 
 
+def test_block_split_over_batches(spark, tmp_path):
+    """One block in two files, a file a batch: all its transactions stay, and it is complete only with the last of them."""
+    land(tmp_path / "whole", 5, 3)
+    first, *others = (tmp_path / "whole" / "5.json").read_text().splitlines()
+    (tmp_path / "in").mkdir()
+    tables = {k: str(tmp_path / k) for k in ("structlog", "structlog_agg")}
+    progress = str(tmp_path / "progress")
+    counts = lambda blocks: blocks.withColumn("task_count", F.lit(3))
+
+    def run():
+        jobs.stream_traces(spark, str(tmp_path / "in"), headers, tables, progress, str(tmp_path / "cp"), files_a_batch=1, counts=counts).awaitTermination(120)
+        return pg.latest_version(spark.read.parquet(progress), ["complete"]).where("complete = 1").count()
+
+    (tmp_path / "in" / "a.json").write_text(first)
+    assert run() == 0
+    for i, line in enumerate(others):
+        (tmp_path / "in" / f"b{i}.json").write_text(line)
+    assert run() == 2
+    split = {k: sorted(map(str, spark.read.parquet(v).drop("updated_date_time").collect())) for k, v in tables.items()}
+    assert {r["transaction_hash"] for r in spark.read.parquet(tables["structlog_agg"]).collect()} == {"0x50", "0x51", "0x52"}
+    whole = {k: str(tmp_path / f"{k}-whole") for k in tables}
+    jobs.backfill(spark, str(tmp_path / "whole"), headers, whole, str(tmp_path / "progress-whole"), 5, 5, counts)
+    assert split == {k: sorted(map(str, spark.read.parquet(v).drop("updated_date_time").collect())) for k, v in whole.items()}
+
+
 def test_blocks_and_receipts(spark, tmp_path):
     block = {
         "meta_network_name": "mainnet", "number": "0x10", "hash": "0xAA", "parentHash": "0xBB", "baseFeePerGas": "0xa",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Blocks in one partition folder.
 BUCKET = 10_000
+TRANSACTION = ["meta_network_name", "block_number", "transaction_hash"]
+#: Transactions that are stored, as append_done notes them.
+DONE = "block_number long, transaction_hash string, transaction_index long, processor string, meta_network_name string, block_bucket long"
 
 
 def write_table(df: DataFrame, path: str, bucket: int = BUCKET) -> None:
@@ -18,16 +22,45 @@ def write_table(df: DataFrame, path: str, bucket: int = BUCKET) -> None:
 
 def replace_blocks(df: DataFrame, path: str, blocks: DataFrame) -> None:
     """Replace the given (meta_network_name, block_number) in the table: their partitions are read, the blocks exchanged, and rewritten."""
+    _replace(df, path, blocks, TRANSACTION[:2])
+
+
+def _replace(df: DataFrame, path: str, keys: DataFrame, by: list[str]) -> None:
     spark = df.sparkSession
     stored = spark.read.parquet(path)
-    touched = blocks.select("meta_network_name", F.floor(F.col("block_number") / BUCKET).cast("long").alias("block_bucket")).distinct()
-    rest = stored.join(touched, ["meta_network_name", "block_bucket"], "left_semi").join(blocks, ["meta_network_name", "block_number"], "left_anti").drop("block_bucket")
+    touched = keys.select("meta_network_name", F.floor(F.col("block_number") / BUCKET).cast("long").alias("block_bucket")).distinct()
+    rest = stored.join(touched, ["meta_network_name", "block_bucket"], "left_semi").join(keys.select(*by), by, "left_anti").drop("block_bucket")
     # what is overwritten must not be read at the same time
     aside = f"{path.rstrip('/')}__replaced"
     rest.unionByName(df.select(*rest.columns)).write.mode("overwrite").parquet(aside)
     write_table(spark.read.parquet(aside), path)
 
 
+def replace_transactions(df: DataFrame, path: str, transactions: DataFrame) -> None:
+    """Replace the rows of the given (meta_network_name, block_number, transaction_hash); those of other transactions of a block stay. The
+    first call makes the table."""
+    try:
+        _replace(df, path, transactions, TRANSACTION)
+    except AnalysisException as e:  # no table yet, or one without files
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        write_table(df, path)
+
+
+def append_done(transactions: DataFrame, processor: str, path: str) -> None:
+    """Note transactions (network, block, hash, index) whose rows ``processor`` has stored; some have no rows in its table."""
+    out = transactions.select("meta_network_name", "block_number", "transaction_hash", "transaction_index").withColumns({"processor": F.lit(processor), "block_bucket": F.floor(F.col("block_number") / BUCKET).cast("long")})
+    out.write.mode("append").partitionBy("processor", "meta_network_name", "block_bucket").parquet(path)
+
+
+def done_transactions(blocks: DataFrame, processor: str, path: str) -> DataFrame:
+    """Of the given blocks (meta_network_name, block_number): done (distinct transactions noted) and last_index."""
+    keys = blocks.select("meta_network_name", "block_number", F.floor(F.col("block_number") / BUCKET).cast("long").alias("block_bucket"))
+    noted = blocks.sparkSession.read.schema(DONE).parquet(path).where(F.col("processor") == processor)
+    noted = noted.join(keys, ["meta_network_name", "block_bucket", "block_number"], "left_semi")
+    return noted.groupBy("meta_network_name", "block_number").agg(F.countDistinct("transaction_hash").alias("done"), F.max("transaction_index").alias("last_index"))
+
+
 def progress_rows(blocks: DataFrame, processor: str, complete: int | None, now=None) -> DataFrame:
     """Version rows for (meta_network_name, block_number[, task_count]): begun (0), complete (1, no tasks) or asked for by hand (null)."""
     tasks = F.col("task_count").cast("long") if complete == 0 and "task_count" in blocks.columns else F.lit(0).cast("long")

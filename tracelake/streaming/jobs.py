@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,46 +13,67 @@ from tracelake.plans import traces as plans
 from tracelake.sources import readers, schemas, sinks
 
 
-def process_batch(traces: DataFrame, transactions: Callable[[DataFrame], DataFrame], tables: dict[str, str], progress: str) -> None:
-    """One batch of landed traces: mark its blocks begun, overwrite their rows in the tables, mark them complete. Run again (same batch,
-    restart, duplicates) it leaves the same tables and one more pair of progress versions.
+def process_batch(traces: DataFrame, transactions: Callable[[DataFrame], DataFrame], tables: dict[str, str], progress: str, counts: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """One batch of landed traces: mark its blocks begun, overwrite their transactions' rows in the tables, mark blocks complete of which
+    all transactions are stored, from this batch and earlier ones. Run again (same batch, restart, duplicates) it leaves the same tables
+    and one more pair of progress versions.
 
-    ``transactions`` gives to_address for trace headers; ``tables`` has the paths of 'structlog' and 'structlog_agg'.
+    ``transactions`` gives to_address for trace headers; ``tables`` has the paths of 'structlog' and 'structlog_agg'. ``counts`` gives
+    task_count, the transactions a block has, for blocks (meta_network_name, block_number); blocks that it doesn't know stay open. Traces
+    don't tell this number: without ``counts`` a block is complete while all transactions up to its highest stored index are there, and
+    open again when a later trace of it begins. The stored transactions are noted beside the progress table.
     """
-    traces = traces.dropDuplicates(["meta_network_name", "block_number", "transaction_hash"]).persist()
+    traces = traces.dropDuplicates(sinks.TRANSACTION).persist()
+    block = sinks.TRANSACTION[:2]
     try:
         if traces.isEmpty():
             return
         headers = transactions(readers.trace_headers(traces))
         flat = readers.flatten_traces(traces)
-        blocks = headers.groupBy("meta_network_name", "block_number").agg(F.count("*").alias("task_count")).persist()
+        stored = f"{progress.rstrip('/')}__transactions"
+        landed = traces.select(*sinks.TRANSACTION, "transaction_index")
+        blocks = landed.select(*block).distinct()
+        known = None if counts is None else blocks.join(counts(blocks).select(*block, "task_count"), block, "left").persist()
         for name, plan in (("structlog", plans.opcode_table), ("structlog_agg", plans.frame_agg_table)):
             if name in tables:
-                sinks.append_progress(sinks.progress_rows(blocks, name, 0), progress)
-                rows = plan(flat, headers)
-                try:
-                    sinks.replace_blocks(rows, tables[name], blocks.select("meta_network_name", "block_number"))
-                except Exception as e:  # the first batch finds no table
-                    if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                        raise
-                    sinks.write_table(rows, tables[name])
-                sinks.append_progress(sinks.progress_rows(blocks, name, 1), progress)
-        blocks.unpersist()
+                # the batch's own rows count for task_count before they are stored
+                begun = known if known is not None else _highest(landed, name, stored)
+                sinks.append_progress(sinks.progress_rows(begun, name, 0), progress)
+                sinks.replace_transactions(plan(flat, headers), tables[name], landed)
+                sinks.append_done(landed, name, stored)
+                done = sinks.done_transactions(blocks, name, stored)
+                done = done.withColumn("task_count", F.col("last_index") + 1) if known is None else done.join(known, block)
+                sinks.append_progress(sinks.progress_rows(done.where("done >= task_count"), name, 1), progress)
+        if known is not None:
+            known.unpersist()
     finally:
         traces.unpersist()
 
 
-def stream_traces(spark: SparkSession, landing: str, transactions: Callable[[DataFrame], DataFrame], tables: dict[str, str], progress: str, checkpoint: str, files_a_batch: int = 1000, **trigger) -> StreamingQuery:
+def _highest(landed: DataFrame, name: str, stored: str) -> DataFrame:
+    """Blocks with task_count by the highest transaction index of this batch and of what is stored."""
+    block = sinks.TRANSACTION[:2]
+    now = landed.groupBy(*block).agg((F.max("transaction_index") + 1).alias("task_count"))
+    try:
+        before = sinks.done_transactions(now, name, stored)
+    except AnalysisException as e:  # the first batch
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return now
+    return now.join(before, block, "left").select(*block, F.greatest("task_count", F.col("last_index") + 1).alias("task_count"))
+
+
+def stream_traces(spark: SparkSession, landing: str, transactions: Callable[[DataFrame], DataFrame], tables: dict[str, str], progress: str, checkpoint: str, files_a_batch: int = 1000, counts: Callable[[DataFrame], DataFrame] | None = None, **trigger) -> StreamingQuery:
     """Process trace files as they land in ``landing``."""
     source = spark.readStream.schema(schemas.TRACE).option("maxFilesPerTrigger", files_a_batch).json(landing)
-    writer = source.writeStream.foreachBatch(lambda df, _: process_batch(df, transactions, tables, progress)).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(lambda df, _: process_batch(df, transactions, tables, progress, counts)).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def backfill(spark: SparkSession, landing: str, transactions, tables: dict[str, str], progress: str, first: int, last: int) -> None:
+def backfill(spark: SparkSession, landing: str, transactions, tables: dict[str, str], progress: str, first: int, last: int, counts: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """A bounded batch job over the traces of a block range."""
     traces = spark.read.schema(schemas.TRACE).json(landing).where(F.col("block_number").between(first, last))
-    process_batch(traces, transactions, tables, progress)
+    process_batch(traces, transactions, tables, progress, counts)
 
 
 def completion_stream(tasks: DataFrame, ttl: str = "30 minutes") -> DataFrame:
