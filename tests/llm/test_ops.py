@@ -174,6 +174,15 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert neardup.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_duplicates_at_other_thresholds(spark):
+    """The signature filter follows the threshold: 400 pairs of exactly 60 % are all found; too few tokens for the recall are an error."""
+    texts = [" ".join([*(f"s{i}x{k}" for k in range(60)), *(f"{side}{i}x{k}" for k in range(20))]) for i in range(400) for side in "ab"]
+    rows = neardup.near_duplicates(docs(spark, texts), percent=60, words=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i - i % 2 for i in range(800)}
+    with pytest.raises(ValueError):
+        neardup.near_duplicates(docs(spark, texts[:2]), percent=50)
+
+
 def brute_hits(texts, items, window=10):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
     known = {}

@@ -11,8 +11,8 @@ of similarity s meet in a child with probability 1 - (1 - s)**2, and ``TREES`` t
   nothing is lost by not comparing them: a node with one label ends, a large one with at most ``REST`` classes outside its largest label
   compares these with all, and any other branches again. At ``DEPTH`` every class outside the largest label is compared with all.
 
-Candidates of unlike size or with unlike signatures (fewer than ``AGREE`` of ``TOKENS`` equal minwise tokens; a pair at the threshold has
-fewer once in a million) go; the others are confirmed on full sets: 100 * intersection >= ``PERCENT`` * union. Links are joined to
+Candidates of unlike size or with unlike signatures (fewer than ``agree_for`` of ``TOKENS`` equal minwise tokens, which with the trees'
+own misses costs a pair at the threshold no more than the recall allows) go; the others are confirmed on full sets: 100 * intersection >= ``PERCENT`` * union. Links are joined to
 components by joins. No pair of equal sets is ever listed, and no group passes through one task.
 
 Null and empty texts have no shingles and link with nothing. A row with a null ``doc_id`` takes no part: its component is null and it is
@@ -33,7 +33,6 @@ from tracelake.llm import _graph, _shared, _text
 WORDS, PERCENT = 5, 75
 RECALL = 0.99999
 TOKENS = 48
-AGREE = 22
 SMALL, REST, DEPTH = 32, 8, 16
 #: Ids of classes that are sent to all tasks, at most (8 bytes each).
 BROADCAST_IDS = 200_000
@@ -41,13 +40,34 @@ BROADCAST_IDS = 200_000
 _A = np.random.default_rng(5).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def trees_for(recall: float, percent: int = PERCENT) -> int:
-    """Trees after which a pair at the threshold has met with this probability in a node of any depth: one tree misses it with the
-    probability q that solves q = (1 - s + s q)**2."""
+def _missed(percent: int) -> float:
+    """The probability q that one tree misses a pair at the threshold: it solves q = (1 - s + s q)**2."""
     s, q = percent / 100, 0.0
     for _ in range(200):
         q = (1 - s + s * q) ** 2
-    return max(1, math.ceil(math.log(1 - recall) / math.log(q)))
+    return q
+
+
+def trees_for(recall: float, percent: int = PERCENT) -> int:
+    """Trees after which a pair at the threshold has met with this probability in a node of any depth. Each takes two tokens for its root;
+    an error where there are too few."""
+    q = _missed(percent)
+    trees = 1 if q <= 1 - recall else math.ceil(math.log(1 - recall) / math.log(q)) if q < 1 else math.inf
+    if trees > TOKENS // 2:
+        raise ValueError(f"a recall of {recall} at {percent} % needs {trees} trees; {TOKENS} tokens give {TOKENS // 2}")
+    return trees
+
+
+def agree_for(recall: float, percent: int = PERCENT) -> int:
+    """The most equal tokens to ask for such that a pair at the threshold, missed by all trees or for fewer equal tokens, is still found
+    with this probability."""
+    s, lost, agree = percent / 100, _missed(percent) ** trees_for(recall, percent), 0
+    while agree < TOKENS:
+        lost += math.comb(TOKENS, agree) * s**agree * (1 - s) ** (TOKENS - agree)
+        if lost > 1 - recall:
+            break
+        agree += 1
+    return agree
 
 
 TREES = trees_for(RECALL)
@@ -141,7 +161,7 @@ def _roots(classes: DataFrame, trees: int) -> DataFrame:
     return classes.select("class", "sig").mapInArrow(task, "node long, used long, class long, label long")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int, agree: int) -> DataFrame:
     """Distinct candidates (a, b) of sizes and signatures that a link can have."""
 
     def task(batches):
@@ -149,7 +169,7 @@ def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             if len(batch):
                 a = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, TOKENS)
                 b = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, TOKENS)
-                keep = pa.array((a == b).sum(axis=1) >= AGREE)
+                keep = pa.array((a == b).sum(axis=1) >= agree)
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
@@ -198,7 +218,7 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, w
     """Confirmed links (a, b) between the classes (class, doc_id, n, sig) that connect all classes of one component; two classes that
     other links connect may lack a link of their own."""
     spark = classes.sparkSession
-    members = _roots(classes, min(trees_for(recall, percent), TOKENS // 2))
+    members, agree = _roots(classes, trees_for(recall, percent)), agree_for(recall, percent)
     tested = spark.createDataFrame([], "a long, b long")
     links, labels, sets, waiting, depth = tested, None, None, None, 0
     while True:
@@ -221,7 +241,7 @@ def similar_pairs(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, w
         lead = large.join(weight, "class").groupBy("node").agg(F.max(F.struct("weight", "class", "label")).alias("m")).select("node", F.col("m.class").alias("a"), F.col("m.label").alias("la"))
         pairs = pairs.unionByName(large.join(lead, "node").where("label <> la").select("a", F.col("class").alias("b")))
         pairs = pairs if waiting is None else pairs.unionByName(waiting)
-        pairs = _shared.settle(_alike(pairs, classes, percent).join(tested, ["a", "b"], "left_anti"), "candidates")
+        pairs = _shared.settle(_alike(pairs, classes, percent, agree).join(tested, ["a", "b"], "left_anti"), "candidates")
         if not pairs.isEmpty():
             found = _shared.settle(_confirm(pairs, _needed(sets, pairs), percent), "links")
             tested = tested.unionByName(pairs)
