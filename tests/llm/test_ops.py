@@ -109,6 +109,24 @@ def test_nearest(spark, sf_dir):
     assert ann.nearest(df.where("false"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_nearest_that_cuts(spark, monkeypatch):
+    """Few probes, a short list for the exact scores and small bins, so that each of them leaves vectors out."""
+    for name, value in (("MIN_PROBES", 1), ("RERANK", 120), ("CHUNK", 100)):
+        monkeypatch.setattr(ann, name, value)
+    m = np.random.default_rng(3).normal(size=(3_000, 16)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<float>")
+    rows = ann.nearest(df, F.col("id") % 20 == 0).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    s = m.astype(float) @ m.astype(float).T
+    np.fill_diagonal(s, -np.inf)
+    best = {i: set(np.argsort(-s[i], kind="stable")[:20].tolist()) for i in range(0, 3_000, 20)}
+    hits = sum(len(best[i] & got[i]) for i in best)
+    assert set(got) == set(best) and 0.9 * 20 * len(best) <= hits
+    assert all(abs(r["score"] - s[r["query_id"], r["vec_id"]]) < 1e-9 for r in rows)
+
+
 def brute_lines(texts, min_words):
     lines = [(d, p, x) for d, t in enumerate(texts) if t is not None for p, x in enumerate(t.split("\n"))]
     start = {d: next(i for i, x in enumerate(lines) if x[0] == d) for d in {x[0] for x in lines}}
