@@ -68,6 +68,17 @@ def test_language_id(spark, sf_dir):
     assert langid.predict(docs(spark, ["abc"]), langid.fit(docs(spark, []))).first()["lang_pred"] == "und"
 
 
+def test_more_languages_than_a_mask_has_bits(spark):
+    """65 languages, the last and rarest in a second mask: each is predicted."""
+    rng = random.Random(8)
+    words = {f"l{i:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for i in range(65)}
+    rows = [(k, " ".join(rng.choices(w, k=60)), k) for k, w in words.items() for _ in range(2 if k == "l64" else 3)]
+    df = spark.createDataFrame([(i, t, k) for i, (_, t, k) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.langs) == 65
+    assert all(r["lang_pred"] == r["lang"] and r["hit_rate"] > 0.5 for r in langid.predict(df, model).collect())
+
+
 def test_html_cases(spark):
     w = html_extract.Weights({})
     page = "<html><head><title>T</title></head><body><nav><a href='/'>Home</a></nav><div class='cookie-notice'>We use cookies here</div><article><h1>Head  line</h1><p>One &amp; two<br>three<p>Four <b>five</b> six<aside>see also this</aside><form>name <input></form><script>if (a<b) x('</p>')</script><p>End.</article><section class='comments'><p>first!!! nice post</p></section><footer>&copy; all rights</footer>"

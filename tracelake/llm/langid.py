@@ -1,6 +1,7 @@
 """Language identification with language-bitmask n-gram filters.
 
-One Bloom filter serves all languages: each of its positions holds a mask with one bit per language (the filter is sliced by bit), so
+One Bloom filter serves all languages: each of its positions holds a mask with one bit per language (the filter is sliced by bit, in
+words of 64 languages), so
 reading the ``HASHES`` positions of an n-gram and and-ing their masks gives every language that contains it. A text's count for a
 language is the number of its n-grams with that bit; from the share of n-grams the language's false-positive rate (its share of set
 bits to the power of ``HASHES``) is taken out, and the largest corrected share decides (ties: the earlier language in order).
@@ -28,6 +29,8 @@ MIN_RATE = 2e-5
 POSITIONS = 1 << 21
 HASHES = 4
 FIT_ROWS = 4_000
+#: Languages in one mask.
+WORD = 64
 #: Code points handled at once.
 WINDOW = 1 << 20
 
@@ -80,20 +83,24 @@ def _count(docs: DataFrame) -> DataFrame:
 
 
 class Filter:
-    """The fitted filter: languages in order, the masks of its positions, each language's false-positive rate."""
+    """The fitted filter: languages in order, the masks of its positions (an array for each 64 languages), each language's false-positive
+    rate."""
 
-    def __init__(self, langs: list[str], masks: np.ndarray):
+    def __init__(self, langs: list[str], masks: list[np.ndarray]):
         self.langs = langs
-        self.masks = masks.astype(np.uint8) if len(langs) <= 8 else masks
-        bits = (masks[:, None] >> np.arange(len(langs), dtype=np.uint64)) & np.uint64(1)
-        self.false_rate = bits.mean(axis=0) ** HASHES if langs else np.zeros(0)
+        self.masks = [m.astype(np.uint8) if len(langs) <= 8 else m for m in masks]
+        bits = [np.count_nonzero(masks[i // WORD] >> np.uint64(i % WORD) & np.uint64(1)) for i in range(len(langs))]
+        self.false_rate = (np.array(bits, float) / POSITIONS) ** HASHES
 
-    def lookup(self, grams: np.ndarray) -> np.ndarray:
+    def lookup(self, grams: np.ndarray) -> list[np.ndarray]:
         first, *others = _places(grams)
-        mask = self.masks[first]
-        for place in others:
-            mask &= self.masks[place]
-        return mask
+        out = []
+        for masks in self.masks:
+            mask = masks[first]
+            for place in others:
+                mask &= masks[place]
+            out.append(mask)
+        return out
 
     def shares(self, text: str | None) -> np.ndarray | None:
         """Each language's corrected share of the text's n-grams; none if the text has no letter."""
@@ -103,12 +110,14 @@ class Filter:
         hits, total = np.zeros(len(self.langs), np.int64), 0
         for at in range(0, len(codes), WINDOW):
             for n in SIZES:
-                mask = self.lookup(_grams(codes[at : at + WINDOW + n - 1], n))
-                total += len(mask)
-                if mask.dtype == np.uint8:
-                    hits += np.bincount(mask, minlength=256) @ _BITS[:, : len(hits)]
-                else:
-                    hits += [np.count_nonzero(mask >> np.uint64(k) & np.uint64(1)) for k in range(len(hits))]
+                grams = _grams(codes[at : at + WINDOW + n - 1], n)
+                total += len(grams)
+                for i, mask in enumerate(self.lookup(grams)):
+                    own = hits[i * WORD : (i + 1) * WORD]
+                    if mask.dtype == np.uint8:
+                        own += np.bincount(mask, minlength=256) @ _BITS[:, : len(own)]
+                    else:
+                        own += [np.count_nonzero(mask >> np.uint64(k) & np.uint64(1)) for k in range(len(own))]
         return np.clip((hits / max(total, 1) - self.false_rate) / (1 - self.false_rate), 0, None)
 
 
@@ -123,32 +132,37 @@ def _places(grams: np.ndarray) -> list[np.ndarray]:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Filter:
-    """Learn the filter from rows with text and language. At most 64 languages: those with the most labelled rows."""
+    """Learn the filter from rows with text and language: every language that has one."""
     spark = labelled.sparkSession
     _shared.tune(spark)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h")).where("lang is not null and text is not null")
-    langs = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()}
+    langs = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not langs:
-        return Filter([], np.zeros(POSITIONS, np.uint64))
+        return Filter([], [np.zeros(POSITIONS, np.uint64)])
     order = sorted(langs)
-    share = F.element_at(F.create_map(*[x for k in order for x in (F.lit(k), F.lit(int(min(1, FIT_ROWS / langs[k]) * (1 << 30))))]), F.col("lang"))
-    counts = _shared.settle(_count(rows.where(F.col("lang").isin(order)).where(F.col("h") < share).select("lang", "text")), "langid-counts")
+    signed = [(1 << i) - (1 << 64 if i == 63 else 0) for i in range(WORD)]
+    # one row a language
+    known = F.broadcast(spark.createDataFrame([(k, int(min(1, FIT_ROWS / langs[k]) * (1 << 30)), i // WORD, signed[i % WORD]) for i, k in enumerate(order)], "lang string, share long, word int, bit long"))
+    counts = _shared.settle(_count(rows.join(known, "lang").where(F.col("h") < F.col("share")).select("lang", "text")), "langid-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     kept = counts.join(F.broadcast(totals), "lang").where(F.col("n") >= F.greatest(F.lit(2), F.col("total") * MIN_RATE))
-    signed = [(1 << i) - (1 << 64 if i == 63 else 0) for i in range(len(order))]
-    bit = F.element_at(F.create_map(*[x for k, b in zip(order, signed) for x in (F.lit(k), F.lit(b).cast("long"))]), F.col("lang"))
-    grams = kept.groupBy("gram").agg(F.bit_or(bit).alias("mask"))
+    grams = kept.join(known, "lang").groupBy("gram", "word").agg(F.bit_or("bit").alias("mask"))
 
     def place(batches):
         for batch in batches:
-            grams, mask = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            grams, word, mask = batch.column(0).to_numpy().view(np.uint64), batch.column(1), batch.column(2)
             for p in _places(grams):
-                yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(mask)], names=["position", "mask"])
-
-    # at most POSITIONS rows of 16 bytes reach the driver
-    sliced = grams.mapInArrow(place, "position long, mask long").groupBy("position").agg(F.bit_or("mask").alias("mask")).toArrow()
-    masks = np.zeros(POSITIONS, np.uint64)
-    masks[sliced["position"].to_numpy()] = sliced["mask"].to_numpy().view(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(p), word, mask], names=["position", "word", "mask"])
+
+    sliced = grams.mapInArrow(place, "position long, word int, mask long").groupBy("position", "word").agg(F.bit_or("mask").alias("mask"))
+    words = -(-len(order) // WORD)
+    sliced = _shared.settle(sliced, "langid-masks") if words > 1 else sliced
+    masks = []
+    for w in range(words):
+        # at most POSITIONS rows of 16 bytes reach the driver at once
+        part = sliced.where(F.col("word") == w).select("position", "mask").toArrow()
+        masks.append(np.zeros(POSITIONS, np.uint64))
+        masks[w][part["position"].to_numpy()] = part["mask"].to_numpy().view(np.uint64)
     return Filter(order, masks)
 
 
@@ -157,7 +171,7 @@ def predict(docs: DataFrame, fitted: Filter, text_col: str = "text") -> DataFram
     hit_rate (the winner's corrected share itself) added; columns of these names are replaced."""
     spark = docs.sparkSession
     _shared.tune(spark)
-    shared = spark.sparkContext.broadcast(fitted)  # POSITIONS masks: a fixed size
+    shared = spark.sparkContext.broadcast(fitted)  # POSITIONS masks: a fixed size for each 64 languages
     added = ["lang_pred", "score", "hit_rate"]
     docs = docs.drop(*added)
     place = docs.columns.index(text_col)
