@@ -335,6 +335,18 @@ def test_marginals_equal_enumeration():
         assert np.allclose(p[a:b], hot / total)
 
 
+def test_contexts_beyond_the_sample(spark, monkeypatch):
+    """A toxic word with enough contexts in the table, but too few in a uniform sample of the gradient's size."""
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 600)
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randint(0, 300)}"
+    rows = [(i, " ".join([*(word() for _ in range(8)), *(["grumf"] if i % 250 == 0 else ["vile"] if i % 10 == 0 else []), word()]), int(i % 10 == 0)) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    tagged = toxicity.tag(df, toxicity.fit(df, "toxic")).where("text like '%grumf%'").collect()
+    found = sum(any("grumf" in r["text"][s["start"] : s["end"]] for s in r["toxic_spans"]) for r in tagged)
+    assert len(tagged) == 12 and found >= 10, found
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
 

@@ -7,13 +7,14 @@ recursions run over all texts of a batch as one chain, in which a text's first w
 multiplied side by side, so the recursion is numpy over blocks and no text is cut.
 
 Labelled tokens: there are labels of documents only. In labelled toxic documents, a word is toxic if it, or one of its beginnings, stands
-behind at least ``MIN_CONTEXTS`` different words in toxic documents (fewer in a sample with few of these) and ``MIN_ODDS`` times as often,
+behind at least ``MIN_CONTEXTS`` different words in toxic documents (fewer where there are few of these) and ``MIN_ODDS`` times as often,
 for their number, as in clean ones; all other words of labelled documents are clean. Different words before it are counted, not
-documents, so that many copies of one document make none of its words toxic. Training takes a bounded sample (about ``FIT_ROWS`` labelled
-rows), dealt over at most ``SHARDS`` tasks; Spark averages the weights.
+documents, so that many copies of one document make none of its words toxic. Contexts are counted over all labelled rows; the
+``MAX_UNITS`` words with most toxic contexts are kept. The gradient steps take a bounded sample (about ``FIT_ROWS`` labelled rows; toxic
+ones up to half of it first), dealt over at most ``SHARDS`` tasks; Spark averages the weights.
 
 A document's evidence is the sum of the marginals of its words that are likelier toxic than not; a logistic function fitted on the same
-sample turns it into a score. Null and empty texts have no evidence. Without toxic labels nothing is tagged and scores are below 0.5.
+sample, each row with the weight of those it stands for, turns it into a score. Null and empty texts have no evidence. Without toxic labels nothing is tagged and scores are below 0.5.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ PASSES = 10
 STEP_DOCS = 32
 MIN_ODDS = 20.0
 MIN_CONTEXTS, MIN_SHARE = 8, 0.05
+#: Words labelled toxic, at most (8 bytes each).
+MAX_UNITS = 1 << 17
 #: Bytes of the beginnings of words that are features.
 BEGINNINGS = (4, 6)
 RATE = 1.0
@@ -191,35 +194,38 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     spark = labelled.sparkSession
     _shared.tune(spark)
     rows = labelled.select(F.col(label_col).cast("int").alias("label"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h")).where("label in (0, 1)")
-    n = rows.count()
-    sample = rows.where(F.col("h") < int(min(1, FIT_ROWS / max(n, 1)) * (1 << 30)))
-    sample = _shared.settle(sample.repartition(max(1, min(SHARDS, min(n, FIT_ROWS) // SHARD_ROWS)), "h").sortWithinPartitions("h", "label").select("label", "text"), "toxic-sample")
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    if not n1:
+        return Model()
+    take1 = min(n1, max(FIT_ROWS // 2, FIT_ROWS - n0))
+    share1, share0 = take1 / n1, min(1, (FIT_ROWS - take1) / max(n0, 1))
+    sample = rows.where(F.col("h") < F.when(F.col("label") == 1, int(share1 * (1 << 30))).otherwise(int(share0 * (1 << 30))))
+    sample = _shared.settle(sample.repartition(max(1, min(SHARDS, min(n1 + n0, FIT_ROWS) // SHARD_ROWS)), "h").sortWithinPartitions("h", "label").select("label", "text"), "toxic-sample")
 
     def contexts(batches):
-        """Distinct (unit, word before) of a batch, for each label."""
+        """Distinct (unit, word before) of a batch."""
         for batch in batches:
-            label = batch.column(0).to_numpy()
             _, _, _, units, at = words(batch.column(1))
             if not len(units):
                 continue
             before = np.concatenate([[np.uint64(0)], units[:-1, 0]])
             before[at[:-1][np.diff(at) > 0]] = 0
-            toxic = np.repeat(label == 1, np.diff(at))
             for k in range(units.shape[1]):
-                for wanted in (True, False):
-                    here = (toxic == wanted) & (units[:, k] > 0)
-                    pairs = np.unique(np.stack([units[here, k], before[here]], axis=1), axis=0)
-                    if len(pairs):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0]).view(np.int64)), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64)), pa.array(np.full(len(pairs), wanted))], names=["unit", "before", "toxic"])
+                here = units[:, k] > 0
+                pairs = np.unique(np.stack([units[here, k], before[here]], axis=1), axis=0)
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64)) for i in (0, 1)], names=["unit", "before"])
 
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1:
-        return Model()
-    counts = sample.mapInArrow(contexts, "unit long, before long, toxic boolean").distinct().groupBy("unit").agg(F.sum(F.col("toxic").cast("long")).alias("toxic"), F.sum((~F.col("toxic")).cast("long")).alias("clean"))
     enough = max(3, min(MIN_CONTEXTS, round(MIN_SHARE * n1)))
-    # units with several contexts in a bounded number of documents: a bounded list
-    picked = counts.where((F.col("toxic") >= enough) & ((F.col("toxic") + 0.5) / (n1 + 1) >= MIN_ODDS * (F.col("clean") + 0.5) / (n0 + 1))).select("unit").toArrow()
+    paired = lambda label: rows.where(F.col("label") == label).select("label", "text").mapInArrow(contexts, "unit long, before long")
+    toxic = paired(1).distinct().groupBy("unit").agg(F.count("*").alias("toxic"))
+    toxic = _shared.settle(toxic.where(F.col("toxic") >= enough), "toxic-units")
+    # clean contexts only of units that can be picked
+    clean = paired(0).join(toxic.select("unit"), "unit", "left_semi")
+    clean = clean.distinct().groupBy("unit").agg(F.count("*").alias("clean"))
+    counts = toxic.join(clean, "unit", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
+    picked = counts.where((F.col("toxic") + 0.5) / (n1 + 1) >= MIN_ODDS * (F.col("clean") + 0.5) / (n0 + 1)).orderBy(F.desc("toxic"), "unit").limit(MAX_UNITS).select("unit").toArrow()
     toxic_units = picked["unit"].to_numpy().view(np.uint64)
 
     def train(batches):
@@ -241,19 +247,21 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     model = Model(weights, extra[1] / extra[0], np.array(extra[2:]).reshape(2, 2) / extra[0])
     # evidence and label of at most FIT_ROWS rows
     seen = tag(sample, model).select("evidence", "label").toArrow()
-    _logistic(model, seen["evidence"].to_numpy(), seen["label"].to_numpy())
+    label = seen["label"].to_numpy()
+    stands = np.where(label == 1, 1 / share1, 1 / max(share0, 1e-9))
+    _logistic(model, seen["evidence"].to_numpy(), label, stands * len(label) / max(stands.sum(), 1e-9))
     return model
 
 
-def _logistic(model: Model, evidence: np.ndarray, label: np.ndarray) -> None:
+def _logistic(model: Model, evidence: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
     """Slope and intercept by Newton steps with a weak pull to the starting values."""
     x = np.stack([np.log1p(evidence), np.ones(len(evidence))], axis=1)
     prior = np.array([model.slope, model.intercept])
     w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        grad = x.T @ (label - p) - 0.05 * (w - prior)
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(2)
+        grad = x.T @ (weight * (label - p)) - 0.05 * (w - prior)
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(2)
         w = w + np.clip(np.linalg.solve(hess, grad), -2, 2)
     model.slope, model.intercept = float(w[0]), float(w[1])
 
