@@ -192,15 +192,67 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
         for _ in range(rng.choice([0, 0, 1, 2, 3, 4])):
             words[rng.randrange(len(words))] = f"x{rng.randint(0, 50)}"
         texts.append(" ".join(words))
-    for small, rest in ((neardup.SMALL, neardup.REST), (4, 2)):
+    for small, work in ((neardup.SMALL, neardup.WORK), (16, 2_000)):
         monkeypatch.setattr(neardup, "SMALL", small)
-        monkeypatch.setattr(neardup, "REST", rest)
+        monkeypatch.setattr(neardup, "WORK", work)
         rows = neardup.near_duplicates(docs(spark, texts)).orderBy("doc_id").collect()
         assert [tuple(r) for r in rows] == brute_near(texts)
     out = neardup.near_duplicates(awkward(spark)).collect()
     assert len(out) == awkward(spark).count() and all(r["kept"] for r in out if r["doc_id"] is None)
     assert {r["component_id"] for r in out if r["doc_id"] in (12, 13)} == {12}
     assert neardup.near_duplicates(docs(spark, [])).count() == 0
+    # rows of one id with different texts are different classes, each with its own set
+    rows = spark.createDataFrame([(1, base[0]), (1, base[1]), (1, base[1]), (2, base[1] + " x")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(rows).collect()) == [(1, 1)] * 3 + [(2, 1)]
+
+
+def crowd(n, seed, words=200, own=80):
+    """Texts that share a core of single-word shingles: two of them have a similarity of (words - own) / (words + own)."""
+    rng = random.Random(seed)
+    return [" ".join([*(f"c{k}" for k in range(words - own)), *(f"o{rng.getrandbits(60)}" for _ in range(own))]) for _ in range(n)]
+
+
+def test_unlike_crowds_die_out(spark, monkeypatch):
+    """2,000 documents of similarity 0.6: nothing to link; their memberships in large nodes shrink from level to level."""
+    monkeypatch.setattr(neardup, "SMALL", 64)
+    monkeypatch.setattr(neardup, "WORK", 40_000)
+    sizes, real = [], neardup._shared.settle
+
+    def settle(df, name):
+        out = real(df, name)
+        if name == "nodes":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup._shared, "settle", settle)
+    texts = crowd(2_000, 1, words=200, own=50)
+    assert all(r["kept"] for r in neardup.near_duplicates(docs(spark, texts), words=1).collect())
+    trees = neardup.trees_for(neardup.RECALL)
+    assert sizes[0] <= 2_000 * neardup.branching() * trees and sizes[-1] < sizes[0] and max(sizes) <= 1.5 * sizes[0]
+
+
+def test_pairs_near_the_threshold_are_found(spark, monkeypatch):
+    """600 pairs of 0.75 to 0.80: all where nodes are small, and 0.99 of them inside a crowd whose nodes branch."""
+    rng = random.Random(2)
+    pairs = []
+    for i in range(600):
+        n, s = 120, rng.uniform(0.75, 0.80)
+        shared = -(-2 * n * s // (1 + s))
+        pairs += [" ".join([*(f"s{i}x{k}" for k in range(int(shared))), *(f"{side}{i}x{k}" for k in range(n - int(shared)))]) for side in "ab"]
+    rows = neardup.near_duplicates(docs(spark, pairs), words=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i - i % 2 for i in range(1200)}
+    monkeypatch.setattr(neardup, "SMALL", 64)
+    monkeypatch.setattr(neardup, "WORK", 20_000)
+    core = [f"c{k}" for k in range(100)]
+    inside = []
+    for i in range(150):  # any two: 100 of 230 words at least, 0.43 or so; the two of a pair: 0.75 to 0.78
+        mine = [f"p{i}x{k}" for k in range(50)]
+        inside += [" ".join([*core, *mine, *(f"{side}{i}x{k}" for k in range(rng.choice([21, 23, 25])))]) for side in "ab"]
+    texts = inside + crowd(700, 3, words=180, own=80)
+    rows = neardup.near_duplicates(docs(spark, texts), words=1).collect()
+    found = sum(r["component_id"] == r["doc_id"] - 1 for r in rows if r["doc_id"] % 2 and r["doc_id"] < 300)
+    assert found >= 0.99 * 150
+    assert all(r["kept"] for r in rows if r["doc_id"] >= 300)
 
 
 def test_near_duplicates_at_other_thresholds(spark):
@@ -209,7 +261,7 @@ def test_near_duplicates_at_other_thresholds(spark):
     rows = neardup.near_duplicates(docs(spark, texts), percent=60, words=1).collect()
     assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i - i % 2 for i in range(800)}
     with pytest.raises(ValueError):
-        neardup.near_duplicates(docs(spark, texts[:2]), percent=50)
+        neardup.near_duplicates(docs(spark, texts[:2]), recall=1 - 1e-12)
 
 
 def brute_hits(texts, items, window=10):

@@ -22,6 +22,8 @@ def components(links: DataFrame) -> DataFrame:
         jump = step.select(F.col("node").alias("root"), F.col("root").alias("to"))
         new = _shared.settle(step.join(jump, "root").select("node", "was", F.least("root", "to").alias("root")), "labels")
         changed = new.where("root < was").limit(1).count()
+        _shared.unsettle(labels)
         labels = new.select("node", "root")
         if not changed:
+            _shared.unsettle(both)
             return labels

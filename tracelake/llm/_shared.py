@@ -28,9 +28,11 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset (tests), a temporary one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset, a temporary one if all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="tracelake-")
@@ -61,10 +63,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def unsettle(df: DataFrame) -> None:
-    """Delete the scratch table behind a frame that ``settle`` returned."""
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        drop_path(df.sparkSession, path)
+def unsettle(*frames: DataFrame) -> None:
+    """Delete the scratch tables behind frames that ``settle`` returned and that nothing reads any more."""
+    for df in frames:
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            drop_path(df.sparkSession, path)
 
 
 def crc_mod(doc_id: str, n: int):
