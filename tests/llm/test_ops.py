@@ -332,19 +332,73 @@ def test_rank_codes(n):
     assert (tokenbin.unpack_ranks(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), n) == v).all()
 
 
-def test_word_bpe_equals_the_library(spark, sf_dir):
+def library(name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(q.vocabulary("word_bpe_49k.json"))
+    t = Tokenizer.from_file(q.vocabulary(name))
     t.no_truncation()
     t.no_padding()
-    texts = ODD + [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
-    for r in bpe.encode_decode(docs(spark, texts), q.vocabulary("word_bpe_49k.json")).collect():
-        ids = t.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
-        assert np.frombuffer(r["ids"], np.uint32).tolist() == ids
-        assert r["decoded"] == t.decode(ids, skip_special_tokens=False)
+    return t
+
+
+def random_texts(n, seed=11):
+    """Texts that mix scripts, marks, spaces, digits, contractions and special tokens."""
+    rng = random.Random(seed)
+    ranges = [(0x20, 0x7F), (0x80, 0x250), (0x250, 0x600), (0x600, 0x1200), (0x1E00, 0x2100), (0x2100, 0x3100), (0xA000, 0xD7FF), (0xE000, 0x10FFFF)]
+    pick = lambda: chr(rng.randrange(*rng.choice(ranges[: rng.choice([1, 2, 8])])))
+    return ["".join(pick() if rng.random() < 0.9 else rng.choice([" ", "\n", "'s", "'LL", "12", "<|endoftext|>", "\u0301"]) for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+def same_ids(texts):
+    """Those of the texts for which the splitter's words have other ids than the library gives."""
+    t, split = library("word_bpe_49k.json"), bpe.splitter(q.vocabulary("word_bpe_49k.json"))
+    return [x for x in texts if split.ids(split.words(x))[0].tolist() != t.encode(x, add_special_tokens=False).ids]
+
+
+def test_word_bpe_splits_every_code_point():
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert not same_ids([" ".join(f"a{c}b {c} 1{c}{c}'s" for c in points[i : i + 32]) for i in range(0, len(points), 32)])
+    # alone, those of the scripts written with Latin, Greek and Cyrillic letters: a neighbour may send a text another way
+    assert not same_ids([x for c in points[:0x2200] for x in (c, f"x{c}y", f"{c}{c} é")])
+    assert not same_ids(random_texts(4_000))
+
+
+def test_word_bpe_equals_the_library(spark, sf_dir):
+    t = library("word_bpe_49k.json")
+    texts = ODD + random_texts(300) + [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
+    for parts in (1, 3):
+        rows = bpe.encode_decode(docs(spark, texts).repartition(parts, "text"), q.vocabulary("word_bpe_49k.json")).collect()
+        assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+        for r in rows:
+            ids = t.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+            assert np.frombuffer(r["ids"], np.uint32).tolist() == ids
+            assert r["decoded"] == t.decode(ids, skip_special_tokens=False)
     assert bpe.token_digests(docs(spark, []), q.vocabulary("word_bpe_49k.json")).count() == 0
     assert bpe.token_digests(awkward(spark), q.vocabulary("word_bpe_49k.json")).count() == awkward(spark).count()
+    assert bpe.token_digests(docs(spark, [None, ""]), q.vocabulary("word_bpe_49k.json")).select("n_tokens").collect() == [(0,), (0,)]
+
+
+def brute_digests(spark, sf_dir):
+    t = library("word_bpe_49k.json")
+    out = []
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        ids = t.encode(r["text"] or "", add_special_tokens=False).ids
+        decoded = t.decode(ids, skip_special_tokens=False)
+        out.append((r["doc_id"], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_query_word_bpe(spark, sf_dir):
+    assert sorted(map(tuple, q.op9_word_bpe(spark, sf_dir).collect())) == brute_digests(spark, sf_dir)
+
+
+def test_query_token_files(spark, sf_dir):
+    t, start, want = library("byte_bpe_50k.json"), 0, []
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect():
+        ids = [*t.encode(r["text"] or "", add_special_tokens=False).ids, 2]
+        want.append((r["doc_id"], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r[c] for c in ("doc_id", "start", "n_tokens", "ids_crc32")) for r in q.op7_token_files(spark, sf_dir).collect()) == want
 
 
 def test_quality_and_toxicity(spark):

@@ -2,7 +2,7 @@
 
 Texts are split into words in Spark tasks; a task numbers the distinct words of each *chunk* of documents (a bounded number of
 distinct words) and keeps a text as its sequence of those numbers, in one file a chunk in the shared folder. The chunks' word lists form
-one table (word, chunk, number), dealt and sorted by word: there the tokenizers library encodes each distinct word once, and the ids go
+one table (word, chunk, number), dealt and sorted by word (its hash, so that rows without words spread): there the tokenizers library encodes each distinct word once, and the ids go
 back to the chunks' numbers. A chunk then joins ids back by position, and decodes each of its words through the id-to-piece table, which is
 the vocabulary and so of fixed size. A word crosses the network once for each chunk, not once for each occurrence: a word as common as
 'the' makes as many rows as there are chunks, and no text is moved at all.
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import unicodedata
 import uuid
 from array import array
 
@@ -34,9 +33,11 @@ CHUNK_BYTES = 64 << 20
 #: Words that are packed at once.
 PACKED_ROWS = 100_000
 
-_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+#: The plain range: ASCII, Latin-1 and Latin Extended-A, whose lower-case letters are in it, too (but for U+0130), and whose properties are
+#: the same in every version of Unicode. All other text is normalised and split by the library itself.
+_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 _NUMBER = "0-9²³¹¼-¾"
-_PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]|İ")
+_OTHER = re.compile("[^\t\n\r\x20-\x7e¡-ſ]|İ")
 #: The vocabulary's split pattern, with the letters and numbers of the plain range written out.
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
 
@@ -50,7 +51,6 @@ class Splitter:
     """The words of a text as the vocabulary's normaliser and pre-tokeniser make them; special tokens are words of their own."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -59,16 +59,16 @@ class Splitter:
         self.model = Tokenizer(self.tokenizer.model)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.exact = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
     def words(self, text: str) -> list[str]:
         if self.at_special is not None and "<|" in text:
             parts = self.at_special.split(text)
             if len(parts) > 1:
                 return [w for p in parts if p for w in ([p] if p in self.special else self.words(p))]
-        if not _PLAIN.search(text):
-            return _SPLIT.findall(unicodedata.normalize("NFC", text).lower())
-        return self.exact.findall(self.tokenizer.normalizer.normalize_str(text))
+        if not _OTHER.search(text):
+            return _SPLIT.findall(text.lower())
+        text = self.tokenizer.normalizer.normalize_str(text)
+        return [text[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and how many each word has."""
@@ -125,33 +125,39 @@ _SEQUENCES = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary())])
 
 
 def split_words(docs: DataFrame, vocabulary: str, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (word, chunk, number) of every chunk's distinct words, and (null, chunk, -1) for each chunk; the texts' sequences go to one file
-    a chunk in ``folder``. A chunk's id comes from its partition, and its file is renamed when finished: a task that runs again leaves
-    the same files."""
+    """Rows (word, chunk, number) of every chunk's distinct words, or (null, chunk, -1) if it has none; the texts' sequences go to one file
+    a chunk in ``folder``. Tasks read their rows in an order that depends on these alone, and a chunk's id is that of its partition and words,
+    so a task that runs again makes the same chunks and leaves the same files; they get their names when finished."""
 
     def task(batches):
         split = splitter(vocabulary).words
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        chunk, out = (TaskContext.get().partitionId() << 20) - 1, None
+        place, out = f"{TaskContext.get().partitionId()}", None
 
         def finish():
             writer.close()
             out.close()
-            fs.move(own, f"{root}/{chunk}.arrow")
             words = list(numbers)
+            mark = hashlib.blake2b("\n".join([place, *map(str, chunk), *words]).encode(), digest_size=8)
+            name = int.from_bytes(mark.digest(), "little", signed=True)
+            fs.move(own, f"{root}/{name}.arrow")
             for i in range(0, len(words), 20_000):
                 part = words[i : i + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([chunk] * len(part), pa.int64()), pa.array(range(i, i + len(part)), pa.int32())], names=["word", "chunk", "number"])
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([chunk], pa.int64()), pa.array([-1], pa.int32())], names=["word", "chunk", "number"])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([name] * len(part), pa.int64()), pa.array(range(i, i + len(part)), pa.int32())], names=["word", "chunk", "number"])
+            if not words:
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([name], pa.int64()), pa.array([-1], pa.int32())], names=["word", "chunk", "number"])
 
+        rows = 0
         for batch in batches:
+            if not len(batch):
+                continue
             if out is None:
-                chunk, numbers, size = chunk + 1, _Numbers(), 0
-                own = f"{root}/_{chunk}-{uuid.uuid4().hex}"
+                chunk, numbers, size = (batch.column(0)[0], rows), _Numbers(), 0
+                own = f"{root}/_{uuid.uuid4().hex}"
                 out = fs.open_output_stream(own)
                 writer = pa.ipc.new_stream(out, _SEQUENCES, options=pa.ipc.IpcWriteOptions(compression="zstd"))
-            seqs = []
+            seqs, rows = [], rows + len(batch)
             for text in batch.column(1).to_pylist():
                 seqs.append(_planes(array("I", map(numbers.__getitem__, split(text)))) if text else b"")
                 size += len(text or "")
@@ -164,7 +170,7 @@ def split_words(docs: DataFrame, vocabulary: str, folder: str, id_col: str = "do
 
     _shared.tune(docs.sparkSession)
     chosen = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t"))
-    return chosen.mapInArrow(task, "word string, chunk long, number int")
+    return chosen.sortWithinPartitions("k", F.xxhash64("t")).mapInArrow(task, "word string, chunk long, number int")
 
 
 def _gathered(batches, rows: int):
@@ -224,7 +230,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     spark = docs.sparkSession
     _shared.tune(spark)
     folder = _shared.scratch(spark, "bpe-sequences")
-    words = split_words(docs, vocabulary, folder, id_col, text_col).repartition("word").sortWithinPartitions("word")
+    words = split_words(docs, vocabulary, folder, id_col, text_col)
+    words = words.repartition(F.xxhash64("word", F.when(F.col("word").isNull(), F.col("chunk")))).sortWithinPartitions("word")
     packed = encode_words(words, vocabulary)
     names = [c.split()[0] for c in result.split(",")]
     kinds = [{"binary": pa.binary(), "string": pa.string()}[c.split()[1]] for c in result.split(",")]
@@ -240,6 +247,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
             n = int(flat[0])
             parts.append((flat[1 : 1 + n], flat[1 + n : 1 + 2 * n], flat[1 + 2 * n :]))
         total = sum(len(p[0]) for p in parts)
+        if any(len(p[0]) and p[0].max() >= total for p in parts):
+            raise RuntimeError("words of a chunk are missing")
         ids, spelled = [b""] * total, [b""] * total
         for number, count, flat in parts:
             ends = np.cumsum(count, dtype=np.int64).tolist()
