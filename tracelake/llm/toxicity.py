@@ -9,7 +9,8 @@ multiplied side by side, so the recursion is numpy over blocks and no text is cu
 Labelled tokens: there are labels of documents only. In labelled toxic documents, a word is toxic if it, or one of its beginnings, stands
 behind at least ``MIN_CONTEXTS`` different words in toxic documents (fewer where there are few of these) and ``MIN_ODDS`` times as often,
 for their number, as in clean ones; all other words of labelled documents are clean. Different words before it are counted, not
-documents, so that many copies of one document make none of its words toxic. Contexts are counted over all labelled rows; the
+documents, so that many copies of one document make none of its words toxic. Contexts are counted over all labelled rows, for those words
+that are in ``LEAST_ODDS`` times as large a share of the toxic documents as of the clean ones, so that common words aren't moved; the
 ``MAX_UNITS`` words with most toxic contexts are kept. The gradient steps take a bounded sample (about ``FIT_ROWS`` labelled rows; toxic
 ones up to half of it first), dealt over at most ``SHARDS`` tasks; Spark averages the weights.
 
@@ -36,6 +37,12 @@ PASSES = 10
 STEP_DOCS = 32
 MIN_ODDS = 20.0
 MIN_CONTEXTS, MIN_SHARE = 8, 0.05
+#: Contexts are counted of words at least so many times as frequent in toxic documents as in clean ones.
+LEAST_ODDS = 2.0
+#: Positions of the table of those words that is sent to all tasks, one bit each.
+MEMBERS = 1 << 24
+#: Units that a task holds before it adds their counts up.
+HELD = 1 << 20
 #: Words labelled toxic, at most (8 bytes each).
 MAX_UNITS = 1 << 17
 #: Bytes of the beginnings of words that are features.
@@ -203,22 +210,63 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     sample = rows.where(F.col("h") < F.when(F.col("label") == 1, int(share1 * (1 << 30))).otherwise(int(share0 * (1 << 30))))
     sample = _shared.settle(sample.repartition(max(1, min(SHARDS, min(n1 + n0, FIT_ROWS) // SHARD_ROWS)), "h").sortWithinPartitions("h", "label").select("label", "text"), "toxic-sample")
 
+    def frequencies(batches):
+        """Of each unit, how many toxic and clean documents have it."""
+        held: list = []
+
+        def added():
+            unit, at = np.unique(np.concatenate([u for u, _ in held]), return_inverse=True)
+            sums = [np.bincount(at, np.concatenate([n[k] for _, n in held]), len(unit)).astype(np.int64) for k in (0, 1)]
+            return unit, sums
+
+        for batch in batches:
+            _, _, _, units, at = words(batch.column(1))
+            doc = np.repeat(np.arange(len(batch)), np.diff(at))
+            for k in range(units.shape[1]):
+                here = units[:, k] > 0
+                pairs = np.unique(np.stack([units[here, k], doc[here].astype(np.uint64)], axis=1), axis=0)
+                is_toxic = batch.column(0).to_numpy()[pairs[:, 1].astype(np.int64)] == 1
+                held.append((pairs[:, 0], (is_toxic, ~is_toxic)))
+            if sum(len(u) for u, _ in held) > HELD:
+                held = [added()]
+                if len(held[0][0]) > HELD // 2:
+                    yield from table(held.pop())
+        if held:
+            yield from table(added())
+
+    def table(counted):
+        unit, (toxic, clean) = counted
+        for i in range(0, len(unit), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000].view(np.int64)) for x in (unit, toxic, clean)], names=["unit", "toxic", "clean"])
+
+    frequent = rows.select("label", "text").mapInArrow(frequencies, "unit long, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    likely = frequent.where((F.col("toxic") + 0.5) / (n1 + 1) >= LEAST_ODDS * (F.col("clean") + 0.5) / (n0 + 1)).select("unit")
+    likely = _shared.settle(likely, "likely-units")
+    member = F.pmod(F.col("unit"), F.lit(MEMBERS))
+    bits = np.zeros(MEMBERS // 64, np.uint64)
+    # at most MEMBERS / 64 rows, whatever the number of units
+    for r in likely.groupBy(F.shiftright(member, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(unit, 64) as int))")).alias("b")).toArrow().to_batches():
+        bits[r.column(0).to_numpy()] = r.column(1).to_numpy().view(np.uint64)
+    members = spark.sparkContext.broadcast(bits)
+
     def contexts(batches):
-        """Distinct (unit, word before) of a batch."""
+        """Distinct (unit, word before) of a batch, of units that may be likely ones."""
         for batch in batches:
             _, _, _, units, at = words(batch.column(1))
             if not len(units):
                 continue
             before = np.concatenate([[np.uint64(0)], units[:-1, 0]])
             before[at[:-1][np.diff(at) > 0]] = 0
+            spot = units % np.uint64(MEMBERS)
+            may = (members.value[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
             for k in range(units.shape[1]):
-                here = units[:, k] > 0
+                here = (units[:, k] > 0) & may[:, k]
                 pairs = np.unique(np.stack([units[here, k], before[here]], axis=1), axis=0)
                 if len(pairs):
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64)) for i in (0, 1)], names=["unit", "before"])
 
     enough = max(3, min(MIN_CONTEXTS, round(MIN_SHARE * n1)))
-    paired = lambda label: rows.where(F.col("label") == label).select("label", "text").mapInArrow(contexts, "unit long, before long")
+    paired = lambda label: rows.where(F.col("label") == label).select("label", "text").mapInArrow(contexts, "unit long, before long").join(likely, "unit", "left_semi")
     toxic = paired(1).distinct().groupBy("unit").agg(F.count("*").alias("toxic"))
     toxic = _shared.settle(toxic.where(F.col("toxic") >= enough), "toxic-units")
     # clean contexts only of units that can be picked
@@ -227,6 +275,7 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     counts = toxic.join(clean, "unit", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
     picked = counts.where((F.col("toxic") + 0.5) / (n1 + 1) >= MIN_ODDS * (F.col("clean") + 0.5) / (n0 + 1)).orderBy(F.desc("toxic"), "unit").limit(MAX_UNITS).select("unit").toArrow()
     toxic_units = picked["unit"].to_numpy().view(np.uint64)
+    _shared.unsettle(likely, toxic)
 
     def train(batches):
         parts = []
