@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -89,6 +90,51 @@ def test_html_cases(spark):
     assert [r["n_chars"] for r in rows] == [0, 0, 5 * 50_000 - 1]
 
 
+NAV = "<nav><a href='/'>Home page</a> <a href='/x'>All about us here</a></nav>"
+STORY = "<h1>Head</h1><p>One two three four five six seven.</p><p>Eight nine ten eleven twelve.</p>"
+TOLD = "Head\n\nOne two three four five six seven.\n\nEight nine ten eleven twelve."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body class='single has-sidebar'>{NAV}<article>{STORY}</article><aside>see also</aside></body>",
+        f"<body>{NAV}<article class='post category-social'>{STORY}</article><footer>all rights</footer></body>",
+        f"<html class='cookie-set'><body>{NAV}<div>{STORY}</div></body></html>",
+        f"<body>{NAV}<main id='related-work'>{STORY}</main></body>",
+        f"<body><form action='/post'>{NAV}<div>{STORY}</div><footer>all rights</footer></form></body>",
+        f"<body><div class='page with-sidebar'>{NAV}<div class='text'>{STORY}</div><div class='sidebar'>see this and that and more of it</div></div></body>",
+        f"<body>{NAV}<div>{STORY}</div><section class='comments'><article class='comment'><p>first of all, nice post, thanks</p></article></section></body>",
+        f"<body><header class='site-header'><h1>My site of sites</h1></header>{STORY}<div class='cookie-notice'>We use cookies on this site for you</div></body>",
+        f"<body>{NAV}{STORY}<div class='post-comments'><p>{'I do not agree at all. ' * 9}</p></div></body>",
+        f"<body>{NAV}<article>{STORY}<div class=ad>Buy it now for less</div><form>mail <input> <button>send</button></form></article></body>",
+    ],
+)
+def test_html_marks_of_wrappers_and_of_boilerplate(page):
+    assert html_extract.extract(page, html_extract.Weights({})) == TOLD
+
+
+def test_html_weights_decide(spark):
+    """What labelled pages teach is needed: of words that no list has, and against a list."""
+    rng = random.Random(4)
+    say = lambda n: " ".join(rng.choice("alfa beta gamma delta epsilon zeta eta theta".split()) for _ in range(n))
+    body = lambda story, tag: f"<body><div class='qblock'>{say(30)}</div><{tag}><div class='notice'>{story}</div></{tag}><div class='zfoot-row'>{say(25)}</div></body>"
+    rows = [(i, body(f"<p>{say(40)}</p>", "article")) for i in range(40)]
+    weights = html_extract.fit(spark.createDataFrame(rows, "page_id long, html string"))
+    story = say(35)
+    page = body(f"<p>{story}</p>", "div")
+    assert html_extract.extract(page, weights) == story
+    assert html_extract.extract(page, html_extract.Weights({})) != story
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000, '<a href="x>' * 8_000, "<a b" * 8_000, "<ul>" * 20_000 + "<p>" * 20_000, "<p>" + "<i>" * 20_000 + "</b><div>" * 20_000, "<title x=\"" * 10_000, "".join(f"<div class=c{i}>w " for i in range(20_000)), "<!--" * 20_000])
+def test_html_malformed_pages_take_linear_time(page):
+    began = time.process_time()
+    html_extract.extract(page, html_extract.Weights({}))
+    html_extract.label_counts("<article>" + page)
+    assert time.process_time() - began < 3
+
+
 def test_html_text_of_the_pages(spark, sf_dir):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in q.op2_html_text(spark, sf_dir).collect():

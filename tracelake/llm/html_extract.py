@@ -1,16 +1,19 @@
 """Main text of HTML pages by a maximum-scoring subsequence of tokens.
 
-A page is read as tags and runs of words. A tag scores negative, a word scores positive - unless its context (the innermost of its
-open elements that says something: a tag name, or a tag name with one class or id word) holds more boilerplate than content in the
-labelled pages. One linear scan finds the contiguous region with the largest sum (ties: the first, shortest). Its text, without the
-elements that are boilerplate by nature or by weight, is the result.
-
-Weights come from labelled pages: pages with exactly one ``article`` or ``main`` element label their own words as inside or outside it;
-a bounded sample (about ``FIT_PAGES`` pages) gives each context and each tag its log-odds. Pages without these elements are scored with
-the same weights.
-
-Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by two newlines, empty
-blocks go. Null html is empty html. Equal pages get equal texts; other columns of the input are kept, those of the same name replaced.
+A page is read as tags and runs of words. A tag scores negative; a word scores positive, unless the innermost of its open elements with a
+clear verdict is boilerplate. One linear scan finds the contiguous region with the largest sum (ties: the first, shortest). Its text,
+without words that score negative, is the result.
+
+An element's verdict sums the log-odds of its features: its tag name, each class, id and role word with it, and the parts of these words
+(half as much where a word has several: ``site-footer``). Weights come from labelled pages: pages with exactly one ``article`` or ``main``
+element label their words as inside or outside it; a bounded sample (about ``FIT_PAGES`` pages) gives each feature its log-odds. A feature
+that these pages don't have has a prior: what HTML says of the tag, and a short list of common words for boilerplate. Words that tell a
+state (``has-sidebar``) are no features; ``html`` and ``body`` have no verdict, nor has an element with nearly all of the page's words:
+a mark that holds for the whole page tells nothing. Scripts, styles, controls and the like hold no text for readers and never count.
+
+Reading is linear in the page's length, however tags are nested or left open. Character references are decoded, white space inside a block
+becomes one space, blocks are trimmed and joined by two newlines, empty blocks go. Null html is empty html. Equal pages get equal texts;
+other columns of the input are kept, those of the same name replaced.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ from __future__ import annotations
 import html as _html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,155 +32,255 @@ from pyspark.sql import types as T
 from tracelake.llm import _shared
 
 FIT_PAGES = 2_000
-#: A context counts if at least this share of the labelled pages has it.
+#: A feature counts if at least this share of the labelled pages has it.
 MIN_SHARE = 0.005
 WORD_SCORE = 1.0
 #: A word or tag of boilerplate: it is never part of the result, so it need not split a region that goes on behind it.
 SKIPPED_WORD_SCORE = -0.05
 #: A tag that content has, any other tag, and one that the labelled pages don't have but text often does.
 CONTENT_TAG_SCORE, TAG_SCORE, TEXT_TAG_SCORE = -0.02, -1.0, -0.3
+#: Sums from which an element is content, and up to which it is boilerplate; and the largest weight of one feature either way.
+GOOD, BAD, MOST = 2.0, -1.0, 5.0
+#: An element with this share of a page's words has no verdict.
+WHOLE = 0.9
 
-# fixed values: elements that HTML says are not content, that hold raw text, that never have an end tag, and that end a block
-SKIPPED = frozenset("head script style noscript template nav header footer aside form button select textarea iframe object svg canvas dialog menu".split())
+# fixed values: elements that hold no text for readers, that hold raw text, that never have an end tag, and that stand inside a line
+NEVER = frozenset("head script style noscript template button select textarea iframe object svg canvas".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figcaption td th tr table tbody".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-#: Words in a class or id that mark boilerplate anywhere.
+#: Priors: elements that HTML says are content and that it says are not, and words in a class or id that often mark boilerplate.
+CONTENT = frozenset("article main".split())
+ASIDE = frozenset("nav header footer aside form dialog menu".split())
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments respond consent cookie cookies disclaimer "
     "footer header masthead menu nav navbar navigation newsletter notice pagination popup modal promo promotion related recommended share sharing "
     "sidebar social sponsor sponsored subscribe subscription toolbar widget disqus replies".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-_MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[>\"']")
+_MARK = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
+_STATE = re.compile(r"(?:has|no|with|without|is)[-_]")
+
 
+def tokens(page: str) -> Iterator[tuple[str, str, tuple]]:
+    """(kind, name or text, marks): kind 'open', 'close' or 'text'. Raw elements come as open and close without their text. A quote after
+    an equals sign runs to the next one of its kind, if there is one; a tag that never ends reaches to the page's end."""
+    at, begin, n = 0, 0, len(page)
+    gone: set[str] = set()  # what no place further on has
+
+    def find(what: str, i: int) -> int:
+        if what in gone:
+            return -1
+        i = page.find(what, i)
+        if i < 0:
+            gone.add(what)
+        return i
 
-def tokens(page: str):
-    """(kind, name or text, marks): kind 'open', 'close' or 'text'. Raw elements come as open and close without their text."""
-    at, n = 0, len(page)
     while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            yield "text", page[at:], ()
-            return
-        if m.start() > at:
-            yield "text", page[at : m.start()], ()
-        at = m.end()
-        name = m[2]
-        if name is None:
-            if m[0].startswith("<![CDATA["):
-                yield "text", _html.escape(m[0][9:].removesuffix("]]>")), ()
+        at = find("<", at)
+        if at < 0:
+            break
+        closing = page.startswith("/", at + 1)
+        name = _NAME.match(page, at + 1 + closing)
+        special = page.startswith(("!", "?"), at + 1)
+        if name is None and not special:
+            at += 1
             continue
-        name = name.lower()
-        if m[1]:
+        if at > begin:
+            yield "text", page[begin:at], ()
+        if special:
+            comment, data = page.startswith("<!--", at), page.startswith("<![CDATA[", at)
+            end = find("-->" if comment else "]]>" if data else ">", at + (4 if comment else 2))
+            if data:
+                yield "text", _html.escape(page[at + 9 : end if end >= 0 else n]), ()
+            begin = at = n if end < 0 else end + (3 if comment or data else 1)
+            continue
+        end = name.end()
+        while True:
+            stop = _STOP.search(page, end) if ">" not in gone else None
+            if stop is None:
+                gone.add(">")
+                end = n
+                break
+            end = stop.end()
+            if stop[0] == ">":
+                break
+            if page[name.end() : stop.start()][-40:].rstrip().endswith("="):
+                close = find(stop[0], end)
+                if close >= 0:
+                    end = close + 1
+        attributes = page[name.end() : end]
+        name = name[0].lower()
+        begin = at = end
+        if closing:
             yield "close", name, ()
             continue
-        marks = [x.lower() for q in _MARK.findall(m[3]) for x in "".join(q).split()] if "=" in m[3] else ()
-        yield "open", name, marks
+        yield "open", name, tuple(x.lower() for q in _MARK.findall(attributes) for x in "".join(q).split()) if "=" in attributes else ()
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = n if end is None else end.end()
+            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            begin = at = n if close is None else close.end()
             yield "close", name, ()
+    if begin < n:
+        yield "text", page[begin:], ()
 
 
-def _contexts(name: str, marks) -> list[str]:
-    return [name, *(f"{name}.{m}" for m in marks)]
-
-
-def _marked(marks) -> bool:
-    return any(p in MARKS for m in marks for p in _PART.findall(m))
-
-
-#: Elements that an opening tag of these ends, as HTML leaves their end tags out.
+#: Elements that an opening tag of these ends, as HTML leaves their end tags out; and those at which the search for one ends.
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+_BARRIERS = {
+    "p": frozenset("button td th li div article main section aside nav footer header blockquote".split()),
+    "list": frozenset("ul ol menu".split()),
+    "cell": frozenset("table tr".split()),
+    "row": frozenset("table".split()),
+    "terms": frozenset("dl".split()),
+    "inline": _CLOSES_P | {"li", "td"},
+}
+_ENDS = {**{x: [("p", "p")] for x in _CLOSES_P}, "li": [("li", "list")], "td": [("td", "cell"), ("th", "cell")], "th": [("td", "cell"), ("th", "cell")], "tr": [("td", "cell"), ("th", "cell"), ("tr", "row")], "dt": [("dt", "terms"), ("dd", "terms")], "dd": [("dt", "terms"), ("dd", "terms")]}
+
+
+class _Open:
+    """The open elements, and where those of each name and each kind of barrier stand: closing one is a look-up."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+
+    def _kinds(self, name: str):
+        return [name, *(f"#{k}" for k, names in _BARRIERS.items() if name in names)]
+
+    def push(self, name: str, element: int) -> None:
+        for k in self._kinds(name):
+            self.places[k].append(len(self.stack))
+        self.stack.append((name, element))
+
+    def close(self, name: str, barrier: str | None = None) -> None:
+        """End the innermost element of this name, if no barrier stands inside it, and all elements in it."""
+        if not self.places[name] or barrier is not None and self.places[f"#{barrier}"] and self.places[f"#{barrier}"][-1] > self.places[name][-1]:
+            return
+        at = self.places[name][-1]
+        while len(self.stack) > at:
+            gone, _ = self.stack.pop()
+            for k in self._kinds(gone):
+                self.places[k].pop()
+
+    def innermost(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
 
 
-def walk(page: str):
-    """The page's tokens with their open elements: (kind, value, stack), stack being a list of (name, marks) that changes as the page is read."""
-    stack: list[tuple[str, tuple]] = []
+def parse(page: str) -> tuple[list[tuple[str, tuple, int]], list[tuple[str, str, int]]]:
+    """Elements (name, marks, parent), the first one standing for the page, and the page's tokens (kind, value, innermost element)."""
+    elements: list[tuple[str, tuple, int]] = [("", (), 0)]
+    out, now = [], _Open()
     for kind, value, marks in tokens(page):
         if kind == "open":
-            if value in _CLOSES_P:
-                _close(stack, "p", {"button", "td", "th", "li", "div", "article", "main", "section", "aside", "nav", "footer", "header", "blockquote"})
-            if value == "li":
-                _close(stack, "li", {"ul", "ol", "menu"})
-            if value in ("td", "th", "tr"):
-                _close(stack, "td", {"table", "tr"})
-                _close(stack, "th", {"table", "tr"})
-            if value == "tr":
-                _close(stack, "tr", {"table"})
-            if value in ("dt", "dd"):
-                _close(stack, "dt", {"dl"})
-                _close(stack, "dd", {"dl"})
-            if value not in VOID:
-                stack.append((value, tuple(marks)))
-            yield kind, value, stack
-        elif kind == "close":
-            yield kind, value, stack
-            _close(stack, value, () if value not in INLINE else _CLOSES_P | {"li", "td"})
+            for name, barrier in _ENDS.get(value, ()):
+                now.close(name, barrier)
+            if value in VOID:
+                out.append((kind, value, now.innermost()))
+                continue
+            elements.append((value, marks, now.innermost()))
+            now.push(value, len(elements) - 1)
+            out.append((kind, value, len(elements) - 1))
         else:
-            yield kind, value, stack
+            out.append((kind, value, now.innermost()))
+            if kind == "close":
+                now.close(value, "inline" if value in INLINE else None)
+    return elements, out
 
 
-def _close(stack: list, name: str, barriers) -> None:
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] == name:
-            del stack[i:]
-            return
-        if stack[i][0] in barriers:
-            return
+def features(name: str, marks: tuple) -> list[tuple[str, float]]:
+    """An element's features and their shares: its name, and for each mark the mark with the name, or else the mark's parts."""
+    out = [(name, 1.0)]
+    for m in marks:
+        if _STATE.match(m):
+            continue
+        parts = _PART.findall(m)
+        out.append((f"{name}.{m}", 1.0))
+        out += [(f"#{p}", 1.0 if p == m else 0.5) for p in parts]
+    return out
 
 
 def label_counts(page: str) -> Counter | None:
-    """(context, inside) -> words and ('#', context) -> 1, if the page labels itself; else none."""
-    low = page.lower()
-    marks = low.count("<article") + low.count("<main")
-    if marks != 1:
+    """(feature, inside) -> words and ('#', feature) -> 1, if the page labels itself; else none."""
+    elements, items = parse(page)
+    if sum(name in CONTENT for name, _, _ in elements) != 1:
         return None
+    # words of each element, outside and inside the label: those in its inner elements included
+    n, inside = [[0, 0] for _ in elements], [False]
+    for name, _, parent in elements[1:]:
+        inside.append(inside[parent] or name in CONTENT)
+    for kind, value, e in items:
+        if kind == "text":
+            n[e][inside[e]] += len(value.split())
     out: Counter = Counter()
-    for kind, value, stack in walk(page):
-        if kind != "text" or not stack:
-            continue
-        n = len(value.split())
-        if not n:
+    for e in range(len(elements) - 1, 0, -1):
+        name, marks, parent = elements[e]
+        if name in NEVER or not sum(n[e]):
             continue
-        depth = next((i for i, (x, _) in enumerate(stack) if x in ("article", "main")), None)
-        inside = depth is not None and not any(x in SKIPPED or _marked(m) for x, m in stack[depth + 1 :])
-        for context in {c for x, m in stack if x not in ("html", "body", "article", "main") for c in _contexts(x, m)}:
-            out[context, inside] += n
-            out["#", context] = 1
+        for k in (0, 1):
+            n[parent][k] += n[e][k]
+        if name not in ("html", "body"):
+            for f, _ in features(name, marks):
+                out[f, False] += n[e][0]
+                out[f, True] += n[e][1]
+                out["#", f] = 1
     return out
 
 
 class Weights:
-    """Log-odds of content for contexts; ``bad`` are those whose words score negative."""
+    """Log-odds of content for features. Those that are missing have priors."""
 
     def __init__(self, odds: dict[str, float]):
         self.odds = odds
 
-    def word(self, stack) -> float:
-        """Score of a word below these open elements."""
-        for name, marks in stack:
-            if name in SKIPPED or _marked(marks):
-                return SKIPPED_WORD_SCORE
-        for name, marks in reversed(stack):
-            for context in _contexts(name, marks)[::-1]:
-                if context in self.odds and name not in INLINE:
-                    return WORD_SCORE if self.odds[context] > 0 else SKIPPED_WORD_SCORE
-        return WORD_SCORE
+    def _odds(self, feature: str) -> float:
+        known = self.odds.get(feature)
+        if known is not None:
+            return max(-MOST, min(MOST, known))
+        if feature[0] == "#":
+            return -MOST if feature[1:] in MARKS else 0.0
+        return MOST - 1 if feature in CONTENT else -MOST if feature in ASIDE else 0.0
+
+    def element(self, name: str, marks: tuple) -> float:
+        """The sum of an element's features; the parts of a mark count where the mark itself is not known."""
+        total, known = 0.0, False
+        for f, share in features(name, marks):
+            if "." in f and f[0] != "#":
+                known = f in self.odds
+                total += self._odds(f) if known else 0.0
+            elif f[0] != "#" or not known:
+                total += share * self._odds(f)
+        return total
+
+    def words(self, elements: list, counts: list[int]) -> list[float]:
+        """The score of a word in each element, by the innermost verdict; counts: words in each element, those inside others included."""
+        out = [WORD_SCORE]
+        kinds: dict = {}
+        for (name, marks, parent), n in zip(elements[1:], counts[1:]):
+            if name in NEVER:
+                out.append(SKIPPED_WORD_SCORE)
+                continue
+            if name in ("html", "body") or name in INLINE and not marks or n >= WHOLE * counts[0]:
+                out.append(out[parent])
+                continue
+            if (name, marks) not in kinds:
+                kinds[name, marks] = self.element(name, marks)
+            x = kinds[name, marks]
+            out.append(SKIPPED_WORD_SCORE if x <= BAD or elements[parent][0] in NEVER else WORD_SCORE if x >= GOOD else out[parent])
+        return out
 
     def tag(self, name: str) -> float:
         """Score of a start or end tag."""
         if name in self.odds:
             return CONTENT_TAG_SCORE if self.odds[name] > 0 else TAG_SCORE
-        return CONTENT_TAG_SCORE if name in INLINE or name in VOID else TEXT_TAG_SCORE if name in TEXT else TAG_SCORE
+        return CONTENT_TAG_SCORE if name in INLINE or name in VOID or name in CONTENT else TEXT_TAG_SCORE if name in TEXT else TAG_SCORE
 
 
 def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> Weights:
-    """Weights from the pages that label themselves. Nothing to learn from leaves the fixed lists."""
+    """Weights from the pages that label themselves. Nothing to learn from leaves the priors."""
     _shared.tune(pages.sparkSession)
     rows = pages.select(F.col(html_col).cast("string").alias("html"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h")).where("html is not null")
     n = rows.count()
@@ -209,30 +313,32 @@ def extract(page: str | None, weights: Weights) -> str:
     """The page's main text."""
     if not page:
         return ""
-    # items: (score, text or None, starts a new block, skipped)
-    items: list[tuple[float, str | None, bool, bool]] = []
-    for kind, value, stack in walk(page):
-        if kind == "text":
-            n = len(value.split())
-            score = weights.word(stack)
-            items.append((score * n, value, False, score < 0))
-        else:
-            aside = value in SKIPPED or weights.word(stack) < 0
-            items.append((SKIPPED_WORD_SCORE if aside else weights.tag(value), " " if value == "br" else None, value not in INLINE, False))
+    elements, tokens_ = parse(page)
+    sizes = [len(value.split()) if kind == "text" else 0 for kind, value, _ in tokens_]
+    counts = [0] * len(elements)
+    for n, (_, _, e) in zip(sizes, tokens_):
+        if elements[e][0] not in NEVER:
+            counts[e] += n
+    for e in range(len(elements) - 1, 0, -1):
+        if elements[e][0] not in NEVER:
+            counts[elements[e][2]] += counts[e]
+    scores = weights.words(elements, counts)
     best, begin, end, total, start = 0.0, 0, 0, 0.0, 0
-    for i, (score, _, _, _) in enumerate(items):
+    for i, (n, (kind, value, e)) in enumerate(zip(sizes, tokens_)):
         if total <= 0:
             total, start = 0.0, i
-        total += score
+        total += scores[e] * n if kind == "text" else SKIPPED_WORD_SCORE if scores[e] < 0 else weights.tag(value)
         if total > best:
             best, begin, end = total, start, i + 1
     blocks, current = [], []
-    for _, text, new, skipped in items[begin:end]:
-        if new:
+    for kind, value, e in tokens_[begin:end]:
+        if kind != "text" and value not in INLINE:
             blocks.append("".join(current))
             current = []
-        if text is not None and not skipped:
-            current.append(text)
+        elif kind == "text" and scores[e] > 0:
+            current.append(value)
+        elif value == "br":
+            current.append(" ")
     blocks.append("".join(current))
     blocks = [" ".join(_html.unescape(b).split()) for b in blocks]
     return "\n\n".join(b for b in blocks if b)
