@@ -43,11 +43,14 @@ RECALL, DEPTH = 0.999, 8
 #: The branching is that of a pair this much below the threshold which neither dies out nor grows.
 BELOW = 0.05
 TOKENS = 64
-BUCKETS = 2048
+BUCKETS = 1024
 #: The probability that a pair at the threshold has too few equal tokens to be confirmed.
 MISS = 1e-6
 SMALL, WORK = 256, 1 << 21
 
+#: Values by which texts are kept or left when sets are looked up: as many longs at most are sent to all tasks.
+KEPT = 1 << 20
+
 _A = np.random.default_rng(5).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Rows of signatures that a task handles at once.
 _ROWS = 20_000
@@ -112,8 +115,8 @@ def _set_hash(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, th (hash of the text), n (set size), c1 and c2 (hash of the set) and sig (TOKENS minwise tokens of 32 bits,
-    then the sketch of parities)."""
+    """Per document: doc_id, th (hash of the text), n (set size), c1 and c2 (hash of the set), roots (TOKENS minwise tokens of 32 bits) and
+    sig (their low halves, which is what moves with a class, then the sketch of parities)."""
 
     def task(batches):
         for batch in batches:
@@ -128,11 +131,12 @@ def signatures(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text
             c1, c2 = _set_hash(sets)
             place = np.repeat(np.arange(len(sets)) * BUCKETS, size) + (_text.mix(flat) % np.uint64(BUCKETS)).astype(np.int64)
             odd = np.packbits(np.bincount(place, minlength=len(sets) * BUCKETS).reshape(-1, BUCKETS) & 1, axis=1)
-            sketch = [s.tobytes() + o.tobytes() for s, o in zip(sig, odd)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size), pa.array(c1), pa.array(c2), pa.array(sketch, pa.binary())], names=["doc_id", "th", "n", "c1", "c2", "sig"])
+            roots = [s.tobytes() for s in sig]
+            sketch = [s.tobytes() + o.tobytes() for s, o in zip(sig.astype(np.uint16), odd)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size), pa.array(c1), pa.array(c2), pa.array(roots, pa.binary()), pa.array(sketch, pa.binary())], names=["doc_id", "th", "n", "c1", "c2", "roots", "sig"])
 
     _shared.tune(docs.sparkSession)
-    return _texts(docs, id_col, text_col).mapInArrow(task, "doc_id long, th long, n long, c1 long, c2 long, sig binary")
+    return _texts(docs, id_col, text_col).mapInArrow(task, "doc_id long, th long, n long, c1 long, c2 long, roots binary, sig binary")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -143,10 +147,10 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The tokens (rows, TOKENS) and the sketches (rows, BUCKETS / 64) of a column of signatures."""
     if not len(column):
-        return np.zeros((0, TOKENS), np.uint32), np.zeros((0, BUCKETS // 64), np.uint64)
+        return np.zeros((0, TOKENS), np.uint16), np.zeros((0, BUCKETS // 64), np.uint64)
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(len(column), -1)
-    return np.ascontiguousarray(raw[:, : 4 * TOKENS]).view(np.uint32), np.ascontiguousarray(raw[:, 4 * TOKENS :]).view(np.uint64)
+    return np.ascontiguousarray(raw[:, : 2 * TOKENS]).view(np.uint16), np.ascontiguousarray(raw[:, 2 * TOKENS :]).view(np.uint64)
 
 
 def can_link(n: np.ndarray, odd: np.ndarray, i, rows, percent: int) -> np.ndarray:
@@ -184,13 +188,13 @@ def _roots(classes: DataFrame, trees: int, percent: int) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            sig, _ = _matrix(batch.column(1))
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(batch), -1)
             for k in range(selected):
                 child = _text.mix(np.full(len(sig), 1000 + k, np.uint64) * _text.PLACES[1] + sig[:, k].astype(np.uint64) * _text.PLACES[2])
                 used = np.full(len(sig), np.uint64(1) << np.uint64(k))
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(used.view(np.int64)), batch.column(0), batch.column(0)], names=["node", "used", "class", "label"])
 
-    return classes.select("class", "sig").mapInArrow(task, "node long, used long, class long, label long")
+    return classes.select("class", F.substring("roots", 1, 4 * selected)).mapInArrow(task, "node long, used long, class long, label long")
 
 
 def _children(node: np.ndarray, used: np.ndarray, sig: np.ndarray, percent: int):
@@ -374,7 +378,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([sets[i].tobytes() for i in at], pa.binary())], names=["class", "shingles"])
 
-    texts = _texts(docs, id_col, text_col).where("doc_id is not null")
+    # texts whose key no wanted class has are not moved
+    key = F.pmod(F.xxhash64("doc_id", "th"), F.lit(KEPT)).alias("kept")
+    texts = _texts(docs, id_col, text_col).where("doc_id is not null").withColumn("kept", key)
+    texts = texts.join(F.broadcast(wanted.select(key).distinct()), "kept", "left_semi")
     return wanted.select("class", "doc_id", "th", "c1", "c2").join(texts, ["doc_id", "th"]).select("class", "c1", "c2", "t").mapInArrow(task, "class long, shingles binary")
 
 
@@ -430,7 +437,7 @@ def _blocks(nodes: DataFrame) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, words: int = WORDS, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame | None:
-    """(class, root) of all classes (class, doc_id, th, n, c1, c2, sig) that have a link, root being the smallest class of the component;
+    """(class, root) of all classes (class, doc_id, th, n, c1, c2, roots, sig) that have a link, root being the smallest class of the component;
     none if no class has one."""
     sigs = classes.select("class", "n", "sig")
     members, labels, sets, masks, level = _roots(classes, trees_for(recall, percent), percent), None, None, None, 0
@@ -446,7 +453,9 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT,
         if sets is None:
             # of the classes that have pairs, or that may have one in a node further down
             may = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).unionByName(large.select("class")).distinct()
-            sets = _shared.settle(_sets(docs, classes.join(may, "class", "left_semi"), words, id_col, text_col), "shingles")
+            wanted = _shared.settle(classes.select("class", "doc_id", "th", "c1", "c2").join(may, "class", "left_semi"), "wanted")
+            sets = _shared.settle(_sets(docs, wanted, words, id_col, text_col), "shingles")
+            _shared.unsettle(wanted)
             if sets.count() != sets.select("class").distinct().count():  # equal rows of the table
                 sets = _shared.settle(sets.dropDuplicates(["class"]), "shingles")
         labels = _linked(labels, pairs, sets, percent)
@@ -491,7 +500,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id it is connected with, itself included), kept."""
     rows = _shared.settle(signatures(docs, words, id_col, text_col), "signatures")
     part = rows.where("n > 0 and doc_id is not null")
-    classes = part.groupBy("n", "c1", "c2").agg(F.min(F.struct("doc_id", "th")).alias("d"), F.any_value("sig").alias("sig")).select(F.xxhash64("n", "c1", "c2").alias("class"), "d.doc_id", "d.th", "n", "c1", "c2", "sig")
+    classes = part.groupBy("n", "c1", "c2").agg(F.min(F.struct("doc_id", "th")).alias("d"), F.min(F.struct("roots", "sig")).alias("s")).select(F.xxhash64("n", "c1", "c2").alias("class"), "d.doc_id", "d.th", "n", "c1", "c2", "s.roots", "s.sig")
     classes = _shared.settle(classes, "classes")
     roots = similar_classes(docs, classes, percent, words, recall, id_col, text_col)
     known = classes.select("class", F.col("doc_id").alias("component_id"))
