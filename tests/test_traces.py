@@ -26,30 +26,43 @@ def trace(ops, tx=1):
 
 
 def test_gas_of_nested_calls(spark):
-    ops = [("CALL", 100000, 100, 1), ("PUSH1", 80000, 3, 2), ("CALL", 79000, 100, 2), ("PUSH1", 50000, 3, 3), ("STOP", 49000, 0, 3), ("PUSH1", 75000, 3, 2), ("STOP", 74000, 0, 2), ("PUSH1", 90000, 3, 1)]
+    ops = [("CALL", 7000, 40, 1), ("ADD", 5500, 4, 2), ("STATICCALL", 5490, 40, 2), ("SLOAD", 3000, 100, 3), ("RETURN", 2850, 0, 3), ("POP", 4100, 2, 2), ("STOP", 4090, 0, 2), ("ADD", 5210, 5, 1)]
     df = fr.with_gas(fr.with_frames(fr.normal(frame(spark, trace(ops))), ["tx"]), ["tx"]).orderBy("idx").collect()
-    assert [r["gas_used"] for r in df] == [10000, 1000, 4000, 1000, 0, 1000, 0, 3]
-    assert [r["gas_self"] for r in df] == [4000, 1000, 3000, 1000, 0, 1000, 0, 3]
+    assert [r["gas_used"] for r in df] == [1790, 10, 1390, 150, 0, 10, 0, 5]
+    assert [r["gas_self"] for r in df] == [380, 10, 1240, 150, 0, 10, 0, 5]
     assert [r["frame_id"] for r in df] == [0, 1, 1, 2, 2, 1, 1, 0]
 
 
+def test_tracer_gas_is_taken_if_its_first_is_positive(spark):
+    ops = [("CALL", 900, 40, 1, {"gas_used": 333}), ("ADD", 700, 4, 2, {"gas_used": 21}), ("STOP", 690, 0, 2), ("ADD", 500, 5, 1, {"gas_used": 6})]
+    schema = SCHEMA + ", gas_used long"
+    for first, want in ((333, [333, 21, 0, 6]), (0, [400, 10, 0, 5]), (None, [400, 10, 0, 5])):
+        rows = trace(ops)
+        rows[0]["gas_used"] = first
+        df = fr.with_gas(fr.with_frames(fr.normal(frame(spark, rows, schema)), ["tx"]), ["tx"]).orderBy("idx").collect()
+        assert [r["gas_used"] for r in df] == want
+        assert df[0]["gas_self"] == want[0] - want[1]
+
+
 def test_corrupt_cost_is_repaired(spark):
-    ops = [("A", 10000, 3, 1), ("B", 5058, 18158513697557845033, 1), ("C", 1000, 18446744073709551615, 1)]
-    assert [r["gas_cost"] for r in fr.normal(frame(spark, trace(ops))).orderBy("idx").collect()] == [3, 5058, 1000]
+    ops = [("A", 900, 7, 1), ("B", 640, 2**63 + 5, 1), ("C", 12, 2**64 - 100, 1)]
+    assert [r["gas_cost"] for r in fr.normal(frame(spark, trace(ops))).orderBy("idx").collect()] == [7, 640, 12]
 
 
 def test_memory_words(spark):
-    ops = [("CALL", 9, 0, 1, {"mem_size": 64}), ("PUSH1", 8, 0, 2, {"mem_size": 0}), ("MSTORE", 7, 0, 2, {"mem_size": 32}), ("RETURN", 6, 0, 2, {"mem_size": 128}), ("POP", 5, 0, 1, {"mem_size": 64})]
-    more = [("RETURN", 9, 0, 1, {"mem_size": 128, "s1": "100", "s2": "0"})]
-    df = rs.with_memory(fr.with_frames(fr.normal(frame(spark, trace(ops) + trace(more, 2))), ["tx"]), ["tx"]).orderBy("tx", "idx").collect()
-    assert [(r["words_before"], r["words_after"]) for r in df] == [(2, 2), (0, 1), (1, 4), (4, 4), (2, 2), (4, 8)]
+    ops = [("CALL", 9, 0, 1, {"mem_size": 96}), ("ADD", 8, 0, 2, {"mem_size": 0}), ("MSTORE", 7, 0, 2, {"mem_size": 160}), ("REVERT", 6, 0, 2, {"mem_size": 224}), ("ADD", 5, 0, 1, {"mem_size": 96})]
+    more = [("RETURN", 9, 0, 1, {"mem_size": 64, "s1": "c0", "s2": "0"})]
+    none = [("MSTORE", 9, 0, 1), ("RETURN", 8, 0, 1, {"s1": "c0", "s2": "20"})]
+    df = rs.with_memory(fr.with_frames(fr.normal(frame(spark, trace(ops) + trace(more, 2) + trace(none, 3))), ["tx"]), ["tx"]).orderBy("tx", "idx").collect()
+    assert [(r["words_before"], r["words_after"]) for r in df] == [(3, 3), (0, 5), (5, 7), (7, 7), (3, 3), (2, 6), (0, 0), (0, 0)]
 
 
 def test_cold_access_cases(spark):
     cases = [
-        ("SLOAD", 100, 0, 0, None, False, 0, 0), ("SLOAD", 101, 0, 0, None, False, 0, 1), ("SSTORE", 2200, 0, 0, None, False, 0, 1), ("SSTORE", 2900, 0, 0, None, False, 0, 0), ("BALANCE", 2600, 0, 0, None, False, 0, 1),
-        ("STATICCALL", 0, 200, 0, None, False, 0, 0), ("STATICCALL", 0, 2599, 0, None, False, 0, 0), ("STATICCALL", 0, 2600, 0, None, False, 0, 1), ("STATICCALL", 0, 5200, 0, None, False, 0, 2), ("CALL", 0, 11900, 200, None, True, 0, 1),
-        ("EXTCODECOPY", 0, 2603, 0, None, False, 32, 1), ("EXTCODECOPY", 0, 2602, 0, None, False, 32, 0), ("EXTCODECOPY", 0, 100, 500, None, False, 32, 0), ("SELFDESTRUCT", 7600, 0, 0, None, False, 0, 1), ("CALL", 0, 9000, 0, "0x1", False, 0, 0),
+        ("SLOAD", 100, 0, 0, None, False, 0, 0), ("SLOAD", 2100, 0, 0, None, False, 0, 1), ("SSTORE", 22100, 0, 0, None, False, 0, 1), ("SSTORE", 20000, 0, 0, None, False, 0, 0), ("EXTCODESIZE", 700, 0, 0, None, False, 0, 1),
+        ("DELEGATECALL", 0, 150, 0, None, False, 0, 0), ("STATICCALL", 0, 2700, 0, None, False, 0, 1), ("STATICCALL", 0, 2750, 200, None, False, 0, 0), ("CALL", 0, 6000, 0, None, False, 0, 2), ("CALL", 0, 12000, 300, None, True, 0, 1),
+        ("CALL", 0, 36700, 0, None, True, 0, 1), ("EXTCODECOPY", 0, 2700, 0, None, False, 64, 1), ("EXTCODECOPY", 0, 2605, 0, None, False, 64, 0), ("EXTCODECOPY", 0, 450, 400, None, False, 64, 0), ("SELFDESTRUCT", 32600, 0, 0, None, False, 0, 1),
+        ("CALL", 0, 5300, 0, "0x2", False, 0, 0), ("ADD", 9999, 9999, 0, None, False, 0, 0),
     ]
     df = spark.createDataFrame(cases, "op string, gas_cost long, gas_self long, mem_exp long, target string, value boolean, size long, want long")
     got = df.select("want", rs.cold_access(*(F.col(c) for c in ("op", "gas_cost", "gas_self", "mem_exp", "target", "value", "size"))).alias("got")).collect()
@@ -65,7 +78,7 @@ def test_hex_words(spark):
 
 
 def test_intrinsic_gas(spark):
-    cases = [(80000, 10000, 100000, 30000), (80000, 30000, 100000, 45000), (1000, 100, 0, None), (110000, 20000, 100000, 10000), (120000, 20000, 100000, None), (300000, 50000, 100000, None)]
+    cases = [(60000, 5000, 90000, 35000), (60000, 30000, 90000, 52500), (500, 0, 0, None), (95000, 1000, 90000, None), (0, 0, 21000, 21000), (91000, 1000, 90000, None)]
     df = spark.createDataFrame(cases, "c long, r long, g long, want long").select("want", tr.intrinsic_gas(F.col("c"), F.col("r"), F.col("g")).alias("got")).collect()
     assert [r["got"] for r in df] == [r["want"] for r in df]
 
@@ -80,6 +93,57 @@ def random_trace(rng, tx, steps):
     return trace(out, tx)
 
 
+def by_definition(ops, tracer=False):
+    """gas_self and the top of the stack after a create, of each opcode, from their definitions: scans over the rest of the trace."""
+    out = []
+    for i, r in enumerate(ops):
+        behind = ops[i + 1 :]
+        end = next((k for k, x in enumerate(behind) if x["depth"] <= r["depth"]), len(behind))
+        alike = next((x for x in behind if x["depth"] <= r["depth"]), None)
+        out.append((behind[:end], alike))
+    return out
+
+
+def test_created_addresses_and_inner_gas_by_definition(spark):
+    rng = random.Random(9)
+    for steps in ([-3, -1, 0, 0, 1], [-2, 0, 1, 2, 3]):
+        rows = [r for tx in range(25) for r in random_trace(rng, tx, steps)]
+        got = {(r["tx"], r["idx"]): r for r in tr.annotated(frame(spark, rows), ["tx"]).collect()}
+        for tx in range(25):
+            ops = sorted((r for r in rows if r["tx"] == tx), key=lambda r: r["idx"])
+            for r, (inside, alike) in zip(ops, by_definition(ops)):
+                g = got[tx, r["idx"]]
+                if r["op"] == "CREATE":
+                    assert g["target"] == (None if alike is None else "0x" + alike["s1"][2:].rjust(40, "0"))
+                if r["op"] in ("CREATE", "CALL", "STATICCALL"):
+                    assert g["gas_self"] == max(0, g["gas_used"] - sum(got[tx, x["idx"]]["gas_used"] for x in inside if x["depth"] == r["depth"] + 1))
+
+
+def test_sums_of_a_trace_hold(spark):
+    """Invariants: own gas of all frames adds up to the root's; every row is in one frame; a path ends in its frame and begins at 0."""
+    rng = random.Random(12)
+    rows = [r for tx in range(12) for r in random_trace(rng, tx, [-2, -1, 0, 0, 1])]
+    heads = spark.createDataFrame([(t, "0xab", 10**6, False, "", 0) for t in range(12)], "tx long, to_address string, trace_gas long, trace_failed boolean, trace_return_value string, transaction_index long")
+    out = tr.frame_agg_table(frame(spark, rows), heads, ["tx"]).collect()
+    for tx in range(12):
+        frames = {r["call_frame_id"]: r for r in out if r["tx"] == tx and r["operation"] == ""}
+        assert sorted(frames) == list(range(len(frames)))
+        assert sum(r["opcode_count"] for r in frames.values()) == sum(r["tx"] == tx for r in rows)
+        for f in frames.values():
+            assert f["call_frame_path"][0] == 0 and f["call_frame_path"][-1] == f["call_frame_id"]
+            if f["call_frame_id"]:
+                assert f["call_frame_path"][:-1] == frames[f["parent_call_frame_id"]]["call_frame_path"]
+            assert f["gas"] == max(0, f["gas_cumulative"] - sum(x["gas_cumulative"] for x in frames.values() if x["parent_call_frame_id"] == f["call_frame_id"]))
+
+
+def test_plan_has_one_scan_and_one_exchange_by_the_key(spark, tmp_path):
+    rng = random.Random(13)
+    frame(spark, [r for tx in range(5) for r in random_trace(rng, tx, [-1, 0, 1])]).write.parquet(str(tmp_path / "t"))
+    rows = tr.frame_opcodes(tr.frame_rows(tr.annotated(spark.read.parquet(str(tmp_path / "t")), ["tx"], True, created=False), ["tx"]), ["tx"])
+    plan = rows._jdf.queryExecution().explainString(rows._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning(tx#") == 1 and "Join" not in plan and "Python" not in plan and "Pandas" not in plan
+
+
 COLUMNS = ["tx", "idx", "frame_id", "synthetic_id", "parent_at_entry", "gas_used", "gas_self"]
 
 
@@ -87,7 +151,7 @@ def test_windows_equal_the_sequential_reading(spark):
     rng = random.Random(3)
     rows = [r for tx in range(40) for r in random_trace(rng, tx, [-2, -1, 0, 0, 1])]
     df = fr.normal(frame(spark, rows))
-    assert fr.malformed(df, ["tx"]).isEmpty()
+    assert fr.with_malformed(df, ["tx"]).where("malformed").isEmpty()
     for precompile in (False, True):
         a = fr.with_gas(fr.with_frames(df, ["tx"], precompile), ["tx"]).select(*COLUMNS).collect()
         b = sq.with_frames_and_gas(df, ["tx"], precompile).select(*COLUMNS).collect()
@@ -98,7 +162,7 @@ def test_malformed_traces_take_the_sequential_way(spark):
     rng = random.Random(4)
     rows = [r for tx in range(10) for r in random_trace(rng, tx, [-2, 0, 1, 2, 3])] + trace([("CALL", 50, 1, 2), ("ADD", 40, 1, 1)], 99)
     df = frame(spark, rows)
-    bad = {r["tx"] for r in fr.malformed(df, ["tx"]).collect()}
+    bad = {r["tx"] for r in fr.with_malformed(df, ["tx"]).where("malformed").collect()}
     assert 99 in bad
     heads = spark.createDataFrame([(t, "0xab", 10**6, False, "", 0) for t in [*range(10), 99, 100]], "tx long, to_address string, trace_gas long, trace_failed boolean, trace_return_value string, transaction_index long")
     out = tr.frame_agg_table(df, heads, ["tx"])

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import call_target, format_address, is_call, is_call_or_create, is_precompile
-from tracelake.plans.store import settle
 
 KEY = ["meta_network_name", "block_number", "transaction_hash"]
 #: Columns that a source may leave out, with their types; they are filled with null.
@@ -47,7 +46,7 @@ def with_frames(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool
     """
     t = in_trace(key)
     level = F.greatest(F.col("depth"), F.lit(1))
-    df = traces.repartition(*key).withColumns({"target": call_target(F.col("op"), F.col("call_to_address"), F.col("s2")), "next_depth": F.lead("depth").over(t), "level": level})
+    df = traces.withColumns({"target": call_target(F.col("op"), F.col("call_to_address"), F.col("s2")), "next_depth": F.lead("depth").over(t), "level": level})
     synthetic = immediate_return(F.col("op"), F.col("target"), F.col("depth"), F.col("next_depth"))
     if not precompile_frames:
         synthetic = synthetic & ~F.coalesce(is_precompile(F.col("target")), F.lit(False))
@@ -75,44 +74,53 @@ def with_gas(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
 
 def with_created(frames: DataFrame, key: list[str] = KEY, use_tracer: bool = False) -> DataFrame:
     """Replaces target for creates: the top of the stack at the first later opcode that is not deeper. With the tracer's addresses at the
-    first create of the trace they are left null, as the tables have always had it, unless ``use_tracer``."""
-    t, f = in_trace(key), in_frame(key)
+    first create of the trace they are left null, as the tables have always had it, unless ``use_tracer``.
+
+    An opcode at which the depth falls closes one frame of each level that it leaves, and stands once more in each of these for the time of
+    one window: in its own level, the row after a create is then the one asked for. Levels left are never more than frames opened."""
     create = F.col("op").isin("CREATE", "CREATE2")
-    whole = Window.partitionBy(*key)
-    first = F.min_by(F.col("call_to_address").isNotNull(), F.when(create, F.col("idx"))).over(whole)
-    df = frames.withColumns({"traced_create": F.coalesce(first, F.lit(False)), "in_frame_next": F.lead("idx").over(f), "in_frame_top": F.lead("s1").over(f)})
-    # creates that end their frame: the first shallower opcode behind, found by an equi join on the trace
-    open_ones = df.where(create & F.col("in_frame_next").isNull() & ~F.col("traced_create")).select(*key, F.col("idx").alias("at"), F.col("depth").alias("at_depth"))
-    behind = df.select(*key, F.col("idx").alias("j"), F.col("depth").alias("j_depth"), F.col("s1").alias("j_top"))
-    # struct: the first such opcode counts even if it has no stack
-    late = open_ones.join(behind, key).where("j > at and j_depth <= at_depth").groupBy(*key, "at").agg(F.min(F.struct("j", "j_top")).alias("m")).select(*key, F.col("at").alias("idx"), F.col("m.j_top").alias("late_top"))
-    df = df.join(late, [*key, "idx"], "left")
-    found = format_address(F.coalesce("in_frame_top", "late_top"))
-    created = F.when(F.col("traced_create"), F.col("call_to_address") if use_tracer else F.lit(None)).otherwise(found)
-    return df.withColumn("target", F.when(create, created).otherwise(F.col("target"))).drop("traced_create", "in_frame_next", "in_frame_top", "late_top")
+    first = F.min_by(F.col("call_to_address").isNotNull(), F.when(create, F.col("idx"))).over(Window.partitionBy(*key))
+    level = F.greatest(F.col("depth"), F.lit(1))
+    before = F.coalesce(F.lag(level).over(in_trace(key)), F.lit(1))
+    df = frames.withColumns({"traced_create": F.coalesce(first, F.lit(False)), "left": F.greatest(before - level, F.lit(0))})
+    df = df.withColumn("up", F.explode(F.sequence(F.lit(0), F.col("left"))))
+    df = df.withColumn("after", F.lead("s1").over(Window.partitionBy(*key, level + F.col("up")).orderBy("idx"))).where("up = 0")
+    created = F.when(F.col("traced_create"), F.col("call_to_address") if use_tracer else F.lit(None)).otherwise(format_address(F.col("after")))
+    return df.withColumn("target", F.when(create, created).otherwise(F.col("target"))).drop("traced_create", "left", "up", "after")
 
 
 def frame_table(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """One row a frame: key, frame_id, parent_id (null for the root), from entries and synthetic rows."""
-    roots = frames.select(*key).distinct().select(*key, F.lit(0).cast("long").alias("frame_id"), F.lit(None).cast("long").alias("parent_id"))
-    entered = frames.where("entry").select(*key, "frame_id", F.col("parent_at_entry").alias("parent_id"))
-    issued = frames.where("synthetic").select(*key, F.col("synthetic_id").alias("frame_id"), F.col("frame_id").alias("parent_id"))
-    return roots.unionByName(entered).unionByName(issued)
+    """One row a frame: key, frame_id, parent_id (null for the root) and level, from entries, synthetic rows and each trace's first row."""
+    row = lambda frame, parent, level: F.struct(frame.cast("long").alias("frame_id"), parent.cast("long").alias("parent_id"), level.cast("long").alias("level"))
+    of = F.array_compact(
+        F.array(
+            F.when(F.col("begins"), row(F.lit(0), F.lit(None), F.lit(1))),
+            F.when(F.col("entry"), row(F.col("frame_id"), F.col("parent_at_entry"), F.col("depth"))),
+            F.when(F.col("synthetic"), row(F.col("synthetic_id"), F.col("frame_id"), F.col("depth") + 1)),
+        )
+    )
+    frames = frames.withColumn("begins", F.lag("idx").over(in_trace(key)).isNull())
+    return frames.select(*key, F.explode(of).alias("x")).select(*key, "x.*")
 
 
 def frame_paths(table: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """key, frame_id and path (ids from the root to the frame) by pointer doubling: each round doubles the known part of every path and is
-    written as a table, so plans stay small; rounds end when every path has reached its root (log2 of the depth, at most 11)."""
-    known = settle(table.select(*key, "frame_id", F.array("frame_id").alias("path"), F.col("parent_id").alias("up")), "paths")
-    while not known.where("up is not null").isEmpty():
-        above = known.select(*key, F.col("frame_id").alias("up"), F.col("path").alias("above"), F.col("up").alias("next_up"))
-        longer = F.when(F.col("above").isNull(), F.col("path")).otherwise(F.concat("above", "path"))
-        known = settle(known.join(above, [*key, "up"], "left").select(*key, "frame_id", longer.alias("path"), F.col("next_up").alias("up")), "paths")
-    return known.select(*key, "frame_id", "path")
-
-
-def malformed(traces: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """The keys of traces that don't begin at depth 1 or fall below it, or rise by more than one: windows can't number their frames."""
-    jump = F.col("depth") - F.coalesce(F.lag("depth").over(in_trace(key)), F.lit(0))
-    first = F.row_number().over(in_trace(key)) == 1
-    return traces.select(*key, ((jump > 1) | (F.col("depth") < 1) | (first & (F.col("depth") != 1))).alias("bad")).where("bad").select(*key).distinct()
+    """key, frame_id and path (ids from the root to the frame) of frames (key, frame_id, parent_id, level). A transaction's frames are
+    numbered from 0 without gaps, so the list of their parents tells each path's next step up; a path has at most ``level`` of them."""
+    frames = table.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("frame_id", "parent_id", "level"))).alias("f")).withColumn("parents", F.transform("f", lambda x: x["parent_id"]))
+
+    def path(x):
+        up = lambda p: F.element_at("parents", (p[0] + 1).cast("int"))
+        climb = lambda p, _: F.when(up(p).isNull(), p).otherwise(F.concat(F.array(up(p)), p))
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(x["level"], F.lit(1)).cast("int")), F.array(x["frame_id"]), climb)
+
+    return frames.select(*key, F.explode(F.transform("f", lambda x: F.struct(x["frame_id"].alias("frame_id"), path(x).alias("path")))).alias("x")).select(*key, "x.*")
+
+
+def with_malformed(traces: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Adds malformed: whether the trace doesn't begin at depth 1, falls below it or rises by more than one, so that windows can't number
+    its frames."""
+    t = in_trace(key)
+    jump = F.col("depth") - F.coalesce(F.lag("depth").over(t), F.lit(0))
+    odd = (jump > 1) | (F.col("depth") < 1) | (F.lag("depth").over(t).isNull() & (F.col("depth") != 1))
+    df = traces.withColumn("odd", F.coalesce(odd, F.lit(True)))
+    return df.withColumn("malformed", F.max("odd").over(Window.partitionBy(*key))).drop("odd")

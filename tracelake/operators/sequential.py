@@ -15,87 +15,73 @@ from tracelake.functions import call_target
 from tracelake.operators.frames import KEY
 
 
-class _Frames:
-    """Open frames as parallel lists of ids and depths; ids are issued in order."""
-
-    def __init__(self):
-        self.ids, self.depths, self.issued = [0], [1], 1
-
-    def at(self, depth: int) -> tuple[bool, int | None]:
-        """Moves to a depth; whether that opened a frame, and the frame it was opened from."""
-        if depth > self.depths[-1]:
-            parent = self.ids[-1]
-            self.ids.append(self.take())
-            self.depths.append(depth)
-            return True, parent
-        while len(self.ids) > 1 and self.depths[-1] > depth:
-            self.ids.pop()
-            self.depths.pop()
-        return False, None
-
-    def take(self) -> int:
-        self.issued += 1
-        return self.issued - 1
-
-
-def _next_alike(depths: list[int]) -> list[int | None]:
-    """For each opcode the next one at its depth, if no shallower one comes before it."""
-    out: list[int | None] = [None] * len(depths)
-    waiting: dict[int, int] = {}
-    for i, d in enumerate(depths):
-        for deeper in [x for x in waiting if x > d]:
-            del waiting[deeper]
-        if d in waiting:
-            out[waiting[d]] = i
-        waiting[d] = i
-    return out
-
-
-def _inner_gas(depths: list[int], used: list[int], i: int) -> int:
-    total = 0
-    for j in range(i + 1, len(depths)):
-        if depths[j] <= depths[i]:
-            break
-        if depths[j] == depths[i] + 1:
-            total += used[j]
-    return total
+def _behind(depths: list[int], used: list[int] | None = None) -> tuple[list[int | None], list[int | None], list[int]]:
+    """For each opcode, read from the end: the next one at its depth before any shallower one, the next one that isn't deeper, and the gas
+    ``used`` one level down before that one."""
+    alike, level, inner = [None] * len(depths), [None] * len(depths), [0] * len(depths)
+    # opcodes further on by depth, the deepest last: the first one of each depth that nothing shallower hides, and its depth's gas
+    seen: list[list[int]] = []
+    for i in range(len(depths) - 1, -1, -1):
+        d = depths[i]
+        below = 0
+        while seen and seen[-1][0] > d:
+            depth, _, gas = seen.pop()
+            below = gas if depth == d + 1 else below
+        inner[i] = below
+        level[i] = seen[-1][1] if seen else None
+        if seen and seen[-1][0] == d:
+            alike[i], seen[-1][1] = seen[-1][1], i
+        else:
+            seen.append([d, i, 0])
+        seen[-1][2] += used[i] if used else 0
+    return alike, level, inner
 
 
 def with_frames_and_gas(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False) -> DataFrame:
-    """Traces with the columns of ``frames.with_frames`` and ``frames.with_gas``, and path: the ids from the root to the frame."""
+    """Traces with the columns of ``frames.with_frames`` and ``frames.with_gas``, next_words (memory words at the frame's next opcode) and
+    created_top (the top of the stack at the next opcode that isn't deeper)."""
     from tracelake.functions.opcodes import CALLS, CREATES, PRECOMPILES
 
     df = traces.withColumn("target", call_target(F.col("op"), F.col("call_to_address"), F.col("s2")))
     added = T.StructType().add("next_depth", "long").add("synthetic", "boolean").add("entry", "boolean").add("call_type", "string").add("tracer_target", "string")
     for c in ("synthetic_id", "frame_id", "parent_at_entry", "gas_self"):
         added = added.add(c, "long")
-    added = added.add("path", T.ArrayType(T.LongType())).add("next_words", "long").add("next_top", "string")
+    added = added.add("next_words", "long").add("created_top", "string")
     schema = T.StructType([*df.schema.fields, *added.fields])
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf.sort_values("idx").to_dict("records")
         text = lambda v: v if isinstance(v, str) else None
         depths = [int(r["depth"]) for r in rows]
-        after = _next_alike(depths)
+        after, level, _ = _behind(depths)
         if pd.notna(rows[0]["gas_used"]) and rows[0]["gas_used"] > 0:
             used = [0 if pd.isna(r["gas_used"]) else int(r["gas_used"]) for r in rows]
         else:
             used = [int(r["gas"] - rows[j]["gas"]) if j is not None and rows[j]["gas"] <= r["gas"] else int(r["gas_cost"]) for r, j in zip(rows, after)]
-        frames, out = _Frames(), []
+        inner = _behind(depths, used)[2]
+        last_opened, issued, out = {1: 0}, 1, []  # the open frames by the depth that opened them, and how many ids are out
         for i, r in enumerate(rows):
-            entry, parent = frames.at(max(depths[i], 1))
+            now, parent = max(depths[i], 1), None
+            entry = now > next(reversed(last_opened))
+            if entry:
+                parent = last_opened[next(reversed(last_opened))]
+                last_opened[now], issued = issued, issued + 1
+            while len(last_opened) > 1 and next(reversed(last_opened)) > now:
+                last_opened.popitem()
+            frame_id = last_opened[next(reversed(last_opened))]
             nxt = depths[i + 1] if i + 1 < len(rows) else None
             target = text(r["target"])
             at_once = r["op"] in CALLS and target is not None and nxt == depths[i]
             if at_once and not precompile_frames:
                 at_once = ("0x" + target.removeprefix("0x")[-40:].rjust(40, "0")).lower() not in PRECOMPILES
-            own = max(0, used[i] - _inner_gas(depths, used, i)) if r["op"] in CALLS + CREATES else used[i]
-            j = after[i]
+            issued += at_once
+            own = max(0, used[i] - inner[i]) if r["op"] in CALLS + CREATES else used[i]
+            j, k = after[i], level[i]
             size = None if j is None or pd.isna(rows[j]["mem_size"]) else int(rows[j]["mem_size"])
-            frame_id, path = frames.ids[-1], list(frames.ids)
             out.append(
                 r | {"target": target, "gas_used": used[i], "next_depth": nxt, "synthetic": at_once, "entry": entry, "call_type": rows[i - 1]["op"] if i else None, "tracer_target": text(rows[i - 1]["call_to_address"]) if i else None}
-                | {"synthetic_id": frames.take() if at_once else None, "frame_id": frame_id, "parent_at_entry": parent, "gas_self": own, "path": path, "next_words": None if j is None else (0 if size is None else (size + 31) % (1 << 32) // 32), "next_top": None if j is None else text(rows[j]["s1"])}
+                | {"synthetic_id": issued - 1 if at_once else None, "frame_id": frame_id, "parent_at_entry": parent, "gas_self": own}
+                | {"next_words": None if j is None else (0 if size is None else (size + 31) % (1 << 32) // 32), "created_top": None if k is None else text(rows[k]["s1"])}
             )
         done = pd.DataFrame(out, columns=schema.names)
         for f in schema.fields:

@@ -19,48 +19,44 @@ KEY = fr.KEY
 CALL_TYPES = ["CALL", "CALLCODE", "DELEGATECALL", "STATICCALL", "CREATE", "CREATE2"]
 
 
-def annotated(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False, fallback: bool = True) -> DataFrame:
-    """Traces with frames, gas, created addresses, memory, cold access and the precompile split. Transactions whose depths are malformed
-    take the sequential way, unless ``fallback`` is off (for sources known to be well formed)."""
+def annotated(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False, fallback: bool = True, created: bool = True) -> DataFrame:
+    """Traces with frames, gas, memory, cold access and the precompile split, and the addresses that creates made, if ``created``. One
+    exchange by the key serves all of it. A first pass over keys, places and depths asks whether any trace is malformed (``fallback`` off:
+    the source is known to be well formed); only then is the input split, and those transactions take the sequential way."""
     df = fr.normal(traces)
-    if not fallback:
-        return _finish(fr.with_gas(fr.with_frames(df, key, precompile_frames), key), key)
-    bad = fr.malformed(df, key)
-    fine = _finish(fr.with_gas(fr.with_frames(df.join(bad, key, "left_anti"), key, precompile_frames), key), key)
-    odd = sq.with_frames_and_gas(df.join(bad, key, "left_semi"), key, precompile_frames)
-    return fine.withColumn("path", F.lit(None).cast("array<long>")).unionByName(_finish_sequential(odd, key))
+    regular = lambda rows: _finish(fr.with_gas(fr.with_frames(rows, key, precompile_frames), key), key, created)
+    if not fallback or fr.with_malformed(df.select(*key, "idx", "depth"), key).where("malformed").isEmpty():
+        return regular(df)
+    df = fr.with_malformed(df, key)
+    odd = sq.with_frames_and_gas(df.where("malformed").drop("malformed"), key, precompile_frames)
+    return regular(df.where(~F.col("malformed")).drop("malformed")).unionByName(_finish_sequential(odd, key, created))
 
 
-def _finish(df: DataFrame, key: list[str]) -> DataFrame:
-    return rs.with_precompile_split(rs.with_cold(rs.with_memory(fr.with_created(df, key), key)))
+def _finish(df: DataFrame, key: list[str], created: bool) -> DataFrame:
+    return rs.with_precompile_split(rs.with_cold(rs.with_memory(fr.with_created(df, key) if created else df, key)))
 
 
-def _finish_sequential(df: DataFrame, key: list[str]) -> DataFrame:
+def _finish_sequential(df: DataFrame, key: list[str], created: bool) -> DataFrame:
     """The same columns for rows whose neighbours in the frame were found in order."""
     size = F.coalesce(F.col("mem_size"), F.lit(0))
     known = F.max(size).over(Window.partitionBy(*key)) > 0
     create = F.col("op").isin("CREATE", "CREATE2")
-    traced = F.coalesce(F.min_by(F.col("call_to_address").isNotNull(), F.when(create, F.col("idx"))).over(Window.partitionBy(*key)), F.lit(False))
-    later = Window.partitionBy(*key).orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
-    # a malformed trace is one small group: the first later opcode that isn't deeper is picked from a list of those behind
-    behind = F.collect_list(F.struct("depth", "s1")).over(later)
-    df = df.withColumns({"has_memory": known, "words_before": F.when(known, rs.words(size)).otherwise(0).cast("long"), "top": F.when(create, F.try_element_at(F.transform(F.filter(behind, lambda x: x["depth"] <= F.col("depth")), lambda x: x["s1"]), F.lit(1)))})
-    df = df.withColumn("target", F.when(create, F.when(traced, F.lit(None)).otherwise(format_address(F.col("top")))).otherwise(F.col("target")))
+    df = df.withColumns({"has_memory": known, "words_before": F.when(known, rs.words(size)).otherwise(0).cast("long")})
+    if created:
+        traced = F.coalesce(F.min_by(F.col("call_to_address").isNotNull(), F.when(create, F.col("idx"))).over(Window.partitionBy(*key)), F.lit(False))
+        df = df.withColumn("target", F.when(create, F.when(traced, F.lit(None)).otherwise(format_address(F.col("created_top")))).otherwise(F.col("target")))
     end = rs.parse_hex_u64(F.col("s1")) + rs.parse_hex_u64(F.col("s2"))
     end = F.when(end > rs.U32, F.lit(rs.U32)).otherwise(end).cast("long")
     own_end = F.when(F.col("op").isin("RETURN", "REVERT") & F.col("s2").isNotNull() & (end > 0), rs.words(end))
     after = F.coalesce(F.col("next_words"), F.greatest(F.col("words_before"), own_end))
     df = df.withColumn("words_after", F.when(F.col("has_memory"), after).otherwise(0).cast("long")).withColumn("mem_exp", rs.expansion_gas(F.col("words_before"), F.col("words_after")))
-    return rs.with_precompile_split(rs.with_cold(df)).drop("has_memory", "top", "next_words", "next_top")
+    return rs.with_precompile_split(rs.with_cold(df)).drop("has_memory", "next_words", "created_top")
 
 
 def with_paths(df: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Adds path for every row, from the frames of well-formed traces or the row's own. The rows are written once: several branches read
-    them."""
+    """Adds path for every row. The rows are written once: the frames are found from them, and joined to them."""
     df = settle(df, "annotated")
-    paths = fr.frame_paths(fr.frame_table(df.where("path is null") if "path" in df.columns else df, key), key)
-    own = df.withColumnRenamed("path", "own_path") if "path" in df.columns else df.withColumn("own_path", F.lit(None).cast("array<long>"))
-    return own.join(paths, [*key, "frame_id"], "left").withColumn("path", F.coalesce("own_path", "path")).drop("own_path")
+    return df.join(fr.frame_paths(fr.frame_table(df, key), key), [*key, "frame_id"])
 
 
 def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True) -> DataFrame:
@@ -82,19 +78,16 @@ def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KE
 
 
 def frame_rows(df: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Real and synthetic rows with the order ``seq`` in which the machine went through them."""
-    first = ["call_type", "tracer_target", "parent_at_entry"]
-    own = df.select(
-        *key, "frame_id", (F.col("idx") * 2).alias("seq"), "op", "gas", F.col("gas_used").alias("used"), F.col("own_gas").alias("self"), has_error(F.col("error")).cast("long").alias("err"), "refund", F.col("depth").cast("long").alias("depth"),
-        "words_before", "words_after", "mem_exp", "cold", *[F.when(F.col("entry"), F.col(c)).alias(a) for c, a in zip(first, ("cop", "ctarget", "parent"))], F.when(F.col("entry") | (F.col("frame_id") == 0), F.col("path")).alias("path"),
-    )
-    zero = F.lit(0).cast("long")
-    made = df.where("synthetic").select(
-        *key, F.col("synthetic_id").alias("frame_id"), (F.col("idx") * 2 + 1).alias("seq"), F.lit("").alias("op"), zero.alias("gas"), F.col("precompile_gas").alias("used"), F.col("precompile_gas").alias("self"), zero.alias("err"),
-        F.lit(None).cast("long").alias("refund"), (F.col("depth") + 1).cast("long").alias("depth"), zero.alias("words_before"), zero.alias("words_after"), zero.alias("mem_exp"), zero.alias("cold"),
-        F.col("op").alias("cop"), F.col("target").alias("ctarget"), F.col("frame_id").alias("parent"), F.concat("path", F.array("synthetic_id")).alias("path"),
-    )
-    return own.unionByName(made)
+    """Real and synthetic rows with the order ``seq`` in which the machine went through them: one row of the trace gives one or two."""
+    zero, null = F.lit(0).cast("long"), F.lit(None)
+    entry = lambda c: F.when(F.col("entry"), F.col(c))
+    each = {
+        "frame_id": ("frame_id", "synthetic_id"), "seq": (F.col("idx") * 2, F.col("idx") * 2 + 1), "op": ("op", F.lit("")), "gas": ("gas", zero), "used": ("gas_used", "precompile_gas"), "self": ("own_gas", "precompile_gas"),
+        "err": (has_error(F.col("error")).cast("long"), zero), "refund": ("refund", null.cast("long")), "depth": (F.col("depth").cast("long"), (F.col("depth") + 1).cast("long")), "words_before": ("words_before", zero), "words_after": ("words_after", zero),
+        "mem_exp": ("mem_exp", zero), "cold": ("cold", zero), "call_type": (entry("call_type"), "op"), "call_target": (entry("tracer_target"), "target"), "parent": (entry("parent_at_entry"), "frame_id"),
+    }
+    row = lambda k: F.struct(*((F.col(v[k]) if isinstance(v[k], str) else v[k]).alias(c) for c, v in each.items()))
+    return df.select(*key, F.explode(F.when(F.col("synthetic"), F.array(row(0), row(1))).otherwise(F.array(row(0)))).alias("r")).select(*key, "r.*")
 
 
 SUMS = {
@@ -111,22 +104,32 @@ def _sums():
     return [F.sum(F.expr(e)).cast("long").alias(c) for c, e in SUMS.items()]
 
 
-def opcode_stats(rows: DataFrame, key: list[str] = KEY) -> DataFrame:
+def frame_opcodes(rows: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Per frame and opcode ('' for a synthetic frame's row): counts, gas, errors, depths (1 is the top) and resource sums, and what a
+    frame's summary needs of its first and last rows."""
+    return rows.groupBy(*key, "frame_id", F.col("op").alias("operation")).agg(
+        F.count("*").alias("opcode_count"), F.sum("err").alias("error_count"), F.sum("self").alias("gas"), F.sum("used").alias("gas_cumulative"), F.min("depth").alias("min_depth"), F.max("depth").alias("max_depth"), *_sums(),
+        F.min(F.struct("seq", "gas", "depth")).alias("first"), F.max(F.struct("seq", "gas", "used")).alias("last"), F.max(F.coalesce("refund", F.lit(0))).alias("refund"), F.max("call_type").alias("call_type"), F.max("call_target").alias("call_target"), F.max("parent").alias("parent"),
+    )
+
+
+STATS = ["opcode_count", "error_count", "gas", "gas_cumulative", "min_depth", "max_depth", *SUMS]
+
+
+def opcode_stats(opcodes: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Per frame and opcode: counts, gas, errors, depths (1 is the top) and resource sums."""
-    return rows.where("op <> ''").groupBy(*key, "frame_id", F.col("op").alias("operation")).agg(
-        F.count("*").alias("opcode_count"), F.sum("err").alias("error_count"), F.sum("self").alias("gas"), F.sum("used").alias("gas_cumulative"), F.min("depth").alias("min_depth"), F.max("depth").alias("max_depth"), *_sums()
-    )
+    return opcodes.where("operation <> ''").select(*key, "frame_id", "operation", *STATS)
 
 
-def frame_summaries(rows: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Per frame: what its rows say, and gas_cumulative (what it and the frames below it used)."""
-    df = rows.groupBy(*key, "frame_id").agg(
-        F.sum((F.col("op") != "").cast("long")).alias("opcode_count"), F.sum("err").alias("error_count"), F.min_by("gas", "seq").alias("first_gas"), F.max_by("gas", "seq").alias("last_gas"), F.max_by("used", "seq").alias("last_used"),
-        F.max(F.coalesce("refund", F.lit(0))).alias("max_refund"), F.min_by("depth", "seq").alias("first_depth"), F.max("cop").alias("cop"), F.max("ctarget").alias("ctarget"), F.max("parent").alias("parent_call_frame_id"),
-        F.min_by("path", "seq").alias("call_frame_path"), *_sums(),
+def frame_summaries(opcodes: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Per frame: what its opcodes say, and gas_cumulative (what it and the frames below it used)."""
+    df = opcodes.groupBy(*key, "frame_id").agg(
+        F.sum(F.when(F.col("operation") != "", F.col("opcode_count")).otherwise(0)).alias("opcode_count"), F.sum("error_count").alias("error_count"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.max("refund").alias("max_refund"), F.max("call_type").alias("entry_type"), F.max("call_target").alias("entry_target"), F.max("parent").alias("parent_call_frame_id"), *(F.sum(c).cast("long").alias(c) for c in SUMS),
     )
-    spent = F.when(F.col("first_gas") >= F.col("last_gas"), F.col("first_gas") - F.col("last_gas")).otherwise(0)
-    return df.withColumn("gas_cumulative", (spent + F.col("last_used")).cast("long"))
+    spent = F.when(F.col("first.gas") >= F.col("last.gas"), F.col("first.gas") - F.col("last.gas")).otherwise(0)
+    df = df.withColumns({"first_gas": F.col("first.gas"), "last_gas": F.col("last.gas"), "last_used": F.col("last.used"), "first_depth": F.col("first.depth")})
+    return df.withColumn("gas_cumulative", (spent + F.col("last_used")).cast("long")).drop("first", "last")
 
 
 def with_own_gas(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
@@ -148,23 +151,25 @@ def call_type(op):
 
 def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True) -> DataFrame:
     """One summary row (operation '') a frame and one row a frame and opcode; transactions without opcodes give one summary row."""
-    rows = settle(frame_rows(with_paths(annotated(traces, key, True, fallback), key), key), "frame-rows")
-    frames = with_own_gas(frame_summaries(rows, key), key).join(transactions.select(*key, "to_address", "trace_gas", "trace_failed"), key)
+    by_opcode = settle(frame_opcodes(frame_rows(annotated(traces, key, True, fallback, created=False), key), key), "frame-opcodes")
+    frames = frame_summaries(by_opcode, key)
+    paths = fr.frame_paths(frames.select(*key, "frame_id", F.col("parent_call_frame_id").alias("parent_id"), F.col("first_depth").alias("level")), key).withColumnRenamed("path", "call_frame_path")
+    frames = with_own_gas(frames, key).join(paths, [*key, "frame_id"]).join(transactions.select(*key, "to_address", "trace_gas", "trace_failed"), key)
     root = F.col("frame_id") == 0
     errors = F.when(root & F.col("trace_failed") & (F.col("error_count") == 0), 1).otherwise(F.col("error_count"))
     refund = F.when(F.col("errors") > 0, 0).otherwise(F.col("max_refund")).cast("long")
     frames = frames.withColumn("errors", errors).withColumns({
         "refund": F.when(root, refund).otherwise(0).cast("long"),
         "depth": F.when(root, 0).otherwise(F.col("first_depth") - 1).cast("long"),
-        "target_address": F.when(root, F.col("to_address")).otherwise(F.col("ctarget")),
-        "call_type": F.when(root, "").otherwise(call_type(F.col("cop"))),
+        "target_address": F.when(root, F.col("to_address")).otherwise(F.col("entry_target")),
+        "call_type": F.when(root, "").otherwise(call_type(F.col("entry_type"))),
         "intrinsic_gas": F.when(root, intrinsic_gas(F.col("gas_cumulative"), refund, F.col("trace_gas"))),
     })
     about = ["frame_id", "parent_call_frame_id", "call_frame_path", "depth", "target_address", "call_type"]
     summary = frames.select(
         *key, *about, F.lit("").alias("operation"), "opcode_count", F.col("errors").cast("long").alias("error_count"), "gas", "gas_cumulative", F.col("depth").alias("min_depth"), F.col("depth").alias("max_depth"), F.col("refund").alias("gas_refund"), "intrinsic_gas", *SUMS
     )
-    stats = opcode_stats(rows, key).join(frames.select(*key, *about), [*key, "frame_id"])
+    stats = opcode_stats(by_opcode, key).join(frames.select(*key, *about), [*key, "frame_id"])
     opcodes = stats.select(
         *key, *about, "operation", "opcode_count", F.col("error_count").cast("long").alias("error_count"), "gas", "gas_cumulative", "min_depth", "max_depth", F.lit(0).cast("long").alias("gas_refund"), F.lit(None).cast("long").alias("intrinsic_gas"), *SUMS
     )

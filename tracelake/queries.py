@@ -98,7 +98,7 @@ def _headers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _annotated(spark: SparkSession, d: str, all_frames: bool = False) -> DataFrame:
-    return tr.annotated(_traces(spark, d), KEY, all_frames, fallback=False)
+    return tr.annotated(_traces(spark, d), KEY, all_frames, created=False)
 
 
 def _transactions(spark: SparkSession, d: str) -> DataFrame:
@@ -282,7 +282,7 @@ w AS (SELECT tx, CAST(idx AS BIGINT) AS index, op AS operation, gas, gas_cost, u
   UNION ALL SELECT tx, CAST(idx AS BIGINT), '', 0, 0, 0, 0, CAST(depth + 1 AS BIGINT), NULL, error, sid FROM g WHERE syn)
 SELECT w.*, fp.path AS call_frame_path FROM w JOIN fp ON w.tx = fp.tx AND w.call_frame_id = fp.fid JOIN orders ON o_orderkey = w.tx""")
 def opcode_table(spark, d):
-    df = tr.opcode_table(_traces(spark, d), _headers(spark, d), KEY, fallback=False)
+    df = tr.opcode_table(_traces(spark, d), _headers(spark, d), KEY)
     return df.select("tx", "index", "operation", "gas", "gas_cost", "gas_used", "gas_self", "depth", "refund", "error", "call_frame_id", _text("call_frame_path").alias("call_frame_path"))
 
 
@@ -291,8 +291,7 @@ _OPS = "oc AS (SELECT tx, fid, op, count(*) AS n, sum(err) AS e, sum(self) AS g,
 
 
 def _rows(spark, d):
-    df = _annotated(spark, d, True).withColumn("path", F.lit(None).cast("array<long>"))
-    return tr.frame_rows(df, KEY)
+    return tr.frame_opcodes(tr.frame_rows(_annotated(spark, d, True), KEY), KEY)
 
 
 @query("opcode_rows", _chain(True) + _AGG + ", " + _OPS + f" SELECT tx, fid AS frame_id, op AS operation, n AS opcode_count, CAST(e AS BIGINT) AS error_count, CAST(g AS BIGINT) AS gas, CAST(cum AS BIGINT) AS gas_cumulative, CAST(d0 AS BIGINT) AS min_depth, CAST(d1 AS BIGINT) AS max_depth, {_SUMMED} FROM oc")
@@ -316,7 +315,7 @@ def frame_gas_self(spark, d):
 
 
 def _agg(spark, d):
-    return tr.frame_agg_table(_traces(spark, d), _headers(spark, d), KEY, fallback=False)
+    return tr.frame_agg_table(_traces(spark, d), _headers(spark, d), KEY)
 
 
 @query("intrinsic_gas", _chain(True) + _AGG + " SELECT tx, CAST(CASE WHEN raw > 0 THEN raw END AS BIGINT) AS intrinsic_gas, CAST(ref AS BIGINT) AS gas_refund, CAST(errors AS BIGINT) AS error_count FROM fi WHERE fid = 0")
