@@ -2,12 +2,14 @@
 
 Fitting takes a bounded sample (at most about ``FIT_ROWS`` distinct vectors): k-means gives the coarse centroids, and k-means on the
 residuals' parts gives the codebooks. Every distinct vector is indexed: in the list of its nearest centroid, with one code byte for
-each part. A query visits the ``PROBES`` lists whose centroids have the largest inner products with it; in a list, tables of the inner
-products of the query's parts with the codewords give every vector an estimate (asymmetric distances), and the ``RERANK`` best of each bin
-are scored exactly, in double precision.
-
-Lists are dealt in bins of about ``CHUNK`` vectors - short lists share one, a long list has several - and queries in blocks, so neither a
-long list nor one that many queries visit lands in one task; a query leaves a bin with its k + 1 best. Equal vectors are one entry with its k + 1 smallest ids: more can't be among the k nearest, as ties go to the smaller id.
+each part. A query visits the lists whose centroids have the largest inner products with it: as many as hold ``COVER`` of the k nearest in
+the fitting sample, found there by comparing some of its vectors with all of it. That number follows the data: a few lists where vectors
+cluster, most of them where they lie evenly on a sphere. In a list, tables of the inner products of the query's parts with the codewords
+give every vector an estimate (asymmetric distances), and the ``RERANK`` best of each bin are scored exactly, in double precision.
+
+Lists are dealt in bins of about ``CHUNK`` vectors: short lists share one, a long list has several. A bin's vectors are sent once for each
+``BLOCK`` queries that visit it, and held while these stream past, so neither a long list nor one that many queries visit lands in one
+task, and no task holds more than a bin; a query leaves a bin with its k + 1 best. Equal vectors are one entry with its k + 1 smallest ids: more can't be among the k nearest, as ties go to the smaller id.
 Equal queries search once.
 
 Vectors that are null, zero, of another length than most, or that hold a null or non-finite component take no part, neither as queries
@@ -27,10 +29,11 @@ from tracelake.llm import _shared
 FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
 MAX_LISTS = 4096
-#: Share of the lists that a query visits, and at least so many.
-PROBE_SHARE, MIN_PROBES = 0.6, 40
+#: Share of the sample's nearest vectors that the visited lists must hold, and the sample's vectors that are asked for it.
+COVER, ASKED = 0.97, 400
 RERANK = 512
 CHUNK = 8_192
+BLOCK = 65_536
 
 
 def _kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
@@ -78,6 +81,20 @@ class Codebook:
         return np.stack([w @ q[a:b] for w, a, b in zip(self.words, self.edges, self.edges[1:])])
 
 
+def probes_for(book: Codebook, sample: np.ndarray, k: int) -> int:
+    """The lists that a query must visit to find ``COVER`` of its k nearest vectors of the sample, in the mean over some of its vectors."""
+    asked = sample[:: -(-len(sample) // ASKED)]
+    rank = np.argsort(np.argsort(-(asked @ book.coarse.T), axis=1, kind="stable"), axis=1)
+    score = asked @ sample.T
+    score[np.arange(len(asked)), np.arange(len(sample))[:: -(-len(sample) // ASKED)]] = -np.inf
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return len(book.coarse)
+    best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    needed = np.sort(np.take_along_axis(rank, book.nearest(sample)[best], axis=1).reshape(-1)) + 1
+    return int(needed[min(len(needed) - 1, int(np.ceil(COVER * len(needed))))])
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v) of the vectors that take part, v as array of doubles."""
     v = F.col("v")
@@ -92,6 +109,32 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+def _bin(rows: pa.Table, width: int):
+    """A bin's vectors in the order of their lists: ids, lists, places of their code words in the tables, and the vectors."""
+    uid, near = rows.column("id").to_numpy(), rows.column("list").to_numpy()
+    order = np.lexsort((uid, near))
+    codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(len(uid), -1)[order].astype(np.int64)
+    return uid[order], near[order], codes + np.arange(codes.shape[1]) * CODES, _matrix(rows.column("v").combine_chunks(), width)[order]
+
+
+def _best(book: Codebook, index, asked: pa.RecordBatch, width: int, k: int, rerank: int, schema: pa.Schema):
+    """The k + 1 nearest vectors of a bin for each query among those of the lists it visits."""
+    uid, near, flat, v = index
+    q = _matrix(asked.column("v"), width)
+    out = []
+    for query, x, visited in zip(asked.column("id").to_pylist(), q, asked.column("visited").to_pylist()):
+        best = np.concatenate([np.arange(i, j) for i, j in zip(np.searchsorted(near, visited), np.searchsorted(near, visited, side="right"))])
+        if len(best) > rerank:
+            # residuals' products from the tables, and that of the list's centroid
+            estimate = book.tables(x).reshape(-1)[flat[best]].sum(axis=1) + (book.coarse @ x)[near[best]]
+            best = best[np.argpartition(-estimate, rerank)[:rerank]]
+        score = v[best] @ x
+        top = np.lexsort((uid[best], -score))[: k + 1]
+        out.append((np.full(len(top), query), uid[best[top]], score[top]))
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k nearest of each row for which ``is_query`` (a condition on the column id) holds: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
@@ -109,8 +152,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     width = len(sample["v"][0]) if len(sample) else len(entries.first()["v"])
     matrix = _matrix(sample["v"].combine_chunks(), width) if len(sample) else np.array([entries.first()["v"]])
     lists = int(np.clip(np.sqrt(n), 1, min(MAX_LISTS, max(1, len(matrix) // 8))))
-    book = spark.sparkContext.broadcast(Codebook(matrix, lists))  # MAX_LISTS and CODES bound its size
-    probes = min(lists, max(MIN_PROBES, round(PROBE_SHARE * lists)))
+    fitted = Codebook(matrix, lists)
+    book = spark.sparkContext.broadcast(fitted)  # MAX_LISTS and CODES bound its size
+    probes = min(lists, probes_for(fitted, matrix, k))
 
     def index(batches):
         for batch in batches:
@@ -155,38 +199,40 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             if rows:
                 at, which, visited = zip(*rows)
                 which = pa.array(which)
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0).take(which), batch.column(1).take(which), pa.array(visited, pa.list_(pa.int64()))], names=["of_bin", "query", "q", "visited"])
-
-    visits = queries.mapInArrow(probe, "of_bin int, query long, q array<double>, visited array<long>")
-    blocks = max(1, -(-int(asked.count()) // CHUNK))
-    visits = visits.withColumn("of_block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
-    stored = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0).take(which), batch.column(1).take(which), pa.array(visited, pa.list_(pa.int64()))], names=["bin", "query", "q", "visited"])
+
+    visits = _shared.settle(queries.mapInArrow(probe, "bin int, query long, q array<double>, visited array<long>"), "visits")
+    blocks = visits.groupBy("bin").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    null = F.lit(None)
+    copies = stored.join(blocks, "bin").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asking = visits.join(blocks, "bin").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int"))
+    rows = copies.select("bin", "block", F.lit(0).alias("kind"), F.col("uid").alias("id"), "list", "code", "v", null.cast("array<long>").alias("visited")).unionByName(
+        asking.select("bin", "block", F.lit(1).alias("kind"), F.col("query").alias("id"), null.cast("long").alias("list"), null.cast("binary").alias("code"), F.col("q").alias("v"), "visited")
+    )
     schema = pa.schema([("query", pa.int64()), ("uid", pa.int64()), ("score", pa.float64())])
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return schema.empty_table()
-        uid, near = left.column("uid").to_numpy(), left.column("list").to_numpy()
-        order = np.lexsort((uid, near))
-        uid, near = uid[order], near[order]
-        codes = np.frombuffer(b"".join(left.column("code").to_pylist()), np.uint8).reshape(len(uid), -1)[order].astype(np.int64)
-        flat = codes + np.arange(codes.shape[1]) * CODES
-        v = _matrix(left.column("v").combine_chunks(), width)[order]
-        q = _matrix(right.column("q").combine_chunks(), width)
-        out = []
-        for query, x, visited in zip(right.column("query").to_pylist(), q, right.column("visited").to_pylist()):
-            ends = zip(np.searchsorted(near, visited), np.searchsorted(near, visited, side="right"))
-            best = np.concatenate([np.arange(i, j) for i, j in ends])
-            if len(best) > RERANK:
-                # residuals' products from the tables, and that of the list's centroid
-                estimate = book.value.tables(x).reshape(-1)[flat[best]].sum(axis=1) + (book.value.coarse @ x)[near[best]]
-                best = best[np.argpartition(-estimate, RERANK)[:RERANK]]
-            score = v[best] @ x
-            top = np.lexsort((uid[best], -score))[: k + 1]
-            out.append((np.full(len(top), query), uid[best[top]], score[top]))
-        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
-
-    found = stored.groupBy("bin", "block").cogroup(visits.groupBy("of_bin", "of_block")).applyInArrow(search, "query long, uid long, score double")
+    rerank = RERANK
+
+    def search(batches):
+        held, now, index = [], None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            where = batch.column(0).to_numpy().astype(np.int64) << 32 | batch.column(1).to_numpy()
+            kind = batch.column(2).to_numpy()
+            cuts = np.flatnonzero((np.diff(where) != 0) | (np.diff(kind) != 0)) + 1
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+                part = batch.slice(i, j - i)
+                if where[i] != now:
+                    held, now, index = [], where[i], None
+                if kind[i] == 0:
+                    held.append(part)
+                    continue
+                if index is None:
+                    index, held = _bin(pa.Table.from_batches(held).combine_chunks(), width), []
+                yield from _best(book.value, index, part, width, k, rerank, schema)
+
+    found = rows.repartition("bin", "block").sortWithinPartitions("bin", "block", "kind").mapInArrow(search, "query long, uid long, score double")
     top = found.withColumn("i", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "uid"))).where(F.col("i") <= k + 1)
     # the ids of the k + 1 nearest entries, the best k + 1 of them: at most (k + 1)**2 a query before the cut
     listed = top.join(entries.select("uid", "ids"), "uid").groupBy("query").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("s"), i.alias("i"))))).alias("near"))
