@@ -143,6 +143,46 @@ def test_html_text_of_the_pages(spark, sf_dir):
         assert r["text"] == "\n\n".join(b for b in blocks if b)
 
 
+def recall(spark, rows, k=20):
+    """Share of the exact k nearest that are found for the vectors whose id 20 divides; scores are held against exact ones."""
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>").repartition(4)
+    hits = 0
+    got = {}
+    for r in ann.nearest(df, F.col("id") % 20 == 0, k).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    asked = range(0, len(rows), 20)
+    assert sorted(got) == list(asked)
+    for i in asked:
+        s = rows @ rows[i]
+        s[i] = -np.inf
+        best = set(np.argsort(-s)[:k].tolist())
+        assert [x[0] for x in sorted(got[i])] == list(range(1, k + 1)) and all(abs(s[v] - x) < 1e-9 for _, v, x in got[i])
+        hits += len(best & {v for _, v, _ in got[i]})
+    return hits / (k * len(asked))
+
+
+def test_nearest_among_many(spark, monkeypatch):
+    """20,000 vectors in clusters: most lists are skipped, code words choose the few that are scored, bins and blocks are cut."""
+    used, real = [], ann.probes_for
+    monkeypatch.setattr(ann, "probes_for", lambda book, *a: used.append((real(book, *a), len(book.coarse))) or used[-1][0])
+    monkeypatch.setattr(ann, "RERANK", 128)
+    monkeypatch.setattr(ann, "CHUNK", 1_000)
+    monkeypatch.setattr(ann, "BLOCK", 300)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(150, 32))
+    rows = centres[rng.integers(0, 150, 20_000)] + 0.4 * rng.normal(size=(20_000, 32))
+    assert recall(spark, rows / np.linalg.norm(rows, axis=1)[:, None]) >= 0.9
+    probes, lists = used[0]
+    assert lists > 100 and probes < 0.25 * lists
+
+
+def test_nearest_on_a_sphere(spark, monkeypatch):
+    """4,000 vectors without any clusters: so many lists are visited that 0.9 of the nearest are found."""
+    monkeypatch.setattr(ann, "RERANK", 256)
+    rows = np.random.default_rng(4).normal(size=(4_000, 64))
+    assert recall(spark, rows / np.linalg.norm(rows, axis=1)[:, None]) >= 0.9
+
+
 def test_nearest(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
     extra = [(10_000, None), (10_001, [0.0] * 64), (10_002, [float("nan")] * 64), (10_003, [None] * 64), (10_004, list(rows[0]["embedding"])), (10_005, list(rows[0]["embedding"])), (10_005, list(rows[0]["embedding"]))]
@@ -166,24 +206,6 @@ def test_nearest(spark, sf_dir):
     assert ann.nearest(df.where("false"), F.col("id") % 20 == 0).count() == 0
 
 
-def test_nearest_that_cuts(spark, monkeypatch):
-    """Few probes, a short list for the exact scores and small bins, so that each of them leaves vectors out."""
-    for name, value in (("MIN_PROBES", 1), ("RERANK", 120), ("CHUNK", 100)):
-        monkeypatch.setattr(ann, name, value)
-    m = np.random.default_rng(3).normal(size=(3_000, 16)).astype(np.float32)
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<float>")
-    rows = ann.nearest(df, F.col("id") % 20 == 0).collect()
-    got = {}
-    for r in rows:
-        got.setdefault(r["query_id"], set()).add(r["vec_id"])
-    s = m.astype(float) @ m.astype(float).T
-    np.fill_diagonal(s, -np.inf)
-    best = {i: set(np.argsort(-s[i], kind="stable")[:20].tolist()) for i in range(0, 3_000, 20)}
-    hits = sum(len(best[i] & got[i]) for i in best)
-    assert set(got) == set(best) and 0.9 * 20 * len(best) <= hits
-    assert all(abs(r["score"] - s[r["query_id"], r["vec_id"]]) < 1e-9 for r in rows)
-
-
 def brute_lines(texts, min_words):
     lines = [(d, p, x) for d, t in enumerate(texts) if t is not None for p, x in enumerate(t.split("\n"))]
     start = {d: next(i for i, x in enumerate(lines) if x[0] == d) for d in {x[0] for x in lines}}

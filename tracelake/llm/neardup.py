@@ -114,9 +114,9 @@ def _set_hash(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return c1.view(np.int64), c2.view(np.int64)
 
 
-def signatures(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, th (hash of the text), n (set size), c1 and c2 (hash of the set), roots (TOKENS minwise tokens of 32 bits) and
-    sig (their low halves, which is what moves with a class, then the sketch of parities)."""
+def signatures(docs: DataFrame, words: int = WORDS, selected: int = TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: doc_id, th (hash of the text), n (set size), c1 and c2 (hash of the set), roots (those minwise tokens of 32 bits that
+    the roots select) and sig (the low halves of all TOKENS ones, which is what moves with a class, then the sketch of parities)."""
 
     def task(batches):
         for batch in batches:
@@ -131,7 +131,7 @@ def signatures(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text
             c1, c2 = _set_hash(sets)
             place = np.repeat(np.arange(len(sets)) * BUCKETS, size) + (_text.mix(flat) % np.uint64(BUCKETS)).astype(np.int64)
             odd = np.packbits(np.bincount(place, minlength=len(sets) * BUCKETS).reshape(-1, BUCKETS) & 1, axis=1)
-            roots = [s.tobytes() for s in sig]
+            roots = [s.tobytes() for s in sig[:, :selected]]
             sketch = [s.tobytes() + o.tobytes() for s, o in zip(sig.astype(np.uint16), odd)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size), pa.array(c1), pa.array(c2), pa.array(roots, pa.binary()), pa.array(sketch, pa.binary())], names=["doc_id", "th", "n", "c1", "c2", "roots", "sig"])
 
@@ -180,10 +180,13 @@ def _groups(batches, rows: int = _ROWS):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _roots(classes: DataFrame, trees: int, percent: int) -> DataFrame:
-    """The first nodes (node, used, class, label): each root selects its own tokens."""
-    selected = round(trees * branching(percent))
+def roots_for(recall: float, percent: int) -> int:
+    """Tokens that the roots of all trees select."""
+    return round(trees_for(recall, percent) * branching(percent))
+
 
+def _roots(classes: DataFrame, selected: int) -> DataFrame:
+    """The first nodes (node, used, class, label): each root selects its own tokens."""
     def task(batches):
         for batch in batches:
             if not len(batch):
@@ -194,7 +197,7 @@ def _roots(classes: DataFrame, trees: int, percent: int) -> DataFrame:
                 used = np.full(len(sig), np.uint64(1) << np.uint64(k))
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(used.view(np.int64)), batch.column(0), batch.column(0)], names=["node", "used", "class", "label"])
 
-    return classes.select("class", F.substring("roots", 1, 4 * selected)).mapInArrow(task, "node long, used long, class long, label long")
+    return classes.select("class", "roots").mapInArrow(task, "node long, used long, class long, label long")
 
 
 def _children(node: np.ndarray, used: np.ndarray, sig: np.ndarray, percent: int):
@@ -440,7 +443,7 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT,
     """(class, root) of all classes (class, doc_id, th, n, c1, c2, roots, sig) that have a link, root being the smallest class of the component;
     none if no class has one."""
     sigs = classes.select("class", "n", "sig")
-    members, labels, sets, masks, level = _roots(classes, trees_for(recall, percent), percent), None, None, None, 0
+    members, labels, sets, masks, below, level = _roots(classes, roots_for(recall, percent)), None, None, None, None, 0
     while True:
         sizes = members.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("node", "size")
         nodes = _shared.settle(members.join(sizes, "node"), "nodes")
@@ -476,11 +479,14 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT,
         labels = _linked(labels, more_pairs, sets, percent)
         ended = left.where(~last).isEmpty()
         members = None if ended else _shared.settle(_labelled(_branch(left.where(~last).join(sigs, "class"), percent), labels), "members")
+        if not ended and not level:  # further down are only classes of large nodes
+            down = left.where(~last).select("class").distinct()
+            sigs = below = _shared.settle(sigs.join(down, "class", "left_semi"), "signatures")
         _shared.unsettle(nodes, found, pairs, more_pairs, left)
         if ended:
             break
         level += 1
-    for df in (sets, masks):
+    for df in (sets, masks, below):
         if df is not None:
             _shared.unsettle(df)
     return labels
@@ -498,7 +504,7 @@ def _linked(labels: DataFrame | None, pairs: DataFrame, sets: DataFrame, percent
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id it is connected with, itself included), kept."""
-    rows = _shared.settle(signatures(docs, words, id_col, text_col), "signatures")
+    rows = _shared.settle(signatures(docs, words, roots_for(recall, percent), id_col, text_col), "signatures")
     part = rows.where("n > 0 and doc_id is not null")
     classes = part.groupBy("n", "c1", "c2").agg(F.min(F.struct("doc_id", "th")).alias("d"), F.min(F.struct("roots", "sig")).alias("s")).select(F.xxhash64("n", "c1", "c2").alias("class"), "d.doc_id", "d.th", "n", "c1", "c2", "s.roots", "s.sig")
     classes = _shared.settle(classes, "classes")
