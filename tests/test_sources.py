@@ -4,8 +4,10 @@ import base64
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from tracelake.functions.prices import parse_u128
 from tracelake.plans import progress as pg
 from tracelake.plans import transactions as tx
 from tracelake.sources import readers, schemas, sinks
@@ -105,6 +107,69 @@ def test_requeue_replaces_only_its_blocks(spark, tmp_path):
     assert sorted((r["block_number"], r["v"]) for r in spark.read.parquet(path).collect()) == [(1, 1), (1, 2), (2, 9), (20001, 1), (20001, 2)]
 
 
+def test_requeue_has_a_result_for_each_block(spark, tmp_path):
+    path, progress = str(tmp_path / "t"), str(tmp_path / "p")
+    rows = spark.createDataFrame([("mainnet", b, 1) for b in (1, 2, 3)], "meta_network_name string, block_number long, v long")
+    sinks.write_table(rows, path)
+    known = spark.createDataFrame([("mainnet", b, 4) for b in (1, 2, 3)], "meta_network_name string, block_number long, task_count long")
+    asked = spark.createDataFrame([("mainnet", 2), ("mainnet", 2), ("mainnet", 77)], "meta_network_name string, block_number long")
+    for processor in ("structlog", "structlog_agg", "transaction"):
+        out = sinks.requeue_blocks(asked, known, lambda b: b.select("meta_network_name", "block_number", F.lit(8).cast("long").alias("v")), processor, path, progress)
+        assert {(r["block_number"], r["status"], r["task_count"], r["error"]) for r in out.collect()} == {(2, "queued", 4, None), (77, "failed", 0, "no such block")}
+        assert tuple(sinks.requeue_summary(out).first()) == (2, 1, 1)
+    assert sorted((r["block_number"], r["v"]) for r in spark.read.parquet(path).collect()) == [(1, 1), (2, 8), (3, 1)]
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["p", "t"]  # nothing is left aside
+    with pytest.raises(ValueError):
+        sinks.requeue_blocks(spark.range(1001).select(F.lit("mainnet").alias("meta_network_name"), F.col("id").alias("block_number")), known, None, "structlog", path, progress)
+    with pytest.raises(Exception, match="gone"):  # an error of a source is no missing table
+        sinks.replace_blocks(rows.where(F.raise_error(F.lit("gone: PATH_NOT_FOUND")).isNull()), path, asked)
+
+
+def test_transactions_are_located(spark):
+    held = spark.createDataFrame([("n", 5, i, f"0x{i}") for i in range(3)], "meta_network_name string, block_number long, position long, hash string")
+    asked = spark.createDataFrame([("n", 5, 1, "0x1"), ("n", 5, 2, "0x9"), ("n", 5, 3, "0x3"), ("n", 6, 0, "0x0")], "meta_network_name string, block_number long, transaction_index long, transaction_hash string")
+    assert [r["error"] for r in tx.locate(asked, held).orderBy("block_number", "transaction_index").collect()] == [None, "transaction hash mismatch: found 0x2", "transaction index out of range", "no such block"]
+    assert tx.located(asked.limit(1), held).count() == 1
+    with pytest.raises(Exception, match="hash mismatch"):
+        tx.located(asked.where("transaction_index = 2"), held).collect()
+
+
+def test_transaction_blocks_job(spark, tmp_path):
+    names = "meta_network_name string, block_number long, block_hash string, parent_hash string, position long, hash string, from_address string, to_address string, nonce long, type int, gas_price long, base_fee long, gas_tip_cap long, gas_fee_cap long, gas long, value long, input binary, size long, blob_gas long, blob_gas_fee_cap long, blob_hashes array<string>"
+    rows = [("n", b, "0xb", "0xa", i, f"0x{b}{i}", "0xf", "0xt", 1, 0, 7, 1, None, None, 21000, 5, b"\x00\x01", 9, None, None, None) for b in (1, 2) for i in (0, 1)]
+    txs = spark.createDataFrame(rows, names)
+    receipts = spark.createDataFrame([("0x10", 1, 21000), ("0x11", 0, 21000), ("0x20", 1, 21000)], "tx_hash string, status int, gas_used long")
+    table, progress = str(tmp_path / "t"), str(tmp_path / "p")
+    for _ in range(2):
+        jobs.process_blocks(txs, receipts, table, progress)
+        assert sorted((r["block_number"], r["position"]) for r in spark.read.parquet(table).collect()) == [(1, 0), (1, 1)]
+    latest = pg.latest_version(spark.read.parquet(progress), ["complete"])
+    assert {(r["block_number"], r["complete"]) for r in latest.collect()} == {(1, 1), (2, 0)}
+
+
+def test_heads(spark):
+    none = spark.createDataFrame([], schemas.PROGRESS)
+    scopes = spark.createDataFrame([("structlog", "mainnet")], "processor string, meta_network_name string")
+    limits = spark.createDataFrame([("mainnet", 50)], "meta_network_name string, limiter_max long")
+    of = lambda **k: tuple(pg.head_distance(scopes, none, **k).first())[2:]
+    assert of(chain_head=9) == (0, "execution_head")
+    assert of(chain_head=9, limits=limits) == (1, "beacon_chain_head")
+    assert of(chain_head=9, limited=True) == (0, "execution_head_fallback")
+    for limited in (False, True):
+        with pytest.raises(Exception, match="unavailable|not available"):
+            of(limited=limited)
+    assert of(mode="backwards") == (0, "")  # no next block, so no head is needed
+
+
+def test_small_helpers(spark):
+    df = spark.createDataFrame([("p", "n", 7, "0xa")], "p string, n string, b long, h string")
+    r = df.select(pg.task_id(F.col("p"), F.col("n"), F.col("b")).alias("x"), pg.task_id(F.col("p"), F.col("n"), F.col("b"), F.col("h")).alias("y")).first()
+    assert (r["x"], r["y"]) == ("p:n:7:block", "p:n:7:0xa")
+    assert pg.is_empty(df, b=8) and not pg.is_empty(df, b=7, n="n")
+    words = spark.createDataFrame([(w,) for w in ("0", "340282366920938463463", "0xff", "", None)], "w string").select(parse_u128(F.col("w")).alias("v"), parse_u128(F.col("w"), True).alias("w")).collect()
+    assert [int(r["v"]) for r in words] == [0, 340282366920938463463, 0, 0, 0] and words[-1]["w"] is None
+
+
 def test_next_block_of_an_empty_store(spark):
     none = spark.createDataFrame([], schemas.PROGRESS)
     scopes = spark.createDataFrame([("structlog", "mainnet")], "processor string, meta_network_name string")
@@ -126,6 +191,37 @@ def test_gap_window_and_capacity(spark):
     r = pg.capacity(scopes, pg.latest_version(store), 2).first()
     assert (r["capacity"], r["blocked"]) == (1, False)
     assert pg.within_leash(scopes, pg.latest_version(store), 2, 2).first()["fits"] is False
+    for pending in (0, -1):
+        r = pg.capacity(scopes, pg.latest_version(store), pending).first()
+        assert (r["capacity"], r["blocked"]) == (None, False)
+    known = spark.createDataFrame([("p", "n", 1, 1, at)], "processor string, meta_network_name string, block_number long, task_count long, enqueued_at timestamp")
+    done = spark.createDataFrame([("p", "n", 1, "a")], "processor string, meta_network_name string, block_number long, task_id string")
+    assert pg.block_completion(done, known).select("completed", "enqueued_at", "is_complete").collect() == [(1, at, True)]
+
+
+def test_stale_blocks_of_the_stream(spark, tmp_path):
+    """A registered block without its tasks is stale when event time goes on; a late task then finds no block."""
+    schema = "event_time timestamp, processor string, meta_network_name string, block_number long, task_id string, task_count long"
+    at = datetime.datetime(2024, 1, 1)
+    later = at + datetime.timedelta(hours=1)
+    (tmp_path / "in").mkdir()
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = jobs.completion_with_timeout(events).writeStream.outputMode("append").format("memory").queryName("stale").option("checkpointLocation", str(tmp_path / "cp")).start()
+    for rows in ([(at, "p", "n", 1, None, 2), (at, "p", "n", 1, "a", None), (at, "p", "n", 2, None, 1)], [(later, "p", "n", 3, None, 1)], [(later, "p", "n", 3, "x", None)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q.processAllAvailable()
+    q.stop()
+    assert {(r["block_number"], r["status"], r["completed"]) for r in spark.table("stale").collect()} == {(1, "stale", 1), (2, "stale", 0), (3, "complete", 1)}
+
+
+def test_backfill_goes_down(spark, tmp_path, monkeypatch):
+    for b in (1, 2, 3, 4, 5):
+        land(tmp_path / "in", b)
+    seen = []
+    monkeypatch.setattr(jobs, "process_batch", lambda traces, *a: seen.append(sorted({r["block_number"] for r in traces.select("block_number").collect()})))
+    jobs.backfill(spark, str(tmp_path / "in"), headers, {}, "", 1, 5, step=2)
+    jobs.backfill(spark, str(tmp_path / "in"), headers, {}, "", 2, 4)
+    assert seen == [[4, 5], [2, 3], [1], [2, 3, 4]]
 
 
 def test_completion_stream(spark, tmp_path):

@@ -131,11 +131,16 @@ def next_blocks(scopes: DataFrame, progress: DataFrame, count: int, mode: str =
     return df.where((F.col("i") == 0) | fits).select(*KEY)
 
 
-def head_distance(scopes: DataFrame, progress: DataFrame, mode: str = "forwards", chain_head: int | None = None, limits: DataFrame | None = None) -> DataFrame:
-    """Distance from the next block to the head and which head that is; 0 and '' if there is no next block."""
+def head_distance(scopes: DataFrame, progress: DataFrame, mode: str = "forwards", chain_head: int | None = None, limits: DataFrame | None = None, limited: bool = False) -> DataFrame:
+    """Distance from the next block to the head and which head that is; 0 and '' if there is no next block.
+
+    Forwards with ``limits`` the head is the limit ('beacon_chain_head'). ``limited`` without ``limits`` says that they couldn't be had: the
+    execution head stands in ('execution_head_fallback'). A scope that has a next block but no known head fails the query."""
     df = next_block(scopes, progress, mode, chain_head, limits)
     if limits is None or mode == "backwards":
-        head, kind = F.lit(chain_head).cast("long"), "execution_head"
+        kind = "execution_head_fallback" if limited and limits is None and mode != "backwards" else "execution_head"
+        missing = "both heads unavailable" if kind == "execution_head_fallback" else "execution head not available"
+        head = F.raise_error(F.lit(missing)).cast("long") if chain_head is None else F.lit(chain_head).cast("long")
     else:
         df = df.join(limits, "meta_network_name", "left")
         head, kind = F.coalesce("limiter_max", F.lit(0).cast("long")), "beacon_chain_head"
@@ -166,7 +171,11 @@ def gaps(latest: DataFrame, limit: int | None = None, lookback: int = 0, pending
 
 def capacity(scopes: DataFrame, latest: DataFrame, pending: int, mode: str = "forwards") -> DataFrame:
     """With next_block in ``scopes``: the incomplete block that counts, capacity (blocks that may still be begun) and blocked. An
-    incomplete block on the wrong side of the next one blocks."""
+    incomplete block on the wrong side of the next one blocks. Without a range (``pending`` of 0 or less) there is no limit: capacity is null
+    and nothing blocks."""
+    if pending <= 0:
+        none = F.lit(None)
+        return scopes.select(*SCOPE, "next_block", none.cast("long").alias("nearest"), none.cast("int").alias("capacity"), F.lit(False).alias("blocked"))
     open_ones = incomplete(latest).select(*KEY)
     df = scopes.join(open_ones, SCOPE, "left")
     ahead = mode == "backwards"
@@ -186,11 +195,12 @@ def within_leash(scopes: DataFrame, latest: DataFrame, count: int, pending: int,
 
 
 def block_completion(tasks: DataFrame, expected: DataFrame) -> DataFrame:
-    """Blocks with completed (distinct finished task ids), task_count and whether the block is complete; tasks of unregistered blocks
-    complete nothing."""
+    """Blocks with completed (distinct finished task ids), task_count and whether the block is complete, and enqueued_at if ``expected`` has
+    it; tasks of unregistered blocks complete nothing."""
     done = tasks.select(*KEY, "task_id").distinct().groupBy(*KEY).agg(F.count("*").alias("completed"))
-    df = done.join(expected.select(*KEY, "task_count"), KEY, "full")
-    return df.select(*KEY, F.coalesce("completed", F.lit(0)).alias("completed"), "task_count", F.coalesce(F.coalesce("completed", F.lit(0)) >= F.col("task_count"), F.lit(False)).alias("is_complete"))
+    since = ["enqueued_at"] if "enqueued_at" in expected.columns else []
+    df = done.join(expected.select(*KEY, "task_count", *since), KEY, "full")
+    return df.select(*KEY, F.coalesce("completed", F.lit(0)).alias("completed"), "task_count", *since, F.coalesce(F.coalesce("completed", F.lit(0)) >= F.col("task_count"), F.lit(False)).alias("is_complete"))
 
 
 def reprocess_candidates(incomplete_rows: DataFrame, tracked: DataFrame, fresh: DataFrame) -> DataFrame:

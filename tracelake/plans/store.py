@@ -11,19 +11,49 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where that is unset (tests), a temporary folder."""
+    """``spark.checkpoint.dir``; where that is unset, a temporary folder if all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="tracelake-")
     return _own[app]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/tracelake/{name}-{uuid.uuid4().hex}"
+
+
+def _path(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _path(spark, path)
+    return fs.exists(where)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    fs, where = _path(spark, path)
+    fs.delete(where, True)
+
+
+def unsettle(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that ``settle`` returned and that nothing reads any more."""
+    for df in frames:
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            drop_path(df.sparkSession, path)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back."""
+    """``df`` written once as a table in the shared folder and read back, which cuts the lineage: a lost executor costs a new read of it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tracelake/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,6 +24,23 @@ def with_receipts(transactions: DataFrame, receipts: DataFrame, fallback: DataFr
     return out.join(missing, "hash", "left").select(*transactions.columns, F.coalesce("status_batch", "status_single").alias("receipt_status"), F.coalesce("gas_used_batch", "gas_used_single").alias("receipt_gas_used"))
 
 
+def locate(asked: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The asked (meta_network_name, block_number, transaction_index, transaction_hash) with error: null if the block has this transaction
+    at this index, else what is wrong. Asked for twice, found twice."""
+    key = ["meta_network_name", "block_number"]
+    at = transactions.select(*key, F.col("position").cast("long").alias("transaction_index"), F.col("hash").alias("found_hash"))
+    blocks = transactions.select(*key).distinct().withColumn("known", F.lit(True))
+    df = asked.join(blocks, key, "left").join(at, [*key, "transaction_index"], "left")
+    wrong = F.when(F.col("known").isNull(), "no such block").when(F.col("found_hash").isNull(), "transaction index out of range").when(~F.col("found_hash").eqNullSafe(F.col("transaction_hash")), F.concat(F.lit("transaction hash mismatch: found "), "found_hash"))
+    return df.withColumn("error", wrong).select(*asked.columns, "error")
+
+
+def located(asked: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The asked transactions; one that isn't where it is asked for fails the query."""
+    df = locate(asked, transactions)
+    return df.where(F.assert_true(F.col("error").isNull(), F.coalesce("error", F.lit(""))).isNull()).drop("error")
+
+
 def incomplete_blocks(joined: DataFrame) -> DataFrame:
     """Blocks with a transaction that has no receipt: they fail as a whole."""
     return joined.where("receipt_status is null").select("block_number").distinct()

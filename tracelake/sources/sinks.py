@@ -2,49 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Blocks in one partition folder.
+from tracelake.plans import store
+
+#: Blocks in one partition folder, of every table.
 BUCKET = 10_000
+#: Blocks that one request may have processed again.
+MOST_REQUEUED = 1_000
 TRANSACTION = ["meta_network_name", "block_number", "transaction_hash"]
 #: Transactions that are stored, as append_done notes them.
 DONE = "block_number long, transaction_hash string, transaction_index long, processor string, meta_network_name string, block_bucket long"
 
 
-def write_table(df: DataFrame, path: str, bucket: int = BUCKET) -> None:
+def write_table(df: DataFrame, path: str) -> None:
     """Overwrite the partitions (network, block bucket) that ``df`` has rows of; run again it leaves the same table."""
-    out = df.withColumn("block_bucket", F.floor(F.col("block_number") / bucket).cast("long"))
+    out = df.withColumn("block_bucket", F.floor(F.col("block_number") / BUCKET).cast("long"))
     writer = out.repartition("meta_network_name", "block_bucket", F.col("block_number") % 16).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.option("compression", "zstd").partitionBy("meta_network_name", "block_bucket").parquet(path)
 
 
 def replace_blocks(df: DataFrame, path: str, blocks: DataFrame) -> None:
-    """Replace the given (meta_network_name, block_number) in the table: their partitions are read, the blocks exchanged, and rewritten."""
+    """Replace the given (meta_network_name, block_number) in the table: their partitions are read, the blocks exchanged, and rewritten. The
+    first call makes the table."""
     _replace(df, path, blocks, TRANSACTION[:2])
 
 
 def _replace(df: DataFrame, path: str, keys: DataFrame, by: list[str]) -> None:
     spark = df.sparkSession
-    stored = spark.read.parquet(path)
+    if not store.exists(spark, path):
+        write_table(df, path)
+        return
+    stored = spark.read.schema(df.schema.add("block_bucket", "long")).parquet(path)
     touched = keys.select("meta_network_name", F.floor(F.col("block_number") / BUCKET).cast("long").alias("block_bucket")).distinct()
     rest = stored.join(touched, ["meta_network_name", "block_bucket"], "left_semi").join(keys.select(*by), by, "left_anti").drop("block_bucket")
-    # what is overwritten must not be read at the same time
-    aside = f"{path.rstrip('/')}__replaced"
-    rest.unionByName(df.select(*rest.columns)).write.mode("overwrite").parquet(aside)
-    write_table(spark.read.parquet(aside), path)
+    # what is overwritten must not be read at the same time; if the second write fails, the folder aside has all rows of its partitions
+    aside = f"{path.rstrip('/')}__replaced-{uuid.uuid4().hex}"
+    rest.unionByName(df.select(*rest.columns)).write.parquet(aside)
+    write_table(spark.read.schema(rest.schema).parquet(aside), path)
+    store.drop_path(spark, aside)
 
 
 def replace_transactions(df: DataFrame, path: str, transactions: DataFrame) -> None:
     """Replace the rows of the given (meta_network_name, block_number, transaction_hash); those of other transactions of a block stay. The
     first call makes the table."""
-    try:
-        _replace(df, path, transactions, TRANSACTION)
-    except AnalysisException as e:  # no table yet, or one without files
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        write_table(df, path)
+    _replace(df, path, transactions, TRANSACTION)
+
+
+def requeue_blocks(blocks: DataFrame, known: DataFrame, recompute: Callable[[DataFrame], DataFrame], processor: str, path: str, progress: str) -> DataFrame:
+    """Process the asked blocks (meta_network_name, block_number) again, for any processor's table: ``recompute`` gives their rows, which
+    replace those in ``path``. ``known`` has the blocks that there are, with task_count. Returns one row a block: status 'queued' or
+    'failed', task_count and error. More than ``MOST_REQUEUED`` blocks in a request are an error."""
+    block = TRANSACTION[:2]
+    asked = blocks.select(*block).distinct()
+    n = asked.limit(MOST_REQUEUED + 1).count()
+    if n > MOST_REQUEUED:
+        raise ValueError(f"a request has at most {MOST_REQUEUED} blocks")
+    there = store.settle(asked.join(known.select(*block, "task_count"), block), "requeued")
+    if not there.isEmpty():
+        replace_blocks(recompute(there), path, there)
+        append_progress(progress_rows(there, processor, 1), progress)
+    out = asked.join(there, block, "left")
+    found = F.col("task_count").isNotNull()
+    return out.select(F.lit(processor).alias("processor"), *block, F.when(found, "queued").otherwise("failed").alias("status"), F.coalesce("task_count", F.lit(0).cast("long")).alias("task_count"), F.when(~found, "no such block").alias("error"))
+
+
+def requeue_summary(results: DataFrame) -> DataFrame:
+    """One row of totals of ``requeue_blocks``: total, queued, failed."""
+    count = lambda s: F.sum((F.col("status") == s).cast("long"))
+    return results.agg(F.count("*").alias("total"), F.coalesce(count("queued"), F.lit(0)).alias("queued"), F.coalesce(count("failed"), F.lit(0)).alias("failed"))
 
 
 def append_done(transactions: DataFrame, processor: str, path: str) -> None:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tracelake.plans import store
 from tracelake.plans import traces as plans
+from tracelake.plans.transactions import transaction_table
 from tracelake.sources import readers, schemas, sinks
 
 
@@ -54,12 +55,9 @@ def _highest(landed: DataFrame, name: str, stored: str) -> DataFrame:
     """Blocks with task_count by the highest transaction index of this batch and of what is stored."""
     block = sinks.TRANSACTION[:2]
     now = landed.groupBy(*block).agg((F.max("transaction_index") + 1).alias("task_count"))
-    try:
-        before = sinks.done_transactions(now, name, stored)
-    except AnalysisException as e:  # the first batch
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    if not store.exists(landed.sparkSession, stored):  # the first batch
         return now
+    before = sinks.done_transactions(now, name, stored)
     return now.join(before, block, "left").select(*block, F.greatest("task_count", F.col("last_index") + 1).alias("task_count"))
 
 
@@ -70,10 +68,26 @@ def stream_traces(spark: SparkSession, landing: str, transactions: Callable[[Dat
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def backfill(spark: SparkSession, landing: str, transactions, tables: dict[str, str], progress: str, first: int, last: int, counts: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """A bounded batch job over the traces of a block range."""
-    traces = spark.read.schema(schemas.TRACE).json(landing).where(F.col("block_number").between(first, last))
-    process_batch(traces, transactions, tables, progress, counts)
+def backfill(spark: SparkSession, landing: str, transactions, tables: dict[str, str], progress: str, first: int, last: int, counts: Callable[[DataFrame], DataFrame] | None = None, step: int | None = None) -> None:
+    """A bounded batch job over the traces of a block range: all at once, or from the highest blocks down, ``step`` blocks at a time, so
+    that what is newest is there first."""
+    traces = spark.read.schema(schemas.TRACE).json(landing)
+    for high in range(last, first - 1, -(step or last - first + 1)):
+        low = first if step is None else max(first, high - step + 1)
+        process_batch(traces.where(F.col("block_number").between(low, high)), transactions, tables, progress, counts)
+
+
+def process_blocks(transactions: DataFrame, receipts: DataFrame, table: str, progress: str, fallback: DataFrame | None = None) -> None:
+    """One batch of landed blocks for the transaction table: their rows are replaced as a whole, and blocks with all receipts become
+    complete; a block that lacks one stays open. Run again it leaves the same table. Blocks without transactions are not in the input."""
+    block = sinks.TRANSACTION[:2]
+    rows = store.settle(transaction_table(transactions, receipts, fallback), "transactions")
+    landed = transactions.groupBy(*block).agg(F.count("*").alias("task_count"))
+    sinks.append_progress(sinks.progress_rows(landed, "transaction", 0), progress)
+    done = rows.select(*block).distinct()
+    sinks.replace_blocks(rows, table, done)
+    sinks.append_progress(sinks.progress_rows(done, "transaction", 1), progress)
+    store.unsettle(rows)
 
 
 def completion_stream(tasks: DataFrame, ttl: str = "30 minutes") -> DataFrame:
