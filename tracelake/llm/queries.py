@@ -21,12 +21,19 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """Documents to learn from, with their label."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(_shared.crc_mod("doc_id", 5) != 0)
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label")).where(F.col(label).isNotNull())
-    # one row a label reaches the join, so the texts of unlabelled documents go before they are moved
-    return docs.join(labels, "doc_id")
+def _labelled(spark: SparkSession, sf_dir: str, label: str, rows: int, ones_first: bool = False) -> DataFrame:
+    """About ``rows`` documents to learn from: doc_id, text, label and stands (labelled rows for which it stands). They are chosen among the
+    labels, which are narrow, so no text is moved: all alike, or those of label 1 up to half of ``rows`` first. Of several labels of one
+    document the largest counts."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null").where(_shared.crc_mod("doc_id", 5) != 0)
+    labels = labels.groupBy("doc_id").agg(F.max("label").alias("label"))
+    n = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = n.get(1, 0), n.get(0, 0)
+    take1 = min(n1, max(rows // 2, rows - n0)) if ones_first else rows * n1 / max(n1 + n0, 1)
+    share1, share0 = (min(1.0, max(take, 1) / max(of, 1)) for take, of in ((take1, n1), (rows - take1, n0)))
+    share = F.when(F.col("label") == 1, share1).otherwise(share0)
+    chosen = labels.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < share * (1 << 30)).withColumn("stands", 1 / share)
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about ``rows`` ids at most
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +68,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = quality.fit(_labelled(spark, sf_dir, "quality"), "label")
+    weights = quality.fit(_labelled(spark, sf_dir, "quality", quality.FIT_ROWS), "label")
     scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), weights)
     return scored.select("doc_id", (_shared.crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
@@ -71,7 +78,7 @@ def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(_labelled(spark, sf_dir, "toxic"), "label")
+    model = toxicity.fit(_labelled(spark, sf_dir, "toxic", toxicity.COUNT_ROWS, ones_first=True), "label", stands_col="stands")
     tagged = toxicity.tag(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     return tagged.select("doc_id", (_shared.crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_spans")
 

@@ -9,7 +9,7 @@ multiplied side by side, so the recursion is numpy over blocks and no text is cu
 Labelled tokens: there are labels of documents only. In labelled toxic documents, a word is toxic if it, or one of its beginnings, stands
 behind at least ``MIN_CONTEXTS`` different words in toxic documents (fewer where there are few of these) and ``MIN_ODDS`` times as often,
 for their number, as in clean ones; all other words of labelled documents are clean. Different words before it are counted, not
-documents, so that many copies of one document make none of its words toxic. Contexts are counted over all labelled rows, for those words
+documents, so that many copies of one document make none of its words toxic. Contexts are counted over all rows given, for those words
 that are in ``LEAST_ODDS`` times as large a share of the toxic documents as of the clean ones, so that common words aren't moved; the
 ``MAX_UNITS`` words with most toxic contexts are kept. The gradient steps take a bounded sample (about ``FIT_ROWS`` labelled rows; toxic
 ones up to half of it first), dealt over at most ``SHARDS`` tasks; Spark averages the weights.
@@ -30,6 +30,8 @@ from tracelake.llm import _shared, _text
 
 SIZE = 1 << 20
 FIT_ROWS = 6_000
+#: Labelled rows whose contexts are counted, about; the caller chooses them (see queries), toxic ones up to half of it first.
+COUNT_ROWS = 24_000
 #: Tasks that train side by side, and the rows that make one worthwhile.
 SHARDS, SHARD_ROWS = 4, 1_000
 PASSES = 10
@@ -196,11 +198,13 @@ def _train(parts: list, toxic_units: np.ndarray) -> Model:
     return model
 
 
-def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str = "doc_id") -> Model:
-    """Learn from rows with label 0 or 1; rows with other labels or none are left out."""
+def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str = "doc_id", stands_col: str | None = None) -> Model:
+    """Learn from rows with label 0 or 1; rows with other labels or none are left out. The rows are read several times: give a sample of
+    about ``COUNT_ROWS``, with the labelled rows that each stands for in ``stands_col``."""
     spark = labelled.sparkSession
     _shared.tune(spark)
-    rows = labelled.select(F.col(label_col).cast("int").alias("label"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h")).where("label in (0, 1)")
+    rows = labelled.select(F.col(label_col).cast("int").alias("label"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h"), (F.lit(1.0) if stands_col is None else F.col(stands_col).cast("double")).alias("stands")).where("label in (0, 1)")
+    rows = _shared.settle(rows, "labelled")
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1:
@@ -208,7 +212,7 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     take1 = min(n1, max(FIT_ROWS // 2, FIT_ROWS - n0))
     share1, share0 = take1 / n1, min(1, (FIT_ROWS - take1) / max(n0, 1))
     sample = rows.where(F.col("h") < F.when(F.col("label") == 1, int(share1 * (1 << 30))).otherwise(int(share0 * (1 << 30))))
-    sample = _shared.settle(sample.repartition(max(1, min(SHARDS, min(n1 + n0, FIT_ROWS) // SHARD_ROWS)), "h").sortWithinPartitions("h", "label").select("label", "text"), "toxic-sample")
+    sample = _shared.settle(sample.repartition(max(1, min(SHARDS, min(n1 + n0, FIT_ROWS) // SHARD_ROWS)), "h").sortWithinPartitions("h", "label").select("label", "text", "stands"), "toxic-sample")
 
     def frequencies(batches):
         """Of each unit, how many toxic and clean documents have it."""
@@ -275,7 +279,7 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     counts = toxic.join(clean, "unit", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
     picked = counts.where((F.col("toxic") + 0.5) / (n1 + 1) >= MIN_ODDS * (F.col("clean") + 0.5) / (n0 + 1)).orderBy(F.desc("toxic"), "unit").limit(MAX_UNITS).select("unit").toArrow()
     toxic_units = picked["unit"].to_numpy().view(np.uint64)
-    _shared.unsettle(likely, toxic)
+    _shared.unsettle(likely, toxic, rows)
 
     def train(batches):
         parts = []
@@ -295,9 +299,9 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", id_col: str
     weights[number[number >= 0]] = value[number >= 0] / extra[0]
     model = Model(weights, extra[1] / extra[0], np.array(extra[2:]).reshape(2, 2) / extra[0])
     # evidence and label of at most FIT_ROWS rows
-    seen = tag(sample, model).select("evidence", "label").toArrow()
+    seen = tag(sample, model).select("evidence", "label", "stands").toArrow()
     label = seen["label"].to_numpy()
-    stands = np.where(label == 1, 1 / share1, 1 / max(share0, 1e-9))
+    stands = seen["stands"].to_numpy() * np.where(label == 1, 1 / share1, 1 / max(share0, 1e-9))
     _logistic(model, seen["evidence"].to_numpy(), label, stands * len(label) / max(stands.sum(), 1e-9))
     return model
 
