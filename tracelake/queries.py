@@ -13,7 +13,7 @@ from tracelake.operators import resources as rs
 from tracelake.plans import progress as pg
 from tracelake.plans import traces as tr
 from tracelake.plans import transactions as tx
-from tracelake.sources import derive, readers
+from tracelake.sources import derive, readers, schemas
 
 KEY = ["tx"]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 # ---------------------------------------------------------------- SQL building blocks
+# Opcode names, addresses of precompiles and gas numbers in these statements are fixed values of the machine's rules.
 
 _CALLS = "('CALL','CALLCODE','DELEGATECALL','STATICCALL')"
 _PRE = "(lower(call_to_address) IN (" + ",".join(f"'0x{n:040x}'" for n in [*range(1, 18), 256]) + "))"
@@ -220,6 +221,38 @@ def frame_id(spark, d):
     return fr.with_frames(fr.normal(_traces(spark, d)), KEY).select("tx", "idx", "frame_id")
 
 
+@query("traced_gas_used", _chain(False) + " SELECT tx, CAST(idx AS BIGINT) AS idx, CAST(CASE WHEN tx % 3 = 0 THEN gas_cost + 7 ELSE used END AS BIGINT) AS gas_used FROM g")
+def traced_gas_used(spark, d):
+    """Traces with the tracer's gas (a third), with tracer gas that begins with 0 (a third), and without."""
+    traced = F.when(F.col("tx") % 3 == 0, F.col("gas_cost") + 7).when(F.col("tx") % 3 == 1, F.when(F.col("idx") > 0, 5).otherwise(0))
+    return tr.annotated(_traces(spark, d).withColumn("gas_used", traced.cast("long")), KEY, created=False).select("tx", "idx", "gas_used")
+
+
+@query("stack_call_target", _chain(False) + " SELECT tx, CAST(idx AS BIGINT) AS idx, sid AS frame_id, call_to_address AS target FROM g WHERE syn")
+def stack_call_target(spark, d):
+    """Traces whose call targets are on the stack alone."""
+    df = _traces(spark, d).withColumn("s2", F.regexp_replace("call_to_address", "^0x0*", "0x")).withColumn("call_to_address", F.lit(None).cast("string"))
+    return tr.annotated(df, KEY).where("synthetic").select("tx", "idx", F.col("synthetic_id").alias("frame_id"), "target")
+
+
+@query("malformed_traces", _chain(False) + " SELECT tx, CAST(idx AS BIGINT) AS idx, fid AS frame_id, sid AS synthetic_id, used AS gas_used, CAST(CASE WHEN depth >= 2 THEN used ELSE gself END AS BIGINT) AS gas_self FROM g")
+def malformed_traces(spark, d):
+    """Traces whose depths jump from 2 to 5 and from 5 to 7: frames stay as they are, and no opcode has a frame one level down to take off."""
+    jumps = F.when(F.col("depth") == 3, 5).when(F.col("depth") == 4, 7).otherwise(F.col("depth")).cast("int")
+    return tr.annotated(_traces(spark, d).withColumn("depth", jumps), KEY, created=False).select("tx", "idx", "frame_id", "synthetic_id", "gas_used", "gas_self")
+
+
+@query("read_traces", "WITH s AS (" + derive.STRUCTLOG_SRC + ") SELECT CAST(tx AS VARCHAR) AS transaction_hash, CAST(idx AS BIGINT) AS idx, op, gas, gas_cost, CAST(depth AS BIGINT) AS depth, refund, error, mem_size, call_to_address, stack_top AS s1, CASE WHEN op = 'CREATE' THEN NULL ELSE '0x2' END AS s2, CASE WHEN op IN ('RETURN', 'REVERT') THEN '01ff' END AS return_data FROM s")
+def read_traces(spark, d):
+    """The derived traces as JSON documents, read as landed ones are."""
+    bottom = F.when(F.col("op") == "CREATE", F.array("s1")).otherwise(F.array(F.lit("0x2"), "s1"))
+    log = F.struct("idx", "op", "gas", F.col("gas_cost").alias("gasCost"), "depth", "refund", "error", F.col("mem_size").alias("memSize"), F.col("call_to_address").alias("callToAddress"), bottom.alias("stack"), F.when(F.col("op").isin("RETURN", "REVERT"), "Af8=").alias("returnData"))
+    docs = _traces(spark, d).groupBy("tx").agg(F.array_sort(F.collect_list(log)).alias("structLogs"))
+    json = docs.select(F.to_json(F.struct(F.lit("mainnet").alias("meta_network_name"), F.col("tx").cast("string").alias("transaction_hash"), "structLogs")).alias("j"))
+    flat = readers.flatten_traces(json.select(F.from_json("j", schemas.TRACE).alias("x")).select("x.*"))
+    return flat.select("transaction_hash", "idx", "op", "gas", F.col("gas_cost").cast("long").alias("gas_cost"), F.col("depth").cast("long").alias("depth"), "refund", "error", "mem_size", "call_to_address", "s1", "s2", "return_data")
+
+
 @query("frame_path", _chain(False).replace("WITH s", "WITH RECURSIVE s", 1) + _PATHS + " SELECT tx, fid AS frame_id, path FROM fp")
 def frame_path(spark, d):
     return fr.frame_paths(fr.frame_table(fr.with_frames(fr.normal(_traces(spark, d)), KEY), KEY), KEY).select("tx", "frame_id", _text("path").alias("path"))
