@@ -521,19 +521,76 @@ def test_contexts_beyond_the_sample(spark, monkeypatch):
     assert len(tagged) == 12 and found >= 10, found
 
 
+def brute_cut(text, items):
+    """A text without the words of benchmark windows, and without those that the cut brings together."""
+    while text:
+        words = list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text))
+        low = [m[0].translate({c: c + 32 for c in range(65, 91)}) for m in words]
+        hit = set()
+        for n in {len(k) for k in items}:
+            for k in range(len(low) - n + 1):
+                if tuple(low[k : k + n]) in items:
+                    hit |= set(range(k, k + n))
+        if not hit:
+            break
+        runs = [(words[a].start(), words[b].end()) for a, b in ((k, next(m for m in range(k, len(words)) if m + 1 not in hit)) for k in sorted(hit) if k - 1 not in hit)]
+        for a, b in reversed(runs):
+            text = text[:a] + text[b:]
+    return text
+
+
+def brute_windows(items):
+    known = set()
+    for _, t in items:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        known |= {tuple(w[k : k + 10]) for k in range(max(1, len(w) - 9))} if w else set()
+    return known
+
+
 def test_pipeline(spark, sf_dir):
+    """Each stage's rows, from its own input, against brute force."""
     import corpus_pipeline as cp
 
     source = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    before = source
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    before, tables = source, []
     for name, stage in cp.STAGES[:-1]:
         after = stage(spark, before, sf_dir)
         assert after.columns == source.columns, name
-        after = spark.createDataFrame(after.collect(), source.schema)
-        assert 0 < after.count() <= before.count()
-        before = after
-    texts = [r["text"] for r in before.orderBy("doc_id").collect()]
-    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
-    assert not any(x[5] for x in brute_hits(texts, items)) or sum(x[5] for x in brute_hits(texts, items)) < 3
-    out = cp.run(spark, sf_dir)
-    assert out.count() == before.count()
+        before = spark.createDataFrame(after.collect(), source.schema)
+        tables.append({r["doc_id"]: r for r in before.collect()})
+    read, kept, cut, single, clean = ({r["doc_id"]: r for r in source.collect()}, *tables)
+    # language: nothing that has a language goes, and only lang is filled in
+    assert all(k in kept for k, r in read.items() if r["lang"] is not None and re.search("[a-z]", r["text"] or ""))
+    assert all(r["text"] == read[k]["text"] for k, r in kept.items())
+    ids = sorted(kept)
+    lines = dict(zip(ids, brute_lines([kept[i]["text"] for i in ids], linededup.MIN_WORDS)))
+    assert {k: r["text"] for k, r in cut.items()} == {k: x for k, x in lines.items() if x == kept[k]["text"] or (x or "").strip()}
+    ids = sorted(cut)
+    assert sorted(single) == [ids[r[0]] for r in brute_near([cut[i]["text"] for i in ids]) if r[3]]
+    known = brute_windows(items)
+    assert {k: r["text"] for k, r in clean.items()} == {k: brute_cut(r["text"], known) for k, r in single.items()}
+    assert not any(x[5] for x in brute_hits([r["text"] for r in clean.values()], items))
+    assert all(r["n_chars"] == len(r["text"]) for r in clean.values())
+    t, want = library("word_bpe_49k.json"), {}
+    for k, r in clean.items():
+        ids = t.encode(r["text"], add_special_tokens=False).ids
+        want[k] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+    assert {r["doc_id"]: tuple(r)[1:] for r in cp.run(spark, sf_dir).collect()} == want
+
+
+def test_pipeline_of_awkward_tables(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    odd = awkward(spark).withColumns({"n_chars": F.length("text").cast("long"), "kept": F.lit(1), "root": F.lit(2), "key": F.lit("k")})
+    tables = {"empty": odd.where("false"), "no language": odd, "odd": odd.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en"))}
+    for name, df in tables.items():
+        for _, stage in cp.STAGES[:-1]:
+            df = stage(spark, df, sf_dir)
+            assert df.columns == cp.COLUMNS, name
+            df = spark.createDataFrame(df.collect(), df.schema)
+        out = cp.encode(spark, df, sf_dir)
+        assert out.count() == df.count()
+        assert (df.count() > 0) == (name != "empty"), name
+    # without any language nothing is dropped by the first stage
+    assert cp.identify_language(spark, odd, sf_dir).count() == odd.count()

@@ -1,20 +1,18 @@
-"""Session helpers of the training-data operators: shared scratch tables and Arrow batch sizes."""
+"""Session helpers of the training-data operators: scratch tables in the shared folder (the library's own) and Arrow batch sizes."""
 
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.plans.store import scratch, settle, unsettle  # noqa: F401
+
 #: Rows in one Arrow batch; texts are long, so a batch of few rows bounds a Python worker's memory.
 BATCH_ROWS = 400
 
-_own: dict[str, str] = {}
-
 
 def tune(spark: SparkSession) -> None:
     """Bound the Arrow batches sent to Python workers by rows and, where Spark can, by bytes."""
@@ -27,49 +25,6 @@ def tune(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset, a temporary one if all runs on this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = "file://" + tempfile.mkdtemp(prefix="tracelake-")
-        base = _own[app]
-    return base.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/tracelake/{name}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back, which cuts the lineage.
-
-    Lost executors cost a re-read of this table, not a new run of the stages above it.
-    """
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def unsettle(*frames: DataFrame) -> None:
-    """Delete the scratch tables behind frames that ``settle`` returned and that nothing reads any more."""
-    for df in frames:
-        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            drop_path(df.sparkSession, path)
-
-
 def crc_mod(doc_id: str, n: int):
     """crc32 of doc_id as text, modulo n; null ids count as the text 'null'."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).cast("binary")), F.lit(n))

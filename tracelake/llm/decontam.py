@@ -3,8 +3,9 @@
 A shard is a run of whole documents of about ``SHARD_WORDS`` words. Its words, numbered, and a separator after each document form the
 indexed sequence: suffix array by prefix doubling, Burrows-Wheeler transform, wavelet matrix with rank blocks, and suffix positions
 sampled every ``SAMPLE`` places and at each document's start. Every window of the test items is searched backwards in all shards; the
-occurrences are located from the samples and merged into spans. Shards need no shuffle; the test windows reach tasks in blocks of
-bounded size, one broadcast each.
+occurrences are located from the samples and merged into spans. Shards need no shuffle. The test items' word hashes are written in blocks of
+about ``BLOCK_BYTES`` of text to the shared folder, by Spark tasks; a task reads one block at a time, cuts its windows, and searches each
+different one that the shard has all words of once.
 
 A window is ``window`` consecutive words of an item; an item with fewer words, but not none, is one window. Words are runs of letters
 and digits after lower-casing A-Z (all non-ASCII characters count as letters). Null texts have no words; items with a null id are left
@@ -14,8 +15,12 @@ test table no hits.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +28,8 @@ from tracelake.llm import _shared, _text
 
 SHARD_WORDS = 1 << 20
 SAMPLE = 16
-#: Bytes of test text in one broadcast block, about.
-BLOCK_BYTES = 16 << 20
+#: Bytes of test text in one block, about.
+BLOCK_BYTES = 8 << 20
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
@@ -154,41 +159,66 @@ class FMIndex:
         return out
 
 
-def item_windows(ids: list, texts: list[str | None], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of every window (rows padded with 0), their lengths and the index of their item in ``ids``."""
-    data, offsets = _text.pack(pa.array(texts, pa.string()))
-    _, _, h, at = _text.words(_text.LOWER[data], offsets, _text.ALNUM)
-    rows, lengths, items = [], [], []
-    for k in range(len(ids)):
-        own = h[at[k] : at[k + 1]]
-        if len(own) >= window:
-            rows.append(np.lib.stride_tricks.sliding_window_view(own, window))
-        elif len(own):
-            rows.append(np.pad(own, (0, window - len(own)))[None, :])
-        else:
-            continue
-        lengths.append(np.full(len(rows[-1]), min(len(own), window)))
-        items.append(np.full(len(rows[-1]), k))
-    if not rows:
-        return np.zeros((0, window), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(rows), np.concatenate(lengths), np.concatenate(items)
-
-
-def _blocks(items: DataFrame, id_col: str, text_col: str, window: int) -> list:
-    """The test windows, broadcast in blocks of about BLOCK_BYTES of text; one block at a time passes through the driver."""
+def _blocks(items: DataFrame, id_col: str, text_col: str) -> list[str]:
+    """Files of the items' names and word hashes, of about BLOCK_BYTES of text each; only their names pass through the driver."""
     spark = items.sparkSession
     items = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-size // BLOCK_BYTES)
-    out = []
-    for k in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == k).collect()
-        names = [r["item"] for r in rows]
-        out.append(spark.sparkContext.broadcast((names, *item_windows(names, [r["text"] for r in rows], window))))
-    return out
-
+    folder = _shared.scratch(spark, "benchmark-words")
 
-def _shard_hits(texts: pa.Array, blocks: list):
+    def write(batches):
+        fs, root = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(root, recursive=True)
+        for batch in batches:
+            if not len(batch):
+                continue
+            data, offsets = _text.pack(batch.column(1))
+            _, _, h, at = _text.words(_text.LOWER[data], offsets, _text.ALNUM)
+            hashes = pa.array([h[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary())
+            block = pa.record_batch([batch.column(0), hashes], names=["item", "words"])
+            # equal blocks have equal names: a task that runs again leaves the same files
+            name = hashlib.blake2b(b"".join([*(x.encode() for x in batch.column(0).to_pylist()), h.tobytes()]), digest_size=12).hexdigest()
+            own = f"{root}/_{uuid.uuid4().hex}"
+            with fs.open_output_stream(own) as out, pa.ipc.new_stream(out, block.schema) as writer:
+                writer.write_batch(block)
+            fs.move(own, f"{root}/{name}.arrow")
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}.arrow"])], names=["file"])
+
+    dealt = items.repartition(max(1, -(-size // BLOCK_BYTES)), "item")
+    return [r["file"] for r in dealt.mapInArrow(write, "file string").distinct().collect()]
+
+
+def _windows(file: str, seen: np.ndarray, window: int):
+    """Of a block of items, each different window whose words are all in ``seen`` (sorted hashes): symbols (rows padded with 0), lengths, and
+    the names of the items that have it."""
+    fs, path = pafs.FileSystem.from_uri(file)
+    with fs.open_input_file(path) as source:
+        block = pa.ipc.open_stream(source).read_all()
+    names, packed = block.column("item").to_pylist(), block.column("words").to_pylist()
+    h = np.frombuffer(b"".join(packed), np.uint64)
+    count = np.array([len(p) // 8 for p in packed], np.int64)
+    begin = np.cumsum(count) - count
+    length = np.minimum(count, window)
+    n = np.where(count > 0, count - length + 1, 0)
+    item = np.repeat(np.arange(len(names)), n)
+    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + begin[item]
+    found = np.minimum(np.searchsorted(seen, h), len(seen) - 1)
+    there = seen[found] == h
+    gone = np.concatenate([[0], np.cumsum(~there)])
+    keep = gone[start + length[item]] == gone[start]
+    start, item = start[keep], item[keep]
+    if not len(start):
+        return np.zeros((0, window), np.int64), np.zeros(0, np.int64), []
+    place = start[:, None] + np.arange(window)
+    inside = np.arange(window) < length[item][:, None]
+    symbols = np.where(inside, found[np.minimum(place, len(h) - 1)] + 1, 0)
+    symbols, at = np.unique(symbols, axis=0, return_inverse=True)
+    order = np.lexsort((item, at.reshape(-1)))
+    groups = np.split(item[order], np.flatnonzero(np.diff(at.reshape(-1)[order])) + 1)
+    return symbols, (symbols > 0).sum(axis=1), [{names[i] for i in g} for g in groups]
+
+
+def _shard_hits(texts: pa.Array, blocks: list[str], window: int):
     """Words of the shard's texts (start, end, first word of each text), which of them are hit, and the items of each text."""
     data, offsets = _text.pack(texts)
     start, end, h, at = _text.words(_text.LOWER[data], offsets, _text.ALNUM)
@@ -208,27 +238,23 @@ def _shard_hits(texts: pa.Array, blocks: list):
         index = FMIndex(t, sampled)
         change = np.zeros(len(t) + 1, np.int64)
         for block in blocks:
-            names, windows, lengths, item = block.value
-            found = np.minimum(np.searchsorted(seen, windows), len(seen) - 1)
-            symbols = np.where(seen[found] == windows, found + 1, 0)
-            inside = np.arange(windows.shape[1]) < lengths[:, None]
-            usable = np.flatnonzero(((symbols > 0) | ~inside).all(axis=1))
-            if not len(usable):
+            symbols, lengths, owners = _windows(block, seen, window)
+            if not len(symbols):
                 continue
-            which, low, high = index.search(symbols[usable], lengths[usable])
-            which, size = usable[which], high - low
+            which, low, high = index.search(symbols, lengths)
+            size = high - low
             rows = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             where, which = index.locate(rows), np.repeat(which, size)
             np.add.at(change, where, 1)
             np.add.at(change, where + lengths[which], -1)
             owner = np.searchsorted(starts, where, side="right") - 1
-            for d, i in {*zip(owner.tolist(), item[which].tolist())}:
-                items.setdefault(d, set()).add(names[i])
+            for d, i in {*zip(owner.tolist(), which.tolist())}:
+                items.setdefault(d, set()).update(owners[i])
         hit = np.cumsum(change[:-1])[place] > 0
     return offsets, start, end, at, hit, items
 
 
-def _shards(batches, text_place: int, count=None):
+def _shards(batches, text_place: int):
     """Groups of Arrow batches of about SHARD_WORDS words (6.5 bytes each, as a guess) of text."""
     held, size = [], 0
     for batch in batches:
@@ -244,13 +270,13 @@ def _shards(batches, text_place: int, count=None):
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items (ids as strings, sorted), spans (array of start and end byte, merged)."""
     _shared.tune(docs.sparkSession)
-    blocks = _blocks(items, item_col, item_text_col, window)
+    blocks = _blocks(items, item_col, item_text_col)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))])
 
     def task(batches):
         for held in _shards(batches, 1):
             keys = pa.concat_arrays([b.column(0) for b in held])
-            offsets, start, end, at, hit, items = _shard_hits(pa.concat_arrays([b.column(1) for b in held]), blocks)
+            offsets, start, end, at, hit, items = _shard_hits(pa.concat_arrays([b.column(1) for b in held]), blocks, window)
             total = np.concatenate([[0], np.cumsum(hit)])
             n_hit = total[at[1:]] - total[at[:-1]]
             named, spans = [], []
@@ -274,30 +300,36 @@ def _spans(start, end, at, hit, d) -> list[tuple[int, int]]:
 
 
 def remove_contamination(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The documents with every hit span cut from their texts; all rows and all columns stay, null texts stay null."""
+    """The documents with every hit span cut from their texts, and again those that the cut brings together, until no window occurs; all
+    rows and all columns stay, null texts stay null."""
     _shared.tune(docs.sparkSession)
-    blocks = _blocks(items, item_col, item_text_col, window)
+    blocks = _blocks(items, item_col, item_text_col)
     place = docs.columns.index(text_col)
 
+    def clean(texts: list, kind: pa.DataType) -> list:
+        todo = [i for i, x in enumerate(texts) if x]
+        while todo:
+            offsets, start, end, at, hit, _ = _shard_hits(pa.array([texts[i] for i in todo], kind), blocks, window)
+            total = np.concatenate([[0], np.cumsum(hit)])
+            again = np.flatnonzero(total[at[1:]] > total[at[:-1]]).tolist()
+            for k in again:
+                raw, kept, done = texts[todo[k]].encode(), [], 0
+                for a, b in _spans(start, end, at, hit, k):
+                    kept.append(raw[done : a - int(offsets[k])])
+                    done = b - int(offsets[k])
+                texts[todo[k]] = b"".join([*kept, raw[done:]]).decode()
+            todo = [todo[k] for k in again]
+        return texts
+
     def task(batches):
         for held in _shards(batches, place):
-            offsets, start, end, at, hit, _ = _shard_hits(pa.concat_arrays([b.column(place) for b in held]), blocks)
-            total = np.concatenate([[0], np.cumsum(hit)])
-            d = 0
+            kind = held[0].column(place).type
+            texts = clean([x for b in held for x in b.column(place).to_pylist()], kind)
+            done = 0
             for batch in held:
-                texts = batch.column(place)
-                touched = [i for i in range(len(texts)) if total[at[d + i + 1]] > total[at[d + i]]]
-                if touched:
-                    new = texts.to_pylist()
-                    for i in touched:
-                        raw, kept, done = new[i].encode(), [], 0
-                        for a, b in _spans(start, end, at, hit, d + i):
-                            kept.append(raw[done : a - int(offsets[d + i])])
-                            done = b - int(offsets[d + i])
-                        new[i] = b"".join([*kept, raw[done:]]).decode()
-                    texts = pa.array(new, texts.type)
-                d += len(batch)
-                yield pa.RecordBatch.from_arrays([texts if i == place else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+                own = pa.array(texts[done : done + len(batch)], kind)
+                done += len(batch)
+                yield pa.RecordBatch.from_arrays([own if i == place else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 
     return docs.mapInArrow(task, docs.schema)
 
