@@ -23,8 +23,11 @@ def _columns(docs: DataFrame, text_changed: bool = False) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay; those without letters and those that fit no language go. A missing lang is filled in."""
+    """Documents in a learned language stay; those without letters and those that fit no language go. A missing lang is filled in. Where no
+    document has a lang there is nothing to hold documents against, and all stay."""
     model = langid.fit(docs)
+    if not model.langs:
+        return _columns(docs)
     kept = langid.predict(docs, model).where((F.col("lang_pred") != "und") & (F.col("hit_rate") >= MIN_HIT_RATE))
     return _columns(kept.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
