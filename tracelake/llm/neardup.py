@@ -19,7 +19,7 @@ Pairs with fewer than ``agree_for`` of ``TOKENS`` equal tokens go (a pair at the
 pairs of too unlike sizes or sketches: a set's sketch has the parity of its shingles in each of ``BUCKETS`` buckets, so two sketches differ
 in at most as many buckets as their sets differ in shingles, and no link is lost. The others are confirmed on full sets: 100 * intersection >= percent * union. The sets are sent once to each node (or piece) that has pairs to
 confirm, not once a pair, and within a node a pair that earlier links connect is not tested. No pair of equal sets is ever listed, and
-every group that meets in a task has about 2 ``SMALL`` classes at most.
+every group that meets in a task has about 4 ``SMALL`` classes at most.
 
 Null and empty texts have no shingles and link with nothing. A row with a null ``doc_id`` takes no part: its component is null and it is
 kept. Rows with equal ``doc_id`` and equal sets are one class, and all are kept if one is; rows of one ``doc_id`` with different texts are
@@ -48,8 +48,8 @@ BUCKETS = 1024
 MISS = 1e-6
 SMALL, WORK = 256, 1 << 21
 
-#: Values by which texts are kept or left when sets are looked up: as many longs at most are sent to all tasks.
-KEPT = 1 << 20
+#: Values by which rows are kept or left before a join moves them: as many longs at most are sent to all tasks.
+KEPT = 1 << 21
 
 _A = np.random.default_rng(5).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Rows of signatures that a task handles at once.
@@ -139,6 +139,12 @@ def signatures(docs: DataFrame, words: int = WORDS, selected: int = TOKENS, id_c
     return _texts(docs, id_col, text_col).mapInArrow(task, "doc_id long, th long, n long, c1 long, c2 long, roots binary, sig binary")
 
 
+def _only(df: DataFrame, wanted: DataFrame, *by: str) -> DataFrame:
+    """The rows of ``df`` that may have one of ``wanted``'s values in the columns ``by``: rows that surely don't are not moved."""
+    key = F.pmod(F.xxhash64(*by), F.lit(KEPT)).alias("kept")
+    return df.withColumn("kept", key).join(F.broadcast(wanted.select(key).distinct()), "kept", "left_semi").drop("kept")
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("t"))
@@ -365,7 +371,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     needs = pairs.select("key", F.col("a").alias("class")).unionByName(pairs.select("key", F.col("b").alias("class"))).distinct()
     null = F.lit(None)
     rows = pairs.select("key", "a", "b", "la", "lb", (-F.col("agree")).alias("o"), null.cast("binary").alias("s")).unionByName(
-        needs.join(sets, "class").select("key", F.col("class").alias("a"), *(null.cast("long").alias(c) for c in ("b", "la", "lb")), F.lit(-TOKENS - 1).alias("o"), F.col("shingles").alias("s"))
+        needs.join(_only(sets, needs, "class"), "class").select("key", F.col("class").alias("a"), *(null.cast("long").alias(c) for c in ("b", "la", "lb")), F.lit(-TOKENS - 1).alias("o"), F.col("shingles").alias("s"))
     )
     return rows.repartition("key").sortWithinPartitions("key", "o").mapInArrow(task, "a long, b long")
 
@@ -381,10 +387,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([sets[i].tobytes() for i in at], pa.binary())], names=["class", "shingles"])
 
-    # texts whose key no wanted class has are not moved
-    key = F.pmod(F.xxhash64("doc_id", "th"), F.lit(KEPT)).alias("kept")
-    texts = _texts(docs, id_col, text_col).where("doc_id is not null").withColumn("kept", key)
-    texts = texts.join(F.broadcast(wanted.select(key).distinct()), "kept", "left_semi")
+    texts = _only(_texts(docs, id_col, text_col).where("doc_id is not null"), wanted, "doc_id", "th")
     return wanted.select("class", "doc_id", "th", "c1", "c2").join(texts, ["doc_id", "th"]).select("class", "c1", "c2", "t").mapInArrow(task, "class long, shingles binary")
 
 
@@ -427,7 +430,7 @@ def _pieces(large: DataFrame) -> DataFrame:
 def _blocks(nodes: DataFrame) -> DataFrame:
     """Rows (key, side) for the blocks of nodes (node, class, label, main, others, size) that compare classes outside the main label with
     all: these classes are dealt to the first chunks, the others to chunks behind them, and each first chunk meets itself and all later ones."""
-    chunks = lambda n: F.greatest(F.lit(1), F.ceil(n / SMALL)).cast("int")
+    chunks = lambda n: F.greatest(F.lit(1), F.ceil(n / (2 * SMALL))).cast("int")
     rows = nodes.withColumns({"po": chunks(F.col("others")), "pm": chunks(F.col("size") - F.col("others"))})
     dealt = lambda n: F.pmod(F.xxhash64("class", "node"), F.col(n)).cast("int")
     rows = rows.withColumn("c", F.when(F.col("label") == F.col("main"), F.col("po") + dealt("pm")).otherwise(dealt("po")))
@@ -473,7 +476,8 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT,
             masks = _shared.settle(compared.groupBy("class").agg(F.bit_or("used").alias("mask")), "masks")
         more = _labelled(small.join(found.where("a is null").select(F.col("key").alias("node")), "node", "left_semi"), labels)
         names = ["key", "class", "label", "side", F.lit(0).alias("used") if level else "used", F.coalesce("mask", F.lit(0)).alias("mask"), "n", "sig"]
-        known = lambda df: df.join(masks, "class", "left").join(sigs, "class")
+        now = _only(sigs, more.select("class").unionByName(few.select("class")), "class")
+        known = lambda df: df.join(masks, "class", "left").join(now, "class")
         rest = known(more.withColumns({"key": F.col("node"), "side": F.lit(0)})).select(*names).unionByName(_blocks(known(few)).select(*names))
         more_pairs = _shared.settle(_once(_compare(rest, percent, whole=True)), "pairs")
         labels = _linked(labels, more_pairs, sets, percent)
