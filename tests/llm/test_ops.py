@@ -594,3 +594,17 @@ def test_pipeline_of_awkward_tables(spark, sf_dir):
         assert (df.count() > 0) == (name != "empty"), name
     # without any language nothing is dropped by the first stage
     assert cp.identify_language(spark, odd, sf_dir).count() == odd.count()
+
+
+def test_held_out_scores_of_the_queries(spark):
+    """Quality and toxicity on the real tables, judged on the rows that no model saw; smaller tables have too few labels to learn from."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality", "toxic")
+    for name, label, least in (("op8_quality", "quality", 0.97), ("op10_toxicity", "toxic", 0.97)):
+        out = q.queries()[name](spark, sf)
+        assert out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+        assert out.where("score is null or score < 0 or score > 1").isEmpty()
+        held = out.where("held_out").join(labels.where(F.col(label).isNotNull()), "doc_id")
+        assert held.where(F.col("predicted") == F.col(label)).count() >= least * held.count(), name
+    clean = q.op10_toxicity(spark, sf).where("held_out and predicted = 1").join(labels.where("toxic = 0"), "doc_id")
+    assert clean.count() <= 7  # of about 730
