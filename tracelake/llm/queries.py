@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import _shared, ann, bpe, decontam, html_extract, langid, linededup, neardup, quality, tokenbin, toxicity
+from tracelake.llm import _shared, ann, bpe, decontam, html_extract, langid, linededup, merkle, neardup, packing, periodic, quality, tokenbin, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +83,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("doc_id", (_shared.crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_spans")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_html_text, op3_nearest_vectors, op4_line_dedup, op5_minhash_dedup, op6_decontamination, op7_token_files, op8_quality, op9_word_bpe, op10_toxicity)}
+    return {f.__name__: f for f in (op1_language_id, op2_html_text, op3_nearest_vectors, op4_line_dedup, op5_minhash_dedup, op6_decontamination, op7_token_files, op8_quality, op9_word_bpe, op10_toxicity, op11_packing, op12_merkle_manifest, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": linededup.ORACLE_SQL, "op5_minhash_dedup": neardup.ORACLE_SQL, "op6_decontamination": decontam.ORACLE_SQL}
+    return {"op4_line_dedup": linededup.ORACLE_SQL, "op5_minhash_dedup": neardup.ORACLE_SQL, "op6_decontamination": decontam.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
