@@ -9,19 +9,32 @@ from tracelake.functions import calldata_stats, effective_gas_price
 from tracelake.functions.prices import U128
 
 
-def with_receipts(transactions: DataFrame, receipts: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
-    """Transactions with receipt_status and receipt_gas_used by hash; a receipt that the block's batch lacks comes from ``fallback``.
-    Receipts must be unique by hash; one that is nowhere leaves nulls (see ``incomplete_blocks``)."""
+def _by_hash(receipts: DataFrame, name: str) -> DataFrame:
+    """One row a hash with its different receipts: one hash can stand on several networks."""
+    network = F.col("meta_network_name") if "meta_network_name" in receipts.columns else F.lit(None).cast("string")
+    return receipts.groupBy(F.col("tx_hash").alias("hash")).agg(F.array_sort(F.collect_set(F.struct(network.alias("network"), "status", "gas_used"))).alias(name))
+
 
-    def side(df: DataFrame, suffix: str) -> DataFrame:
-        return df.select(F.col("tx_hash").alias("hash"), F.col("status").alias(f"status{suffix}"), F.col("gas_used").alias(f"gas_used{suffix}"))
+def _receipt(name: str, network):
+    """Of a hash's receipts that of the network, else one that names no network."""
+    own = F.filter(name, lambda r: r["network"] == network)
+    return F.coalesce(F.get(own, F.lit(0)), F.get(F.filter(name, lambda r: r["network"].isNull()), F.lit(0)))
 
-    out = transactions.join(side(receipts, "_batch"), "hash", "left")
+
+def with_receipts(transactions: DataFrame, receipts: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """Transactions with receipt_status and receipt_gas_used by network and hash; a receipt that the block's batch lacks comes from
+    ``fallback``. Receipts (tx_hash, status, gas_used) without meta_network_name count for their hash on every network; repeated ones count
+    once, and of different ones the smallest by status and gas. One that is nowhere leaves nulls (see ``incomplete_blocks``)."""
+    network = F.col("meta_network_name") if "meta_network_name" in transactions.columns else F.lit(None).cast("string")
+    # without a network on the transactions' side any receipt of the hash will do
+    pick = (lambda name: _receipt(name, network)) if "meta_network_name" in transactions.columns else (lambda name: F.get(name, F.lit(0)))
+    out = transactions.join(_by_hash(receipts, "batch"), "hash", "left").withColumn("batch", pick("batch"))
     if fallback is None:
-        return out.withColumnsRenamed({"status_batch": "receipt_status", "gas_used_batch": "receipt_gas_used"})
+        return out.select(*transactions.columns, F.col("batch.status").alias("receipt_status"), F.col("batch.gas_used").alias("receipt_gas_used"))
     # only transactions without a receipt look for one in the fallback
-    missing = out.where("status_batch is null").select("hash").join(side(fallback, "_single"), "hash")
-    return out.join(missing, "hash", "left").select(*transactions.columns, F.coalesce("status_batch", "status_single").alias("receipt_status"), F.coalesce("gas_used_batch", "gas_used_single").alias("receipt_gas_used"))
+    missing = out.where("batch is null").select("hash").distinct().join(_by_hash(fallback, "single"), "hash")
+    out = out.join(missing, "hash", "left").withColumn("found", F.coalesce("batch", pick("single")))
+    return out.select(*transactions.columns, F.col("found.status").alias("receipt_status"), F.col("found.gas_used").alias("receipt_gas_used"))
 
 
 def locate(asked: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -42,15 +55,17 @@ def located(asked: DataFrame, transactions: DataFrame) -> DataFrame:
 
 
 def incomplete_blocks(joined: DataFrame) -> DataFrame:
-    """Blocks with a transaction that has no receipt: they fail as a whole."""
-    return joined.where("receipt_status is null").select("block_number").distinct()
+    """Blocks (by network, where there is one) with a transaction that has no receipt: they fail as a whole."""
+    block = [c for c in ("meta_network_name", "block_number") if c in joined.columns]
+    return joined.where("receipt_status is null").select(*block).distinct()
 
 
 def transaction_table(transactions: DataFrame, receipts: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
     """One row a transaction of the blocks whose receipts are complete. Transactions carry the columns of sources.schemas.TRANSACTION and
     block_hash, parent_hash, base_fee and position; ``input`` is binary."""
     joined = with_receipts(transactions, receipts, fallback)
-    joined = joined.join(incomplete_blocks(joined), "block_number", "left_anti")
+    failed = incomplete_blocks(joined)
+    joined = joined.join(failed, failed.columns, "left_anti")
     kind = F.col("type")
     blob = kind == 3
     stats = calldata_stats(F.col("input"))

@@ -24,6 +24,6 @@ TRANSACTION = _struct(
     hash=_S, type=_S, nonce=_S, gasPrice=_S, maxPriorityFeePerGas=_S, maxFeePerGas=_S, gas=_S, value=_S, input=_S, to=_S, blobVersionedHashes=T.ArrayType(_S), maxFeePerBlobGas=_S, size=_L, **{"from": _S}
 )
 BLOCK = _struct(meta_network_name=_S, number=_S, hash=_S, parentHash=_S, baseFeePerGas=_S, transactions=T.ArrayType(TRANSACTION))
-RECEIPT = _struct(transactionHash=_S, status=_S, gasUsed=_S)
+RECEIPT = _struct(meta_network_name=_S, transactionHash=_S, status=_S, gasUsed=_S)
 PROGRESS = _struct(updated_date_time=T.TimestampType(), block_number=_L, processor=_S, meta_network_name=_S, complete=T.IntegerType(), task_count=_L)
 BEACON = _struct(slot_start_date_time=T.TimestampType(), execution_payload_block_number=_L, meta_network_name=_S)
