@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tracelake.functions.prices import parse_u128
 from tracelake.plans import progress as pg
 from tracelake.plans import transactions as tx
-from tracelake.sources import readers, schemas, sinks
-from tracelake.streaming import jobs
+from tracelake.sources import readers, schemas, sinks, versions
+from tracelake.streaming import completion, jobs
 
 
 def land(path, block, n_tx=2):
@@ -46,9 +46,9 @@ def test_stream_of_traces_is_idempotent(spark, tmp_path):
     run()
     land(tmp_path / "in", 2)
     run()
-    once = {k: spark.read.parquet(v).count() for k, v in tables.items()}
+    once = {k: versions.read(spark, v).count() for k, v in tables.items()}
     jobs.backfill(spark, str(tmp_path / "in"), headers, tables, progress, 1, 1)
-    assert {k: spark.read.parquet(v).count() for k, v in tables.items()} == once
+    assert {k: versions.read(spark, v).count() for k, v in tables.items()} == once
     assert once["structlog"] == 2 * 3  # two opcodes and the frame of a plain account
     latest = pg.latest_version(spark.read.parquet(progress), ["complete"])
     assert latest.where("complete = 1").count() == 4
@@ -72,11 +72,11 @@ def test_block_split_over_batches(spark, tmp_path):
     for i, line in enumerate(others):
         (tmp_path / "in" / f"b{i}.json").write_text(line)
     assert run() == 2
-    split = {k: sorted(map(str, spark.read.parquet(v).drop("updated_date_time").collect())) for k, v in tables.items()}
-    assert {r["transaction_hash"] for r in spark.read.parquet(tables["structlog_agg"]).collect()} == {"0x50", "0x51", "0x52"}
+    split = {k: sorted(map(str, versions.read(spark, v).drop("updated_date_time").collect())) for k, v in tables.items()}
+    assert {r["transaction_hash"] for r in versions.read(spark, tables["structlog_agg"]).collect()} == {"0x50", "0x51", "0x52"}
     whole = {k: str(tmp_path / f"{k}-whole") for k in tables}
     jobs.backfill(spark, str(tmp_path / "whole"), headers, whole, str(tmp_path / "progress-whole"), 5, 5, counts)
-    assert split == {k: sorted(map(str, spark.read.parquet(v).drop("updated_date_time").collect())) for k, v in whole.items()}
+    assert split == {k: sorted(map(str, versions.read(spark, v).drop("updated_date_time").collect())) for k, v in whole.items()}
 
 
 def test_blocks_and_receipts(spark, tmp_path):
@@ -142,7 +142,7 @@ def test_transaction_blocks_job(spark, tmp_path):
     table, progress = str(tmp_path / "t"), str(tmp_path / "p")
     for _ in range(2):
         jobs.process_blocks(txs, receipts, table, progress)
-        assert sorted((r["block_number"], r["position"]) for r in spark.read.parquet(table).collect()) == [(1, 0), (1, 1)]
+        assert sorted((r["block_number"], r["position"]) for r in versions.read(spark, table).collect()) == [(1, 0), (1, 1)]
     latest = pg.latest_version(spark.read.parquet(progress), ["complete"])
     assert {(r["block_number"], r["complete"]) for r in latest.collect()} == {(1, 1), (2, 0)}
 
@@ -224,15 +224,53 @@ def test_backfill_goes_down(spark, tmp_path, monkeypatch):
     assert seen == [[4, 5], [2, 3], [1], [2, 3, 4]]
 
 
-def test_completion_stream(spark, tmp_path):
-    schema = "event_time timestamp, processor string, meta_network_name string, block_number long, task_id string, task_count long"
-    at = datetime.datetime(2024, 1, 1)
-    rows = [(at, "p", "n", 1, None, 2), (at, "p", "n", 1, "a", None), (at, "p", "n", 1, "a", None), (at, "p", "n", 1, "b", None), (at, "p", "n", 2, None, 3), (at, "p", "n", 2, "a", None)]
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
-    for name, plan, mode in (("done", jobs.completion_stream, "complete"), ("state", jobs.completion_with_timeout, "append")):
-        events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        q = plan(events).writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).start()
-        q.processAllAvailable()
+EVENT = "event_time timestamp, processor string, meta_network_name string, block_number long, task_id string, task_count long"
+START = datetime.datetime(2024, 1, 1)
+
+
+def event(minutes, task=None, count=None, block=1):
+    return (START + datetime.timedelta(minutes=minutes), "p", "n", block, task, count)
+
+
+def completed(spark, tmp_path, batches, **options):
+    """What completion gives for batches of events, after each of them, and the rows of state that are left."""
+    (tmp_path / "in").mkdir()
+    events = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    mode, name = ("update" if options.get("every") else "append"), f"done_{tmp_path.name.replace('-', '_')}"
+    q = completion.completions(events, **options).writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        for rows in batches:
+            spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            q.processAllAvailable()
+            state = next(p["stateOperators"][0]["numRowsTotal"] for p in reversed(q.recentProgress) if p["stateOperators"])
+            yield sorted((r["block_number"], r["status"], r["completed"], r["task_count"]) for r in spark.table(name).collect()), state
+    finally:
         q.stop()
-    assert {(r["block_number"], r["completed"], r["is_complete"]) for r in spark.table("done").collect()} == {(1, 2, True), (2, 1, False)}
-    assert {(r["block_number"], r["status"]) for r in spark.table("state").collect()} == {(1, "complete")}
+
+
+def test_completion_counts_each_task_once(spark, tmp_path):
+    batches = [[event(0, count=2), event(0, "a"), event(0, "a"), event(0, count=3, block=2), event(0, "a", block=2)], [event(0, "a"), event(0, "b")], [event(0, "b")]]
+    rows = [r for r, _ in completed(spark, tmp_path, batches, every=True)]
+    assert rows[0] == [(1, "open", 1, 2), (2, "open", 1, 3)]
+    assert rows[1] == rows[2] == [(1, "complete", 2, 2), (1, "open", 1, 2), (2, "open", 1, 3)]
+
+
+def test_a_block_is_stale_by_its_registration(spark, tmp_path):
+    """20 tasks expected, one every 4 minutes: stale 5 minutes after registration, and then nothing of it is left but late tasks' entries,
+    which go as well."""
+    batches = [[event(0, count=20)], *[[event(4 * i, f"t{i}")] for i in range(1, 4)], [event(60, count=1, block=9)], [event(61, "x", block=9)]]
+    out = list(completed(spark, tmp_path, batches))
+    assert [r for r, _ in out] == [[], [], [(1, "stale", 2, 20)], [(1, "stale", 2, 20)], [(1, "stale", 2, 20)], [(1, "stale", 2, 20), (9, "complete", 1, 1)]]
+    assert out[2][1] == 0 and out[3][1] > 0 and out[5][1] == 0
+
+
+def test_registration_begins_anew(spark, tmp_path):
+    """Tasks before a registration don't count, those from its time on do, even if they came first; a second registration moves the timer."""
+    batches = [[event(0, "old"), event(2, "early")], [event(1, count=3)], [event(3, "b")], [event(4, count=2), event(4.1, "b")], [event(8, "b")], [event(8.5, "c")], [event(20, "z", block=7)]]
+    rows = [r for r, _ in completed(spark, tmp_path, batches, every=True, delay="10 minutes")]
+    assert rows[1] == [(1, "open", 1, 3)] and rows[2] == [(1, "open", 1, 3), (1, "open", 2, 3)]
+    assert rows[-1][0] == (1, "complete", 2, 2) and not [r for r in rows[-1] if r[1] == "stale"]
+
+
+def test_nothing_expected_is_complete(spark, tmp_path):
+    assert [r for r, _ in completed(spark, tmp_path, [[event(0, count=0), event(0, None, None, 3)]])] == [[(1, "complete", 0, 0)]]

@@ -15,8 +15,6 @@ BUCKET = 10_000
 #: Blocks that one request may have processed again.
 MOST_REQUEUED = 1_000
 TRANSACTION = ["meta_network_name", "block_number", "transaction_hash"]
-#: Transactions that are stored, as append_done notes them.
-DONE = "block_number long, transaction_hash string, transaction_index long, processor string, meta_network_name string, block_bucket long"
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -27,19 +25,15 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def replace_blocks(df: DataFrame, path: str, blocks: DataFrame) -> None:
-    """Replace the given (meta_network_name, block_number) in the table: their partitions are read, the blocks exchanged, and rewritten. The
-    first call makes the table."""
-    _replace(df, path, blocks, TRANSACTION[:2])
-
-
-def _replace(df: DataFrame, path: str, keys: DataFrame, by: list[str]) -> None:
-    spark = df.sparkSession
+    """Replace the given (meta_network_name, block_number) in a partitioned table: their partitions are read, the blocks exchanged, and
+    rewritten. The first call makes the table. For tables that are corrected now and then; what grows all the time is ``versions``."""
+    spark, by = df.sparkSession, TRANSACTION[:2]
     if not store.exists(spark, path):
         write_table(df, path)
         return
     stored = spark.read.schema(df.schema.add("block_bucket", "long")).parquet(path)
-    touched = keys.select("meta_network_name", F.floor(F.col("block_number") / BUCKET).cast("long").alias("block_bucket")).distinct()
-    rest = stored.join(touched, ["meta_network_name", "block_bucket"], "left_semi").join(keys.select(*by), by, "left_anti").drop("block_bucket")
+    touched = blocks.select("meta_network_name", F.floor(F.col("block_number") / BUCKET).cast("long").alias("block_bucket")).distinct()
+    rest = stored.join(touched, ["meta_network_name", "block_bucket"], "left_semi").join(blocks.select(*by), by, "left_anti").drop("block_bucket")
     # what is overwritten must not be read at the same time; if the second write fails, the folder aside has all rows of its partitions
     aside = f"{path.rstrip('/')}__replaced-{uuid.uuid4().hex}"
     rest.unionByName(df.select(*rest.columns)).write.parquet(aside)
@@ -47,15 +41,9 @@ def _replace(df: DataFrame, path: str, keys: DataFrame, by: list[str]) -> None:
     store.drop_path(spark, aside)
 
 
-def replace_transactions(df: DataFrame, path: str, transactions: DataFrame) -> None:
-    """Replace the rows of the given (meta_network_name, block_number, transaction_hash); those of other transactions of a block stay. The
-    first call makes the table."""
-    _replace(df, path, transactions, TRANSACTION)
-
-
-def requeue_blocks(blocks: DataFrame, known: DataFrame, recompute: Callable[[DataFrame], DataFrame], processor: str, path: str, progress: str) -> DataFrame:
+def requeue_blocks(blocks: DataFrame, known: DataFrame, recompute: Callable[[DataFrame], DataFrame], processor: str, path: str, progress: str, replace: Callable[[DataFrame, str, DataFrame], object] = replace_blocks) -> DataFrame:
     """Process the asked blocks (meta_network_name, block_number) again, for any processor's table: ``recompute`` gives their rows, which
-    replace those in ``path``. ``known`` has the blocks that there are, with task_count. Returns one row a block: status 'queued' or
+    replace those in ``path`` (``replace`` of a versioned table is ``versions.write``). ``known`` has the blocks that there are, with task_count. Returns one row a block: status 'queued' or
     'failed', task_count and error. More than ``MOST_REQUEUED`` blocks in a request are an error."""
     block = TRANSACTION[:2]
     asked = blocks.select(*block).distinct()
@@ -64,7 +52,7 @@ def requeue_blocks(blocks: DataFrame, known: DataFrame, recompute: Callable[[Dat
         raise ValueError(f"a request has at most {MOST_REQUEUED} blocks")
     there = store.settle(asked.join(known.select(*block, "task_count"), block), "requeued")
     if not there.isEmpty():
-        replace_blocks(recompute(there), path, there)
+        replace(recompute(there), path, there)
         append_progress(progress_rows(there, processor, 1), progress)
     out = asked.join(there, block, "left")
     found = F.col("task_count").isNotNull()
@@ -77,20 +65,6 @@ def requeue_summary(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("total"), F.coalesce(count("queued"), F.lit(0)).alias("queued"), F.coalesce(count("failed"), F.lit(0)).alias("failed"))
 
 
-def append_done(transactions: DataFrame, processor: str, path: str) -> None:
-    """Note transactions (network, block, hash, index) whose rows ``processor`` has stored; some have no rows in its table."""
-    out = transactions.select("meta_network_name", "block_number", "transaction_hash", "transaction_index").withColumns({"processor": F.lit(processor), "block_bucket": F.floor(F.col("block_number") / BUCKET).cast("long")})
-    out.write.mode("append").partitionBy("processor", "meta_network_name", "block_bucket").parquet(path)
-
-
-def done_transactions(blocks: DataFrame, processor: str, path: str) -> DataFrame:
-    """Of the given blocks (meta_network_name, block_number): done (distinct transactions noted) and last_index."""
-    keys = blocks.select("meta_network_name", "block_number", F.floor(F.col("block_number") / BUCKET).cast("long").alias("block_bucket"))
-    noted = blocks.sparkSession.read.schema(DONE).parquet(path).where(F.col("processor") == processor)
-    noted = noted.join(keys, ["meta_network_name", "block_bucket", "block_number"], "left_semi")
-    return noted.groupBy("meta_network_name", "block_number").agg(F.countDistinct("transaction_hash").alias("done"), F.max("transaction_index").alias("last_index"))
-
-
 def progress_rows(blocks: DataFrame, processor: str, complete: int | None, now=None) -> DataFrame:
     """Version rows for (meta_network_name, block_number[, task_count]): begun (0), complete (1, no tasks) or asked for by hand (null)."""
     tasks = F.col("task_count").cast("long") if complete == 0 and "task_count" in blocks.columns else F.lit(0).cast("long")

@@ -11,19 +11,21 @@ from pyspark.sql.streaming import StreamingQuery
 from tracelake.plans import store
 from tracelake.plans import traces as plans
 from tracelake.plans.transactions import transaction_table
-from tracelake.sources import readers, schemas, sinks
+from tracelake.sources import readers, schemas, sinks, versions
+from tracelake.streaming.completion import STALE_SECONDS, TTL_SECONDS, completions
 
 
 def process_batch(traces: DataFrame, transactions: Callable[[DataFrame], DataFrame], tables: dict[str, str], progress: str, counts: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """One batch of landed traces: mark its blocks begun, overwrite their transactions' rows in the tables, mark blocks complete of which
-    all transactions are stored, from this batch and earlier ones. Run again (same batch, restart, duplicates) it leaves the same tables
-    and one more pair of progress versions.
+    """One batch of landed traces: mark its blocks begun, add their transactions' rows to the tables as a new version, mark blocks complete
+    of which all transactions are stored, from this batch and earlier ones. Run again (same batch, restart, duplicates) it leaves the same
+    tables, as ``versions.read`` shows them, and one more pair of progress versions; what is written is in proportion to the batch.
 
     ``transactions`` gives to_address for trace headers; ``tables`` has the paths of 'structlog' and 'structlog_agg'. ``counts`` gives
     task_count, the transactions a block has, for blocks (meta_network_name, block_number); blocks that it doesn't know stay open. Traces
     don't tell this number: without ``counts`` a block is complete while all transactions up to its highest stored index are there, and
-    open again when a later trace of it begins. The stored transactions are noted beside the progress table.
+    open again when a later trace of it begins. The tables' own logs say which transactions are stored.
     """
+    spark = traces.sparkSession
     traces = traces.dropDuplicates(sinks.TRANSACTION).persist()
     block = sinks.TRANSACTION[:2]
     try:
@@ -31,18 +33,16 @@ def process_batch(traces: DataFrame, transactions: Callable[[DataFrame], DataFra
             return
         headers = transactions(readers.trace_headers(traces))
         flat = readers.flatten_traces(traces)
-        stored = f"{progress.rstrip('/')}__transactions"
         landed = traces.select(*sinks.TRANSACTION, "transaction_index")
         blocks = landed.select(*block).distinct()
         known = None if counts is None else blocks.join(counts(blocks).select(*block, "task_count"), block, "left").persist()
         for name, plan in (("structlog", plans.opcode_table), ("structlog_agg", plans.frame_agg_table)):
             if name in tables:
                 # the batch's own rows count for task_count before they are stored
-                begun = known if known is not None else _highest(landed, name, stored)
+                begun = known if known is not None else _highest(landed, tables[name])
                 sinks.append_progress(sinks.progress_rows(begun, name, 0), progress)
-                sinks.replace_transactions(plan(flat, headers), tables[name], landed)
-                sinks.append_done(landed, name, stored)
-                done = sinks.done_transactions(blocks, name, stored)
+                versions.write(plan(flat, headers), tables[name], landed)
+                done = versions.done_transactions(spark, tables[name], blocks)
                 done = done.withColumn("task_count", F.col("last_index") + 1) if known is None else done.join(known, block)
                 sinks.append_progress(sinks.progress_rows(done.where("done >= task_count"), name, 1), progress)
         if known is not None:
@@ -51,13 +51,11 @@ def process_batch(traces: DataFrame, transactions: Callable[[DataFrame], DataFra
         traces.unpersist()
 
 
-def _highest(landed: DataFrame, name: str, stored: str) -> DataFrame:
+def _highest(landed: DataFrame, table: str) -> DataFrame:
     """Blocks with task_count by the highest transaction index of this batch and of what is stored."""
     block = sinks.TRANSACTION[:2]
     now = landed.groupBy(*block).agg((F.max("transaction_index") + 1).alias("task_count"))
-    if not store.exists(landed.sparkSession, stored):  # the first batch
-        return now
-    before = sinks.done_transactions(now, name, stored)
+    before = versions.done_transactions(landed.sparkSession, table, now)
     return now.join(before, block, "left").select(*block, F.greatest("task_count", F.col("last_index") + 1).alias("task_count"))
 
 
@@ -78,56 +76,21 @@ def backfill(spark: SparkSession, landing: str, transactions, tables: dict[str,
 
 
 def process_blocks(transactions: DataFrame, receipts: DataFrame, table: str, progress: str, fallback: DataFrame | None = None) -> None:
-    """One batch of landed blocks for the transaction table: their rows are replaced as a whole, and blocks with all receipts become
-    complete; a block that lacks one stays open. Run again it leaves the same table. Blocks without transactions are not in the input."""
+    """One batch of landed blocks for the transaction table: their rows become those blocks' new version, and blocks with all receipts become
+    complete; a block that lacks one stays open. Run again it leaves the same table, as ``versions.read`` shows it. Blocks without
+    transactions are not in the input."""
     block = sinks.TRANSACTION[:2]
     rows = store.settle(transaction_table(transactions, receipts, fallback), "transactions")
     landed = transactions.groupBy(*block).agg(F.count("*").alias("task_count"))
     sinks.append_progress(sinks.progress_rows(landed, "transaction", 0), progress)
     done = rows.select(*block).distinct()
-    sinks.replace_blocks(rows, table, done)
+    versions.write(rows, table, done)
     sinks.append_progress(sinks.progress_rows(done, "transaction", 1), progress)
     store.unsettle(rows)
 
 
-def completion_stream(tasks: DataFrame, ttl: str = "30 minutes") -> DataFrame:
-    """(processor, network, block, completed, task_count, is_complete) of streamed events (event_time, block key, task_id, task_count): a row
-    with a task_id is a finished task, repeated ones count once within ``ttl``; one without registers the expected count."""
-    key = ["processor", "meta_network_name", "block_number"]
-    once = tasks.withWatermark("event_time", ttl).dropDuplicatesWithinWatermark([*key, "task_id"])
-    df = once.groupBy(*key).agg(F.count("task_id").alias("completed"), F.max("task_count").alias("task_count"))
-    return df.withColumn("is_complete", F.coalesce(F.col("completed") >= F.col("task_count"), F.lit(False)))
-
-
-def completion_with_timeout(tasks: DataFrame, stale_seconds: int = 300, ttl_seconds: int = 1800) -> DataFrame:
-    """Like ``completion_stream`` as keyed state: each block's distinct finished tasks and expected count; emits (key, status) once a block is
-    'complete', or 'stale' when ``stale_seconds`` of event time pass after registration without completion; forgotten after either or
-    ``ttl_seconds``. One row of state a task, none of it leaves the block's key."""
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    key = ["processor", "meta_network_name", "block_number"]
-    wait = min(stale_seconds, ttl_seconds) * 1000
-
-    def step(k, frames, state):
-        ids, expected = (set(state.get[0]), state.get[1]) if state.exists else (set(), -1)
-        if state.hasTimedOut:
-            state.remove()
-            if expected >= 0:
-                yield pd.DataFrame([(*k, "stale", len(ids))], columns=[*key, "status", "completed"])
-            return
-        seen = 0
-        for pdf in frames:
-            seen = max(seen, int(pdf["event_time"].max().timestamp() * 1000)) if len(pdf) else seen
-            ids |= set(pdf["task_id"].dropna())
-            counts = pdf["task_count"].dropna()
-            expected = max(expected, int(counts.max())) if len(counts) else expected
-        if 0 <= expected <= len(ids):
-            state.remove()
-            yield pd.DataFrame([(*k, "complete", len(ids))], columns=[*key, "status", "completed"])
-            return
-        state.update((sorted(ids), expected))
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), seen) + wait)
-
-    watermarked = tasks.withWatermark("event_time", "10 seconds")
-    return watermarked.groupBy(*key).applyInPandasWithState(step, "processor string, meta_network_name string, block_number long, status string, completed long", "ids array<string>, expected long", "append", GroupStateTimeout.EventTimeTimeout)
+def completion_with_timeout(tasks: DataFrame, stale_seconds: int = STALE_SECONDS, ttl_seconds: int = TTL_SECONDS) -> DataFrame:
+    """(processor, network, block, status, completed, task_count) of streamed events (event_time, block key, task_id, task_count): a row with
+    a task_id is a finished task, one without registers the expected count. A row once a block is 'complete', or 'stale' when
+    ``stale_seconds`` of event time pass after its registration without completion; see ``completion``."""
+    return completions(tasks, stale_seconds, ttl_seconds)
