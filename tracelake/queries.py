@@ -13,7 +13,8 @@ from tracelake.operators import resources as rs
 from tracelake.plans import progress as pg
 from tracelake.plans import traces as tr
 from tracelake.plans import transactions as tx
-from tracelake.sources import derive, readers, schemas
+from tracelake.plans import store
+from tracelake.sources import derive, embedded, readers, schemas
 
 KEY = ["tx"]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,6 +254,19 @@ def read_traces(spark, d):
     return flat.select("transaction_hash", "idx", "op", "gas", F.col("gas_cost").cast("long").alias("gas_cost"), F.col("depth").cast("long").alias("depth"), "refund", "error", "mem_size", "call_to_address", "s1", "s2", "return_data")
 
 
+@query("read_embedded_traces", _chain(False) + f" SELECT CAST(tx AS VARCHAR) AS transaction_hash, CAST(idx AS BIGINT) AS idx, CAST(CASE WHEN tx % 2 = 0 THEN gas_cost + 7 ELSE used END AS BIGINT) AS gas_used, wb AS words_before, CASE WHEN op IN {_CALLS} THEN call_to_address END AS target FROM g WHERE tx - tx % 3 < (SELECT max(tx) FROM s)")
+def read_embedded_traces(spark, d):
+    """The derived traces, half of them with a tracer's gas, landed as a host has them (three transactions a block) and read by ranges of
+    blocks, all but the last block."""
+    df = _traces(spark, d).where("tx is not null").withColumns({"meta_network_name": F.lit("mainnet"), "block_number": F.floor(F.col("tx") / 3).cast("long"), "transaction_hash": F.col("tx").cast("string"), "gas_used": F.when(F.col("tx") % 2 == 0, F.col("gas_cost") + 7)})
+    folder = store.scratch(spark, "embedded")
+    embedded.write_folder(df, folder)
+    last = embedded.FolderProvider(folder).blocks()[1]
+    end = embedded.read_embedded_traces(spark, folder, first=last - embedded.STEP + 1).agg(F.max("block_number")).first()[0]
+    rows = tr.annotated(embedded.read_embedded_traces(spark, folder, last=end - 1), created=False)
+    return rows.select("transaction_hash", "idx", "gas_used", "words_before", F.when(F.col("op").isin(fn.CALLS), F.col("target")).alias("target"))
+
+
 @query("frame_path", _chain(False).replace("WITH s", "WITH RECURSIVE s", 1) + _PATHS + " SELECT tx, fid AS frame_id, path FROM fp")
 def frame_path(spark, d):
     return fr.frame_paths(fr.frame_table(fr.with_frames(fr.normal(_traces(spark, d)), KEY), KEY), KEY).select("tx", "frame_id", _text("path").alias("path"))
@@ -390,20 +404,41 @@ def tx_receipts(spark, d):
     return tx.with_receipts(_transactions(spark, d), *_receipts(spark, d)).select("tx_id", "receipt_status", "receipt_gas_used")
 
 
+def _full(df: DataFrame) -> DataFrame:
+    """Derived transactions with the columns of the transaction table that they lack."""
+    null = F.lit(None)
+    return df.withColumns({
+        "input": F.unhex("input_hex"), "block_hash": F.lit(""), "parent_hash": F.lit(""), "from_address": F.lit(""), "nonce": F.lit(0), "gas": F.lit(0).cast("long"), "value": null, "size": F.lit(0), "blob_gas": F.lit(readers.GAS_PER_BLOB).cast("long"),
+        "blob_gas_fee_cap": null, "blob_hashes": null.cast("array<string>"), "meta_network_name": F.lit("mainnet"), "position": F.col("position").cast("long"),
+    })
+
+
 @query("transaction_table", f"""WITH t AS ({derive.TX_SRC}), r AS ({derive.RECEIPT_SRC}), z AS (SELECT *, len(list_filter(range(1, len(input_hex), 2), lambda i: substr(input_hex, i, 2) = '00')) AS zeros FROM t)
 SELECT z.block_number, CAST(z.position AS BIGINT) AS position, z.hash, z.to_address, CAST(CASE WHEN z.type <= 1 OR base_fee IS NULL THEN gas_price ELSE least(base_fee + gas_tip_cap, gas_fee_cap) END AS DECIMAL(38,0)) AS gas_price,
 CASE WHEN z.type >= 2 THEN CAST(gas_tip_cap AS DECIMAL(38,0)) END AS gas_tip_cap, CASE WHEN z.type >= 2 THEN CAST(gas_fee_cap AS DECIMAL(38,0)) END AS gas_fee_cap, z.type, CAST(len(input_hex) // 2 AS BIGINT) AS call_data_size, CASE WHEN z.type = 3 THEN 131072 END AS blob_gas,
 r.status = 1 AS success, CAST(zeros AS BIGINT) AS n_input_zero_bytes, CAST(len(input_hex) // 2 - zeros AS BIGINT) AS n_input_nonzero_bytes FROM z JOIN r ON z.hash = r.tx_hash""".replace("131072 END", "CAST(131072 AS BIGINT) END"))
 def transaction_table(spark, d):
-    null = F.lit(None)
-    df = _transactions(spark, d).withColumns({
-        "input": F.unhex("input_hex"), "block_hash": F.lit(""), "parent_hash": F.lit(""), "from_address": F.lit(""), "nonce": F.lit(0), "gas": F.lit(0).cast("long"), "value": null, "size": F.lit(0), "blob_gas": F.lit(readers.GAS_PER_BLOB).cast("long"),
-        "blob_gas_fee_cap": null, "blob_hashes": null.cast("array<string>"), "meta_network_name": F.lit("mainnet"), "position": F.col("position").cast("long"),
-    })
+    df = _full(_transactions(spark, d))
     out = tx.transaction_table(df, *_receipts(spark, d))
     return out.select("block_number", "position", "hash", "to_address", "gas_price", "gas_tip_cap", "gas_fee_cap", "type", "call_data_size", "blob_gas", "success", "n_input_zero_bytes", "n_input_nonzero_bytes")
 
 
+_TWO = f"""WITH t AS ({derive.TX_SRC}), r AS ({derive.RECEIPT_SRC}), n AS (SELECT * FROM (VALUES ('mainnet'), ('sepolia')) AS v(meta_network_name)),
+x AS (SELECT * FROM t CROSS JOIN n), y AS (SELECT tx_hash, meta_network_name, CASE WHEN meta_network_name = 'mainnet' THEN status ELSE 1 - status END AS status FROM r CROSS JOIN n WHERE NOT (meta_network_name = 'sepolia' AND tx_hash LIKE '%37'))"""
+
+
+@query("transactions_by_network", _TWO + """, z AS (SELECT x.meta_network_name, x.block_number, CAST(x.position AS BIGINT) AS position, x.hash, y.status FROM x LEFT JOIN y ON x.hash = y.tx_hash AND x.meta_network_name = y.meta_network_name)
+SELECT meta_network_name, block_number, position, hash, status = 1 AS success FROM z ANTI JOIN (SELECT DISTINCT meta_network_name, block_number FROM z WHERE status IS NULL) USING (meta_network_name, block_number)""")
+def transactions_by_network(spark, d):
+    """All transactions on two networks with receipts of their own, repeated ones too; some of one network's receipts are nowhere."""
+    network = F.explode(F.array(F.lit("mainnet"), F.lit("sepolia")))
+    receipts = derive.derived(spark, d, "receipt_src").withColumn("meta_network_name", network).withColumn("status", F.when(F.col("meta_network_name") == "mainnet", F.col("status")).otherwise(1 - F.col("status")))
+    receipts = receipts.where("not (meta_network_name = 'sepolia' and tx_hash like '%37')")
+    batch = receipts.where("in_batch")
+    out = tx.transaction_table(_full(_transactions(spark, d)).withColumn("meta_network_name", network), batch.unionByName(batch.where("tx_hash like '%5'")), receipts.where("not in_batch"))
+    return out.select("meta_network_name", "block_number", "position", "hash", "success")
+
+
 # ---------------------------------------------------------------- progress
 
 _P = f"WITH p AS ({derive.PROGRESS_SRC}), l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY processor, meta_network_name, block_number ORDER BY updated_date_time DESC, version_tiebreak DESC) AS rn FROM p) WHERE rn = 1)"

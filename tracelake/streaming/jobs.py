@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tracelake.plans import store
 from tracelake.plans import traces as plans
 from tracelake.plans.transactions import transaction_table
-from tracelake.sources import readers, schemas, sinks, versions
+from tracelake.sources import polled, readers, schemas, sinks, versions
 from tracelake.streaming.completion import STALE_SECONDS, TTL_SECONDS, completions
 
 
@@ -66,6 +66,15 @@ def stream_traces(spark: SparkSession, landing: str, transactions: Callable[[Dat
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def follow_blocks(lines: DataFrame, transactions: Callable[[DataFrame], DataFrame], tables: dict[str, str], progress: str, checkpoint: str, counts: Callable[[DataFrame], DataFrame] | None = None, **trigger) -> StreamingQuery:
+    """Process the traces of a ``landed_blocks`` stream (``polled``): its batches note their blocks in ``progress``, which its leash reads."""
+
+    def batch(df: DataFrame, _: int) -> None:
+        process_batch(polled.documents(df, schemas.TRACE).where("transaction_hash is not null"), transactions, tables, progress, counts)
+
+    return lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
 def backfill(spark: SparkSession, landing: str, transactions, tables: dict[str, str], progress: str, first: int, last: int, counts: Callable[[DataFrame], DataFrame] | None = None, step: int | None = None) -> None:
     """A bounded batch job over the traces of a block range: all at once, or from the highest blocks down, ``step`` blocks at a time, so
     that what is newest is there first."""
