@@ -25,14 +25,6 @@ def trace(ops, tx=1):
     return [{"tx": tx, "idx": i, "op": o[0], "gas": o[1], "gas_cost": Decimal(o[2]), "depth": o[3]} | (o[4] if len(o) > 4 else {}) for i, o in enumerate(ops)]
 
 
-def test_gas_of_nested_calls(spark):
-    ops = [("CALL", 7000, 40, 1), ("ADD", 5500, 4, 2), ("STATICCALL", 5490, 40, 2), ("SLOAD", 3000, 100, 3), ("RETURN", 2850, 0, 3), ("POP", 4100, 2, 2), ("STOP", 4090, 0, 2), ("ADD", 5210, 5, 1)]
-    df = fr.with_gas(fr.with_frames(fr.normal(frame(spark, trace(ops))), ["tx"]), ["tx"]).orderBy("idx").collect()
-    assert [r["gas_used"] for r in df] == [1790, 10, 1390, 150, 0, 10, 0, 5]
-    assert [r["gas_self"] for r in df] == [380, 10, 1240, 150, 0, 10, 0, 5]
-    assert [r["frame_id"] for r in df] == [0, 1, 1, 2, 2, 1, 1, 0]
-
-
 def test_tracer_gas_is_taken_if_its_first_is_positive(spark):
     ops = [("CALL", 900, 40, 1, {"gas_used": 333}), ("ADD", 700, 4, 2, {"gas_used": 21}), ("STOP", 690, 0, 2), ("ADD", 500, 5, 1, {"gas_used": 6})]
     schema = SCHEMA + ", gas_used long"
@@ -113,6 +105,8 @@ def test_created_addresses_and_inner_gas_by_definition(spark):
             ops = sorted((r for r in rows if r["tx"] == tx), key=lambda r: r["idx"])
             for r, (inside, alike) in zip(ops, by_definition(ops)):
                 g = got[tx, r["idx"]]
+                again = alike if alike is not None and alike["depth"] == r["depth"] else None  # the frame goes on
+                assert g["gas_used"] == (r["gas"] - again["gas"] if again is not None else r["gas_cost"])
                 if r["op"] == "CREATE":
                     assert g["target"] == (None if alike is None else "0x" + alike["s1"][2:].rjust(40, "0"))
                 if r["op"] in ("CREATE", "CALL", "STATICCALL"):
@@ -181,3 +175,64 @@ def test_precompile_gas_is_preserved(spark):
     df = tr.annotated(frame(spark, trace(ops)), ["tx"], True)
     r = df.where("idx = 0").first()
     assert (r["own_gas"], r["precompile_gas"]) == (100, 3000)
+
+
+def tracer_fields(rng, rows):
+    """Some traces with a tracer's gas and addresses, some opcodes with addresses of precompiles."""
+    for r in rows:
+        if r["tx"] % 3 == 0:
+            r |= {"gas_used": rng.randint(1, 90), "call_to_address": rng.choice([None, "0x" + "0" * 39 + "4", "0x" + "7" * 40]) if r["op"] in ("CALL", "STATICCALL", "CREATE") else None}
+        r["error"] = rng.choice([None, None, "", "out of gas"])
+    return rows
+
+
+def test_segments_equal_the_whole_trace(spark):
+    """The same rows for chunks of 1, 7 and all places, of deep and flat traces, with and without a tracer's values."""
+    rng = random.Random(21)
+    rows = tracer_fields(rng, [r for tx in range(24) for r in random_trace(rng, tx, [[-2, -1, 0, 0, 1], [-1, 0, 1, 1], [-9, 1, 1, 1, 1]][tx % 3])])
+    df = frame(spark, rows, SCHEMA + ", gas_used long").repartition(3)
+    for precompile, created in ((False, True), (True, False)):
+        whole = tr.annotated(df, ["tx"], precompile, created=created)
+        columns = sorted(whole.columns)
+        want = normal(map(tuple, whole.select(*columns).collect()))
+        for chunk in (1, 7, 1_000):
+            cut = tr.annotated(df, ["tx"], precompile, created=created, longest=0, chunk_rows=chunk)
+            assert sorted(cut.columns) == columns
+            assert normal(map(tuple, cut.select(*columns).collect())) == want, chunk
+
+
+def test_only_long_traces_are_cut(spark):
+    """Long, short and malformed traces in one table; the tables are the same as without segments."""
+    rng = random.Random(22)
+    rows = [r for tx in range(20) for r in random_trace(rng, tx, [-1, 0, 1] if tx % 4 else [-2, 0, 1, 2, 3])]
+    heads = spark.createDataFrame([(t, "0xab", 10**6, False, "", 0) for t in range(20)], "tx long, to_address string, trace_gas long, trace_failed boolean, trace_return_value string, transaction_index long")
+    df = frame(spark, rows)
+    for plan in (tr.opcode_table, tr.frame_agg_table):
+        a, b = plan(df, heads, ["tx"]), plan(df, heads, ["tx"], longest=15)
+        assert normal(map(tuple, a.collect())) == normal(map(tuple, b.select(*a.columns).collect()))
+
+
+def test_malformed_traces_by_chunks(spark):
+    from tracelake.operators import segmented as sg
+
+    rng = random.Random(23)
+    df = frame(spark, [r for tx in range(30) for r in random_trace(rng, tx, [-1, 0, 1, rng.choice([1, 2])])] + trace([("A", 5, 1, 2)], 98) + trace([("A", 5, 1, 1), ("A", 4, 1, None), ("A", 3, 1, 1)], 99))
+    want = {r["tx"] for r in fr.with_malformed(df, ["tx"]).where("malformed").collect()}
+    assert {98, 99} < want and len(want) < 32
+    for chunk in (1, 4, 99):
+        assert {r["tx"] for r in sg.malformed(df, ["tx"], chunk).collect()} == want
+
+
+def test_one_long_trace_runs_in_many_tasks(spark):
+    """300,000 opcodes in one transaction, in chunks of 20,000: the longest window task reads a fraction of the rows."""
+    depth = (F.col("id") % 60 - 29)
+    df = spark.range(300_000).select(
+        F.lit(1).cast("long").alias("tx"), F.col("id").alias("idx"), F.when(F.col("id") % 60 < 30, "CALL").otherwise("ADD").alias("op"), (F.lit(10**9) - F.col("id") * 7).alias("gas"), F.lit(7).cast("decimal(20,0)").alias("gas_cost"),
+        (F.lit(31) - F.abs(depth)).cast("int").alias("depth"), (F.col("id") % 900 * 32).alias("mem_size"), F.lit(None).cast("string").alias("error"),
+    )
+    names = ["idx", "frame_id", "gas_used", "gas_self", "words_before", "words_after", "mem_exp"]
+    rows = tr.annotated(df, ["tx"], longest=100_000, chunk_rows=20_000, fallback=False).select(*names)
+    whole = tr.annotated(df, ["tx"], fallback=False).select(*names)
+    assert rows.exceptAll(whole).isEmpty() and rows.count() == 300_000
+    sizes = [r["n"] for r in rows.groupBy(F.floor(F.col("idx") / 20_000)).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 15 and max(sizes) == 20_000

@@ -28,17 +28,20 @@ def expansion_gas(before: Column, after: Column) -> Column:
     return F.when(after > before, cost(after) - cost(before)).otherwise(F.lit(0)).cast("long")
 
 
+def returned_words(op: Column, offset: Column, size: Column) -> Column:
+    """Words of memory that RETURN and REVERT reach with their operands; null for others. Sums beyond 32 bits are clamped to the largest size."""
+    end = parse_hex_u64(offset) + parse_hex_u64(size)
+    end = F.when(end > U32, F.lit(U32)).otherwise(end).cast("long")
+    return F.when(op.isin("RETURN", "REVERT") & size.isNotNull() & (end > 0), words(end))
+
+
 def with_memory(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Adds words_before, words_after and mem_exp; all 0 if the trace has no memory sizes."""
     whole = Window.partitionBy(*key)
     size = F.coalesce(F.col("mem_size"), F.lit(0))
-    end = parse_hex_u64(F.col("s1")) + parse_hex_u64(F.col("s2"))
-    # sums beyond 32 bits are clamped to the largest size
-    end = F.when(end > U32, F.lit(U32)).otherwise(end).cast("long")
     known = F.max(size).over(whole) > 0
     df = frames.withColumns({"has_memory": known, "words_before": F.when(known, words(size)).otherwise(F.lit(0)).cast("long")})
-    own_end = F.when(F.col("op").isin("RETURN", "REVERT") & F.col("s2").isNotNull() & (end > 0), words(end))
-    last = F.greatest(F.col("words_before"), own_end)
+    last = F.greatest(F.col("words_before"), returned_words(F.col("op"), F.col("s1"), F.col("s2")))
     df = df.withColumn("words_after", F.when(F.col("has_memory"), F.coalesce(F.lead("words_before").over(in_frame(key)), last)).otherwise(F.lit(0)).cast("long"))
     return df.withColumn("mem_exp", expansion_gas(F.col("words_before"), F.col("words_after"))).drop("has_memory")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tracelake.functions import format_address, has_error
 from tracelake.operators import frames as fr
 from tracelake.operators import resources as rs
+from tracelake.operators import segmented as sg
 from tracelake.operators import sequential as sq
 from tracelake.plans.store import settle
 
@@ -19,11 +20,21 @@ KEY = fr.KEY
 CALL_TYPES = ["CALL", "CALLCODE", "DELEGATECALL", "STATICCALL", "CREATE", "CREATE2"]
 
 
-def annotated(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False, fallback: bool = True, created: bool = True) -> DataFrame:
+def annotated(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False, fallback: bool = True, created: bool = True, longest: int | None = None, chunk_rows: int = sg.CHUNK_ROWS) -> DataFrame:
     """Traces with frames, gas, memory, cold access and the precompile split, and the addresses that creates made, if ``created``. One
     exchange by the key serves all of it. A first pass over keys, places and depths asks whether any trace is malformed (``fallback`` off:
-    the source is known to be well formed); only then is the input split, and those transactions take the sequential way."""
+    the source is known to be well formed); only then is the input split, and those transactions take the sequential way.
+
+    A trace is one task, unless ``longest`` is given: traces with more opcodes are cut in chunks of ``chunk_rows`` places, which are finished
+    side by side (``operators.segmented``). That takes one more pass, over the keys alone."""
     df = fr.normal(traces)
+    if longest is not None:
+        giants = df.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > longest).select(*key)
+        if not giants.isEmpty():
+            odd = sg.malformed(df.join(giants, key, "left_semi"), key, chunk_rows) if fallback else None
+            whole = giants if odd is None else giants.join(odd, key, "left_anti")
+            rows = sg.annotated(df.join(whole, key, "left_semi"), settle, key, precompile_frames, created, chunk_rows)
+            return annotated(traces.join(whole, key, "left_anti"), key, precompile_frames, fallback, created).unionByName(rows)
     regular = lambda rows: _finish(fr.with_gas(fr.with_frames(rows, key, precompile_frames), key), key, created)
     if not fallback or fr.with_malformed(df.select(*key, "idx", "depth"), key).where("malformed").isEmpty():
         return regular(df)
@@ -45,10 +56,7 @@ def _finish_sequential(df: DataFrame, key: list[str], created: bool) -> DataFram
     if created:
         traced = F.coalesce(F.min_by(F.col("call_to_address").isNotNull(), F.when(create, F.col("idx"))).over(Window.partitionBy(*key)), F.lit(False))
         df = df.withColumn("target", F.when(create, F.when(traced, F.lit(None)).otherwise(format_address(F.col("created_top")))).otherwise(F.col("target")))
-    end = rs.parse_hex_u64(F.col("s1")) + rs.parse_hex_u64(F.col("s2"))
-    end = F.when(end > rs.U32, F.lit(rs.U32)).otherwise(end).cast("long")
-    own_end = F.when(F.col("op").isin("RETURN", "REVERT") & F.col("s2").isNotNull() & (end > 0), rs.words(end))
-    after = F.coalesce(F.col("next_words"), F.greatest(F.col("words_before"), own_end))
+    after = F.coalesce(F.col("next_words"), F.greatest(F.col("words_before"), rs.returned_words(F.col("op"), F.col("s1"), F.col("s2"))))
     df = df.withColumn("words_after", F.when(F.col("has_memory"), after).otherwise(0).cast("long")).withColumn("mem_exp", rs.expansion_gas(F.col("words_before"), F.col("words_after")))
     return rs.with_precompile_split(rs.with_cold(df)).drop("has_memory", "next_words", "created_top")
 
@@ -59,9 +67,9 @@ def with_paths(df: DataFrame, key: list[str] = KEY) -> DataFrame:
     return df.join(fr.frame_paths(fr.frame_table(df, key), key), [*key, "frame_id"])
 
 
-def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True) -> DataFrame:
+def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None) -> DataFrame:
     """One row an opcode, and one (operation '') for each call of a plain account that returns at once; traces without opcodes give none."""
-    df = with_paths(annotated(traces, key, False, fallback), key)
+    df = with_paths(annotated(traces, key, False, fallback, longest=longest), key)
     real = F.struct(
         F.col("op").alias("operation"), "gas", "gas_cost", "gas_used", "gas_self", F.col("depth").cast("long").alias("depth"), "return_data", "refund", "error", F.col("frame_id").alias("call_frame_id"), F.col("path").alias("call_frame_path")
     )
@@ -149,9 +157,9 @@ def call_type(op):
     return F.when(op.isin(CALL_TYPES), op).otherwise("UNKNOWN")
 
 
-def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True) -> DataFrame:
+def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None) -> DataFrame:
     """One summary row (operation '') a frame and one row a frame and opcode; transactions without opcodes give one summary row."""
-    by_opcode = settle(frame_opcodes(frame_rows(annotated(traces, key, True, fallback, created=False), key), key), "frame-opcodes")
+    by_opcode = settle(frame_opcodes(frame_rows(annotated(traces, key, True, fallback, created=False, longest=longest), key), key), "frame-opcodes")
     frames = frame_summaries(by_opcode, key)
     paths = fr.frame_paths(frames.select(*key, "frame_id", F.col("parent_call_frame_id").alias("parent_id"), F.col("first_depth").alias("level")), key).withColumnRenamed("path", "call_frame_path")
     frames = with_own_gas(frames, key).join(paths, [*key, "frame_id"]).join(transactions.select(*key, "to_address", "trace_gas", "trace_failed"), key)
