@@ -17,7 +17,7 @@ def rows(spark, *items):
 
 
 def keys(spark, *items):
-    return spark.createDataFrame([("n", b, h, int(h)) for b, h in items], versions.LOG)
+    return spark.createDataFrame([("n", b, h, int(h)) for b, h in items], "meta_network_name string, block_number long, transaction_hash string, transaction_index long")
 
 
 def put(spark, path, *items):
@@ -95,11 +95,11 @@ def test_compaction_beside_a_writer(spark, tmp_path, monkeypatch):
     put(spark, path, (1, "0", 2))
     real, once = versions._commit, []
 
-    def commit(k, p, version):
+    def commit(k, p, version, n):
         if version.endswith(versions.COMPACTED) and not once:
             once.append(1)
             put(spark, path, (2, "0", 3))
-        real(k, p, version)
+        real(k, p, version, n)
 
     monkeypatch.setattr(versions, "_commit", commit)
     versions.compact(spark, path)
@@ -162,3 +162,57 @@ def test_requeue_of_a_versioned_table(spark, tmp_path):
     out = sinks.requeue_blocks(known, known, lambda b: rows(spark, (2, "0", 8)), "structlog", path, progress, versions.write)
     assert [r["status"] for r in out.collect()] == ["queued"]
     assert now(spark, path) == [(1, "0", 1), (2, "0", 8)]
+
+
+def test_written_rows_are_counted_by_the_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, (1, "0", 1), (2, "0", 1))
+    put(spark, path, (1, "0", 2))
+    assert sorted((r["n_keys"], r["n_rows"]) for r in versions.written(spark, path).collect()) == [(1, 2), (2, 4)]
+    versions.compact(spark, path)
+    assert [(r["n_keys"], r["n_rows"]) for r in versions.written(spark, path).collect()] == [(2, 4)] and versions.read(spark, path).count() == 4
+
+
+def test_stored_transactions_as_bits(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, (1, "0", 1), (1, "40000", 1), (2, "0", 1))
+    put(spark, path, (1, "0", 2), (1, "7", 2))
+    versions.write(rows(spark, (2, "9", 1)), path, keys(spark, (2, "9")).drop("transaction_index"))
+    asked = spark.createDataFrame([("n", 1), ("n", 2), ("n", 3), ("m", 1)], "meta_network_name string, block_number long")
+    assert sorted((r["block_number"], r["done"], r["last_index"]) for r in versions.done_transactions(spark, path, asked).collect()) == [(1, 3, 40000), (2, 2, 0)]
+
+
+def scanned(df):
+    """Rows that the scans of a plan gave."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if "FileSourceScanExec" in node.getClass().getSimpleName():
+            out.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    return sum(out)
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    """100 hashes of 200,000 transactions in 40 files: few files have one, and those rows are found."""
+    path = str(tmp_path / "t")
+    df = spark.range(200_000).select(F.lit("n").alias("meta_network_name"), F.floor(F.col("id") / 100).alias("block_number"), F.sha1(F.col("id").cast("string")).alias("transaction_hash"), F.col("id").alias("v"))
+    versions.write(df, path, df.select(*versions.TRANSACTION), blooms=["transaction_hash"])
+    asked = [r["h"] for r in spark.range(100).select(F.sha1((F.col("id") * 7).cast("string")).alias("h")).collect()]
+    found = versions.lookup(spark, path, "transaction_hash", [*asked[:5], "none"])
+    assert sorted(r["v"] for r in found.collect()) == [0, 7, 14, 21, 28]
+    assert versions.lookup(spark, path, "transaction_hash", ["none", "nowhere"]).isEmpty() and scanned(versions.lookup(spark, path, "transaction_hash", ["none", "nowhere"])) == 0
+    versions.write(df.where("v < 10"), path, df.where("v < 10").select(*versions.TRANSACTION))
+    versions.compact(spark, path, full=True, files=40, blooms=["transaction_hash"])
+    many = versions.lookup(spark, path, "transaction_hash", asked)
+    assert sorted(r["v"] for r in many.collect()) == [7 * i for i in range(100)]
+    few = versions.lookup(spark, path, "transaction_hash", asked[:3])
+    assert few.count() == 3 and scanned(few) <= 4 * 200_000 / 40
+    with pytest.raises(ValueError):
+        versions.lookup(spark, path, "transaction_hash", asked, most=99)

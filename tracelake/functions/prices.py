@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tracelake.functions import u128
+
 U128 = "decimal(38,0)"
 
 
 def parse_u128(c: Column, nullable: bool = False) -> Column:
-    """Decimal string as number; invalid or too large gives 0, and so does null unless ``nullable``."""
-    value = F.coalesce(c.try_cast(U128), F.lit(0).cast(U128))
-    return F.when(c.isNotNull(), value) if nullable else value
+    """Decimal string as number; empty or malformed gives 0, and so does null unless ``nullable``. What 38 digits can't hold is null; ``u128``
+    holds it exactly."""
+    return u128.to_decimal(u128.parse(c, nullable))
 
 
 def effective_gas_price(kind: Column, gas_price: Column, base_fee: Column, tip_cap: Column, fee_cap: Column) -> Column:

@@ -14,8 +14,10 @@ SCOPE = KEY[:2]
 
 
 def latest_version(progress: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
-    """The last row of each block by updated_date_time, then by ``tiebreak``; a missing ``complete`` counts as 0."""
-    order = [F.col("updated_date_time").desc_nulls_last(), *(F.col(c).desc_nulls_last() for c in tiebreak or [])]
+    """The last row of each block by updated_date_time, then by ``tiebreak``, then a complete one, then the most tasks; a missing ``complete``
+    counts as 0."""
+    ties = [*(tiebreak or []), *(c for c in ("complete", "task_count") if c in progress.columns)]
+    order = [F.col("updated_date_time").desc_nulls_last(), *(F.col(c).desc_nulls_last() for c in ties)]
     df = progress.withColumn("n", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))).where("n = 1").drop("n")
     return df.withColumn("complete", F.coalesce("complete", F.lit(0)))
 
@@ -73,6 +75,33 @@ def missing_blocks(progress: DataFrame, ranges: DataFrame | None = None, slice_o
     return every.join(progress.select(*KEY), KEY, "left_anti")
 
 
+def missing_ranges(progress: DataFrame, ranges: DataFrame | None = None, bucket: int = 1 << 20) -> DataFrame:
+    """The gaps of ``missing_blocks`` as ranges (key, first_block, last_block): a row a gap, however long, and no row a missing block. Blocks are
+    looked at in buckets side by side, then the buckets' edges, so no scope has to fit into one task."""
+    blocks = progress.select(*KEY)
+    if ranges is not None:
+        inside = blocks.join(ranges.select(*SCOPE, "min_block", "max_block"), SCOPE).where("block_number between min_block and max_block").select(*KEY)
+        fence = F.explode(F.array(F.col("min_block") - 1, F.col("max_block") + 1)).alias("block_number")
+        blocks = inside.unionByName(ranges.where("min_block <= max_block").select(*SCOPE, fence))
+    blocks = blocks.distinct().withColumn("bucket", F.floor(F.col("block_number") / bucket).cast("long"))
+    gap = lambda before, at: [(F.col(before) + 1).alias("first_block"), (F.col(at) - 1).alias("last_block")]
+    inner = blocks.withColumn("before", F.lag("block_number").over(Window.partitionBy(*SCOPE, "bucket").orderBy("block_number")))
+    edges = blocks.groupBy(*SCOPE, "bucket").agg(F.min("block_number").alias("low"), F.max("block_number").alias("high"))
+    edges = edges.withColumn("before", F.lag("high").over(Window.partitionBy(*SCOPE).orderBy("bucket")))  # a row a bucket
+    found = inner.where("block_number - before > 1").select(*SCOPE, *gap("before", "block_number"))
+    return found.unionByName(edges.where("low - before > 1").select(*SCOPE, *gap("before", "low")))
+
+
+def first_of(ranges: DataFrame, n: int) -> DataFrame:
+    """The first n blocks of each scope in its ranges (first_block, last_block, apart from each other): only these become rows."""
+    ordered = Window.partitionBy(*SCOPE).orderBy("first_block")
+    few = ranges.withColumn("k", F.row_number().over(ordered)).where(F.col("k") <= n)  # each has a block at least
+    before = F.coalesce(F.sum(F.least(F.col("last_block") - F.col("first_block") + 1, F.lit(n))).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    few = few.withColumn("room", F.lit(n) - before).where("room > 0")
+    last = F.least(F.col("last_block"), F.col("first_block") + F.col("room") - 1)
+    return few.select(*SCOPE, F.explode(F.sequence("first_block", last)).alias("block_number"))
+
+
 def is_complete(latest: DataFrame, blocks: DataFrame) -> DataFrame:
     """The asked blocks (processor, network, block) with complete; blocks without a row aren't."""
     return blocks.join(latest.select(*KEY, (F.col("complete") == 1).alias("is_complete")), KEY, "left").withColumn("is_complete", F.coalesce("is_complete", F.lit(False)))
@@ -162,9 +191,9 @@ def gaps(latest: DataFrame, limit: int | None = None, lookback: int = 0, pending
     each in order."""
     window = gap_window(latest, lookback, pending)
     begun = incomplete_within(latest, window).withColumn("gap_type", F.lit("incomplete"))
-    never = missing_blocks(latest, window).withColumn("gap_type", F.lit("missing"))
     if limit is None:
-        return begun.unionByName(never)
+        return begun.unionByName(missing_blocks(latest, window).withColumn("gap_type", F.lit("missing")))
+    never = first_of(missing_ranges(latest, window), limit).withColumn("gap_type", F.lit("missing"))
     order = Window.partitionBy(*SCOPE).orderBy("gap_type", "block_number")
     return begun.unionByName(never).withColumn("k", F.row_number().over(order)).where(F.col("k") <= limit).drop("k")
 
@@ -203,6 +232,27 @@ def block_completion(tasks: DataFrame, expected: DataFrame) -> DataFrame:
     return df.select(*KEY, F.coalesce("completed", F.lit(0)).alias("completed"), "task_count", *since, F.coalesce(F.coalesce("completed", F.lit(0)) >= F.col("task_count"), F.lit(False)).alias("is_complete"))
 
 
+def task_bitmaps(tasks: DataFrame) -> DataFrame:
+    """Finished tasks (key, task_index) as bitmaps: (key, bucket, bitmap), a row a block and 32,768 indexes. Repeated tasks set one bit."""
+    at = F.col("task_index").cast("long")
+    return tasks.where("task_index is not null").groupBy(*KEY, F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
+
+
+def merge_bitmaps(*bitmaps: DataFrame) -> DataFrame:
+    """The bitmaps of several batches, merged: a task that stands in more than one of them counts once."""
+    every = bitmaps[0]
+    for more in bitmaps[1:]:
+        every = every.unionByName(more)
+    return every.groupBy(*KEY, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def bitmap_completion(bitmaps: DataFrame, expected: DataFrame) -> DataFrame:
+    """``block_completion`` from bitmaps: what is stored of a block is of fixed size, and batches merge without their tasks' names."""
+    done = bitmaps.groupBy(*KEY).agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
+    df = done.join(expected.select(*KEY, "task_count"), KEY, "full").withColumn("completed", F.coalesce("n", F.lit(0)))
+    return df.select(*KEY, "completed", "task_count", F.coalesce(F.col("completed") >= F.col("task_count"), F.lit(False)).alias("is_complete"))
+
+
 def reprocess_candidates(incomplete_rows: DataFrame, tracked: DataFrame, fresh: DataFrame) -> DataFrame:
     """Incomplete blocks that nothing tracks and that a fresh snapshot still has as incomplete."""
     return incomplete_rows.select(*KEY).join(tracked.select(*KEY), KEY, "left_anti").join(incomplete(fresh).select(*KEY), KEY, "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.functions import calldata_stats, effective_gas_price
+from tracelake.functions import calldata_stats, effective_gas_price, u128
 from tracelake.functions.prices import U128
 
 
@@ -62,17 +62,21 @@ def incomplete_blocks(joined: DataFrame) -> DataFrame:
 
 def transaction_table(transactions: DataFrame, receipts: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
     """One row a transaction of the blocks whose receipts are complete. Transactions carry the columns of sources.schemas.TRANSACTION and
-    block_hash, parent_hash, base_fee and position; ``input`` is binary."""
+    block_hash, parent_hash, base_fee and position; ``input`` is binary. Amounts are decimal(38,0), or, where they come as exact numbers of
+    up to 128 bits (``functions.u128``), their decimal digits as text."""
     joined = with_receipts(transactions, receipts, fallback)
     failed = incomplete_blocks(joined)
     joined = joined.join(failed, failed.columns, "left_anti")
     kind = F.col("type")
     blob = kind == 3
     stats = calldata_stats(F.col("input"))
+    exact = dict(transactions.dtypes)["value"].startswith("struct")
+    amount = (lambda c: u128.to_string(F.col(c))) if exact else (lambda c: F.col(c).cast(U128))
+    offers = [kind, *map(F.col, ("gas_price", "base_fee", "gas_tip_cap", "gas_fee_cap"))]
+    price = u128.to_string(u128.effective_gas_price(*offers)) if exact else effective_gas_price(*offers)
     return joined.select(
-        "block_number", "block_hash", "parent_hash", "position", "hash", F.col("from_address"), F.col("to_address"), "nonce",
-        effective_gas_price(kind, F.col("gas_price"), F.col("base_fee"), F.col("gas_tip_cap"), F.col("gas_fee_cap")).alias("gas_price"), "gas",
-        F.when(kind >= 2, F.col("gas_tip_cap").cast(U128)).alias("gas_tip_cap"), F.when(kind >= 2, F.col("gas_fee_cap").cast(U128)).alias("gas_fee_cap"), F.coalesce(F.col("value").cast(U128), F.lit(0).cast(U128)).alias("value"), "type", "size",
-        stats["n_input_bytes"].alias("call_data_size"), F.when(blob, F.col("blob_gas")).alias("blob_gas"), F.when(blob, F.col("blob_gas_fee_cap").cast(U128)).alias("blob_gas_fee_cap"),
+        "block_number", "block_hash", "parent_hash", "position", "hash", F.col("from_address"), F.col("to_address"), "nonce", price.alias("gas_price"), "gas",
+        F.when(kind >= 2, amount("gas_tip_cap")).alias("gas_tip_cap"), F.when(kind >= 2, amount("gas_fee_cap")).alias("gas_fee_cap"), F.coalesce(amount("value"), F.lit("0") if exact else F.lit(0).cast(U128)).alias("value"), "type", "size",
+        stats["n_input_bytes"].alias("call_data_size"), F.when(blob, F.col("blob_gas")).alias("blob_gas"), F.when(blob, amount("blob_gas_fee_cap")).alias("blob_gas_fee_cap"),
         F.when(blob, F.coalesce(F.col("blob_hashes"), F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>")).alias("blob_hashes"), (F.col("receipt_status") == 1).alias("success"), *[v.alias(k) for k, v in stats.items()], "meta_network_name",
     )

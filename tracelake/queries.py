@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracelake import functions as fn
@@ -14,7 +14,7 @@ from tracelake.plans import progress as pg
 from tracelake.plans import traces as tr
 from tracelake.plans import transactions as tx
 from tracelake.plans import store
-from tracelake.sources import derive, embedded, readers, schemas
+from tracelake.sources import derive, embedded, readers, schemas, sinks, versions
 
 KEY = ["tx"]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,6 +423,106 @@ def transaction_table(spark, d):
     return out.select("block_number", "position", "hash", "to_address", "gas_price", "gas_tip_cap", "gas_fee_cap", "type", "call_data_size", "blob_gas", "success", "n_input_zero_bytes", "n_input_nonzero_bytes")
 
 
+_BLOCK_COLUMNS = "block_number, position, hash, type, nonce, base_fee, gas_price, gas_tip_cap, value, from_address, to_address, n_input"
+
+
+@query("read_blocks", f"""WITH t AS ({derive.TX_SRC}), z AS (SELECT t.*, o.o_custkey AS c FROM t JOIN orders o ON o.o_orderkey = t.tx_id)
+SELECT block_number, CAST(position AS BIGINT) AS position, hash, CAST(type AS INTEGER) AS type, CAST(c AS BIGINT) AS nonce, CAST(block_number * 1000 + 7 AS DECIMAL(38,0)) AS base_fee, CASE WHEN type <= 1 THEN CAST(gas_price AS DECIMAL(38,0)) END AS gas_price,
+CASE WHEN type > 1 THEN CAST(CAST(c AS DECIMAL(38,0)) * 18446744073709551616 + 5 AS DECIMAL(38,0)) END AS gas_tip_cap, CASE tx_id % 3 WHEN 0 THEN 0 WHEN 1 THEN CAST(tx_id AS DECIMAL(38,0)) ELSE 255 END AS value,
+concat('0xab', CAST(c AS VARCHAR)) AS from_address, lower(to_address) AS to_address, CAST(len(input_hex) // 2 AS BIGINT) AS n_input FROM z""")
+def read_blocks(spark, d):
+    """Blocks as nodes send them, made of the derived transactions: hex quantities, some absent, empty or malformed."""
+    hexed = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c)))
+    orders = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("tx_id"), F.col("o_custkey").cast("long").alias("c"))
+    t = _transactions(spark, d).join(orders, "tx_id")
+    wide = F.concat(hexed(F.col("c")), F.lit("0000000000000005"))  # c * 2^64 + 5
+    value = F.when(F.col("tx_id") % 3 == 0, "0xnone").when(F.col("tx_id") % 3 == 1, hexed(F.col("tx_id").cast("long"))).otherwise("0x00ff")
+    tx_ = F.struct(
+        "position", F.upper("hash").alias("hash"), hexed(F.col("type").cast("long")).alias("type"), hexed(F.col("c")).alias("nonce"), F.when(F.col("type") <= 1, hexed(F.col("gas_price").cast("long"))).alias("gasPrice"), F.when(F.col("type") > 1, wide).alias("maxPriorityFeePerGas"),
+        value.alias("value"), F.concat(F.lit("0x"), "input_hex").alias("input"), F.concat(F.lit("0xAB"), F.col("c").cast("string")).alias("from"), F.upper("to_address").alias("to"),
+    )
+    blocks = t.groupBy("block_number").agg(F.array_sort(F.collect_list(tx_)).alias("transactions"))
+    doc = F.struct(F.lit("mainnet").alias("meta_network_name"), hexed(F.col("block_number").cast("long")).alias("number"), hexed((F.col("block_number") * 1000 + 7).cast("long")).alias("baseFeePerGas"), "transactions")
+    rows = readers.flatten_blocks(blocks.select(F.from_json(F.to_json(doc), schemas.BLOCK).alias("x")).select("x.*"))
+    # upper-case 0X is no prefix that nodes send
+    low = lambda c: F.regexp_replace(c, "^0X", "0x")
+    return rows.withColumns({"n_input": F.octet_length("input").cast("long"), "hash": low("hash"), "to_address": low("to_address")}).select(*_BLOCK_COLUMNS.split(", "))
+
+
+@query("read_receipts", "SELECT concat('0x', lpad(CAST(o_orderkey AS VARCHAR(20)), 64, '0')) AS tx_hash, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS status, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN NULL ELSE CAST(21000 + floor(o_totalprice) AS BIGINT) END AS gas_used FROM orders")
+def read_receipts(spark, d):
+    """Receipts as nodes send them: quantities that are absent, malformed, or beyond 63 bits."""
+    k, gas = F.col("o_orderkey"), F.concat(F.lit("0x"), F.lower(F.hex((F.lit(21000) + F.floor("o_totalprice")).cast("long"))))
+    used = F.when(k % 5 == 1, "0xzz").when(k % 5 == 2, "0xffffffffffffffff").when(k % 5 > 2, gas)
+    doc = F.struct(F.concat(F.lit("0x"), F.lpad(k.cast("string"), 64, "0")).alias("transactionHash"), F.when(F.col("o_orderstatus") == "F", "0x0").otherwise("0x1").alias("status"), used.alias("gasUsed"))
+    docs = spark.read.parquet(f"{d}/orders.parquet").select(F.from_json(F.to_json(doc), schemas.RECEIPT).alias("x")).select("x.*")
+    return readers.flatten_receipts(docs).drop("meta_network_name")
+
+
+@query("locate", f"""WITH t AS ({derive.TX_SRC}), q AS (SELECT CASE WHEN tx_id % 11 = 0 THEN -1 ELSE block_number END AS block_number, CAST(CASE WHEN tx_id % 7 = 0 THEN position + 1000 ELSE position END AS BIGINT) AS transaction_index, CASE WHEN tx_id % 5 = 0 THEN concat(hash, 'x') ELSE hash END AS transaction_hash FROM t)
+SELECT q.*, CASE WHEN q.block_number = -1 THEN 'no such block' WHEN t.hash IS NULL THEN 'transaction index out of range' WHEN t.hash <> q.transaction_hash THEN 'transaction hash mismatch: found ' || t.hash END AS error FROM q LEFT JOIN t ON t.block_number = q.block_number AND t.position = q.transaction_index""")
+def locate(spark, d):
+    t = _transactions(spark, d).withColumn("meta_network_name", F.lit("mainnet"))
+    asked = t.select(
+        "meta_network_name", F.when(F.col("tx_id") % 11 == 0, -1).otherwise(F.col("block_number")).cast("long").alias("block_number"), (F.col("position") + F.when(F.col("tx_id") % 7 == 0, 1000).otherwise(0)).cast("long").alias("transaction_index"),
+        F.when(F.col("tx_id") % 5 == 0, F.concat("hash", F.lit("x"))).otherwise(F.col("hash")).alias("transaction_hash"),
+    )
+    return tx.locate(asked, t).drop("meta_network_name")
+
+
+_AMOUNTS = """WITH w AS (SELECT o_orderkey AS k, CAST(o_custkey % 4 AS INT) AS kind, CASE o_orderkey % 6 WHEN 0 THEN '340282366920938463463374607431768211455' WHEN 1 THEN concat(CAST(o_custkey % 3 AS VARCHAR(20)), lpad(CAST(o_orderkey AS VARCHAR(20)), 38, '9')) WHEN 2 THEN '0' WHEN 3 THEN lpad(CAST(o_custkey AS VARCHAR(20)), 38, '1') ELSE CAST(o_custkey AS VARCHAR(20)) END AS fee_cap,
+  CASE o_orderkey % 4 WHEN 0 THEN '9999999999999999999' WHEN 1 THEN lpad(CAST(o_custkey AS VARCHAR(20)), 38, '8') ELSE CAST(o_orderkey AS VARCHAR(20)) END AS tip_cap, CASE WHEN o_orderkey % 13 <> 0 THEN concat(CAST(1 + o_custkey % 9 AS VARCHAR(20)), '0000000000000000001') END AS base_fee FROM orders)"""
+
+
+@query("exact_amounts", _AMOUNTS + """, n AS (SELECT *, CAST(fee_cap AS UHUGEINT) AS f, CAST(tip_cap AS UHUGEINT) AS t, CAST(base_fee AS UHUGEINT) AS b FROM w)
+SELECT k, CAST(f AS VARCHAR) AS fee_cap, CAST(t + b AS VARCHAR) AS offered, CAST(CASE WHEN kind <= 1 OR b IS NULL THEN f ELSE least(t + b, f) END AS VARCHAR) AS price, f > t AS above FROM n""")
+def exact_amounts(spark, d):
+    """Amounts of up to 39 digits, among them 2^128 - 1, and sums that carry from limb to limb."""
+    w = spark.sql(_AMOUNTS.replace("FROM orders", f"FROM parquet.`{d}/orders.parquet`") + " SELECT * FROM w")
+    f, t, b = (fn.u128.from_decimal(F.col(c)) for c in ("fee_cap", "tip_cap", "base_fee"))
+    price = fn.u128.effective_gas_price(F.col("kind"), f, b, t, f)
+    return w.select("k", fn.u128.to_string(f).alias("fee_cap"), fn.u128.to_string(fn.u128.add(t, b)).alias("offered"), fn.u128.to_string(price).alias("price"), (f > t).alias("above"))
+
+
+def _stored(rows: DataFrame, block) -> DataFrame:
+    """Rows of ``tx`` with the columns of a stored table."""
+    return rows.withColumns({"meta_network_name": F.lit("mainnet"), "block_number": block, "transaction_hash": F.col("tx").cast("string")})
+
+
+def _through_versions(spark, rows: DataFrame) -> DataFrame:
+    """Rows as a versioned table gives them back that was written in parts, with rows that were wrong at first, and compacted in between."""
+    rows = store.settle(_stored(rows, F.floor(F.col("tx") / 8).cast("long")), "stored-rows")
+    path = store.scratch(spark, "versions")
+    part = lambda k: rows.where(F.col("tx") % 3 == k)
+    keys = lambda df: df.select(*versions.TRANSACTION).distinct()
+    versions.write(part(0), path, keys(part(0)))
+    versions.write(part(1).unionByName(part(1).where("tx % 5 = 0")), path, keys(part(1)))
+    versions.compact(spark, path)
+    versions.write(part(2), path, keys(part(2)))
+    versions.write(part(1), path, keys(part(1)))
+    return versions.read(spark, path).drop("meta_network_name", "block_number", "transaction_hash")
+
+
+@query("write_structlog", _SQL["opcode_table"])
+def write_structlog(spark, d):
+    return _through_versions(spark, opcode_table(spark, d))
+
+
+@query("write_structlog_agg", _SQL["frame_agg_table"])
+def write_structlog_agg(spark, d):
+    return _through_versions(spark, frame_agg_table(spark, d))
+
+
+@query("write_transactions", _SQL["transaction_table"])
+def write_transactions(spark, d):
+    """The transaction table written block by block; some blocks twice."""
+    rows = transaction_table(spark, d).withColumn("meta_network_name", F.lit("mainnet"))
+    path, block = store.scratch(spark, "versions"), ["meta_network_name", "block_number"]
+    for part in (rows.where("block_number % 4 < 3").withColumn("success", ~F.col("success")), rows.where("block_number % 4 >= 1"), rows.where("block_number % 4 = 0")):
+        versions.write(part, path, part.select(*block).distinct())
+    return versions.read(spark, path).drop("meta_network_name")
+
+
 _TWO = f"""WITH t AS ({derive.TX_SRC}), r AS ({derive.RECEIPT_SRC}), n AS (SELECT * FROM (VALUES ('mainnet'), ('sepolia')) AS v(meta_network_name)),
 x AS (SELECT * FROM t CROSS JOIN n), y AS (SELECT tx_hash, meta_network_name, CASE WHEN meta_network_name = 'mainnet' THEN status ELSE 1 - status END AS status FROM r CROSS JOIN n WHERE NOT (meta_network_name = 'sepolia' AND tx_hash LIKE '%37'))"""
 
@@ -613,6 +713,52 @@ def contiguous_prefix_all(spark, d):
     return pg.contiguous_prefix(pg.every_block(ranges), found, by_scope=True)
 
 
+_RANGES = ", s AS (SELECT DISTINCT processor, meta_network_name, block_number AS b FROM p), y AS (SELECT *, lag(b) OVER (PARTITION BY processor, meta_network_name ORDER BY b) AS a FROM s), v AS (SELECT processor, meta_network_name, a + 1 AS first_block, b - 1 AS last_block FROM y WHERE b - a > 1)"
+
+
+@query("missing_ranges", _P + _RANGES + " SELECT * FROM v")
+def missing_ranges(spark, d):
+    return pg.missing_ranges(_progress(spark, d))
+
+
+@query("first_missing", _P + _RANGES + f", e AS (SELECT {_S}, unnest(generate_series(first_block, last_block)) AS block_number FROM v) SELECT {_S}, block_number FROM (SELECT *, row_number() OVER (PARTITION BY {_S} ORDER BY block_number) AS k FROM e) WHERE k <= 25")
+def first_missing(spark, d):
+    """The page of 25 missing blocks of each scope that a service asks for next."""
+    return pg.first_of(pg.missing_ranges(_progress(spark, d)), 25)
+
+
+@query("bitmap_completion", _SQL["block_completion"])
+def bitmap_completion(spark, d):
+    """``block_completion`` from the bitmaps of three batches, which have tasks in common."""
+    p = _progress(spark, d)
+    tasks = p.select(*pg.KEY, (F.col("version_tiebreak") % 5).alias("task_index"), "version_tiebreak")
+    batches = [pg.task_bitmaps(tasks.where(F.col("version_tiebreak") % 4 >= k)) for k in range(3)]
+    expected = p.where("block_number % 4 <> 0").groupBy(*pg.KEY).agg(F.max(F.col("version_tiebreak") % 3).alias("task_count"))
+    return pg.bitmap_completion(pg.merge_bitmaps(*batches), expected)
+
+
+@query("append_progress", _P + f" SELECT {_S}, block_number, CAST(complete AS INTEGER) AS complete, CAST(CASE WHEN complete = 1 THEN 0 ELSE task_count END AS BIGINT) AS task_count FROM l WHERE complete IS NOT NULL")
+def append_progress(spark, d):
+    """Every block's last state, written as versions (begun, then maybe complete) and read back."""
+    last = store.settle(_latest(spark, d), "latest")
+    path = store.scratch(spark, "progress")
+    for processor in ("structlog", "structlog_agg", "transaction"):
+        own = last.where(F.col("processor") == processor)
+        sinks.append_progress(sinks.progress_rows(own, processor, 0), path)
+        sinks.append_progress(sinks.progress_rows(own.where("complete = 1"), processor, 1), path)
+    return pg.latest_version(spark.read.schema(schemas.PROGRESS).parquet(path)).select(*pg.KEY, "complete", "task_count")
+
+
+@query("requeue", _P + f", q AS (SELECT {_S}, block_number, row_number() OVER (PARTITION BY {_S} ORDER BY block_number) AS k FROM l WHERE complete = 0) SELECT meta_network_name, processor, CASE WHEN k % 4 = 0 THEN -block_number ELSE block_number END AS block_number, CASE WHEN k % 4 = 0 THEN 'failed' ELSE 'queued' END AS status, CASE WHEN k % 4 = 0 THEN 0 ELSE k END AS task_count, CASE WHEN k % 4 = 0 THEN 'no such block' END AS error FROM q WHERE k <= 100 AND processor = 'structlog'")
+def requeue(spark, d):
+    """One processor's first hundred incomplete blocks of each network processed again; some of them are unknown."""
+    open_ones = pg.incomplete(_latest(spark, d)).where("processor = 'structlog'")
+    first = open_ones.withColumn("task_count", F.row_number().over(Window.partitionBy(*pg.SCOPE).orderBy("block_number")).cast("long")).where("task_count <= 100")
+    first = store.settle(first.select("meta_network_name", F.when(F.col("task_count") % 4 == 0, -F.col("block_number")).otherwise(F.col("block_number")).alias("block_number"), "task_count"), "requeue")
+    recompute = lambda blocks: blocks.select("meta_network_name", "block_number", F.lit(1).alias("v"))
+    return sinks.requeue_blocks(first, first.where("block_number >= 0"), recompute, "structlog", store.scratch(spark, "versions"), store.scratch(spark, "progress"), versions.write)
+
+
 @query("pipeline_health", _P + f" SELECT {_S}, min(block_number) AS min_block, max(block_number) AS max_block, count(*) AS n_blocks, CAST(sum(CASE WHEN complete = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_complete, CAST(sum(CASE WHEN complete = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_incomplete, max(block_number) - min(block_number) + 1 - count(*) AS n_missing, {HEAD} - max(block_number) - 1 AS head_distance FROM l GROUP BY 1, 2")
 def pipeline_health(spark, d):
     return pg.pipeline_health(_latest(spark, d), HEAD)

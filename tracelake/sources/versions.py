@@ -14,16 +14,18 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracelake.plans import store
 
 BLOCK = ["meta_network_name", "block_number"]
 TRANSACTION = [*BLOCK, "transaction_hash"]
-LOG = "meta_network_name string, block_number long, transaction_hash string, transaction_index long"
+LOG = "meta_network_name string, block_number long, transaction_hash string, transaction_index long, n_rows long"
 #: Keys with later versions up to which a read sends them to all tasks; beyond it rows and keys are joined by shuffle.
 FEW_KEYS = 500_000
+#: Different values in a row group that a Bloom filter is made for.
+ROW_GROUP_VALUES = 1_000_000
 #: Marks of a compacted version: it sorts behind the last version that went into it and before every later one.
 COMPACTED = "~"
 
@@ -48,27 +50,43 @@ def _read(spark: SparkSession, path: str, part: str, versions: list[str], first:
     return df if last is None else df.where(F.col("block_number") <= last)
 
 
-def _commit(keys: DataFrame, path: str, version: str) -> None:
+def _commit(keys: DataFrame, path: str, version: str, n_rows: int) -> None:
     spark = keys.sparkSession
     aside = f"{path.rstrip('/')}/.log-{version}"
     hash_, index = (F.col(c) if c in keys.columns else F.lit(None) for c in ("transaction_hash", "transaction_index"))
-    keys.select(*BLOCK, hash_.cast("string").alias("transaction_hash"), index.cast("long").alias("transaction_index")).sortWithinPartitions(*BLOCK).write.parquet(aside)
+    keys.select(*BLOCK, hash_.cast("string").alias("transaction_hash"), index.cast("long").alias("transaction_index"), F.lit(n_rows).cast("long").alias("n_rows")).sortWithinPartitions(*BLOCK).write.parquet(aside)
     fs, log = store._path(spark, f"{path.rstrip('/')}/log")
     fs.mkdirs(log)
     if not fs.rename(store._path(spark, aside)[1], store._path(spark, f"{path.rstrip('/')}/log/version={version}")[1]):
         raise OSError(f"version {version} of {path} could not be committed")
 
 
-def write(rows: DataFrame, path: str, keys: DataFrame) -> str:
+def _put(rows: DataFrame, folder: str, blooms: list[str]) -> int:
+    """Write rows and return how many there were, as the write itself counted them."""
+    seen = Observation()
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd")
+    for c in blooms:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.expected.ndv#{c}", str(ROW_GROUP_VALUES))
+    writer.parquet(folder)
+    return seen.get["n"]
+
+
+def write(rows: DataFrame, path: str, keys: DataFrame, blooms: list[str] | None = None) -> str:
     """Add ``rows`` as the new rows of ``keys``: transactions (meta_network_name, block_number, transaction_hash and maybe transaction_index) or
-    whole blocks (without transaction_hash). Keys without rows are noted, too, and have no rows from now on. Returns the version."""
+    whole blocks (without transaction_hash). Keys without rows are noted, too, and have no rows from now on. ``blooms`` are columns that
+    ``lookup`` is to find rows by. Returns the version."""
     version = _new_version()
     ordered = rows.sortWithinPartitions(*[c for c in TRANSACTION if c in rows.columns])
-    ordered.write.option("compression", "zstd").parquet(f"{path.rstrip('/')}/rows/version={version}")
-    _commit(keys, path, version)
+    n = _put(ordered, f"{path.rstrip('/')}/rows/version={version}", blooms or [])
+    _commit(keys, path, version, n)
     return version
 
 
+def written(spark: SparkSession, path: str) -> DataFrame:
+    """What each version holds: version, n_keys, and n_rows as the write counted them."""
+    return log(spark, path).groupBy("version").agg(F.count("*").alias("n_keys"), F.max("n_rows").alias("n_rows"))
+
+
 def log(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """The keys of all versions, with version; of blocks first to last, if given."""
     versions = committed(spark, path)
@@ -114,13 +132,14 @@ def keys(spark: SparkSession, path: str) -> DataFrame:
     """The current keys: one row a stored transaction (or block, where whole blocks were written)."""
     versions = committed(spark, path)
     if not versions:
-        return spark.createDataFrame([], LOG)
-    found = _latest(spark, path, "log", versions, versions)
+        return spark.createDataFrame([], LOG).drop("n_rows")
+    found = _latest(spark, path, "log", versions, versions).drop("n_rows")
     return found.groupBy(*TRANSACTION).agg(F.max_by("transaction_index", "version").alias("transaction_index"))
 
 
-def compact(spark: SparkSession, path: str, full: bool = False, files: int | None = None) -> str | None:
-    """Merge the versions that were not compacted yet, or all if ``full``, into one, sorted over all its files; what is hidden goes. Writers
+def compact(spark: SparkSession, path: str, full: bool = False, files: int | None = None, blooms: list[str] | None = None) -> str | None:
+    """Merge the versions that were not compacted yet, or all if ``full``, into one, sorted over all its files (by block, or by the columns
+    ``blooms``, by which rows are then looked up); what is hidden goes. Writers
     may go on meanwhile. Killed at any moment it leaves the same table: until its commit nothing reads the new version, after it the old ones
     are hidden by it, and they are forgotten before they are deleted. Returns the new version; none if there is nothing to merge."""
     every = committed(spark, path)
@@ -129,15 +148,15 @@ def compact(spark: SparkSession, path: str, full: bool = False, files: int | Non
         return None
     version = max(old) + COMPACTED
     rows = _latest(spark, path, "rows", old, every).drop("version")
-    by = [c for c in TRANSACTION if c in rows.columns]
+    by = [c for c in (blooms or TRANSACTION) if c in rows.columns]
     dealt = rows.repartitionByRange(*([files] if files else []), *by).sortWithinPartitions(*by)
     folder = f"{path.rstrip('/')}/rows/version={version}"
     store.drop_path(spark, folder)  # of a compaction that was killed
-    dealt.write.option("compression", "zstd").parquet(folder)
+    n = _put(dealt, folder, blooms or [])
     # a key stands for its whole block only as long as it is the block's last; the others are those of its transactions
     kept = _latest(spark, path, "log", old, every).groupBy(*TRANSACTION).agg(F.max_by("transaction_index", "version").alias("transaction_index")).repartitionByRange(*BLOCK)
     store.drop_path(spark, f"{path.rstrip('/')}/.log-{version}")
-    _commit(kept, path, version)
+    _commit(kept, path, version, n)
     for part in ("log", "rows"):
         for v in old:
             store.drop_path(spark, f"{path.rstrip('/')}/{part}/version={v}")
@@ -166,4 +185,17 @@ def done_transactions(spark: SparkSession, path: str, blocks: DataFrame) -> Data
     between the first and the last of the blocks is read."""
     low, high = blocks.agg(F.min("block_number"), F.max("block_number")).first()
     noted = log(spark, path, low, high).where("transaction_hash is not null").join(blocks.select(*BLOCK).distinct(), BLOCK, "left_semi")
-    return noted.groupBy(*BLOCK).agg(F.countDistinct("transaction_hash").alias("done"), F.max("transaction_index").alias("last_index"))
+    # a bit a transaction: repeated ones set it again, and partial bitmaps merge where they are made; those without an index count by hash
+    at = F.col("transaction_index")
+    parts = noted.groupBy(*BLOCK, F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"), F.max(at).alias("last"), F.countDistinct(F.when(at.isNull(), F.col("transaction_hash"))).alias("others"))
+    return parts.groupBy(*BLOCK).agg((F.sum(F.bitmap_count("bits")) + F.sum("others")).alias("done"), F.max("last").alias("last_index"))
+
+
+def lookup(spark: SparkSession, path: str, column: str, values: list, most: int = 1_000) -> DataFrame:
+    """The current rows with one of a few values of a column that the table was written for (``blooms``): the values go to the Parquet reader,
+    which skips row groups by their Bloom filters and statistics. More than ``most`` values are an error: join instead."""
+    if len(values) > most:
+        raise ValueError(f"a lookup has at most {most} values")
+    # above this number of values Spark would push their range alone
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(max(most, int(spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold")))))
+    return read(spark, path).where(F.col(column).isin(list(values)))
