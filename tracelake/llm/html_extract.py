@@ -1,15 +1,22 @@
 """Main text of HTML pages by a maximum-scoring subsequence of tokens.
 
-A page is read as tags and runs of words. A tag scores negative; a word scores positive, unless the innermost of its open elements with a
-clear verdict is boilerplate. One linear scan finds the contiguous region with the largest sum (ties: the first, shortest). Its text,
-without words that score negative, is the result.
-
-An element's verdict sums the log-odds of its features: its tag name, each class, id and role word with it, and the parts of these words
-(half as much where a word has several: ``site-footer``). Weights come from labelled pages: pages with exactly one ``article`` or ``main``
-element label their words as inside or outside it; a bounded sample (about ``FIT_PAGES`` pages) gives each feature its log-odds. A feature
-that these pages don't have has a prior: what HTML says of the tag, and a short list of common words for boilerplate. Words that tell a
-state (``has-sidebar``) are no features; ``html`` and ``body`` have no verdict, nor has an element with nearly all of the page's words:
-a mark that holds for the whole page tells nothing. Scripts, styles, controls and the like hold no text for readers and never count.
+A page is read as tags and runs of words. A tag scores negative; a word scores positive, unless one of its open elements is boilerplate. One
+linear scan finds the contiguous region with the largest sum (ties: the first, shortest). Its text, without words that score negative, is
+the result.
+
+An element's verdict sums the log-odds of its features: its tag name, if HTML gives it a meaning for this, each class, id and role word with
+it, and the parts of these words (``site-footer`` has two, which count half). Plain structure, text and inline tags have no verdict of their
+own: that one page template sets its text in ``p`` says nothing of another. A boilerplate verdict holds for all that is inside, but for an
+element (no text or inline one) whose own evidence for content is as strong. Inside an element with a verdict for content, tags cost little;
+where such elements have most of a page's words, words outside them count little.
+
+Weights come from labelled pages: pages with exactly one ``article`` or ``main`` element label their words as inside or outside it; a bounded
+sample (about ``FIT_PAGES`` pages) gives each feature its log-odds. These are blended with a prior - what HTML says of the tag, and short lists
+of common words for boilerplate and for content - by the number of different places (parents with their classes) in which the feature was
+seen, not by its words: one template is one piece of evidence, however many pages have it. Words that tell a state (``has-sidebar``) are no
+features; ``html`` and ``body`` have no verdict, nor has an element with nearly all of the page's words: a mark that holds for the whole page
+tells nothing, and neither do listed words on an element around the page's ``h1`` or ``main``. Scripts, styles, controls and the like hold no
+text for readers and never count.
 
 Reading is linear in the page's length, however tags are nested or left open. Character references are decoded, white space inside a block
 becomes one space, blocks are trimmed and joined by two newlines, empty blocks go. Null html is empty html. Equal pages get equal texts;
@@ -39,8 +46,12 @@ WORD_SCORE = 1.0
 SKIPPED_WORD_SCORE = -0.05
 #: A tag that content has, any other tag, and one that the labelled pages don't have but text often does.
 CONTENT_TAG_SCORE, TAG_SCORE, TEXT_TAG_SCORE = -0.02, -1.0, -0.3
+#: A word outside the elements for content that have this share of a page's words.
+OUTSIDE_WORD_SCORE, OUTSIDE = 0.1, 0.5
 #: Sums from which an element is content, and up to which it is boilerplate; and the largest weight of one feature either way.
-GOOD, BAD, MOST = 2.0, -1.0, 5.0
+GOOD, BAD, MOST = 2.0, -2.0, 5.0
+#: Different places in which a feature was seen that count as much as its prior.
+PLACES = 1.0
 #: An element with this share of a page's words has no verdict.
 WHOLE = 0.9
 
@@ -58,6 +69,7 @@ MARKS = frozenset(
     "footer header masthead menu nav navbar navigation newsletter notice pagination popup modal promo promotion related recommended share sharing "
     "sidebar social sponsor sponsored subscribe subscription toolbar widget disqus replies".split()
 )
+TEXT_MARKS = frozenset("content article story entry post prose".split())
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _STOP = re.compile("[>\"']")
@@ -199,12 +211,12 @@ def features(name: str, marks: tuple) -> list[tuple[str, float]]:
             continue
         parts = _PART.findall(m)
         out.append((f"{name}.{m}", 1.0))
-        out += [(f"#{p}", 1.0 if p == m else 0.5) for p in parts]
+        out += [(f"#{p}", 1.0 if p == m else 1 / len(parts)) for p in parts]
     return out
 
 
 def label_counts(page: str) -> Counter | None:
-    """(feature, inside) -> words and ('#', feature) -> 1, if the page labels itself; else none."""
+    """(feature, inside) -> words, ('#', feature) -> 1 and ('@', feature, parent with its marks) -> 1, if the page labels itself; else none."""
     elements, items = parse(page)
     if sum(name in CONTENT for name, _, _ in elements) != 1:
         return None
@@ -227,56 +239,75 @@ def label_counts(page: str) -> Counter | None:
                 out[f, False] += n[e][0]
                 out[f, True] += n[e][1]
                 out["#", f] = 1
+                out["@", f, " ".join([elements[parent][0], *sorted(elements[parent][1])])] = 1
     return out
 
 
+def _prior(feature: str) -> float:
+    if feature[0] == "#":
+        return -MOST if feature[1:] in MARKS else MOST - 1 if feature[1:] in TEXT_MARKS else 0.0
+    return MOST - 1 if feature in CONTENT else -MOST if feature in ASIDE else 0.0
+
+
 class Weights:
-    """Log-odds of content for features. Those that are missing have priors."""
-
-    def __init__(self, odds: dict[str, float]):
-        self.odds = odds
-
-    def _odds(self, feature: str) -> float:
-        known = self.odds.get(feature)
-        if known is not None:
-            return max(-MOST, min(MOST, known))
-        if feature[0] == "#":
-            return -MOST if feature[1:] in MARKS else 0.0
-        return MOST - 1 if feature in CONTENT else -MOST if feature in ASIDE else 0.0
-
-    def element(self, name: str, marks: tuple) -> float:
-        """The sum of an element's features; the parts of a mark count where the mark itself is not known."""
-        total, known = 0.0, False
-        for f, share in features(name, marks):
-            if "." in f and f[0] != "#":
-                known = f in self.odds
-                total += self._odds(f) if known else 0.0
-            elif f[0] != "#" or not known:
-                total += share * self._odds(f)
+    """Log-odds of content for features, and in how many different places each was seen (one, if it isn't said)."""
+
+    def __init__(self, odds: dict[str, float], places: dict[str, int] | None = None):
+        self.odds, self.places = odds, places or {}
+
+    def _odds(self, feature: str, prior: float) -> float:
+        if feature not in self.odds:
+            return prior
+        k = self.places.get(feature, 1)
+        return (k * max(-MOST, min(MOST, self.odds[feature])) + PLACES * prior) / (k + PLACES)
+
+    def element(self, name: str, marks: tuple, around: bool) -> float:
+        """The sum of an element's features; a mark's parts are the prior of the mark. ``around``: it has the page's h1 or main inside, so
+        listed words don't make it boilerplate."""
+        total = self._odds(name, _prior(name)) if name in CONTENT or name in ASIDE else 0.0
+        mark, parts = None, 0.0
+        for f, share in [*features(name, marks)[1:], ("", 0.0)]:
+            if f[:1] == "#":
+                listed = _prior(f)
+                listed = 0.0 if around and listed < 0 or share < 1 and listed > 0 else listed  # post-comments are no post
+                parts += share * self._odds(f, listed)
+                continue
+            total += 0.0 if mark is None else self._odds(mark, parts)
+            mark, parts = f, 0.0
         return total
 
-    def words(self, elements: list, counts: list[int]) -> list[float]:
-        """The score of a word in each element, by the innermost verdict; counts: words in each element, those inside others included."""
-        out = [WORD_SCORE]
+    def words(self, elements: list, counts: list[int]) -> tuple[list[float], list[bool]]:
+        """The score of a word in each element, and whether the element is in one with a verdict for content; counts: words in each
+        element, those inside others included."""
+        around = [False] * len(elements)
+        for e in range(len(elements) - 1, 0, -1):
+            if around[e] or elements[e][0] in ("h1", "main"):
+                around[elements[e][2]] = True
+        strength, good = [0.0], [False]  # of the boilerplate verdict that holds (0: none)
         kinds: dict = {}
-        for (name, marks, parent), n in zip(elements[1:], counts[1:]):
+        for e in range(1, len(elements)):
+            name, marks, parent = elements[e]
+            held, inside = strength[parent], good[parent]
             if name in NEVER:
-                out.append(SKIPPED_WORD_SCORE)
-                continue
-            if name in ("html", "body") or name in INLINE and not marks or n >= WHOLE * counts[0]:
-                out.append(out[parent])
-                continue
-            if (name, marks) not in kinds:
-                kinds[name, marks] = self.element(name, marks)
-            x = kinds[name, marks]
-            out.append(SKIPPED_WORD_SCORE if x <= BAD or elements[parent][0] in NEVER else WORD_SCORE if x >= GOOD else out[parent])
-        return out
+                held, inside = math.inf, False
+            elif name not in ("html", "body") and (marks or name not in TEXT and name not in INLINE) and counts[e] < WHOLE * counts[0]:
+                kind = (name, marks, around[e])
+                if kind not in kinds:
+                    kinds[kind] = self.element(*kind)
+                x = kinds[kind]
+                if x <= BAD:
+                    held, inside = max(held, -x), False
+                elif x >= GOOD and x >= held and name not in TEXT and name not in INLINE:
+                    held, inside = 0.0, True
+            strength.append(held)
+            good.append(inside)
+        return [SKIPPED_WORD_SCORE if s else WORD_SCORE for s in strength], good
 
     def tag(self, name: str) -> float:
-        """Score of a start or end tag."""
-        if name in self.odds:
-            return CONTENT_TAG_SCORE if self.odds[name] > 0 else TAG_SCORE
-        return CONTENT_TAG_SCORE if name in INLINE or name in VOID or name in CONTENT else TEXT_TAG_SCORE if name in TEXT else TAG_SCORE
+        """Score of a start or end tag outside the elements that have a verdict for content."""
+        if name in INLINE or name in VOID or name in CONTENT or self.odds.get(name, 0.0) > 0:
+            return CONTENT_TAG_SCORE
+        return TEXT_TAG_SCORE if name in TEXT else TAG_SCORE
 
 
 def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> Weights:
@@ -294,19 +325,22 @@ def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> We
                 if found is not None:
                     total.update(found)
                     total["#", "*"] += 1
-        items = [(k[1] if k[0] == "#" else k[0], 2 if k[0] == "#" else int(k[1]), v) for k, v in total.items()]
+        items = [(k[1], 2, None, v) if k[0] == "#" else (k[1], 3, k[2], 1) if k[0] == "@" else (k[0], int(k[1]), None, v) for k, v in total.items()]
         if items:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*items)], names=["context", "kind", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*items), (pa.string(), pa.int64(), pa.string(), pa.int64()))], names=["context", "kind", "place", "n"])
 
-    counts = rows.mapInArrow(count, "context string, kind long, n long").groupBy("context").pivot("kind", [0, 1, 2]).agg(F.sum("n"))
-    counts = _shared.settle(counts.select("context", *[F.coalesce(F.col(str(k)), F.lit(0)).alias(a) for k, a in ((0, "outside"), (1, "inside"), (2, "pages"))]), "html-contexts")
+    # a row a feature, kind and place
+    seen = rows.mapInArrow(count, "context string, kind long, place string, n long").groupBy("context", "kind", "place").agg(F.sum("n").alias("n"))
+    of = lambda k, a: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n") if k < 3 else F.lit(1))), F.lit(0)).alias(a)
+    counts = _shared.settle(seen.groupBy("context").agg(of(0, "outside"), of(1, "inside"), of(2, "pages"), of(3, "places")), "html-contexts")
     top = counts.where("context = '*'").first()
     if top is None:
         return Weights({})
     # contexts in MIN_SHARE of a bounded number of pages: a bounded list
     kept = counts.where((F.col("context") != "*") & (F.col("pages") >= max(2, MIN_SHARE * top["pages"]))).collect()
     out_all, in_all = sum(r["outside"] for r in kept) + 1, sum(r["inside"] for r in kept) + 1
-    return Weights({r["context"]: math.log((r["inside"] + 0.5) / in_all) - math.log((r["outside"] + 0.5) / out_all) for r in kept})
+    odds = {r["context"]: math.log((r["inside"] + 0.5) / in_all) - math.log((r["outside"] + 0.5) / out_all) for r in kept}
+    return Weights(odds, {r["context"]: r["places"] for r in kept})
 
 
 def extract(page: str | None, weights: Weights) -> str:
@@ -322,12 +356,15 @@ def extract(page: str | None, weights: Weights) -> str:
     for e in range(len(elements) - 1, 0, -1):
         if elements[e][0] not in NEVER:
             counts[elements[e][2]] += counts[e]
-    scores = weights.words(elements, counts)
+    scores, good = weights.words(elements, counts)
+    marked = sum(n for n, (_, _, e) in zip(sizes, tokens_) if good[e] and scores[e] > 0)
+    if marked and marked >= OUTSIDE * sum(n for n, (_, _, e) in zip(sizes, tokens_) if scores[e] > 0):
+        scores = [OUTSIDE_WORD_SCORE if s > 0 and not g else s for s, g in zip(scores, good)]
     best, begin, end, total, start = 0.0, 0, 0, 0.0, 0
     for i, (n, (kind, value, e)) in enumerate(zip(sizes, tokens_)):
         if total <= 0:
             total, start = 0.0, i
-        total += scores[e] * n if kind == "text" else SKIPPED_WORD_SCORE if scores[e] < 0 else weights.tag(value)
+        total += scores[e] * n if kind == "text" else SKIPPED_WORD_SCORE if scores[e] < 0 else CONTENT_TAG_SCORE if good[e] else weights.tag(value)
         if total > best:
             best, begin, end = total, start, i + 1
     blocks, current = [], []
