@@ -236,3 +236,56 @@ def test_one_long_trace_runs_in_many_tasks(spark):
     assert rows.exceptAll(whole).isEmpty() and rows.count() == 300_000
     sizes = [r["n"] for r in rows.groupBy(F.floor(F.col("idx") / 20_000)).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 15 and max(sizes) == 20_000
+
+
+def read_in_order(ops):
+    """Frames of a trace by reading its opcodes one after the other with the stack of open frames: entry, frame, parent, synthetic id."""
+    open_, number, out = [(1, 0)], 1, []
+    for r, behind in zip(ops, [*ops[1:], None]):
+        level, parent = max(r["depth"], 1), None
+        entry = level > open_[-1][0]
+        if entry:
+            parent = open_[-1][1]
+            open_.append((level, number))
+            number += 1
+        while open_[-1][0] > level:
+            open_.pop()
+        address = None if r["s2"] is None else int(r["s2"][-40:], 16)
+        at_once = r["op"] in ("CALL", "STATICCALL") and address is not None and behind is not None and behind["depth"] == r["depth"] and not (1 <= address <= 17 or address == 256)
+        out.append((entry, open_[-1][1], parent, number if at_once else None))
+        number += at_once
+    return out
+
+
+def test_malformed_traces_by_the_stack_of_open_frames(spark):
+    rng = random.Random(31)
+    rows = [r for tx in range(60) for r in random_trace(rng, tx, rng.choice([[-2, 0, 1, 2, 3], [-4, -1, 0, 3], [-1, 0, 2]]))]
+    for r in rows:
+        if r["tx"] % 5 == 0:
+            r["depth"] += 1  # begins at 2
+        elif r["tx"] % 5 == 1 and rng.random() < 0.1:
+            r["depth"] = 0
+    got = {(r["tx"], r["idx"]): (r["entry"], r["frame_id"], r["parent_at_entry"], r["synthetic_id"]) for r in sq.with_frames_and_gas(fr.normal(frame(spark, rows)), ["tx"]).collect()}
+    assert len(got) == len(rows)
+    for tx in range(60):
+        ops = sorted((r for r in rows if r["tx"] == tx), key=lambda r: r["idx"])
+        assert [got[tx, r["idx"]] for r in ops] == read_in_order(ops)
+
+
+def test_malformed_traces_stay_in_the_jvm(spark):
+    rng = random.Random(32)
+    df = frame(spark, [r for tx in range(4) for r in random_trace(rng, tx, [-2, 0, 1, 2, 3])])
+    assert not fr.with_malformed(df, ["tx"]).where("malformed").isEmpty()
+    plan = tr.annotated(df, ["tx"])._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_missing_depths_and_long_malformed_traces(spark):
+    rows = trace([("CALL", 90, 1, None), ("ADD", 80, 2, 3), ("ADD", 70, 3, None), ("STOP", 60, 0, 1)], 1)
+    got = sq.with_frames_and_gas(fr.normal(frame(spark, rows)), ["tx"]).orderBy("idx").collect()
+    assert [(r["depth"], r["frame_id"], r["gas_used"]) for r in got] == [(1, 0, 30), (3, 1, 10), (3, 1, 3), (1, 0, 0)]
+    assert tr.annotated(frame(spark, rows), ["tx"]).count() == 4
+    n = 20_000
+    long = spark.range(n).select(F.lit(1).cast("long").alias("tx"), F.col("id").alias("idx"), F.lit("ADD").alias("op"), (F.lit(10**6) - F.col("id")).alias("gas"), F.lit(1).cast("decimal(20,0)").alias("gas_cost"), (F.col("id") % 3 * 2 + 1).cast("int").alias("depth"))
+    out = sq.with_frames_and_gas(fr.normal(long), ["tx"]).agg(F.count("*"), F.max("frame_id"), F.sum(F.col("entry").cast("int"))).first()
+    assert tuple(out) == (n, 2 * n // 3, 2 * n // 3)

@@ -1,92 +1,99 @@
-"""Malformed traces, one transaction at a time: the same columns as the window operators, by reading the opcodes in order.
+"""Malformed traces: the same columns as the window operators, for depths that jump or begin elsewhere than at 1.
 
-Depths that jump by more than one have no numbering that a window could give. Only their transactions come here, each as one group, as a
-single trace is one sequence anyway.
+Their frames depend on which frames are open: a native fold (``aggregate`` over a transaction's opcodes in order) keeps the stack of open
+frames in its accumulator. What looks at other opcodes of a trace - gas, memory, created addresses, gas of inner frames - is found by windows
+by depth, as for other traces, in a form that holds whatever the depths are. Nothing leaves the JVM. A transaction's frames are folded in one
+task; only malformed ones come here. A missing depth is that of the opcode before (1 at the beginning).
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tracelake.functions import call_target
-from tracelake.operators.frames import KEY
-
-
-def _behind(depths: list[int], used: list[int] | None = None) -> tuple[list[int | None], list[int | None], list[int]]:
-    """For each opcode, read from the end: the next one at its depth before any shallower one, the next one that isn't deeper, and the gas
-    ``used`` one level down before that one."""
-    alike, level, inner = [None] * len(depths), [None] * len(depths), [0] * len(depths)
-    # opcodes further on by depth, the deepest last: the first one of each depth that nothing shallower hides, and its depth's gas
-    seen: list[list[int]] = []
-    for i in range(len(depths) - 1, -1, -1):
-        d = depths[i]
-        below = 0
-        while seen and seen[-1][0] > d:
-            depth, _, gas = seen.pop()
-            below = gas if depth == d + 1 else below
-        inner[i] = below
-        level[i] = seen[-1][1] if seen else None
-        if seen and seen[-1][0] == d:
-            alike[i], seen[-1][1] = seen[-1][1], i
-        else:
-            seen.append([d, i, 0])
-        seen[-1][2] += used[i] if used else 0
-    return alike, level, inner
+
+from tracelake.functions import CALLS, CREATES, call_target, is_precompile
+from tracelake.operators.frames import KEY, immediate_return, in_trace
+from tracelake.operators.resources import words
+
+#: Opcodes that are folded at a time: results of a step are appended to a list, and lists are copied when they grow.
+STEP = 64
+_STACK = "array<struct<level: int, id: bigint>>"
+_OUT = "array<struct<idx: bigint, frame_id: bigint, entry: boolean, parent_at_entry: bigint, synthetic_id: bigint>>"
+
+
+def _struct(**fields: Column) -> Column:
+    return F.named_struct(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+
+
+def _with(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _step(state: Column, x: Column) -> Column:
+    """The fold's next state after opcode x (idx, level, synthetic): open frames, the next number, and what was found of the opcodes."""
+    top = F.element_at(state["stack"], -1)
+    entry = x["level"] > top["level"]
+    opened = F.concat(state["stack"], F.array(_struct(level=x["level"], id=state["next"])))
+    stack = F.when(entry, opened).otherwise(F.filter(state["stack"], lambda s: s["level"] <= x["level"]))
+    now = _struct(stack=stack, next=state["next"] + entry.cast("bigint"), entry=entry, parent=F.when(entry, top["id"]))
+
+    def found(n: Column) -> Column:
+        row = _struct(idx=x["idx"], frame_id=F.element_at(n["stack"], -1)["id"], entry=n["entry"], parent_at_entry=n["parent"], synthetic_id=F.when(x["synthetic"], n["next"]))
+        return _struct(stack=n["stack"], next=n["next"] + x["synthetic"].cast("bigint"), out=F.concat(state["out"], F.array(row)))
+
+    return _with(now, found)
+
+
+def _frames(rows: Column) -> Column:
+    """Of a transaction's opcodes (idx, level, synthetic) in order: idx, frame_id, entry, parent_at_entry, synthetic_id."""
+    none = F.array().cast(_OUT)
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / STEP).cast("int")), lambda k: F.slice(rows, k * STEP + 1, F.lit(STEP)))
+    begin = _struct(stack=F.array(_struct(level=F.lit(1), id=F.lit(0).cast("bigint"))).cast(_STACK), next=F.lit(1).cast("bigint"), outs=F.array().cast(f"array<{_OUT}>"))
+
+    def part(state: Column, xs: Column) -> Column:
+        inner = F.aggregate(xs, _struct(stack=state["stack"], next=state["next"], out=none), _step)
+        return _with(inner, lambda s: _struct(stack=s["stack"], next=s["next"], outs=F.concat(state["outs"], F.array(s["out"]))))
+
+    return F.flatten(F.aggregate(parts, begin, part)["outs"])
+
+
+def _inner_gas(df: DataFrame, key: list[str]) -> DataFrame:
+    """(key, idx, inner): gas of the opcodes one level down before the next opcode that isn't deeper. An opcode stands in each level from its
+    own up to the one below the next opcode; the last one that stands in the level above another is that one's owner."""
+    up_to = F.greatest(F.col("depth"), F.coalesce(F.col("next_depth") - 1, F.col("depth")))
+    stands = df.select(*key, "idx", F.explode(F.sequence("depth", up_to)).alias("level"), F.struct("idx", "depth").alias("of"), F.lit(0).cast("long").alias("gas"))
+    asks = df.select(*key, "idx", (F.col("depth") - 1).alias("level"), F.lit(None).cast("struct<idx: bigint, depth: int>").alias("of"), F.col("gas_used").alias("gas"))
+    so_far = Window.partitionBy(*key, "level").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    owned = stands.unionByName(asks).withColumn("owner", F.last("of", ignorenulls=True).over(so_far)).where("of is null and owner.depth = level")
+    return owned.groupBy(*key, F.col("owner.idx").alias("idx")).agg(F.sum("gas").alias("inner"))
 
 
 def with_frames_and_gas(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False) -> DataFrame:
     """Traces with the columns of ``frames.with_frames`` and ``frames.with_gas``, next_words (memory words at the frame's next opcode) and
     created_top (the top of the stack at the next opcode that isn't deeper)."""
-    from tracelake.functions.opcodes import CALLS, CREATES, PRECOMPILES
-
-    df = traces.withColumn("target", call_target(F.col("op"), F.col("call_to_address"), F.col("s2")))
-    added = T.StructType().add("next_depth", "long").add("synthetic", "boolean").add("entry", "boolean").add("call_type", "string").add("tracer_target", "string")
-    for c in ("synthetic_id", "frame_id", "parent_at_entry", "gas_self"):
-        added = added.add(c, "long")
-    added = added.add("next_words", "long").add("created_top", "string")
-    schema = T.StructType([*df.schema.fields, *added.fields])
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("idx").to_dict("records")
-        text = lambda v: v if isinstance(v, str) else None
-        depths = [int(r["depth"]) for r in rows]
-        after, level, _ = _behind(depths)
-        if pd.notna(rows[0]["gas_used"]) and rows[0]["gas_used"] > 0:
-            used = [0 if pd.isna(r["gas_used"]) else int(r["gas_used"]) for r in rows]
-        else:
-            used = [int(r["gas"] - rows[j]["gas"]) if j is not None and rows[j]["gas"] <= r["gas"] else int(r["gas_cost"]) for r, j in zip(rows, after)]
-        inner = _behind(depths, used)[2]
-        last_opened, issued, out = {1: 0}, 1, []  # the open frames by the depth that opened them, and how many ids are out
-        for i, r in enumerate(rows):
-            now, parent = max(depths[i], 1), None
-            entry = now > next(reversed(last_opened))
-            if entry:
-                parent = last_opened[next(reversed(last_opened))]
-                last_opened[now], issued = issued, issued + 1
-            while len(last_opened) > 1 and next(reversed(last_opened)) > now:
-                last_opened.popitem()
-            frame_id = last_opened[next(reversed(last_opened))]
-            nxt = depths[i + 1] if i + 1 < len(rows) else None
-            target = text(r["target"])
-            at_once = r["op"] in CALLS and target is not None and nxt == depths[i]
-            if at_once and not precompile_frames:
-                at_once = ("0x" + target.removeprefix("0x")[-40:].rjust(40, "0")).lower() not in PRECOMPILES
-            issued += at_once
-            own = max(0, used[i] - inner[i]) if r["op"] in CALLS + CREATES else used[i]
-            j, k = after[i], level[i]
-            size = None if j is None or pd.isna(rows[j]["mem_size"]) else int(rows[j]["mem_size"])
-            out.append(
-                r | {"target": target, "gas_used": used[i], "next_depth": nxt, "synthetic": at_once, "entry": entry, "call_type": rows[i - 1]["op"] if i else None, "tracer_target": text(rows[i - 1]["call_to_address"]) if i else None}
-                | {"synthetic_id": issued - 1 if at_once else None, "frame_id": frame_id, "parent_at_entry": parent, "gas_self": own}
-                | {"next_words": None if j is None else (0 if size is None else (size + 31) % (1 << 32) // 32), "created_top": None if k is None else text(rows[k]["s1"])}
-            )
-        done = pd.DataFrame(out, columns=schema.names)
-        for f in schema.fields:
-            if isinstance(f.dataType, (T.LongType, T.IntegerType)):
-                done[f.name] = pd.array([None if pd.isna(v) else int(v) for v in done[f.name]], dtype="Int64" if isinstance(f.dataType, T.LongType) else "Int32")
-        return done
-
-    return df.groupBy(*key).applyInPandas(one, schema)
+    t = in_trace(key)
+    so_far = t.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = traces.withColumns({"target": call_target(F.col("op"), F.col("call_to_address"), F.col("s2")), "depth": F.coalesce(F.last("depth", ignorenulls=True).over(so_far), F.lit(1)).cast("int")})
+    df = df.withColumns({"next_depth": F.lead("depth").over(t), "call_type": F.lag("op").over(t), "tracer_target": F.lag("call_to_address").over(t), "before": F.lag("depth").over(t)})
+    synthetic = immediate_return(F.col("op"), F.col("target"), F.col("depth"), F.col("next_depth"))
+    if not precompile_frames:
+        synthetic = synthetic & ~F.coalesce(is_precompile(F.col("target")), F.lit(False))
+    df = df.withColumn("synthetic", synthetic)
+
+    # the next opcode that isn't deeper: an opcode at which the depth falls stands in each level that it leaves
+    look = F.struct("depth", "gas", "mem_size", "s1")
+    df = df.withColumn("up", F.explode(F.sequence(F.lit(0), F.greatest(F.coalesce(F.col("before") - F.col("depth"), F.lit(0)), F.lit(0)))))
+    df = df.withColumn("after", F.lead(look).over(Window.partitionBy(*key, F.col("depth") + F.col("up")).orderBy("idx"))).where("up = 0").drop("up", "before")
+    same = F.col("after.depth") == F.col("depth")
+    traced = F.coalesce(F.first("gas_used").over(t.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(0)) > 0
+    computed = F.when(same & (F.col("after.gas") <= F.col("gas")), F.col("gas") - F.col("after.gas")).otherwise(F.col("gas_cost"))
+    df = df.withColumns({
+        "gas_used": F.when(traced, F.coalesce("gas_used", F.lit(0))).otherwise(computed), "next_words": F.when(same, words(F.coalesce("after.mem_size", F.lit(0)))), "created_top": F.col("after.s1"),
+    }).drop("after")
+
+    order = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("long").alias("idx"), F.greatest("depth", F.lit(1)).alias("level"), "synthetic")))
+    frames = df.groupBy(*key).agg(order.alias("rows")).select(*key, F.explode(_frames(F.col("rows"))).alias("x")).select(*key, "x.*")
+    df = df.join(frames, [*key, "idx"]).join(_inner_gas(df, key), [*key, "idx"], "left")
+    own = F.when(F.col("op").isin(CALLS + CREATES), F.greatest(F.col("gas_used") - F.coalesce("inner", F.lit(0)), F.lit(0).cast("long"))).otherwise(F.col("gas_used"))
+    return df.withColumn("gas_self", own.cast("long")).drop("inner")
