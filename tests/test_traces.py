@@ -289,3 +289,27 @@ def test_missing_depths_and_long_malformed_traces(spark):
     long = spark.range(n).select(F.lit(1).cast("long").alias("tx"), F.col("id").alias("idx"), F.lit("ADD").alias("op"), (F.lit(10**6) - F.col("id")).alias("gas"), F.lit(1).cast("decimal(20,0)").alias("gas_cost"), (F.col("id") % 3 * 2 + 1).cast("int").alias("depth"))
     out = sq.with_frames_and_gas(fr.normal(long), ["tx"]).agg(F.count("*"), F.max("frame_id"), F.sum(F.col("entry").cast("int"))).first()
     assert tuple(out) == (n, 2 * n // 3, 2 * n // 3)
+
+
+def explained(df):
+    return df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+
+
+def test_tables_read_their_source_once_and_leave_nothing(spark, tmp_path):
+    """Beside the check for malformed traces each table scans the traces once, when it writes its scratch table; and cleanup deletes that."""
+    import os
+
+    from tracelake.plans import store
+
+    rng = random.Random(14)
+    frame(spark, [r for tx in range(5) for r in random_trace(rng, tx, [-1, 0, 1])]).write.parquet(str(tmp_path / "t"))
+    heads = spark.createDataFrame([(t, "0xab", 10**6, False, "", 0) for t in range(7)], "tx long, to_address string, trace_gas long, trace_failed boolean, trace_return_value string, transaction_index long")
+    for plan in (tr.opcode_table, tr.frame_agg_table):
+        out = plan(spark.read.parquet(str(tmp_path / "t")), heads, ["tx"])
+        assert str(tmp_path) not in explained(out) and out.select("tx").distinct().count() == (5 if plan is tr.opcode_table else 7)
+    written = set(tr.settle(tr.annotated(spark.read.parquet(str(tmp_path / "t")), ["tx"]).select("tx", *tr.OPCODE), "x").columns)
+    assert not written & {"words_before", "mem_exp", "cold", "own_gas"}
+    root = store._scratch_dir(spark).removeprefix("file:").replace("//", "/")
+    assert os.listdir(root)
+    store.cleanup(spark)
+    assert not os.path.exists(root)

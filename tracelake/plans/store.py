@@ -23,9 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def _scratch_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one."""
+    return f"{shared_dir(spark)}/tracelake/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/tracelake/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application. Frames that were read from them can't be used any more, so this belongs behind the last
+    use of a query's result; the end of a job is the place where nothing is in use."""
+    drop_path(spark, _scratch_dir(spark))
 
 
 def _path(spark: SparkSession, path: str):

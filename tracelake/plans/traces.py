@@ -61,6 +61,10 @@ def _finish_sequential(df: DataFrame, key: list[str], created: bool) -> DataFram
     return rs.with_precompile_split(rs.with_cold(df)).drop("has_memory", "next_words", "created_top")
 
 
+#: Columns of annotated traces that the opcode table is made of.
+OPCODE = "idx op gas gas_cost gas_used gas_self depth return_data refund error target frame_id entry synthetic synthetic_id parent_at_entry".split()
+
+
 def with_paths(df: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Adds path for every row. The rows are written once: the frames are found from them, and joined to them."""
     df = settle(df, "annotated")
@@ -69,7 +73,8 @@ def with_paths(df: DataFrame, key: list[str] = KEY) -> DataFrame:
 
 def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None) -> DataFrame:
     """One row an opcode, and one (operation '') for each call of a plain account that returns at once; traces without opcodes give none."""
-    df = with_paths(annotated(traces, key, False, fallback, longest=longest), key)
+    # memory, cold access and precompile gas are not asked for, so they are not computed
+    df = with_paths(annotated(traces, key, False, fallback, longest=longest).select(*key, *OPCODE), key)
     real = F.struct(
         F.col("op").alias("operation"), "gas", "gas_cost", "gas_used", "gas_self", F.col("depth").cast("long").alias("depth"), "return_data", "refund", "error", F.col("frame_id").alias("call_frame_id"), F.col("path").alias("call_frame_path")
     )
@@ -181,12 +186,12 @@ def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] =
     opcodes = stats.select(
         *key, *about, "operation", "opcode_count", F.col("error_count").cast("long").alias("error_count"), "gas", "gas_cumulative", "min_depth", "max_depth", F.lit(0).cast("long").alias("gas_refund"), F.lit(None).cast("long").alias("intrinsic_gas"), *SUMS
     )
-    out = summary.unionByName(opcodes).unionByName(simple_transfers(traces, transactions, key))
+    out = summary.unionByName(opcodes).unionByName(simple_transfers(by_opcode, transactions, key))
     return out.join(transactions.select(*key, "transaction_index"), key).withColumnRenamed("frame_id", "call_frame_id")
 
 
 def simple_transfers(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """The single frame of each transaction without opcodes: all its gas is intrinsic."""
+    """The single frame of each transaction that ``traces``, any table of all opcodes' keys, has no row of: all its gas is intrinsic."""
     zero = F.lit(0).cast("long")
     idle = transactions.join(traces.select(*key), key, "left_anti")
     return idle.select(
