@@ -634,5 +634,7 @@ def test_held_out_scores_of_the_queries(spark):
         assert out.where("score is null or score < 0 or score > 1").isEmpty()
         held = out.where("held_out").join(labels.where(F.col(label).isNotNull()), "doc_id")
         assert held.where(F.col("predicted") == F.col(label)).count() >= least * held.count(), name
+        ones = held.where(F.col(label) == 1)
+        assert ones.where("predicted = 1").count() >= 0.9 * ones.count(), name
     clean = q.op10_toxicity(spark, sf).where("held_out and predicted = 1").join(labels.where("toxic = 0"), "doc_id")
     assert clean.count() <= 7  # of about 730
