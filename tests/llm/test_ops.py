@@ -302,6 +302,16 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert sorted((r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(rows).collect()) == [(1, 1)] * 3 + [(2, 1)]
 
 
+def test_packed_sets():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 7, 5_000):
+        h = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        assert (neardup.unpack_set(np.frombuffer(neardup.pack_set(h), np.uint8)) == h >> np.uint64(8)).all()
+    import zlib
+
+    assert len(zlib.compress(neardup.pack_set(h), 1)) < 0.8 * 8 * len(h)
+
+
 def crowd(n, seed, words=200, own=80):
     """Texts that share a core of single-word shingles: two of them have a similarity of (words - own) / (words + own)."""
     rng = random.Random(seed)

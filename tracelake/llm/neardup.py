@@ -102,6 +102,18 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+def pack_set(hashes: np.ndarray) -> bytes:
+    """A set's sorted hashes, cut to 56 bits, as the byte planes of their differences: the upper planes are nearly all zero and compress away.
+    Two of a set's hashes may become equal (with probability size^2 / 2^57); both stay, so sizes are those of the set."""
+    cut = hashes >> np.uint64(8)
+    return np.diff(cut, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack_set(packed: np.ndarray) -> np.ndarray:
+    """The hashes, of 56 bits, in order."""
+    return np.cumsum(np.ascontiguousarray(packed.reshape(8, -1).T).view("<u8").reshape(-1), dtype=np.uint64)
+
+
 def _set_hash(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit values of each set, which tell sets apart; zeros of an empty one."""
     size = np.array([len(s) for s in sets], np.int64)
@@ -352,7 +364,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if key != now:
                     now, sets, up = key, {}, {}
                 if b is None:
-                    sets[a] = np.frombuffer(batch.column(6)[i].as_buffer(), np.uint64)
+                    sets[a] = unpack_set(np.frombuffer(batch.column(6)[i].as_buffer(), np.uint8))
                     continue
                 p, q = top(la), top(lb)
                 if p == q:
@@ -385,7 +397,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
             c1, c2 = _set_hash(sets)
             own = (c1 == batch.column(1).to_numpy()) & (c2 == batch.column(2).to_numpy())
             at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([sets[i].tobytes() for i in at], pa.binary())], names=["class", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([pack_set(sets[i]) for i in at], pa.binary())], names=["class", "shingles"])
 
     texts = _only(_texts(docs, id_col, text_col).where("doc_id is not null"), wanted, "doc_id", "th")
     return wanted.select("class", "doc_id", "th", "c1", "c2").join(texts, ["doc_id", "th"]).select("class", "c1", "c2", "t").mapInArrow(task, "class long, shingles binary")
