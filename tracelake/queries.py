@@ -254,7 +254,7 @@ def read_traces(spark, d):
     return flat.select("transaction_hash", "idx", "op", "gas", F.col("gas_cost").cast("long").alias("gas_cost"), F.col("depth").cast("long").alias("depth"), "refund", "error", "mem_size", "call_to_address", "s1", "s2", "return_data")
 
 
-@query("read_embedded_traces", _chain(False) + f" SELECT CAST(tx AS VARCHAR) AS transaction_hash, CAST(idx AS BIGINT) AS idx, CAST(CASE WHEN tx % 2 = 0 THEN gas_cost + 7 ELSE used END AS BIGINT) AS gas_used, wb AS words_before, CASE WHEN op IN {_CALLS} THEN call_to_address END AS target FROM g WHERE tx - tx % 3 < (SELECT max(tx) FROM s)")
+@query("read_embedded_traces", _chain(False) + f" SELECT CAST(tx AS VARCHAR) AS transaction_hash, CAST(idx AS BIGINT) AS idx, CAST(CASE WHEN tx % 2 = 0 THEN gas_cost + 7 ELSE used END AS BIGINT) AS gas_used, wb AS words_before, CASE WHEN op IN {_CALLS} THEN call_to_address END AS target FROM g WHERE tx - tx % 3 < (SELECT max(tx) - max(tx) % 3 FROM s)")
 def read_embedded_traces(spark, d):
     """The derived traces, half of them with a tracer's gas, landed as a host has them (three transactions a block) and read by ranges of
     blocks, all but the last block."""
