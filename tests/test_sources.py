@@ -199,6 +199,33 @@ def test_gap_window_and_capacity(spark):
     assert pg.block_completion(done, known).select("completed", "enqueued_at", "is_complete").collect() == [(1, at, True)]
 
 
+def test_capacity_backwards_and_beyond_the_next_block(spark):
+    """(next block, mode) against incomplete blocks 90 and 110 and a range of 5: distance to the one that counts; on the wrong side it blocks."""
+    at = datetime.datetime(2024, 1, 1)
+    latest = pg.latest_version(spark.createDataFrame([(at, b, "p", "n", int(b not in (90, 110)), 0) for b in range(80, 121)], schemas.PROGRESS))
+    scope = "processor string, meta_network_name string, next_block long"
+    of = lambda b, mode: tuple(pg.capacity(spark.createDataFrame([("p", "n", b)], scope), latest, 5, mode).select("nearest", "capacity", "blocked").first())
+    assert of(92, "forwards") == (90, 3, False) and of(95, "forwards") == (90, 0, True)
+    assert of(108, "forwards") == (110, 0, True)  # above the next block
+    assert of(116, "forwards") == (None, 5, False)
+    assert of(108, "backwards") == (110, 3, False) and of(105, "backwards") == (110, 0, True)
+    assert of(100, "backwards") == (90, 0, True)  # below the next block
+    assert of(85, "backwards") == (90, 0, True) and of(84, "backwards") == (None, 5, False)
+    fits = lambda b, n, mode: pg.within_leash(spark.createDataFrame([("p", "n", b)], scope), latest, n, 5, mode).first()["fits"]
+    assert fits(108, 3, "backwards") and not fits(108, 4, "backwards") and not fits(84, 6, "backwards")
+
+
+def test_rows_asked_for_by_hand_count_as_incomplete(spark):
+    """A progress row without ``complete`` opens its block again."""
+    at = datetime.datetime(2024, 1, 1)
+    asked = spark.createDataFrame([("n", 7)], "meta_network_name string, block_number long")
+    rows = sinks.progress_rows(asked, "p", 1, at).unionByName(sinks.progress_rows(asked, "p", None, at + datetime.timedelta(seconds=1)))
+    latest = pg.latest_version(rows)
+    assert latest.select("complete", "task_count").collect() == [(0, None)]
+    assert pg.incomplete_blocks(latest, 5).count() == 1 and pg.count_incomplete(latest).first()["n_incomplete"] == 1
+    assert not pg.is_complete(latest, asked.selectExpr("'p' as processor", "*")).first()["is_complete"]
+
+
 def test_stale_blocks_of_the_stream(spark, tmp_path):
     """A registered block without its tasks is stale when event time goes on; a late task then finds no block."""
     schema = "event_time timestamp, processor string, meta_network_name string, block_number long, task_id string, task_count long"

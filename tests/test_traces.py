@@ -191,12 +191,13 @@ def test_segments_equal_the_whole_trace(spark):
     rng = random.Random(21)
     rows = tracer_fields(rng, [r for tx in range(24) for r in random_trace(rng, tx, [[-2, -1, 0, 0, 1], [-1, 0, 1, 1], [-9, 1, 1, 1, 1]][tx % 3])])
     df = frame(spark, rows, SCHEMA + ", gas_used long").repartition(3)
-    for precompile, created in ((False, True), (True, False)):
-        whole = tr.annotated(df, ["tx"], precompile, created=created)
+    options = {"use_tracer_create_address": True, "resolve_targets": True}
+    for precompile, created, chosen in ((False, True, {}), (True, False, {}), (True, True, options)):
+        whole = tr.annotated(df, ["tx"], precompile, created=created, **chosen)
         columns = sorted(whole.columns)
         want = normal(map(tuple, whole.select(*columns).collect()))
         for chunk in (1, 7, 1_000):
-            cut = tr.annotated(df, ["tx"], precompile, created=created, longest=0, chunk_rows=chunk)
+            cut = tr.annotated(df, ["tx"], precompile, created=created, longest=0, chunk_rows=chunk, **chosen)
             assert sorted(cut.columns) == columns
             assert normal(map(tuple, cut.select(*columns).collect())) == want, chunk
 
@@ -313,3 +314,51 @@ def test_tables_read_their_source_once_and_leave_nothing(spark, tmp_path):
     assert os.listdir(root)
     store.cleanup(spark)
     assert not os.path.exists(root)
+
+
+HEAD = "tx long, to_address string, trace_gas long, trace_failed boolean, trace_return_value string, transaction_index long"
+
+
+def padded(n):
+    return f"0x{n:040x}"
+
+
+def test_creates_that_a_tracer_knows(spark):
+    """By default they have no address, with the option the tracer's; the trace's first create decides, also where depths jump."""
+    ops = [
+        ("CREATE", 900, 1, 1, {"call_to_address": padded(0xA1)}), ("STOP", 800, 0, 2), ("CREATE2", 700, 1, 1, {"s1": "0xee"}), ("STOP", 600, 0, 2), ("ADD", 500, 1, 1, {"s1": "0xbb"}),
+    ]
+    late = [(*o[:4], {"s1": o[4].get("s1")}) if i == 0 else o for i, o in enumerate(ops)]
+    late[2] = ("CREATE2", 700, 1, 1, {"s1": "0xee", "call_to_address": padded(0xA2)})
+    jumps = [(op, gas, cost, 1 if depth == 1 else 4, *rest) for op, gas, cost, depth, *rest in ops]
+    df = frame(spark, trace(ops, 1) + trace(late, 2) + trace(jumps, 3))
+    heads = spark.createDataFrame([(t, "0xab", 10**6, False, "", 0) for t in (1, 2, 3)], HEAD)
+    for chosen, traced in (({}, [None, None]), ({"use_tracer_create_address": True}, [padded(0xA1), None])):
+        rows = tr.opcode_table(df, heads, ["tx"], **chosen).where("operation like 'CREATE%'").orderBy("tx", "index").collect()
+        assert [r["call_to_address"] for r in rows] == [*traced, padded(0xEE), padded(0xBB), *traced]
+
+
+def test_targets_of_frames_without_a_tracer(spark):
+    """Null by default but for frames that return at once; resolved from the call's operand or the created address."""
+    ops = [
+        ("CALL", 900, 1, 1, {"s2": "0xc1"}), ("STOP", 880, 0, 2), ("STATICCALL", 860, 1, 1, {"s2": "0xc2"}), ("CREATE", 840, 1, 1), ("CALL", 820, 1, 2, {"call_to_address": padded(0xC3), "s2": "0xdd"}), ("STOP", 800, 0, 3), ("STOP", 790, 0, 2),
+        ("ADD", 780, 1, 1, {"s1": "0xc4"}), ("CREATE", 760, 1, 1), ("STOP", 740, 0, 2),
+    ]
+    jumps = [(op, gas, cost, depth if depth == 1 else depth + 2, *rest) for op, gas, cost, depth, *rest in ops]
+    df = frame(spark, trace(ops, 1) + trace(jumps, 2))
+    heads = spark.createDataFrame([(t, "0xab", 10**6, False, "", 0) for t in (1, 2)], HEAD)
+    # frames: root, the first call's, the static call's, the create's and in it a call's, the last create's, which never returns
+    kept = ["0xab", None, padded(0xC2), None, padded(0xC3), None]
+    resolved = ["0xab", padded(0xC1), padded(0xC2), padded(0xC4), padded(0xC3), None]
+    for chosen, want in (({}, kept), ({"resolve_targets": True}, resolved)):
+        rows = tr.frame_agg_table(df, heads, ["tx"], **chosen).where("operation = ''").orderBy("tx", "call_frame_id").collect()
+        assert [r["target_address"] for r in rows] == want * 2
+
+
+def test_depth_zero_is_the_root(spark):
+    """Frames count it as the top; gas is found by the depths as they are."""
+    ops = [("CALL", 900, 5, 0), ("ADD", 850, 3, 1), ("ADD", 840, 3, 1), ("STOP", 700, 0, 0)]
+    got = tr.annotated(frame(spark, trace(ops)), ["tx"]).orderBy("idx").collect()
+    assert [r["frame_id"] for r in got] == [0, 0, 0, 0]
+    assert [r["gas_used"] for r in got] == [200, 10, 3, 0]
+    assert got[0]["gas_self"] == 200 - 13

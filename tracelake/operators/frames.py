@@ -72,9 +72,9 @@ def with_gas(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
     return df.withColumn("gas_self", F.greatest(F.col("gas_used") - inner, F.lit(0).cast("long"))).drop("frame_gas")
 
 
-def with_created(frames: DataFrame, key: list[str] = KEY, use_tracer: bool = False) -> DataFrame:
-    """Replaces target for creates: the top of the stack at the first later opcode that is not deeper. With the tracer's addresses at the
-    first create of the trace they are left null, as the tables have always had it, unless ``use_tracer``.
+def with_created(frames: DataFrame, key: list[str] = KEY, use_tracer_create_address: bool = False) -> DataFrame:
+    """Replaces target for creates: the top of the stack at the first later opcode that is not deeper. In a trace whose first create has the
+    tracer's address they are left null, as the tables have always had it; with ``use_tracer_create_address`` they are the tracer's.
 
     An opcode at which the depth falls closes one frame of each level that it leaves, and stands once more in each of these for the time of
     one window: in its own level, the row after a create is then the one asked for. Levels left are never more than frames opened."""
@@ -85,10 +85,15 @@ def with_created(frames: DataFrame, key: list[str] = KEY, use_tracer: bool = Fal
     df = frames.withColumns({"traced_create": F.coalesce(first, F.lit(False)), "left": F.greatest(before - level, F.lit(0))})
     df = df.withColumn("up", F.explode(F.sequence(F.lit(0), F.col("left"))))
     df = df.withColumn("after", F.lead("s1").over(Window.partitionBy(*key, level + F.col("up")).orderBy("idx"))).where("up = 0")
-    created = F.when(F.col("traced_create"), F.col("call_to_address") if use_tracer else F.lit(None)).otherwise(format_address(F.col("after")))
+    created = F.when(F.col("traced_create"), F.col("call_to_address") if use_tracer_create_address else F.lit(None)).otherwise(format_address(F.col("after")))
     return df.withColumn("target", F.when(create, created).otherwise(F.col("target"))).drop("traced_create", "left", "up", "after")
 
 
+def with_resolved_targets(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Fills tracer_target at entries, where the tracer had none, with the target of the opcode before: a call's operand, a create's address."""
+    return frames.withColumn("tracer_target", F.coalesce("tracer_target", F.when(F.col("entry"), F.lag("target").over(in_trace(key)))))
+
+
 def frame_table(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
     """One row a frame: key, frame_id, parent_id (null for the root) and level, from entries, synthetic rows and each trace's first row."""
     row = lambda frame, parent, level: F.struct(frame.cast("long").alias("frame_id"), parent.cast("long").alias("parent_id"), level.cast("long").alias("level"))

@@ -56,7 +56,7 @@ def _later_rows(chunks: DataFrame, key: list[str]) -> DataFrame:
     return found.groupBy(*key, "chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("level", "row"))), lambda x: x["row"]).alias("later"))
 
 
-def annotated(traces: DataFrame, settle, key: list[str] = KEY, precompile_frames: bool = False, created: bool = True, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def annotated(traces: DataFrame, settle, key: list[str] = KEY, precompile_frames: bool = False, created: bool = True, chunk_rows: int = CHUNK_ROWS, use_tracer_create_address: bool = False, resolve_targets: bool = False) -> DataFrame:
     """``traces`` (as ``frames.normal`` gives them) with all columns of ``plans.traces.annotated``. ``settle(df, name)`` writes a table and reads
     it back: the rows are used more than once, and a lost executor costs a new read."""
     names = [c for c in traces.columns if c != "gas_used"]
@@ -110,12 +110,19 @@ def annotated(traces: DataFrame, settle, key: list[str] = KEY, precompile_frames
         "opens": F.when(is_call_or_create(F.col("op")) & (F.col("next_depth") > F.col("depth")), number + 1),
     })
     if created:
-        address = F.when(~F.col("traced_create"), format_address(F.col("after.s1")))
+        traced = F.col("call_to_address") if use_tracer_create_address else F.lit(None)
+        address = F.when(F.col("traced_create"), traced).otherwise(format_address(F.col("after.s1")))
         df = df.withColumn("target", F.when(F.col("op").isin("CREATE", "CREATE2"), address).otherwise(F.col("target")))
     df = df.withColumn("mem_exp", rs.expansion_gas(F.col("words_before"), F.col("words_after")))
     kept = [*names, "gas_used", "target", "next_depth", "synthetic", "entry", "call_type", "tracer_target", "synthetic_id", "frame_id", "parent_at_entry", "words_before", "words_after", "mem_exp", "opens"]
     df = settle(df.select(*kept), "segments")
 
+    if resolve_targets:
+        # a row a frame on either side
+        callers = df.where("opens is not null").select(*key, F.col("opens").alias("frame_id"), F.col("target").alias("caller_target"))
+        entered = df.where("entry").join(callers, [*key, "frame_id"], "left").withColumn("tracer_target", F.coalesce("tracer_target", "caller_target"))
+        df = df.where("not entry").unionByName(entered.drop("caller_target"))
+
     # gas of the frames that opcodes opened
     spent = df.groupBy(*key, F.col("frame_id").alias("opens")).agg(F.sum("gas_used").alias("inner"))
     own = F.greatest(F.col("gas_used") - F.coalesce("inner", F.lit(0)), F.lit(0).cast("long"))

@@ -20,34 +20,43 @@ KEY = fr.KEY
 CALL_TYPES = ["CALL", "CALLCODE", "DELEGATECALL", "STATICCALL", "CREATE", "CREATE2"]
 
 
-def annotated(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False, fallback: bool = True, created: bool = True, longest: int | None = None, chunk_rows: int = sg.CHUNK_ROWS) -> DataFrame:
+def annotated(traces: DataFrame, key: list[str] = KEY, precompile_frames: bool = False, fallback: bool = True, created: bool = True, longest: int | None = None, chunk_rows: int = sg.CHUNK_ROWS, use_tracer_create_address: bool = False, resolve_targets: bool = False) -> DataFrame:
     """Traces with frames, gas, memory, cold access and the precompile split, and the addresses that creates made, if ``created``. One
     exchange by the key serves all of it. A first pass over keys, places and depths asks whether any trace is malformed (``fallback`` off:
     the source is known to be well formed); only then is the input split, and those transactions take the sequential way.
 
     A trace is one task, unless ``longest`` is given: traces with more opcodes are cut in chunks of ``chunk_rows`` places, which are finished
-    side by side (``operators.segmented``). That takes one more pass, over the keys alone."""
+    side by side (``operators.segmented``). That takes one more pass, over the keys alone.
+
+    ``use_tracer_create_address``: see ``operators.frames.with_created``. ``resolve_targets``: tracer_target, which only a tracer's address
+    fills otherwise, is that of the opcode before the frame - a call's operand, the address that a create made."""
+    created = created or resolve_targets
+    options = {"use_tracer_create_address": use_tracer_create_address, "resolve_targets": resolve_targets}
     df = fr.normal(traces)
     if longest is not None:
         giants = df.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > longest).select(*key)
         if not giants.isEmpty():
             odd = sg.malformed(df.join(giants, key, "left_semi"), key, chunk_rows) if fallback else None
             whole = giants if odd is None else giants.join(odd, key, "left_anti")
-            rows = sg.annotated(df.join(whole, key, "left_semi"), settle, key, precompile_frames, created, chunk_rows)
-            return annotated(traces.join(whole, key, "left_anti"), key, precompile_frames, fallback, created).unionByName(rows)
-    regular = lambda rows: _finish(fr.with_gas(fr.with_frames(rows, key, precompile_frames), key), key, created)
+            rows = sg.annotated(df.join(whole, key, "left_semi"), settle, key, precompile_frames, created, chunk_rows, **options)
+            return annotated(traces.join(whole, key, "left_anti"), key, precompile_frames, fallback, created, **options).unionByName(rows)
+    regular = lambda rows: _finish(fr.with_gas(fr.with_frames(rows, key, precompile_frames), key), key, created, **options)
     if not fallback or fr.with_malformed(df.select(*key, "idx", "depth"), key).where("malformed").isEmpty():
         return regular(df)
     df = fr.with_malformed(df, key)
     odd = sq.with_frames_and_gas(df.where("malformed").drop("malformed"), key, precompile_frames)
-    return regular(df.where(~F.col("malformed")).drop("malformed")).unionByName(_finish_sequential(odd, key, created))
+    return regular(df.where(~F.col("malformed")).drop("malformed")).unionByName(_finish_sequential(odd, key, created, **options))
 
 
-def _finish(df: DataFrame, key: list[str], created: bool) -> DataFrame:
-    return rs.with_precompile_split(rs.with_cold(rs.with_memory(fr.with_created(df, key) if created else df, key)))
+def _finish(df: DataFrame, key: list[str], created: bool, use_tracer_create_address: bool, resolve_targets: bool) -> DataFrame:
+    if created:
+        df = fr.with_created(df, key, use_tracer_create_address)
+    if resolve_targets:
+        df = fr.with_resolved_targets(df, key)
+    return rs.with_precompile_split(rs.with_cold(rs.with_memory(df, key)))
 
 
-def _finish_sequential(df: DataFrame, key: list[str], created: bool) -> DataFrame:
+def _finish_sequential(df: DataFrame, key: list[str], created: bool, use_tracer_create_address: bool, resolve_targets: bool) -> DataFrame:
     """The same columns for rows whose neighbours in the frame were found in order."""
     size = F.coalesce(F.col("mem_size"), F.lit(0))
     known = F.max(size).over(Window.partitionBy(*key)) > 0
@@ -55,7 +64,10 @@ def _finish_sequential(df: DataFrame, key: list[str], created: bool) -> DataFram
     df = df.withColumns({"has_memory": known, "words_before": F.when(known, rs.words(size)).otherwise(0).cast("long")})
     if created:
         traced = F.coalesce(F.min_by(F.col("call_to_address").isNotNull(), F.when(create, F.col("idx"))).over(Window.partitionBy(*key)), F.lit(False))
-        df = df.withColumn("target", F.when(create, F.when(traced, F.lit(None)).otherwise(format_address(F.col("created_top")))).otherwise(F.col("target")))
+        address = F.when(traced, F.col("call_to_address") if use_tracer_create_address else F.lit(None)).otherwise(format_address(F.col("created_top")))
+        df = df.withColumn("target", F.when(create, address).otherwise(F.col("target")))
+    if resolve_targets:
+        df = fr.with_resolved_targets(df, key)
     after = F.coalesce(F.col("next_words"), F.greatest(F.col("words_before"), rs.returned_words(F.col("op"), F.col("s1"), F.col("s2"))))
     df = df.withColumn("words_after", F.when(F.col("has_memory"), after).otherwise(0).cast("long")).withColumn("mem_exp", rs.expansion_gas(F.col("words_before"), F.col("words_after")))
     return rs.with_precompile_split(rs.with_cold(df)).drop("has_memory", "next_words", "created_top")
@@ -71,10 +83,11 @@ def with_paths(df: DataFrame, key: list[str] = KEY) -> DataFrame:
     return df.join(fr.frame_paths(fr.frame_table(df, key), key), [*key, "frame_id"])
 
 
-def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None) -> DataFrame:
-    """One row an opcode, and one (operation '') for each call of a plain account that returns at once; traces without opcodes give none."""
+def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None, use_tracer_create_address: bool = False) -> DataFrame:
+    """One row an opcode, and one (operation '') for each call of a plain account that returns at once; traces without opcodes give none.
+    call_to_address of creates in traces with the tracer's addresses is null, or with ``use_tracer_create_address`` the tracer's."""
     # memory, cold access and precompile gas are not asked for, so they are not computed
-    df = with_paths(annotated(traces, key, False, fallback, longest=longest).select(*key, *OPCODE), key)
+    df = with_paths(annotated(traces, key, False, fallback, longest=longest, use_tracer_create_address=use_tracer_create_address).select(*key, *OPCODE), key)
     real = F.struct(
         F.col("op").alias("operation"), "gas", "gas_cost", "gas_used", "gas_self", F.col("depth").cast("long").alias("depth"), "return_data", "refund", "error", F.col("frame_id").alias("call_frame_id"), F.col("path").alias("call_frame_path")
     )
@@ -162,9 +175,12 @@ def call_type(op):
     return F.when(op.isin(CALL_TYPES), op).otherwise("UNKNOWN")
 
 
-def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None) -> DataFrame:
-    """One summary row (operation '') a frame and one row a frame and opcode; transactions without opcodes give one summary row."""
-    by_opcode = settle(frame_opcodes(frame_rows(annotated(traces, key, True, fallback, created=False, longest=longest), key), key), "frame-opcodes")
+def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None, resolve_targets: bool = False) -> DataFrame:
+    """One summary row (operation '') a frame and one row a frame and opcode; transactions without opcodes give one summary row.
+    target_address of a frame that an opcode opened is the tracer's, else null, or with ``resolve_targets`` what its operand or the created
+    address says."""
+    rows = annotated(traces, key, True, fallback, created=False, longest=longest, resolve_targets=resolve_targets)
+    by_opcode = settle(frame_opcodes(frame_rows(rows, key), key), "frame-opcodes")
     frames = frame_summaries(by_opcode, key)
     paths = fr.frame_paths(frames.select(*key, "frame_id", F.col("parent_call_frame_id").alias("parent_id"), F.col("first_depth").alias("level")), key).withColumnRenamed("path", "call_frame_path")
     frames = with_own_gas(frames, key).join(paths, [*key, "frame_id"]).join(transactions.select(*key, "to_address", "trace_gas", "trace_failed"), key)

@@ -298,6 +298,16 @@ def create_address(spark, d):
     return fr.with_created(fr.with_frames(fr.normal(_traces(spark, d)), KEY), KEY).where("op in ('CREATE', 'CREATE2')").select("tx", "idx", F.col("target").alias("address"))
 
 
+@query("traced_create_address", _chain(False) + """, x AS (SELECT g.tx, g.idx, arg_min(h.stack_top, h.idx) AS top FROM g JOIN g h ON g.tx = h.tx AND h.idx > g.idx AND h.depth <= g.depth WHERE g.op IN ('CREATE','CREATE2') AND g.tx % 2 = 1 GROUP BY 1, 2)
+SELECT g.tx, CAST(g.idx AS BIGINT) AS index, CASE WHEN g.tx % 2 = 0 THEN concat('0x', lpad(CAST(g.gas AS VARCHAR), 40, '0')) WHEN top IS NOT NULL THEN concat('0x', lpad(right(regexp_replace(top, '^0x', ''), 40), 40, '0')) END AS call_to_address
+FROM g JOIN orders ON o_orderkey = g.tx LEFT JOIN x ON g.tx = x.tx AND g.idx = x.idx WHERE g.op IN ('CREATE','CREATE2')""")
+def traced_create_address(spark, d):
+    """Created addresses in the opcode table, of which a tracer gave those of every other trace."""
+    address = F.when((F.col("tx") % 2 == 0) & F.col("op").isin(fn.CREATES), F.concat(F.lit("0x"), F.lpad(F.col("gas").cast("string"), 40, "0"))).otherwise(F.col("call_to_address"))
+    df = tr.opcode_table(_traces(spark, d).withColumn("call_to_address", address), _headers(spark, d), KEY, use_tracer_create_address=True)
+    return df.where(F.col("operation").isin(fn.CREATES)).select("tx", "index", "call_to_address")
+
+
 @query("cold_access_count", _chain(False) + " SELECT tx, CAST(idx AS BIGINT) AS idx, cold FROM g")
 def cold_access_count(spark, d):
     return _annotated(spark, d).select("tx", "idx", "cold")
@@ -386,6 +396,16 @@ def frame_agg_table(spark, d):
     return _agg(spark, d).drop("transaction_index").withColumn("call_frame_path", _text("call_frame_path"))
 
 
+@query("resolved_targets", _chain(True) + _AGG + """,
+cr AS (SELECT c.tx, e.fid, arg_min(h.stack_top, h.idx) AS top FROM g c JOIN g e ON e.tx = c.tx AND e.idx = c.idx + 1 AND e.entry JOIN g h ON h.tx = c.tx AND h.idx > c.idx AND h.depth <= c.depth WHERE c.op IN ('CREATE','CREATE2') GROUP BY 1, 2)
+SELECT fr.tx, fr.fid AS call_frame_id, ct AS call_type, CASE WHEN tgt IS NOT NULL OR top IS NULL THEN tgt ELSE concat('0x', lpad(right(regexp_replace(top, '^0x', ''), 40), 40, '0')) END AS target_address FROM fr LEFT JOIN cr ON fr.tx = cr.tx AND fr.fid = cr.fid
+UNION ALL SELECT tx, 0, '', to_address FROM t WHERE tx NOT IN (SELECT tx FROM s)""")
+def resolved_targets(spark, d):
+    """Targets of all frames of traces whose call targets are on the stack alone."""
+    df = _traces(spark, d).withColumn("s2", F.regexp_replace("call_to_address", "^0x0*", "0x")).withColumn("call_to_address", F.lit(None).cast("string"))
+    return tr.frame_agg_table(df, _headers(spark, d), KEY, resolve_targets=True).where("operation = ''").select("tx", "call_frame_id", "call_type", "target_address")
+
+
 @query("resource_gas", _chain(True) + _AGG + ", " + _OPS + " SELECT op AS operation, CAST(sum(g) AS BIGINT) AS gas, CAST(sum(mem_exp) AS BIGINT) AS memory_gas, CAST(sum(cold * CASE op WHEN 'SLOAD' THEN 2000 WHEN 'SSTORE' THEN 2100 ELSE 2500 END) AS BIGINT) AS cold_gas, CAST(sum(g - mem_exp - cold * CASE op WHEN 'SLOAD' THEN 2000 WHEN 'SSTORE' THEN 2100 ELSE 2500 END) AS BIGINT) AS compute_gas FROM oc GROUP BY 1")
 def resource_gas(spark, d):
     return tr.resource_gas(tr.opcode_stats(_rows(spark, d), KEY), ["operation"])
