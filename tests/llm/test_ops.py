@@ -431,6 +431,29 @@ def test_token_files_round_trip(spark, tmp_path):
     assert tokenbin.token_files(awkward(spark), q.vocabulary("byte_bpe_50k.json")).count() == awkward(spark).count()
 
 
+def test_token_files_of_a_hot_id(spark, tmp_path):
+    """A third of the rows without an id, a third with one: several tasks write each, and the files hold all rows in order."""
+    rng = random.Random(8)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, " ".join(f"w{rng.randrange(50)}" for _ in range(rng.randint(0, 30)))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        tokenbin.write(df, f"file://{tmp_path}", q.vocabulary("byte_bpe_50k.json")).collect()
+        got = [tuple(r) for r in tokenbin.read(spark, f"file://{tmp_path}").select("file", "place", "doc_id", "ids").orderBy("file", "place").collect()]
+        digest = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in tokenbin.digest(spark, f"file://{tmp_path}").collect())
+    finally:
+        spark.conf.set(setting, before)
+    assert len({f for f, _, k, _ in got if k is None}) > 1 and len({f for f, _, k, _ in got if k == 7}) > 1
+    coder = tokenbin.Encoder(q.vocabulary("byte_bpe_50k.json"))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want = [(k, np.append(ids, 2)) for (k, _), ids in zip(order, coder.encode([t for _, t in order]))]
+    assert [(k, bytes(b)) for _, _, k, b in got] == [(k, ids.astype("<u4").tobytes()) for k, ids in want]
+    ends = np.cumsum([len(ids) for _, ids in want]).tolist()
+    assert digest == [(e - len(ids), k, len(ids)) for e, (k, ids) in zip(ends, want)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 1000])
 def test_rank_codes(n):
     v = np.random.default_rng(n).integers(0, 2**32, n, dtype=np.uint64) >> np.random.default_rng(n + 1).integers(0, 32, n, dtype=np.uint64)

@@ -8,8 +8,9 @@ bytes) of four ranks; the control bytes stand apart from the data bytes, so nump
 Layout, little-endian: magic ``TLVB``, uint32 number of documents, uint64 number of ids, uint32 size of the rank table; rank
 table uint32[]; doc ids int64[]; doc id validity uint8[]; tokens a document uint32[]; control bytes; data bytes.
 
-Null texts are empty texts; null ``doc_id`` sorts first and is read back as null; equal ``doc_id`` sort by text. Other columns of
-the input are not read. An empty table writes no file.
+Null texts are empty texts; null ``doc_id`` sorts first and is read back as null; equal ``doc_id`` sort by text. Rows of one
+``doc_id``, or without any, are dealt by the beginnings of their texts, so they don't meet in one task unless these are equal too. Other
+columns of the input are not read. An empty table writes no file.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ MAGIC = b"TLVB"
 FILE_IDS = 4 << 20
 #: Distinct pieces that a worker keeps encoded; beyond it the memory is emptied and filled anew.
 KEPT_PIECES = 800_000
+#: Characters of a text that decide, beside its id, which task writes it.
+DEALT_BY = 64
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
@@ -208,7 +211,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int | None = 2,
             yield flush()
 
     chosen = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t"))
-    ordered = chosen.repartitionByRange(F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
+    # beginnings sort as their texts do
+    ordered = chosen.repartitionByRange(F.col("k").asc_nulls_first(), F.substring("t", 1, DEALT_BY)).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
     return ordered.mapInArrow(task, "file string, docs long, ids long")
 
 
@@ -246,9 +250,11 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 def digest(spark: SparkSession, folder: str) -> DataFrame:
     """Per document read back from the files: doc_id, start, n_tokens, ids_crc32 (see the query's contract)."""
     rows = _shared.settle(_read(spark, folder, "ids_crc32 long", zlib.crc32), "token-docs")
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    files = files.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total")).withColumn("part", F.substring_index("file", "-", 2))
+    before = lambda w, by: F.coalesce(F.sum("total").over(w.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = files.groupBy("part").agg(F.sum("total").alias("total"))  # a row a task that wrote
+    parts = parts.select("part", before(Window.partitionBy(), "part").alias("first"))
+    files = files.withColumn("later", before(Window.partitionBy("part"), "file")).join(parts, "part").select("file", (F.col("first") + F.col("later")).alias("base"))
     inside = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
