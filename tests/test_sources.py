@@ -187,6 +187,11 @@ def test_gap_window_and_capacity(spark):
     store = spark.createDataFrame(rows, schemas.PROGRESS)
     w = pg.gap_window(store.where("block_number <= 100"), 0, 5).first()
     assert (w["min_block"], w["max_block"]) == (1, 94)
+    w = pg.gap_window(store.where("block_number <= 100"), 30, 5).first()
+    assert (w["min_block"], w["max_block"]) == (70, 94)
+    thin = pg.latest_version(store.where("block_number % 10 <> 0 or block_number = 100"))
+    found = lambda *a, **b: [r["block_number"] for r in pg.gaps(thin, *a, **b).orderBy("block_number").collect()]
+    assert found(lookback=40, pending=1) == [70, 80, 90] and found(2, lookback=40) == [70, 104]
     scopes = spark.createDataFrame([("p", "n", 105)], "processor string, meta_network_name string, next_block long")
     r = pg.capacity(scopes, pg.latest_version(store), 2).first()
     assert (r["capacity"], r["blocked"]) == (1, False)

@@ -39,8 +39,9 @@ def oldest_incomplete(latest: DataFrame, at_least: int) -> DataFrame:
     return incomplete(latest).where(F.col("block_number") >= at_least).groupBy(*SCOPE).agg(F.min("block_number").alias("block_number"))
 
 
-def newest_incomplete(latest: DataFrame, at_most: int | None = None) -> DataFrame:
-    df = incomplete(latest)
+def newest_incomplete(latest: DataFrame, at_most: int | None = None, ranges: DataFrame | None = None) -> DataFrame:
+    """The last incomplete block of each scope: up to ``at_most``, or within the scope's range (min_block, max_block)."""
+    df = incomplete(latest) if ranges is None else incomplete_within(latest, ranges)
     df = df if at_most is None else df.where(F.col("block_number") <= at_most)
     return df.groupBy(*SCOPE).agg(F.max("block_number").alias("block_number"))
 
@@ -50,9 +51,9 @@ def _first(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("k", F.row_number().over(Window.partitionBy(*SCOPE).orderBy("block_number"))).where(F.col("k") <= n).drop("k")
 
 
-def incomplete_blocks(latest: DataFrame, n: int, low: int | None = None, high: int | None = None) -> DataFrame:
-    """The n first incomplete blocks of each scope, in a range if one is given."""
-    df = incomplete(latest).select(*KEY)
+def incomplete_blocks(latest: DataFrame, n: int, low: int | None = None, high: int | None = None, ranges: DataFrame | None = None) -> DataFrame:
+    """The n first incomplete blocks of each scope: from ``low`` to ``high``, or within the scope's range (min_block, max_block)."""
+    df = incomplete(latest).select(*KEY) if ranges is None else incomplete_within(latest, ranges)
     df = df if low is None else df.where(F.col("block_number") >= low)
     df = df if high is None else df.where(F.col("block_number") <= high)
     return _first(df, n)

@@ -587,9 +587,14 @@ def oldest_incomplete(spark, d):
     return pg.oldest_incomplete(_latest(spark, d), 1050)
 
 
-@query("newest_incomplete", _P + f" SELECT {_S}, max(block_number) AS block_number FROM l WHERE complete = 0 AND block_number <= 1090 GROUP BY 1, 2")
+#: Blocks of a scope's end that may still be under way.
+PENDING = 5
+
+
+@query("newest_incomplete", _P + _R + f" SELECT {_S}, max(block_number) AS block_number FROM l JOIN m USING (processor, meta_network_name) WHERE complete = 0 AND block_number < hi - {PENDING} GROUP BY 1, 2")
 def newest_incomplete(spark, d):
-    return pg.newest_incomplete(_latest(spark, d), 1090)
+    latest = _latest(spark, d)
+    return pg.newest_incomplete(latest, ranges=pg.gap_window(latest, pending=PENDING))
 
 
 @query("newest_incomplete_all", _P + f" SELECT {_S}, max(block_number) AS block_number FROM l WHERE complete = 0 GROUP BY 1, 2")
@@ -597,24 +602,31 @@ def newest_incomplete_all(spark, d):
     return pg.newest_incomplete(_latest(spark, d))
 
 
-_TOP = "SELECT processor, meta_network_name, block_number FROM (SELECT *, row_number() OVER (PARTITION BY processor, meta_network_name ORDER BY block_number) AS k FROM l WHERE complete = 0{}) WHERE k <= 10"
+_TOP = "SELECT processor, meta_network_name, block_number FROM (SELECT *, row_number() OVER (PARTITION BY processor, meta_network_name ORDER BY block_number) AS k FROM l{} WHERE complete = 0{}) WHERE k <= 10"
+_MIDDLE = " AND block_number BETWEEN lo + (hi - lo) // 10 AND hi - (hi - lo) // 10"
+
+
+def _middle(latest):
+    """Each scope's stored range without a tenth at either end."""
+    tenth = F.floor((F.col("max_block") - F.col("min_block")) / 10)
+    return pg.stored_range(latest).withColumns({"min_block": F.col("min_block") + tenth, "max_block": F.col("max_block") - tenth})
 
 
-@query("incomplete_blocks", _P + " " + _TOP.format(""))
+@query("incomplete_blocks", _P + " " + _TOP.format("", ""))
 def incomplete_blocks(spark, d):
     return pg.incomplete_blocks(_latest(spark, d), 10)
 
 
-@query("incomplete_in_range", _P + " " + _TOP.format(" AND block_number BETWEEN 1020 AND 1100"))
+@query("incomplete_in_range", _P + _R + " " + _TOP.format(" JOIN m USING (processor, meta_network_name)", _MIDDLE))
 def incomplete_in_range(spark, d):
-    return pg.incomplete_blocks(_latest(spark, d), 10, 1020, 1100)
+    latest = _latest(spark, d)
+    return pg.incomplete_blocks(latest, 10, ranges=_middle(latest))
 
 
-@query("incomplete_in_range_all", _P + _R + " SELECT l.processor, l.meta_network_name, l.block_number FROM l JOIN m USING (processor, meta_network_name) WHERE complete = 0 AND block_number BETWEEN lo + (hi - lo) // 10 AND hi - (hi - lo) // 10")
+@query("incomplete_in_range_all", _P + _R + " SELECT l.processor, l.meta_network_name, l.block_number FROM l JOIN m USING (processor, meta_network_name) WHERE complete = 0" + _MIDDLE)
 def incomplete_in_range_all(spark, d):
     latest = _latest(spark, d)
-    tenth = F.floor((F.col("max_block") - F.col("min_block")) / 10)
-    return pg.incomplete_within(latest, pg.stored_range(latest).withColumns({"min_block": F.col("min_block") + tenth, "max_block": F.col("max_block") - tenth}))
+    return pg.incomplete_within(latest, _middle(latest))
 
 
 @query("missing_blocks", _P + _R + f", q AS (SELECT {_S}, unnest(generate_series(lo, hi)) AS block_number FROM m) SELECT q.* FROM q ANTI JOIN p USING (processor, meta_network_name, block_number)")
@@ -684,12 +696,16 @@ def is_complete(spark, d):
     return pg.is_complete(_latest(spark, d), asked)
 
 
-@query("gaps", _P + _R + """, w AS (SELECT processor, meta_network_name, greatest(hi - 80, lo) AS a, hi - 6 AS b FROM m WHERE hi > 5), x AS (
+#: As many blocks as a scan for gaps looks back at unless told otherwise, and the gaps that one scan hands out to each scope.
+LOOKBACK, PAGE = 10_000, 40
+
+
+@query("gaps", _P + _R + f""", w AS (SELECT processor, meta_network_name, greatest(hi - {LOOKBACK}, lo) AS a, hi - {PENDING + 1} AS b FROM m WHERE hi > {PENDING}), x AS (
 SELECT l.processor, l.meta_network_name, l.block_number, 'incomplete' AS gap_type FROM l JOIN w USING (processor, meta_network_name) WHERE complete = 0 AND block_number BETWEEN a AND b
 UNION ALL SELECT q.*, 'missing' FROM (SELECT processor, meta_network_name, unnest(generate_series(a, b)) AS block_number FROM w) q ANTI JOIN p USING (processor, meta_network_name, block_number))
-SELECT processor, meta_network_name, block_number, gap_type FROM (SELECT *, row_number() OVER (PARTITION BY processor, meta_network_name ORDER BY gap_type, block_number) AS k FROM x) WHERE k <= 40""")
+SELECT processor, meta_network_name, block_number, gap_type FROM (SELECT *, row_number() OVER (PARTITION BY processor, meta_network_name ORDER BY gap_type, block_number) AS k FROM x) WHERE k <= {PAGE}""")
 def gaps(spark, d):
-    return pg.gaps(_latest(spark, d), 40, lookback=80, pending=5)
+    return pg.gaps(_latest(spark, d), PAGE, lookback=LOOKBACK, pending=PENDING)
 
 
 @query("gaps_all", _P + _R + """, w AS (SELECT processor, meta_network_name, lo AS a, hi - 6 AS b FROM m WHERE hi > 5)
@@ -719,9 +735,17 @@ def reprocess_candidates(spark, d):
     return pg.reprocess_candidates(pg.incomplete(latest), latest.where("block_number % 3 = 0"), latest)
 
 
-@query("contiguous_prefix", _P + ", q AS (SELECT unnest(generate_series(1000, 1200)) AS block_number), f AS (SELECT DISTINCT block_number FROM p WHERE complete = 1 OR block_number < 1030) SELECT block_number FROM q WHERE block_number < coalesce((SELECT min(q.block_number) FROM q ANTI JOIN f USING (block_number)), 99999999)")
+#: Blocks of the first tenth count as found, so that the prefix ends inside the range.
+@query("contiguous_prefix", _P + """, b AS (SELECT min(block_number) AS lo, max(block_number) AS hi FROM p), q AS (SELECT unnest(generate_series(lo, hi)) AS block_number FROM b),
+f AS (SELECT block_number FROM p WHERE complete = 1 UNION SELECT block_number FROM q, b WHERE block_number < lo + (hi - lo) // 10)
+SELECT block_number FROM q WHERE block_number < coalesce((SELECT min(q.block_number) FROM q ANTI JOIN f USING (block_number)), (SELECT hi + 1 FROM b))""")
 def contiguous_prefix(spark, d):
-    return pg.contiguous_prefix(spark.range(1000, 1201).withColumnRenamed("id", "block_number"), _progress(spark, d).where("complete = 1 or block_number < 1030"))
+    progress = _progress(spark, d)
+    one = [F.lit("").alias(c) for c in pg.SCOPE]  # all scopes together
+    span = progress.agg(F.min("block_number").alias("min_block"), F.max("block_number").alias("max_block")).select(*one, "*")
+    tenth = span.withColumn("max_block", F.col("min_block") + F.floor((F.col("max_block") - F.col("min_block")) / 10) - 1)
+    found = progress.where("complete = 1").select("block_number").distinct().union(pg.every_block(tenth).select("block_number"))
+    return pg.contiguous_prefix(pg.every_block(span).select("block_number"), found)
 
 
 #: A scope's block counts as found if any scope has completed it, since few blocks have a row in every scope.
