@@ -171,37 +171,65 @@ def test_html_text_of_the_pages(spark, sf_dir):
         assert r["text"] == "\n\n".join(b for b in blocks if b)
 
 
-def recall(spark, rows, k=20):
-    """Share of the exact k nearest that are found for the vectors whose id 20 divides; scores are held against exact ones."""
-    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>").repartition(4)
+def recall(spark, rows, k=20, every=20):
+    """Share of the exact k nearest that are found for the vectors whose id ``every`` divides; scores are held against exact ones."""
+    n, width = rows.shape
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width), pa.int32()), pa.array(rows.reshape(-1)))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": flat})).repartition(4)
     hits = 0
     got = {}
-    for r in ann.nearest(df, F.col("id") % 20 == 0, k).collect():
+    for r in ann.nearest(df, F.col("id") % every == 0, k).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    asked = range(0, len(rows), 20)
+    asked = range(0, n, every)
     assert sorted(got) == list(asked)
     for i in asked:
         s = rows @ rows[i]
         s[i] = -np.inf
-        best = set(np.argsort(-s)[:k].tolist())
+        best = set(np.argpartition(-s, k)[:k].tolist())
         assert [x[0] for x in sorted(got[i])] == list(range(1, k + 1)) and all(abs(s[v] - x) < 1e-9 for _, v, x in got[i])
         hits += len(best & {v for _, v, _ in got[i]})
     return hits / (k * len(asked))
 
 
-def test_nearest_among_many(spark, monkeypatch):
+def clusters(n, many, seed, width=32):
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(many, width))[rng.integers(0, many, n)] + 0.4 * rng.normal(size=(n, width))
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+@pytest.fixture
+def visited(monkeypatch):
+    """How many lists, and then cells, a search visited."""
+    used, real = [], ann.enough
+    monkeypatch.setattr(ann, "enough", lambda ranks: used.append(real(ranks)) or used[-1])
+    return used
+
+
+def test_nearest_among_many(spark, monkeypatch, visited):
     """20,000 vectors in clusters: most lists are skipped, code words choose the few that are scored, bins and blocks are cut."""
-    used, real = [], ann.probes_for
-    monkeypatch.setattr(ann, "probes_for", lambda book, *a: used.append((real(book, *a), len(book.coarse))) or used[-1][0])
     monkeypatch.setattr(ann, "RERANK", 128)
     monkeypatch.setattr(ann, "CHUNK", 1_000)
     monkeypatch.setattr(ann, "BLOCK", 300)
-    rng = np.random.default_rng(3)
-    centres = rng.normal(size=(150, 32))
-    rows = centres[rng.integers(0, 150, 20_000)] + 0.4 * rng.normal(size=(20_000, 32))
-    assert recall(spark, rows / np.linalg.norm(rows, axis=1)[:, None]) >= 0.9
-    probes, lists = used[0]
-    assert lists > 100 and probes < 0.25 * lists
+    assert recall(spark, clusters(20_000, 150, 3)) >= 0.9
+    assert len(visited) == 1 and visited[0] < 0.25 * int(np.sqrt(20_000))
+
+
+def test_nearest_in_cells_of_long_lists(spark, monkeypatch, visited):
+    """20,000 vectors, a third of them in one cluster, and a sample for few lists: these are cut in cells of about 60, on shelves of about 50."""
+    monkeypatch.setattr(ann, "MAX_LISTS", 30)
+    monkeypatch.setattr(ann, "FINE", 60)
+    monkeypatch.setattr(ann, "SHELF", 50)
+    monkeypatch.setattr(ann, "CHUNK", 500)
+    monkeypatch.setattr(ann, "BLOCK", 300)
+    rows = np.concatenate([clusters(13_400, 150, 5), clusters(6_600, 1, 6)])
+    assert recall(spark, rows) >= 0.9
+    assert len(visited) == 2 and visited[1] < 0.35 * 20_000 / 60
+
+
+def test_nearest_in_a_large_clustered_table(spark, visited):
+    """200,000 vectors in 1,500 clusters: nine in ten neighbours are found in less than a tenth of the lists."""
+    assert recall(spark, clusters(200_000, 1_500, 7), every=1_000) >= 0.9
+    assert visited[0] < 0.1 * int(np.sqrt(200_000))
 
 
 def test_nearest_on_a_sphere(spark, monkeypatch):
