@@ -735,16 +735,17 @@ def reprocess_candidates(spark, d):
     return pg.reprocess_candidates(pg.incomplete(latest), latest.where("block_number % 3 = 0"), latest)
 
 
-#: Blocks of the first tenth count as found, so that the prefix ends inside the range.
+#: Blocks count as found if two scopes have completed them; those of the first tenth do anyway, so that the prefix ends inside the range.
 @query("contiguous_prefix", _P + """, b AS (SELECT min(block_number) AS lo, max(block_number) AS hi FROM p), q AS (SELECT unnest(generate_series(lo, hi)) AS block_number FROM b),
-f AS (SELECT block_number FROM p WHERE complete = 1 UNION SELECT block_number FROM q, b WHERE block_number < lo + (hi - lo) // 10)
+f AS (SELECT block_number FROM p WHERE complete = 1 GROUP BY 1 HAVING count(DISTINCT (processor, meta_network_name)) > 1 UNION SELECT block_number FROM q, b WHERE block_number < lo + (hi - lo) // 10)
 SELECT block_number FROM q WHERE block_number < coalesce((SELECT min(q.block_number) FROM q ANTI JOIN f USING (block_number)), (SELECT hi + 1 FROM b))""")
 def contiguous_prefix(spark, d):
     progress = _progress(spark, d)
     one = [F.lit("").alias(c) for c in pg.SCOPE]  # all scopes together
     span = progress.agg(F.min("block_number").alias("min_block"), F.max("block_number").alias("max_block")).select(*one, "*")
     tenth = span.withColumn("max_block", F.col("min_block") + F.floor((F.col("max_block") - F.col("min_block")) / 10) - 1)
-    found = progress.where("complete = 1").select("block_number").distinct().union(pg.every_block(tenth).select("block_number"))
+    done = progress.where("complete = 1").groupBy("block_number").agg(F.count_distinct(*pg.SCOPE).alias("n"))
+    found = done.where("n > 1").select("block_number").union(pg.every_block(tenth).select("block_number"))
     return pg.contiguous_prefix(pg.every_block(span).select("block_number"), found)
 
 
