@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+
+#: Rows that one task of a chain of windows has, about: each of its sorts holds them once, so this bounds a task's memory at any size.
+TASK_ROWS = 131_072
 
 _own: dict[str, str] = {}
 
@@ -68,3 +71,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, *key: str | Column, rows: int | None = None) -> DataFrame:
+    """``df`` dealt by ``key`` to so many tasks that each has about ``TASK_ROWS`` of its rows (counted, unless given). What comes after - windows,
+    groups and further keys behind the same first ones - needs no other exchange. Few rows are left as they are: Spark deals them to all
+    cores by itself. Left to itself Spark fills a task by shuffled bytes, of which narrow rows have few."""
+    n = -(-(df.count() if rows is None else rows) // TASK_ROWS)
+    return df if n <= df.sparkSession.sparkContext.defaultParallelism else df.repartition(n, *key)

@@ -6,6 +6,9 @@ The statements are the same SQL in both engines; every compared column has an ex
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracelake.plans import store
 
 STRUCTLOG_SRC = """
 WITH base AS (
@@ -71,7 +74,11 @@ FROM events WHERE event_id % 11 <> 0
 
 VIEWS = {"structlog_src": STRUCTLOG_SRC, "tx_src": TX_SRC, "receipt_src": RECEIPT_SRC, "progress_src": PROGRESS_SRC}
 TABLES = ["lineitem", "orders", "events"]
-
+#: What the windows of a view, and those of the library's operators behind them, go by: the table of its rows, the key there, its name in the view.
+DEALT = {
+    "structlog_src": ("lineitem", "CAST((l_orderkey - l_orderkey % 16) / 16 AS BIGINT)", "tx"),
+    "tx_src": ("orders", "CAST((o_orderkey - o_orderkey % 64) / 64 AS BIGINT)", "block_number"),
+}
 
 _landed: dict[tuple[str, str], str] = {}
 
@@ -84,10 +91,15 @@ def land(spark: SparkSession, sf_dir: str, folder: str) -> None:
 
 
 def derived(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """A derived table over the parquet tables in ``sf_dir``."""
+    """A derived table over the parquet tables in ``sf_dir``, its windows dealt to as many tasks as its rows need (``store.dealt``)."""
+    table, key, name = DEALT.get(view, (None, None, None))
     if (sf_dir, view) in _landed:
-        return spark.read.parquet(_landed[sf_dir, view])
-    sql = VIEWS[view]
-    for table in TABLES:
-        sql = sql.replace(f"FROM {table}", f"FROM parquet.`{sf_dir}/{table}.parquet`")
-    return spark.sql(sql)
+        landed = spark.read.parquet(_landed[sf_dir, view])
+        return store.dealt(landed, name) if name else landed
+    sql, frames = VIEWS[view], {}
+    if table:
+        sql = sql.replace(f"FROM {table}", "FROM {rows}")
+        frames["rows"] = store.dealt(spark.read.parquet(f"{sf_dir}/{table}.parquet"), F.expr(key))
+    for t in TABLES:
+        sql = sql.replace(f"FROM {t}", f"FROM parquet.`{sf_dir}/{t}.parquet`")
+    return spark.sql(sql, **frames)
