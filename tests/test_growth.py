@@ -1,9 +1,11 @@
 """What must not grow with the input: rows of a task, work done again."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import normal
 from tracelake import queries
+from tracelake.functions import u128
 from tracelake.plans import store
 
 Q = queries.queries()
@@ -18,3 +20,11 @@ def test_tasks_of_windows_have_bounded_rows(spark, sf_dir, monkeypatch, name):
     assert df._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
     assert df.rdd.getNumPartitions() == 12
     assert normal(map(tuple, df.collect())) == plain
+
+
+def test_a_quantity_is_read_once(spark):
+    """A hex quantity's digits are taken out of its text once, whatever is made of them."""
+    df = spark.createDataFrame([("0x10000000000000005",), ("0xfffffffffffffff",), ("0x1000000000000000",), ("0xzz",), ("",), (None,)], "h string")
+    out = df.select(u128.to_decimal(u128.from_hex(F.col("h"))).alias("n"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(h#") == 1
+    assert [r["n"] for r in out.collect()] == [2**64 + 5, 2**60 - 1, 2**60, None, 0, None]

@@ -41,25 +41,34 @@ def from_number(c: Column) -> Column:
     return from_decimal(c.cast(_WIDE).cast("string"))
 
 
-def _times_2_32(n: Column, more: Column) -> Column:
-    """n * 2^32 + more."""
+#: 2^96, 2^64 and 2^32 as limbs: what the parts of 32 bits are multiplied by.
+_POWERS = [divmod(2**k, 10**19) for k in (96, 64, 32)]
+
+
+def _of_parts(parts: Column) -> Column:
+    """The number of four parts of 32 bits. No sum comes near 38 digits."""
+    term = lambda i, p: parts[i] * F.lit(str(p)).cast(_LO)
+    sums = F.named_struct(
+        F.lit("hi"), (term(0, _POWERS[0][0]) + term(1, _POWERS[1][0])).cast(_WIDE),
+        F.lit("lo"), (term(0, _POWERS[0][1]) + term(1, _POWERS[1][1]) + term(2, _POWERS[2][1]) + parts[3]).cast(_WIDE),
+    )
     base = F.lit(_BASE).cast(_HI)
-    low = (n["lo"].cast(_WIDE) * F.lit(2**32) + more).cast(_WIDE)
-    split = _with(low, lambda t: F.named_struct(F.lit("t"), t, F.lit("rest"), F.pmod(t, base)))  # a quotient of decimals is rounded, that of a multiple isn't
-    return _with(split, lambda x: _limbs(n["hi"].cast(_WIDE) * F.lit(2**32) + ((x["t"] - x["rest"]) / base).cast(_HI), x["rest"]))
+    split = lambda x: F.named_struct(F.lit("hi"), x["hi"], F.lit("lo"), x["lo"], F.lit("more"), F.call_function("div", x["lo"], base))
+    return _with(_with(sums, split), lambda x: _limbs(x["hi"] + x["more"], x["lo"] - x["more"].cast(_HI) * base))
 
 
 def from_hex(c: Column) -> Column:
     """The number of hex digits, with or without 0x; empty is 0; null if it is malformed or above 2^128 - 1."""
-    digits = F.regexp_replace(c, "^(0x)?0*", "")
-    fits = F.regexp_like(digits, F.lit("^[0-9a-fA-F]{0,32}$"))
-    padded = F.lpad(F.when(fits, digits), 32, "0")
-    part = lambda i: F.conv(F.substring(padded, i, 8), 16, 10).cast("decimal(10,0)")
-    value = _limbs(F.lit(0), part(1))
-    shifted = lambda more: lambda n: _times_2_32(n, more)
-    for i in (9, 17, 25):
-        value = _with(value, shifted(part(i)))
-    return F.when(fits & c.isNotNull(), value)
+
+    def value(digits: Column) -> Column:
+        fits = F.regexp_like(digits, F.lit("^[0-9a-fA-F]{0,32}$"))
+        number = lambda x: F.conv(x, 16, 10)
+        # 15 digits are below 10^19: the lower limb has them all, as most quantities are
+        short = _limbs(F.lit(0), number(F.lpad(digits, 15, "0")))
+        parts = _with(F.lpad(digits, 32, "0"), lambda p: F.array(*[number(F.substring(p, i, 8)).cast("decimal(10,0)") for i in (1, 9, 17, 25)]))
+        return F.when(fits, F.when(F.length(digits) <= 15, short).otherwise(_with(parts, _of_parts)))
+
+    return _with(F.regexp_replace(c, "^(0x)?0*", ""), value)
 
 
 def add(a: Column, b: Column) -> Column:
@@ -74,7 +83,7 @@ def add(a: Column, b: Column) -> Column:
 
 def to_string(n: Column) -> Column:
     """Decimal digits."""
-    digits = F.concat(n["hi"].cast("string"), F.lpad(n["lo"].cast("string"), 19, "0"))
+    digits = _with(n, lambda x: F.concat(x["hi"].cast("string"), F.lpad(x["lo"].cast("string"), 19, "0")))
     return F.regexp_replace(digits, "^0+(?=[0-9])", "")
 
 
