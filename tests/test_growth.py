@@ -28,3 +28,11 @@ def test_a_quantity_is_read_once(spark):
     out = df.select(u128.to_decimal(u128.from_hex(F.col("h"))).alias("n"))
     assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(h#") == 1
     assert [r["n"] for r in out.collect()] == [2**64 + 5, 2**60 - 1, 2**60, None, 0, None]
+
+
+def test_written_transactions_are_computed_once(spark, sf_dir, monkeypatch):
+    """Every write of a part reads the stored rows; none joins receipts again."""
+    plans, write = [], queries.versions.write
+    monkeypatch.setattr(queries.versions, "write", lambda rows, *rest: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), write(rows, *rest)))
+    Q["write_transactions"](spark, sf_dir)
+    assert len(plans) == 3 and not any("Join" in p or "Exchange" in p for p in plans)

@@ -536,7 +536,7 @@ def write_structlog_agg(spark, d):
 @query("write_transactions", _SQL["transaction_table"])
 def write_transactions(spark, d):
     """The transaction table written block by block; some blocks twice."""
-    rows = transaction_table(spark, d).withColumn("meta_network_name", F.lit("mainnet"))
+    rows = store.settle(transaction_table(spark, d).withColumn("meta_network_name", F.lit("mainnet")), "stored-rows")
     path, block = store.scratch(spark, "versions"), ["meta_network_name", "block_number"]
     for part in (rows.where("block_number % 4 < 3").withColumn("success", ~F.col("success")), rows.where("block_number % 4 >= 1"), rows.where("block_number % 4 = 0")):
         versions.write(part, path, part.select(*block).distinct())
