@@ -7,6 +7,7 @@ from tests.conftest import normal
 from tracelake import queries
 from tracelake.functions import u128
 from tracelake.plans import store
+from tracelake.sources import versions
 
 Q = queries.queries()
 
@@ -36,3 +37,23 @@ def test_written_transactions_are_computed_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(queries.versions, "write", lambda rows, *rest: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), write(rows, *rest)))
     Q["write_transactions"](spark, sf_dir)
     assert len(plans) == 3 and not any("Join" in p or "Exchange" in p for p in plans)
+
+
+def test_rows_are_shuffled_for_the_keys_that_there_are(spark, tmp_path, monkeypatch):
+    """With too many later keys to broadcast: a table by transaction is joined once, and rows of the newest version not at all."""
+    monkeypatch.setattr(versions, "FEW_KEYS", 0)
+    table = lambda ids, v: spark.createDataFrame([("mainnet", i // 2, f"0x{i}", v) for i in ids], "meta_network_name string, block_number long, transaction_hash string, v int")
+    path = str(tmp_path / "t")
+    for ids, v in ((range(10), 1), (range(20, 25), 2), (range(5), 3)):
+        versions.write(table(ids, v), path, table(ids, v))
+    df = versions.read(spark, path)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and plan.count("Union") == 1
+    assert sorted((r["transaction_hash"], r["v"]) for r in df.collect()) == sorted([*((f"0x{i}", 3) for i in range(5)), *((f"0x{i}", 1) for i in range(5, 10)), *((f"0x{i}", 2) for i in range(20, 25))])
+    # a block that is written as a whole hides its transactions, and keys of both kinds are asked
+    whole = table([20], 4)
+    versions.write(whole, path, whole.select(*versions.BLOCK))
+    df = versions.read(spark, path)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 2
+    assert sorted(r["transaction_hash"] for r in df.where("block_number = 10").collect()) == ["0x20"]
+    assert df.count() == 14

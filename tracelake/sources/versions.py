@@ -100,24 +100,29 @@ def _later(keys: DataFrame) -> DataFrame:
     return each.where("last > first").select(*TRANSACTION, F.col("last").alias("later"))
 
 
-def _current(rows: DataFrame, later: DataFrame, few: bool) -> DataFrame:
-    """Rows (with version) that no later key hides. Rows without transaction_hash, of tables by block, are hidden by blocks alone."""
+def _current(rows: DataFrame, later: DataFrame, few: bool, blocks: bool, single: bool, newest: str) -> DataFrame:
+    """Rows (with version) that no later key hides. Rows without transaction_hash, of tables by block, are hidden by blocks alone. Where rows and
+    keys are joined by shuffle, only the kinds of keys that there are (``blocks``, ``single``) are joined, and nothing as new as the ``newest``."""
+    if not few:
+        kept = rows.where(F.col("version") >= newest)
+        rows = rows.where(F.col("version") < newest)
     side = (lambda df: F.broadcast(df)) if few else (lambda df: df)
-    whole = later.where("transaction_hash is null").select(*BLOCK, "later")
     hidden = lambda a, b, by: [*(a[c] == b[c] for c in by), a["version"] < b["later"]]
-    rows = rows.join(side(whole), hidden(rows, whole, BLOCK), "left_anti")
-    if "transaction_hash" not in rows.columns:
-        return rows
-    single = later.where("transaction_hash is not null")
-    return rows.join(side(single), hidden(rows, single, TRANSACTION), "left_anti")
+    if blocks:
+        whole = later.where("transaction_hash is null").select(*BLOCK, "later")
+        rows = rows.join(side(whole), hidden(rows, whole, BLOCK), "left_anti")
+    if single and "transaction_hash" in rows.columns:
+        keys = later.where("transaction_hash is not null")
+        rows = rows.join(side(keys), hidden(rows, keys, TRANSACTION), "left_anti")
+    return rows if few else rows.unionByName(kept)
 
 
 def _latest(spark: SparkSession, path: str, part: str, versions: list[str], all_versions: list[str], first: int | None = None, last: int | None = None) -> DataFrame:
     """Rows of some versions that are current among all. How many keys have later versions is counted in the narrow log first."""
     rows = _read(spark, path, part, versions, first, last)
     later = _later(_read(spark, path, "log", all_versions, first, last))
-    n = later.limit(FEW_KEYS + 1).count()
-    return _current(rows, later, n <= FEW_KEYS) if n else rows
+    n, single, newest = later.agg(F.count("*"), F.count("transaction_hash"), F.max("later")).first()
+    return _current(rows, later, n <= FEW_KEYS, single < n, single > 0, newest) if n else rows
 
 
 def read(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
