@@ -1,5 +1,7 @@
 """What must not grow with the input: rows of a task, work done again."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +59,18 @@ def test_rows_are_shuffled_for_the_keys_that_there_are(spark, tmp_path, monkeypa
     assert df._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 2
     assert sorted(r["transaction_hash"] for r in df.where("block_number = 10").collect()) == ["0x20"]
     assert df.count() == 14
+
+
+@pytest.mark.parametrize("name", ["frame_agg_table", "frame_gas_self"])
+def test_tasks_of_joins_have_bounded_rows(spark, sf_dir, monkeypatch, name):
+    """Behind the scratch tables, too, every exchange is dealt by rows, none by bytes; and the rows are the same."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = normal(map(tuple, Q[name](spark, sf_dir).collect()))
+        monkeypatch.setattr(store, "TASK_ROWS", 500)
+        df = Q[name](spark, sf_dir)
+        dealt = re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\), (\w+)", df._jdf.queryExecution().executedPlan().toString())
+        assert dealt and min(int(n) for n, _ in dealt) >= 11
+        assert normal(map(tuple, df.collect())) == plain
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -14,7 +14,7 @@ from tracelake.operators import frames as fr
 from tracelake.operators import resources as rs
 from tracelake.operators import segmented as sg
 from tracelake.operators import sequential as sq
-from tracelake.plans.store import settle
+from tracelake.plans.store import dealt, settle
 
 KEY = fr.KEY
 CALL_TYPES = ["CALL", "CALLCODE", "DELEGATECALL", "STATICCALL", "CREATE", "CREATE2"]
@@ -148,20 +148,30 @@ def opcode_stats(opcodes: DataFrame, key: list[str] = KEY) -> DataFrame:
 
 
 def frame_summaries(opcodes: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Per frame: what its opcodes say, and gas_cumulative (what it and the frames below it used)."""
+    """Per frame: what its opcodes say, gas_cumulative (what it and the frames below it used), and the list of its ``opcode_stats``."""
     df = opcodes.groupBy(*key, "frame_id").agg(
         F.sum(F.when(F.col("operation") != "", F.col("opcode_count")).otherwise(0)).alias("opcode_count"), F.sum("error_count").alias("error_count"), F.min("first").alias("first"), F.max("last").alias("last"),
         F.max("refund").alias("max_refund"), F.max("call_type").alias("entry_type"), F.max("call_target").alias("entry_target"), F.max("parent").alias("parent_call_frame_id"), *(F.sum(c).cast("long").alias(c) for c in SUMS),
+        F.collect_list(F.when(F.col("operation") != "", F.struct("operation", *STATS))).alias("opcodes"),
     )
     spent = F.when(F.col("first.gas") >= F.col("last.gas"), F.col("first.gas") - F.col("last.gas")).otherwise(0)
     df = df.withColumns({"first_gas": F.col("first.gas"), "last_gas": F.col("last.gas"), "last_used": F.col("last.used"), "first_depth": F.col("first.depth")})
     return df.withColumn("gas_cumulative", (spent + F.col("last_used")).cast("long")).drop("first", "last")
 
 
+def frame_parents(opcodes: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """One row a frame, as ``operators.frames.frame_paths`` asks for it."""
+    return opcodes.groupBy(*key, "frame_id").agg(F.max("parent").alias("parent_id"), F.min(F.struct("first.seq", "first.depth"))["depth"].alias("level"))
+
+
 def with_own_gas(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Adds gas: gas_cumulative without that of the direct children."""
-    inner = frames.where("parent_call_frame_id is not null").groupBy(*key, F.col("parent_call_frame_id").alias("frame_id")).agg(F.sum("gas_cumulative").alias("inner"))
-    return frames.join(inner, [*key, "frame_id"], "left").withColumn("gas", F.greatest(F.col("gas_cumulative") - F.coalesce("inner", F.lit(0)), F.lit(0).cast("long"))).drop("inner")
+    """Adds gas: gas_cumulative without that of the direct children. For one window each frame stands once more at its parent, so that this
+    needs no exchange behind one by the key."""
+    row = lambda at, own, inner: F.struct(F.col(at).alias("at"), F.lit(own).alias("own"), inner.cast("long").alias("inner"))
+    places = F.array(row("frame_id", True, F.lit(None)), row("parent_call_frame_id", False, F.col("gas_cumulative")))
+    df = frames.withColumn("place", F.explode(F.when(F.col("parent_call_frame_id").isNull(), F.slice(places, 1, 1)).otherwise(places)))
+    df = df.withColumn("inner", F.sum("place.inner").over(Window.partitionBy(*key, F.col("place.at")))).where("place.own")
+    return df.withColumn("gas", F.greatest(F.col("gas_cumulative") - F.coalesce("inner", F.lit(0)), F.lit(0).cast("long"))).drop("inner", "place")
 
 
 def intrinsic_gas(cumulative, refund, receipt):
@@ -181,9 +191,11 @@ def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] =
     address says."""
     rows = annotated(traces, key, True, fallback, created=False, longest=longest, resolve_targets=resolve_targets)
     by_opcode = settle(frame_opcodes(frame_rows(rows, key), key), "frame-opcodes")
-    frames = frame_summaries(by_opcode, key)
-    paths = fr.frame_paths(frames.select(*key, "frame_id", F.col("parent_call_frame_id").alias("parent_id"), F.col("first_depth").alias("level")), key).withColumnRenamed("path", "call_frame_path")
-    frames = with_own_gas(frames, key).join(paths, [*key, "frame_id"]).join(transactions.select(*key, "to_address", "trace_gas", "trace_failed"), key)
+    n = max(by_opcode.count(), transactions.count())
+    at = lambda df, *more: dealt(df, *key, *more, rows=n)
+    paths = fr.frame_paths(frame_parents(at(by_opcode), key), key)
+    frames = with_own_gas(frame_summaries(at(by_opcode), key), key).join(at(transactions.select(*key, "transaction_index", "to_address", "trace_gas", "trace_failed")), key)
+    frames = at(frames, "frame_id").join(at(paths.withColumnRenamed("path", "call_frame_path"), "frame_id"), [*key, "frame_id"])
     root = F.col("frame_id") == 0
     errors = F.when(root & F.col("trace_failed") & (F.col("error_count") == 0), 1).otherwise(F.col("error_count"))
     refund = F.when(F.col("errors") > 0, 0).otherwise(F.col("max_refund")).cast("long")
@@ -195,15 +207,16 @@ def frame_agg_table(traces: DataFrame, transactions: DataFrame, key: list[str] =
         "intrinsic_gas": F.when(root, intrinsic_gas(F.col("gas_cumulative"), refund, F.col("trace_gas"))),
     })
     about = ["frame_id", "parent_call_frame_id", "call_frame_path", "depth", "target_address", "call_type"]
-    summary = frames.select(
-        *key, *about, F.lit("").alias("operation"), "opcode_count", F.col("errors").cast("long").alias("error_count"), "gas", "gas_cumulative", F.col("depth").alias("min_depth"), F.col("depth").alias("max_depth"), F.col("refund").alias("gas_refund"), "intrinsic_gas", *SUMS
+    zero = F.lit(0).cast("long")
+    summary = F.struct(
+        F.lit("").alias("operation"), "opcode_count", F.col("errors").cast("long").alias("error_count"), "gas", "gas_cumulative", F.col("depth").alias("min_depth"), F.col("depth").alias("max_depth"), F.col("refund").alias("gas_refund"), "intrinsic_gas", *SUMS
     )
-    stats = opcode_stats(by_opcode, key).join(frames.select(*key, *about), [*key, "frame_id"])
-    opcodes = stats.select(
-        *key, *about, "operation", "opcode_count", F.col("error_count").cast("long").alias("error_count"), "gas", "gas_cumulative", "min_depth", "max_depth", F.lit(0).cast("long").alias("gas_refund"), F.lit(None).cast("long").alias("intrinsic_gas"), *SUMS
+    stats = lambda x: F.struct(
+        x["operation"].alias("operation"), x["opcode_count"].alias("opcode_count"), x["error_count"].cast("long").alias("error_count"), *(x[c].alias(c) for c in ("gas", "gas_cumulative", "min_depth", "max_depth")), zero.alias("gas_refund"), F.lit(None).cast("long").alias("intrinsic_gas"), *(x[c].alias(c) for c in SUMS)
     )
-    out = summary.unionByName(opcodes).unionByName(simple_transfers(by_opcode, transactions, key))
-    return out.join(transactions.select(*key, "transaction_index"), key).withColumnRenamed("frame_id", "call_frame_id")
+    out = frames.select(*key, *about, "transaction_index", F.explode(F.concat(F.array(summary), F.transform("opcodes", stats))).alias("r")).select(*key, *about, "r.*", "transaction_index")
+    idle = simple_transfers(at(by_opcode.select(*key)), transactions, key)
+    return out.unionByName(idle).withColumnRenamed("frame_id", "call_frame_id")
 
 
 def simple_transfers(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY) -> DataFrame:
@@ -213,7 +226,7 @@ def simple_transfers(traces: DataFrame, transactions: DataFrame, key: list[str]
     return idle.select(
         *key, zero.alias("frame_id"), F.lit(None).cast("long").alias("parent_call_frame_id"), F.array(zero).alias("call_frame_path"), zero.alias("depth"), F.col("to_address").alias("target_address"), F.lit("").alias("call_type"),
         F.lit("").alias("operation"), zero.alias("opcode_count"), F.col("trace_failed").cast("long").alias("error_count"), zero.alias("gas"), zero.alias("gas_cumulative"), zero.alias("min_depth"), zero.alias("max_depth"), zero.alias("gas_refund"),
-        F.col("trace_gas").cast("long").alias("intrinsic_gas"), *[zero.alias(c) for c in SUMS],
+        F.col("trace_gas").cast("long").alias("intrinsic_gas"), *[zero.alias(c) for c in SUMS], "transaction_index",
     )
 
 
