@@ -94,8 +94,14 @@ def with_resolved_targets(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
     return frames.withColumn("tracer_target", F.coalesce("tracer_target", F.when(F.col("entry"), F.lag("target").over(in_trace(key)))))
 
 
+def with_begins(traces: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Adds begins: whether a row is its trace's first."""
+    return traces.withColumn("begins", F.lag("idx").over(in_trace(key)).isNull())
+
+
 def frame_table(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """One row a frame: key, frame_id, parent_id (null for the root) and level, from entries, synthetic rows and each trace's first row."""
+    """One row a frame: key, frame_id, parent_id (null for the root) and level, from entries, synthetic rows and each trace's first row.
+    ``begins`` tells the last, if the rows have it already."""
     row = lambda frame, parent, level: F.struct(frame.cast("long").alias("frame_id"), parent.cast("long").alias("parent_id"), level.cast("long").alias("level"))
     of = F.array_compact(
         F.array(
@@ -104,7 +110,7 @@ def frame_table(frames: DataFrame, key: list[str] = KEY) -> DataFrame:
             F.when(F.col("synthetic"), row(F.col("synthetic_id"), F.col("frame_id"), F.col("depth") + 1)),
         )
     )
-    frames = frames.withColumn("begins", F.lag("idx").over(in_trace(key)).isNull())
+    frames = frames if "begins" in frames.columns else with_begins(frames, key)
     return frames.select(*key, F.explode(of).alias("x")).select(*key, "x.*")
 
 

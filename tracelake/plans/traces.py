@@ -77,17 +77,24 @@ def _finish_sequential(df: DataFrame, key: list[str], created: bool, use_tracer_
 OPCODE = "idx op gas gas_cost gas_used gas_self depth return_data refund error target frame_id entry synthetic synthetic_id parent_at_entry".split()
 
 
-def with_paths(df: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Adds path for every row. The rows are written once: the frames are found from them, and joined to them."""
-    df = settle(df, "annotated")
-    return df.join(fr.frame_paths(fr.frame_table(df, key), key), [*key, "frame_id"])
+def with_paths(df: DataFrame, key: list[str] = KEY, about: DataFrame | None = None) -> DataFrame:
+    """Adds path for every row, and the columns of ``about`` (a row a transaction; rows of others go). The rows are written once, the frames
+    are found from them, and joined to them. All exchanges are dealt by rows, and the wide rows go through one."""
+    df = settle(fr.with_begins(df, key), "annotated")
+    n = df.count() if about is None else max(df.count(), about.count())
+    paths = fr.frame_paths(dealt(fr.frame_table(df, key), *key, rows=n), key)
+    if about is not None:
+        paths = paths.join(dealt(about, *key, rows=n), key)
+    by = [*key, "frame_id"]
+    return dealt(df.drop("begins"), *by, rows=n).join(dealt(paths, *by, rows=n), by)
 
 
 def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KEY, fallback: bool = True, longest: int | None = None, use_tracer_create_address: bool = False) -> DataFrame:
     """One row an opcode, and one (operation '') for each call of a plain account that returns at once; traces without opcodes give none.
     call_to_address of creates in traces with the tracer's addresses is null, or with ``use_tracer_create_address`` the tracer's."""
     # memory, cold access and precompile gas are not asked for, so they are not computed
-    df = with_paths(annotated(traces, key, False, fallback, longest=longest, use_tracer_create_address=use_tracer_create_address).select(*key, *OPCODE), key)
+    about = transactions.select(*key, "transaction_index", F.col("trace_gas").alias("transaction_gas"), F.col("trace_failed").alias("transaction_failed"), F.nullif(F.nullif("trace_return_value", F.lit("")), F.lit("0x")).alias("transaction_return_value"))
+    df = with_paths(annotated(traces, key, False, fallback, longest=longest, use_tracer_create_address=use_tracer_create_address).select(*key, *OPCODE), key, about)
     real = F.struct(
         F.col("op").alias("operation"), "gas", "gas_cost", "gas_used", "gas_self", F.col("depth").cast("long").alias("depth"), "return_data", "refund", "error", F.col("frame_id").alias("call_frame_id"), F.col("path").alias("call_frame_path")
     )
@@ -98,9 +105,7 @@ def opcode_table(traces: DataFrame, transactions: DataFrame, key: list[str] = KE
         null.cast("long").alias("refund"), F.col("error"), F.col("synthetic_id").alias("call_frame_id"), F.concat("path", F.array("synthetic_id")).alias("call_frame_path"),
     )
     rows = df.withColumn("r", F.explode(F.when(F.col("synthetic"), F.array(real, made)).otherwise(F.array(real))))
-    out = rows.select(*key, F.col("idx").alias("index"), "r.*", F.col("target").alias("call_to_address"))
-    about = transactions.select(*key, "transaction_index", F.col("trace_gas").alias("transaction_gas"), F.col("trace_failed").alias("transaction_failed"), F.nullif(F.nullif("trace_return_value", F.lit("")), F.lit("0x")).alias("transaction_return_value"))
-    return out.join(about, key)
+    return rows.select(*key, F.col("idx").alias("index"), "r.*", F.col("target").alias("call_to_address"), *about.columns[len(key) :])
 
 
 def frame_rows(df: DataFrame, key: list[str] = KEY) -> DataFrame:
