@@ -74,3 +74,12 @@ def test_tasks_of_joins_have_bounded_rows(spark, sf_dir, monkeypatch, name):
         assert normal(map(tuple, df.collect())) == plain
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["resource_gas"])
+def test_queries_of_windows_are_dealt_by_rows(spark, sf_dir, monkeypatch, name):
+    """What is made of the windows keeps their tasks; only sums by operation are exchanged again."""
+    monkeypatch.setattr(store, "TASK_ROWS", 500)
+    plan = Q[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), (\d+)\), (\w+)", plan)
+    assert [x[1:] for x in dealt if not x[0].startswith("op")] == [("12", "REPARTITION_BY_NUM")]
