@@ -76,7 +76,7 @@ def test_tasks_of_joins_have_bounded_rows(spark, sf_dir, monkeypatch, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", ["resource_gas", "frame_summary", "frame_gas_cumulative", "cold_access_count", "synthetic_frames_all"])
+@pytest.mark.parametrize("name", ["resource_gas", "frame_summary", "frame_gas_cumulative", "cold_access_count", "synthetic_frames_all", "precompile_split"])
 def test_queries_of_windows_are_dealt_by_rows(spark, sf_dir, monkeypatch, name):
     """What is made of the windows keeps their tasks; only sums by operation are exchanged again."""
     monkeypatch.setattr(store, "TASK_ROWS", 500)
