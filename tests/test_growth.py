@@ -83,3 +83,32 @@ def test_queries_of_windows_are_dealt_by_rows(spark, sf_dir, monkeypatch, name):
     plan = Q[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"Exchange hashpartitioning\((.*?), (\d+)\), (\w+)", plan)
     assert [x[1:] for x in dealt if not x[0].startswith("op")] == [("12", "REPARTITION_BY_NUM")]
+
+
+def test_tasks_of_versions_have_bounded_rows(spark, tmp_path, monkeypatch):
+    """Where later keys are too many to broadcast, a read is dealt by rows, and so are a compaction's files; and the rows are the same."""
+    table = lambda ids, v: spark.range(*ids).select(F.lit("n").alias("meta_network_name"), F.floor(F.col("id") / 8).alias("block_number"), F.concat(F.lit("0x"), "id").alias("transaction_hash"), F.lit(v).alias("v"))
+    put = lambda ids, v, key: versions.write(table(ids, v), path, table(ids, v).select(*key).distinct())
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        put((0, 9000), 1, versions.TRANSACTION)
+        put((4000, 6000), 2, versions.TRANSACTION)
+        plain = normal(map(tuple, versions.read(spark, path).collect()))
+        monkeypatch.setattr(versions, "FEW_KEYS", 0)
+        monkeypatch.setattr(versions, "MOST_ROWS", 500)
+        sizes = lambda df: re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\), \w+", df._jdf.queryExecution().executedPlan().toString())
+        df = versions.read(spark, path)
+        assert sizes(df).count("18") == 2
+        assert normal(map(tuple, df.collect())) == plain
+        versions.compact(spark, path)
+        assert max(r["n"] for r in versions.read(spark, path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) <= 2000
+        assert normal(map(tuple, versions.read(spark, path).collect())) == plain
+        # whole blocks hide rows, too
+        put((0, 800), 3, versions.BLOCK)
+        put((8000, 8800), 3, versions.TRANSACTION)
+        df = versions.read(spark, path)
+        assert sizes(df).count("20") == 4
+        assert {r["v"]: r["n"] for r in df.groupBy("v").agg(F.count("*").alias("n")).collect()} == {1: 5400, 2: 2000, 3: 1600}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

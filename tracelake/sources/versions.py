@@ -26,6 +26,8 @@ LOG = "meta_network_name string, block_number long, transaction_hash string, tra
 FEW_KEYS = 500_000
 #: Different values in a row group that a Bloom filter is made for.
 ROW_GROUP_VALUES = 1_000_000
+#: Rows that a task of a read by shuffle, or of a compaction, has at most, about.
+MOST_ROWS = 1_048_576
 #: Marks of a compacted version: it sorts behind the last version that went into it and before every later one.
 COMPACTED = "~"
 
@@ -100,20 +102,30 @@ def _later(keys: DataFrame) -> DataFrame:
     return each.where("last > first").select(*TRANSACTION, F.col("last").alias("later"))
 
 
+def _tasks(spark: SparkSession, rows: int) -> int | None:
+    """How many tasks of ``MOST_ROWS`` rows there are; None where Spark's own number of partitions is enough, which it then fills by bytes. (From
+    201 tasks on Spark holds what a task deals out in memory, about 1.5 GB for 128 MB of files, so there are no more of them than needed.)"""
+    n = -(-rows // MOST_ROWS)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def _current(rows: DataFrame, later: DataFrame, few: bool, blocks: bool, single: bool, newest: str) -> DataFrame:
     """Rows (with version) that no later key hides. Rows without transaction_hash, of tables by block, are hidden by blocks alone. Where rows and
-    keys are joined by shuffle, only the kinds of keys that there are (``blocks``, ``single``) are joined, and nothing as new as the ``newest``."""
+    keys are joined by shuffle, only the kinds of keys that there are (``blocks``, ``single``) are joined, and nothing as new as the ``newest``;
+    keys are dealt to as many tasks as the rows need, so that the sorts of a join don't grow with the table. (Spark takes the rows to the same
+    tasks; it would move the join in front of an exchange of theirs.)"""
     if not few:
         kept = rows.where(F.col("version") >= newest)
         rows = rows.where(F.col("version") < newest)
-    side = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+        n = _tasks(rows.sparkSession, rows.count())
+    side = lambda df, by: F.broadcast(df) if few else df.repartition(n, *by) if n else df
     hidden = lambda a, b, by: [*(a[c] == b[c] for c in by), a["version"] < b["later"]]
     if blocks:
         whole = later.where("transaction_hash is null").select(*BLOCK, "later")
-        rows = rows.join(side(whole), hidden(rows, whole, BLOCK), "left_anti")
+        rows = rows.join(side(whole, BLOCK), hidden(rows, whole, BLOCK), "left_anti")
     if single and "transaction_hash" in rows.columns:
         keys = later.where("transaction_hash is not null")
-        rows = rows.join(side(keys), hidden(rows, keys, TRANSACTION), "left_anti")
+        rows = rows.join(side(keys, TRANSACTION), hidden(rows, keys, TRANSACTION), "left_anti")
     return rows if few else rows.unionByName(kept)
 
 
@@ -154,6 +166,7 @@ def compact(spark: SparkSession, path: str, full: bool = False, files: int | Non
     version = max(old) + COMPACTED
     rows = _latest(spark, path, "rows", old, every).drop("version")
     by = [c for c in (blooms or TRANSACTION) if c in rows.columns]
+    files = files or _tasks(spark, _read(spark, path, "rows", old).count())
     dealt = rows.repartitionByRange(*([files] if files else []), *by).sortWithinPartitions(*by)
     folder = f"{path.rstrip('/')}/rows/version={version}"
     store.drop_path(spark, folder)  # of a compaction that was killed
