@@ -61,7 +61,7 @@ def test_rows_are_shuffled_for_the_keys_that_there_are(spark, tmp_path, monkeypa
     assert df.count() == 14
 
 
-@pytest.mark.parametrize("name", ["frame_agg_table", "opcode_table", "frame_gas_self"])
+@pytest.mark.parametrize("name", ["frame_agg_table", "opcode_table", "frame_gas_self", "intrinsic_gas", "traced_create_address"])
 def test_tasks_of_joins_have_bounded_rows(spark, sf_dir, monkeypatch, name):
     """Behind the scratch tables, too, every exchange is dealt by rows, none by bytes; and the rows are the same."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
